@@ -76,7 +76,8 @@ def main() -> int:
 
     sf_dir, wanted = sys.argv[1], sys.argv[2:] or list(REGISTRY)
     spark = build_session(
-        master="local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false", spark__driver__memory="8g"
+        master="local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false", spark__driver__memory="12g",
+        spark__ui__showConsoleProgress="false",
     )
     spark.sparkContext.setLogLevel("ERROR")
     connection = connect(sf_dir)
