@@ -52,7 +52,7 @@ def file_headers(lines: DataFrame) -> DataFrame:
         F.min("position").alias("__first"),
         (F.count(F.lit(1)) - 1).alias("rows"),
     )
-    raw = F.transform(_fields(F.col("header")), F.trim)
+    raw = F.transform(_fields(F.col("header")), lambda name: F.trim(name))
     named = headers.withColumn("raw_names", raw)
     earlier = lambda name, i: F.size(F.filter(F.slice("raw_names", F.lit(1), i), lambda other: other == name))
     distinct = F.transform(
@@ -61,7 +61,7 @@ def file_headers(lines: DataFrame) -> DataFrame:
             F.concat(name, F.lit("."), earlier(name, i).cast("string"))
         ),
     )
-    folded = F.transform("raw_names", F.lower)
+    folded = F.transform("raw_names", lambda name: F.lower(name))
     return named.select(
         "file", "kind", "day", "__first", "rows",
         distinct.alias("names"),
@@ -130,4 +130,4 @@ def save_deals(deals: DataFrame, path: str, mode: str = "errorifexists") -> bool
     entries = F.sort_array(F.map_entries("extras"))
     cleaned = clean_rows(deals.withColumn("extras", entries))
     cleaned.write.mode(mode).partitionBy("kind").parquet(path)
-    return not deals.sparkSession.read.parquet(path).isEmpty()
+    return not deals.sparkSession.read.schema(cleaned.schema).parquet(path).isEmpty()
