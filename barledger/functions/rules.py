@@ -1,7 +1,7 @@
 """The ordered price rules, as one list of columns.
 
 Each column is null where its rule holds and the name of the reason where it fails, so a row's
-reasons are the non-null members of one array. The order of the list is the order of reporting.
+reasons are the non-null ones. The order of the list is the order of reporting.
 """
 
 from __future__ import annotations
@@ -13,6 +13,8 @@ from pyspark.sql import Column, functions as F, types as T
 from barledger import fixed_values as fv
 from barledger.functions.values import is_finite, is_infinite, is_missing, number_of_text
 
+SEPARATOR = ","
+
 
 def date_rules(day: Column, start: Column, end: Column, duplicate: Column) -> list[Column]:
     return [
@@ -68,5 +70,15 @@ def row_rules(
     return rules
 
 
-def reasons_of(rules: list[Column]) -> Column:
-    return F.array_compact(F.array(*rules))
+def reasons_text(rules: list[Column]) -> Column:
+    """Names of the failing rules in order as one text, empty when none fails.
+
+    Joining text skips nulls inside generated code, which is several times faster over all rows
+    than building and compacting an array.
+    """
+    return F.concat_ws(SEPARATOR, *rules)
+
+
+def reasons_of(text: Column) -> Column:
+    """The text as an array; no reason contains the separator."""
+    return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, SEPARATOR))

@@ -14,8 +14,8 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from barledger import fixed_values as fv
 from barledger.functions.market import issuer_symbol
-from barledger.functions.rules import reasons_of, row_rules
-from barledger.functions.values import typed_cell
+from barledger.functions.rules import reasons_of, reasons_text, row_rules
+from barledger.functions.values import once, typed_cell
 from barledger.operators.skew import HOT_ROWS, attach_by_key, row_counts
 
 FRAME_KEYS = ("run_id", "symbol")
@@ -82,14 +82,14 @@ def audit_rows(
         frames.schema, columns, adjusted, F.col("session_date"), _column(start), _column(end),
         F.coalesce(F.col("__repeated"), F.lit(False)),
     )
-    reasons = reasons_of(rules)
+    # One evaluation per row: filters on the result are not pushed below it as copies of the rules.
+    judged = marked.select("*", once(reasons_text(rules)).alias("__text"))
+    reasons, accepted = reasons_of(F.col("__text")), F.col("__text") == ""
     if frame_errors is not None:
-        reasons = F.when(F.size(frame_errors) > 0, F.col(frame_errors)).otherwise(reasons)
-    return (
-        marked.withColumn("reasons", reasons)
-        .withColumn("accepted", F.size("reasons") == 0)
-        .drop("__repeated")
-    )
+        landed_badly = F.coalesce(F.size(frame_errors) > 0, F.lit(False))
+        reasons = F.when(landed_badly, F.col(frame_errors)).otherwise(reasons)
+        accepted = accepted & ~landed_badly
+    return judged.withColumns({"reasons": reasons, "accepted": accepted}).drop("__repeated", "__text")
 
 
 def _column(value: date | Column) -> Column:

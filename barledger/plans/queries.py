@@ -241,7 +241,7 @@ def universe_check(spark: SparkSession, sf: str) -> DataFrame:
     symbol = views.provider_symbol(F.col("o_custkey"), "C")
     odd = (F.col("o_orderpriority") == "5-LOW") & (F.col("o_orderstatus") == "P")
     requested = views.table(spark, sf, "orders").select(
-        F.date_format("o_orderdate", "yyyy-MM").alias("run_id"),
+        views.month(F.col("o_orderdate")).alias("run_id"),
         F.when(odd, F.lower(symbol)).otherwise(symbol).alias("symbol"),
     )
     typos = views.table(spark, sf, "nation").select(
@@ -463,7 +463,7 @@ def checksum_verification(spark: SparkSession, sf: str) -> DataFrame:
 def artifact_gate(spark: SparkSession, sf: str) -> DataFrame:
     """Per run and symbol: the returned sample must be exactly what the run expected."""
     requested = views.table(spark, sf, "lineitem").select(
-        F.date_format("l_shipdate", "yyyy-MM").alias("run_id"),
+        views.month(F.col("l_shipdate")).alias("run_id"),
         views.provider_symbol(F.col("l_suppkey")).alias("symbol"), views.day(F.col("l_shipdate")).alias("date"),
     )
     foreign = F.col("adj_close") == "50"

@@ -24,11 +24,13 @@ def provider_symbol(key: Column, prefix: str = "S") -> Column:
 
 
 def cents(value: Column) -> Column:
-    return F.round(value * 100).cast("bigint")
+    """Whole hundredths of an amount that has no smaller part."""
+    return F.floor(value * 100 + 0.5)
 
 
-def percent(value: Column) -> Column:
-    return F.round(value * 100).cast("bigint")
+def month(value: Column) -> Column:
+    """``yyyy-MM`` of a day, cut from its ISO text."""
+    return F.substring(day(value).cast("string"), 1, 7)
 
 
 def day(value: Column) -> Column:
@@ -74,7 +76,7 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every lineitem row as a provider row of its supplier's frame in a monthly run."""
-    discount, tax = percent(F.col("l_discount")), percent(F.col("l_tax"))
+    discount, tax = cents(F.col("l_discount")), cents(F.col("l_tax"))
     base = table(spark, sf_dir, "lineitem").select(
         "*", discount.alias("d"), tax.alias("t"),
         F.col("l_extendedprice").alias("p"), F.col("l_quantity").alias("q"),
@@ -84,7 +86,7 @@ def raw_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     null = F.lit(None).cast("double")
     many = (d == 8) & (t == 8)
     return base.select(
-        F.date_format("l_shipdate", "yyyy-MM").alias("run_id"),
+        month(F.col("l_shipdate")).alias("run_id"),
         provider_symbol(F.col("l_suppkey")).alias("symbol"),
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("row_position"),
         F.when((d == 9) & (t == 6), F.lit(None))
@@ -113,7 +115,7 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).distinct()
     months = seen.select("l_suppkey", F.explode(F.array(*[F.add_months("quarter", n) for n in range(3)])).alias("start"))
     return months.select(
-        F.date_format("start", "yyyy-MM").alias("run_id"),
+        month(F.col("start")).alias("run_id"),
         F.col("l_suppkey").alias("ordinal"),
         provider_symbol(F.col("l_suppkey")).alias("symbol"),
         "start",
