@@ -1,7 +1,6 @@
 """Dated deal files ``{kind}deals_ddMonYYYY.csv`` in a landing directory.
 
-Each file has its own header. Lines are read as text and joined to the header of their file, so
-files of any mix of columns are read by one job: known columns become columns, the others a map.
+Files of any mix of columns are read by one job: known columns become columns, the others a map.
 """
 
 from __future__ import annotations
@@ -14,47 +13,29 @@ from barledger import fixed_values as fv
 from barledger.operators.deals import check_request
 from barledger.operators.quality import clean_rows
 from barledger.operators.skew import HOT_ROWS, attach_by_key
+from barledger.sources.lines import file_headers, number_rows, read_lines, split_fields
 
 FILE_NAME = r"(bulk|block)deals_([0-9]{2}[A-Za-z]{3}[0-9]{4})\.csv$"
-OUTSIDE_QUOTES = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 KNOWN_COLUMNS = ("date", "symbol", "quantity", "price", "client")
 
 
-def _fields(line: Column) -> Column:
-    """Fields of one CSV line, quotes removed."""
-    plain = F.split(F.regexp_replace(line, r"\r$", ""), OUTSIDE_QUOTES, -1)
-    return F.transform(plain, lambda text: F.regexp_replace(F.regexp_replace(text, r'^\s*"|"\s*$', ""), '""', '"'))
-
-
 def landed_lines(spark: SparkSession, directory: str, kind: str, start: date, end: date) -> DataFrame:
-    """Lines of the family's files dated in the inclusive range, with file, day and position."""
+    """Lines of the family's files dated in the inclusive range; a file's name gives its day."""
     check_request(kind, start, end)
-    text = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", f"{kind}deals_*.csv").text(directory)
-    # The file's name, not the lines, decides what is read: the predicate prunes files.
-    name = F.col("_metadata.file_name")
-    day = F.try_to_date(F.regexp_extract(name, FILE_NAME, 2), "ddMMMyyyy")
-    return text.select(
-        F.col("_metadata.file_path").alias("file"),
-        F.regexp_extract(name, FILE_NAME, 1).alias("kind"),
-        day.alias("day"),
-        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("position"),
-        F.col("value").alias("line"),
-    ).where((F.col("kind") == kind) & F.col("day").between(F.lit(start), F.lit(end)) & (F.trim("line") != ""))
-
-
-def file_headers(lines: DataFrame) -> DataFrame:
-    """Per file: its header's names, whether they include date and symbol, and its data rows.
+    day = F.try_to_date(F.regexp_extract("name", FILE_NAME, 2), "ddMMMyyyy")
+    lines = read_lines(spark, directory, f"{kind}deals_*.csv")
+    return lines.where((F.regexp_extract("name", FILE_NAME, 1) == kind) & day.between(F.lit(start), F.lit(end)))
+
+
+def deal_headers(lines: DataFrame) -> DataFrame:
+    """Per file: family, day, its names and whether they include date and symbol.
 
     Names are made distinct the way a repeated column is told apart: ``name``, ``name.1``, ….
     """
-    headers = lines.groupBy("file", "kind", "day").agg(
-        F.min_by("line", "position").alias("header"),
-        F.min("position").alias("__first"),
-        (F.count(F.lit(1)) - 1).alias("rows"),
-    )
-    raw = F.transform(_fields(F.col("header")), lambda name: F.trim(name))
-    named = headers.withColumn("raw_names", raw)
-    earlier = lambda name, i: F.size(F.filter(F.slice("raw_names", F.lit(1), i), lambda other: other == name))
+
+    def earlier(name: Column, place: Column) -> Column:
+        return F.size(F.filter(F.slice("raw_names", F.lit(1), place), lambda other: other == name))
+
     distinct = F.transform(
         "raw_names",
         lambda name, i: F.when(earlier(name, i) == 0, name).otherwise(
@@ -62,8 +43,11 @@ def file_headers(lines: DataFrame) -> DataFrame:
         ),
     )
     folded = F.transform("raw_names", lambda name: F.lower(name))
-    return named.select(
-        "file", "kind", "day", "__first", "rows",
+    return file_headers(lines).select(
+        "file",
+        F.regexp_extract("name", FILE_NAME, 1).alias("kind"),
+        F.try_to_date(F.regexp_extract("name", FILE_NAME, 2), "ddMMMyyyy").alias("day"),
+        "rows",
         distinct.alias("names"),
         (F.array_contains(folded, "date") & F.array_contains(folded, "symbol")).alias("header_ok"),
     )
@@ -78,11 +62,10 @@ def scan_deals(
     no rows and is recorded as unusable.
     """
     lines = landed_lines(spark, directory, kind, start, end)
-    headers = file_headers(lines).withColumn("__rows", F.col("rows") + 1)
-    placed = attach_by_key(
-        lines, headers.select("file", "names", "__first", "header_ok", "__rows"), ["file"], "__rows", hot_rows
-    ).where(F.col("position") != F.col("__first"))
-    split = placed.withColumn("values", _fields(F.col("line"))).withColumn(
+    headers = deal_headers(lines)
+    rows = number_rows(lines, hot_rows=hot_rows)
+    named = attach_by_key(rows, headers.withColumn("__rows", F.col("rows")).drop("rows"), ["file"], "__rows", hot_rows)
+    split = named.withColumn("values", split_fields(F.col("line"))).withColumn(
         "too_long", F.size("values") > F.size("names")
     )
     broken = split.groupBy("file").agg(F.count(F.lit(1)).alias("__lines"), F.max("too_long").alias("broken"))

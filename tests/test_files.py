@@ -199,3 +199,52 @@ def test_stream_of_landed_frames_equals_batch(spark, tmp_path):
     )
     verdicts = {r.symbol: (r.batch, r.passed) for r in spark.read.parquet(out + "/verdicts").collect()}
     assert verdicts == {"A.NS": (0, True), "B.NS": (1, False)}
+
+
+HEADER = "Date,Open,High,Low,Close,Adj Close,Volume\n"
+ROWS = "2026-09-14,10,12,9,11,5.5,100\n2026-09-15,11,13,10,12,,200\n"
+
+
+def test_landed_price_files_are_judged_by_their_own_header(spark, tmp_path):
+    from barledger.sources.prices import scan_price_files
+
+    run = tmp_path / "run-1"
+    run.mkdir()
+    (run / "GOOD.NS.csv").write_text(HEADER + ROWS)
+    (run / "SWAPPED.NS.csv").write_text("Volume,Close,Low,High,Open,Date\n100,11,9,12,10,2026-09-14\n")
+    (run / "TWICE.NS.csv").write_text("Date,Open,Open,Low,Close,Volume\n2026-09-14,1,1,1,1,1\n")
+    (run / "SHORT.NS.csv").write_text("Date,Open,High,Low,Volume\n2026-09-14,1,1,1,1\n")
+    (run / "TEXT.NS.csv").write_text(HEADER + ROWS + "2026-09-16,x,12,9,11,5.5,100\n")
+    (run / "UNDATED.NS.csv").write_text(HEADER + ROWS + "soon,10,12,9,11,5.5,100\n")
+    (run / "MIXED.NS.csv").write_text(HEADER + ROWS + "2026-09-16,NaN,inf,9,11,bad,100\n")
+    for hot_rows in (1, 1000):
+        frames = scan_price_files(spark, str(tmp_path), hot_rows=hot_rows)
+        audited = audit.audit_rows(
+            frames, date(2026, 9, 14), date(2026, 9, 19), frame_errors="frame_errors", hot_rows=hot_rows
+        )
+        verdicts = {r.symbol: r for r in audit.frame_verdicts(audited).collect()}
+        assert {s for s, r in verdicts.items() if r.passed} == {"GOOD.NS", "SWAPPED.NS"}
+        assert verdicts["TWICE.NS"].frame_errors == ["ambiguous_columns"]
+        assert verdicts["SHORT.NS"].frame_errors == ["missing_ohlcv_columns"]
+        assert verdicts["TEXT.NS"].frame_errors == ["nonnumeric_column:Open"]
+        assert verdicts["UNDATED.NS"].frame_errors == ["not_a_datetime_index"]
+        assert verdicts["MIXED.NS"].category == "row_quality_rejected"
+        assert verdicts["MIXED.NS"].run_id == "run-1"
+        rejected = audited.where("symbol = 'MIXED.NS' AND NOT accepted").collect()
+        assert [(r.row_position, r.reasons) for r in rejected] == [
+            (2, ["missing:Open", "nonfinite:High", "invalid:Adj Close"])
+        ]
+
+
+def test_positions_of_a_file_cut_into_blocks(spark, tmp_path):
+    from barledger.sources.lines import number_rows, read_lines
+
+    (tmp_path / "big.csv").write_text("Date,Symbol\n" + "".join(f"x,{i:06d}\n" for i in range(5000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        lines = read_lines(spark, str(tmp_path), "*.csv")
+        assert lines.select("block").distinct().count() > 3
+        rows = number_rows(lines).collect()
+        assert len(rows) == 5000 and all(int(r.line.split(",")[1]) == r.row_position for r in rows)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
