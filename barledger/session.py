@@ -10,6 +10,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Whole web pages travel to Python workers; this bounds a batch of them.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 

@@ -13,7 +13,7 @@ from barledger import fixed_values as fv
 from barledger.operators.deals import check_request
 from barledger.operators.quality import clean_rows
 from barledger.operators.skew import HOT_ROWS, attach_by_key
-from barledger.sources.lines import file_headers, number_rows, read_lines, split_fields
+from barledger.sources.lines import file_headers, number_lines, read_lines, split_fields
 
 FILE_NAME = r"(bulk|block)deals_([0-9]{2}[A-Za-z]{3}[0-9]{4})\.csv$"
 KNOWN_COLUMNS = ("date", "symbol", "quantity", "price", "client")
@@ -27,7 +27,7 @@ def landed_lines(spark: SparkSession, directory: str, kind: str, start: date, en
     return lines.where((F.regexp_extract("name", FILE_NAME, 1) == kind) & day.between(F.lit(start), F.lit(end)))
 
 
-def deal_headers(lines: DataFrame) -> DataFrame:
+def deal_headers(numbered: DataFrame) -> DataFrame:
     """Per file: family, day, its names and whether they include date and symbol.
 
     Names are made distinct the way a repeated column is told apart: ``name``, ``name.1``, ….
@@ -43,7 +43,7 @@ def deal_headers(lines: DataFrame) -> DataFrame:
         ),
     )
     folded = F.transform("raw_names", lambda name: F.lower(name))
-    return file_headers(lines).select(
+    return file_headers(numbered).select(
         "file",
         F.regexp_extract("name", FILE_NAME, 1).alias("kind"),
         F.try_to_date(F.regexp_extract("name", FILE_NAME, 2), "ddMMMyyyy").alias("day"),
@@ -61,9 +61,9 @@ def scan_deals(
     A file without date and symbol columns, or with a row of more fields than its header, gives
     no rows and is recorded as unusable.
     """
-    lines = landed_lines(spark, directory, kind, start, end)
-    headers = deal_headers(lines)
-    rows = number_rows(lines, hot_rows=hot_rows)
+    numbered = number_lines(landed_lines(spark, directory, kind, start, end), hot_rows=hot_rows)
+    headers = deal_headers(numbered)
+    rows = numbered.where(F.col("row_position") >= 0)
     named = attach_by_key(rows, headers.withColumn("__rows", F.col("rows")).drop("rows"), ["file"], "__rows", hot_rows)
     split = named.withColumn("values", split_fields(F.col("line"))).withColumn(
         "too_long", F.size("values") > F.size("names")

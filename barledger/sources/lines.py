@@ -34,19 +34,8 @@ def read_lines(spark: SparkSession, directory: str, pattern: str) -> DataFrame:
     return located.withColumn("number", F.monotonically_increasing_id())
 
 
-def file_headers(lines: DataFrame) -> DataFrame:
-    """One row per file: ``header`` and ``raw_names`` of its first line, and its data ``rows``."""
-    blocks = lines.groupBy("file", "name", "block").agg(
-        F.count(F.lit(1)).alias("__lines"), F.min_by("line", "number").alias("__line"),
-    )
-    headers = blocks.groupBy("file", "name").agg(
-        F.min_by("__line", "block").alias("header"), (F.sum("__lines") - 1).alias("rows")
-    )
-    return headers.withColumn("raw_names", F.transform(split_fields(F.col("header")), lambda name: F.trim(name)))
-
-
-def number_rows(lines: DataFrame, *, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Data lines with ``row_position``, counted from 0 after the header of their file.
+def number_lines(lines: DataFrame, *, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Lines with ``row_position`` in their file: the header is -1, the first data line is 0.
 
     The positions of a large file's blocks are offset by the sizes of the blocks before them, so
     no file is numbered by one task.
@@ -59,5 +48,12 @@ def number_rows(lines: DataFrame, *, hot_rows: int = HOT_ROWS) -> DataFrame:
         "file", "block", "__size", (F.coalesce(F.sum("__size").over(earlier), F.lit(0)) - F.col("__first") - 1).alias("__shift")
     )
     placed = attach_by_key(lines, offsets, ["file", "block"], "__size", hot_rows)
-    numbered = placed.withColumn("row_position", F.col("number") + F.col("__shift"))
-    return numbered.where(F.col("row_position") >= 0).drop("__shift", "block", "number")
+    return placed.withColumn("row_position", F.col("number") + F.col("__shift")).drop("__shift", "block", "number")
+
+
+def file_headers(numbered: DataFrame) -> DataFrame:
+    """One row per file: ``raw_names`` of its header line and the number of its data ``rows``."""
+    names = F.transform(split_fields(F.col("line")), lambda name: F.trim(name))
+    headers = numbered.where(F.col("row_position") == -1).select("file", "name", names.alias("raw_names"))
+    counts = numbered.groupBy("file").agg((F.count(F.lit(1)) - 1).alias("rows"))
+    return headers.join(counts, "file")

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from barledger import fixed_values as fv
 from barledger.functions.values import missing_text_to_null, number_of_text
 from barledger.operators.skew import HOT_ROWS, attach_by_key
-from barledger.sources.lines import file_headers, number_rows, read_lines, split_fields
+from barledger.sources.lines import file_headers, number_lines, read_lines, split_fields
 
 DATE_LABEL = "Date"
 LABELS = {**fv.PRICE_COLUMNS, fv.ADJUSTED_LABEL: "adj_close"}
@@ -33,9 +33,9 @@ def scan_price_files(
     run is the file's directory. A repeated header makes the columns ambiguous; otherwise a
     missing price column, or text in one, is the fault. Rows keep their position in their file.
     """
-    lines = read_lines(spark, directory, pattern)
-    headers = file_headers(lines)
-    rows = number_rows(lines, hot_rows=hot_rows)
+    numbered = number_lines(read_lines(spark, directory, pattern), hot_rows=hot_rows)
+    headers = file_headers(numbered)
+    rows = numbered.where(F.col("row_position") >= 0)
     named = attach_by_key(rows, headers.select("file", "raw_names", F.col("rows").alias("__rows")), ["file"], "__rows", hot_rows)
     split = named.withColumn("values", split_fields(F.col("line")))
     text = {label: _cell(label) for label in LABELS}
