@@ -16,14 +16,23 @@ def is_valid_symbol(provider_symbol: Column) -> Column:
     return F.coalesce(provider_symbol.rlike(fv.SYMBOL_PATTERN), F.lit(False))
 
 
+SECONDS_PER_DAY = 86_400
+
+
 def local_midnight_epoch(day: Column, zone: str = fv.EXCHANGE_ZONE) -> Column:
-    """Epoch seconds of local midnight at the start of ``day``."""
-    return F.unix_timestamp(F.to_utc_timestamp(day.cast("timestamp"), zone))
+    """Epoch seconds of local midnight at the start of ``day``, whatever the session's zone."""
+    wall_clock = F.timestamp_seconds(F.unix_date(day) * F.lit(SECONDS_PER_DAY).cast("bigint"))
+    return F.unix_seconds(F.to_utc_timestamp(wall_clock, zone))
+
+
+def day_of_instant(instant: Column, zone: str = fv.EXCHANGE_ZONE) -> Column:
+    """Calendar day of an instant in the exchange's zone, whatever the session's zone."""
+    shifted = F.unix_seconds(F.from_utc_timestamp(instant, zone))
+    return F.date_from_unix_date(F.floor(shifted / SECONDS_PER_DAY).cast("int"))
 
 
-def local_day(epoch_seconds: Column, zone: Column | str = fv.EXCHANGE_ZONE) -> Column:
-    """Calendar day of an instant in the exchange's zone."""
-    return F.to_date(F.from_utc_timestamp(F.timestamp_seconds(epoch_seconds), zone))
+def local_day(epoch_seconds: Column, zone: str = fv.EXCHANGE_ZONE) -> Column:
+    return day_of_instant(F.timestamp_seconds(epoch_seconds), zone)
 
 
 def is_valid_window(start: Column, end: Column) -> Column:

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from barledger import fixed_values as fv
+from barledger.functions.market import day_of_instant
 from barledger.operators.skew import HOT_ROWS, attach_by_key
 
 
@@ -127,7 +128,7 @@ def snapshot_coverage(ledger: DataFrame, retrieved_at: Column) -> DataFrame:
     )
     return counted.withColumns({
         "success": (F.col("returned") > 0) & (F.col("not_returned") == 0),
-        "snapshot_as_of_date_ist": F.to_date(F.from_utc_timestamp(retrieved_at, fv.EXCHANGE_ZONE)),
+        "snapshot_as_of_date_ist": day_of_instant(retrieved_at),
         "historical_completeness": F.lit(fv.NOT_VERIFIED),
     })
 

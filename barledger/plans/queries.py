@@ -341,7 +341,7 @@ def fundamentals_coverage(spark: SparkSession, sf: str) -> DataFrame:
     )
     deferred = identity.defer_by_policy(requested, merged, F.lit("2023-07-01").cast("date"))
     rows = ledger.snapshot_ledger(deferred.select("run_id", "ordinal", "symbol", "deferred"), outcomes)
-    return ledger.snapshot_coverage(rows, F.lit("2026-09-21 20:00:00").cast("timestamp"))
+    return ledger.snapshot_coverage(rows, F.lit("2026-09-21 20:00:00+00:00").cast("timestamp"))
 
 
 @query

@@ -3,7 +3,7 @@ from datetime import date
 
 import pytest
 
-from barledger.functions.market import is_valid_window, local_midnight_epoch
+from barledger.functions.market import is_valid_window, local_day, local_midnight_epoch
 from barledger.operators import reconcile
 from barledger.sources import actions, charts, listings, snapshots
 from pyspark.sql import functions as F
@@ -119,6 +119,13 @@ def test_window_and_request(spark):
     days = spark.createDataFrame([(START, END), (START, START), (START, date(2026, 9, 29))], "start date, end date")
     rows = days.select(local_midnight_epoch(F.col("start")).alias("e"), is_valid_window(F.col("start"), F.col("end")).alias("v")).collect()
     assert rows[0].e == PERIOD1 and [r.v for r in rows] == [True, False, False]
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        epochs = days.select(local_midnight_epoch(F.col("start")).alias("e"), local_day(F.lit(PERIOD1)).alias("d"),
+                             local_day(F.lit(PERIOD1 - 1)).alias("before")).first()
+        assert epochs.e == PERIOD1 and (epochs.d, epochs.before) == (START, date(2026, 9, 17))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
     scopes = charts.request_scopes(spark.createDataFrame([("RELIANCE.NS", START, END)], "symbol string, start date, end date"))
     good = {"period1": str(PERIOD1), "period2": str(PERIOD1 + 4 * 86400), "interval": "1d"}
