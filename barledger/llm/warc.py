@@ -139,7 +139,7 @@ def put(folder: str, name: str, content: bytes) -> None:
 
     system, path = fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder)
     system.create_dir(path, recursive=True)
-    with system.open_output_stream(f"{path}/.{name}") as out:
+    with system.open_output_stream(f"{path}/.{name}", compression=None) as out:
         out.write(content)
     system.move(f"{path}/.{name}", f"{path}/{name}")
 
