@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import functools
+import sys
+import types
 
 import numpy as np
 import pyarrow as pa
@@ -28,10 +29,10 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
-@functools.lru_cache(maxsize=1)
-def byte_codes() -> np.ndarray:
-    """A fixed odd 64-bit code for each byte."""
-    return mixed(np.arange(1, 257, dtype=U64) * MULTIPLIER) | U64(1)
+def worker_cache(name: str) -> dict:
+    """What a Python process keeps between its tasks: functions come to it by value, each time with new globals."""
+    module = sys.modules.setdefault("barledger_worker_cache", types.ModuleType("barledger_worker_cache"))
+    return module.__dict__.setdefault(name, {})
 
 
 def mixed(values: np.ndarray) -> np.ndarray:
@@ -46,12 +47,15 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return x
 
 
-_POWERS: dict[int, np.ndarray] = {}
+with np.errstate(over="ignore"):
+    #: A fixed odd 64-bit code for each byte.
+    BYTE_CODES = mixed(np.arange(1, 257, dtype=U64) * MULTIPLIER) | U64(1)
 
 
 def powers(base: int, n: int) -> np.ndarray:
     """base ** 0 … base ** (n - 1) modulo 2 ** 64."""
-    have = _POWERS.get(base)
+    known = worker_cache("powers")
+    have = known.get(base)
     if have is None or len(have) < n:
         size = 1 << max(16, int(n - 1).bit_length())
         have = np.ones(size, dtype=U64)
@@ -60,7 +64,7 @@ def powers(base: int, n: int) -> np.ndarray:
             while done < size:
                 have[done : 2 * done] = have[:done] * U64(pow(base, done, 1 << 64))
                 done *= 2
-        _POWERS[base] = have
+        known[base] = have
     return have[:n]
 
 
@@ -86,7 +90,7 @@ class Texts:
         """Prefix sums of code(byte i) * BASE ** i; a slice's difference, scaled back, is a hash of its content."""
         if self._sums is None:
             with np.errstate(over="ignore"):
-                values = byte_codes()[self.bytes]
+                values = BYTE_CODES[self.bytes]
                 values *= powers(BASE, len(values))
                 self._sums = np.zeros(len(values) + 1, dtype=U64)
                 np.cumsum(values, out=self._sums[1:])

@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barledger.llm.bytework import U64, mixed
+from barledger.llm.bytework import U64, mixed, worker_cache
 from barledger.llm.shared import bound_batches, partitions, stored
 
 SEQUENCE = 4096
@@ -58,17 +58,15 @@ class WordIds(dict):
         return b"".join(map(self.__getitem__, chunks))
 
 
-_LOADED: dict[str, WordIds] = {}
-
-
 def word_ids(path: str) -> WordIds:
     """The tokenizer of a file, once for each worker."""
-    if path not in _LOADED:
+    loaded = worker_cache("word_ids")
+    if path not in loaded:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        _LOADED[path] = WordIds(tokenizer, "<u2" if tokenizer.get_vocab_size() < 1 << 16 else "<u4")
-    return _LOADED[path]
+        loaded[path] = WordIds(tokenizer, "<u2" if tokenizer.get_vocab_size() < 1 << 16 else "<u4")
+    return loaded[path]
 
 
 def projection(dimensions: int = DIMENSIONS) -> np.ndarray:

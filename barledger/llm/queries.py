@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from barledger.llm import packing, quality_rules, warc
+from barledger.llm import decontamination, packing, quality_rules, warc
+from barledger.llm.oracle import ORACLES
 from barledger.llm.shared import table
 
 
@@ -20,17 +22,25 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path()).drop("ids")
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontamination.report(decontamination.contamination(docs, benchmark))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages")).drop("url", "archive", "position")
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.judge(table(spark, sf_dir, "documents")).drop("host")
+    judged = quality_rules.judge(table(spark, sf_dir, "documents")).drop("host")
+    return judged.withColumn("host_rate", F.round("host_rate", 9))
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_packing": op4_packing,
+    "op6_decontamination": op6_decontamination,
     "op8_warc": op8_warc,
     "op9_quality_rules": op9_quality_rules,
 }
-ORACLES: dict[str, str] = {}
+
+__all__ = ["ORACLES", "REGISTRY"]
