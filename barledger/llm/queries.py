@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barledger.llm import decontamination, packing, quality_rules, warc
+from barledger.llm import decontamination, packing, quality_rules, suffix_dedup, warc
 from barledger.llm.oracle import ORACLES
 from barledger.llm.shared import table
 
@@ -36,11 +36,16 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.withColumn("host_rate", F.round("host_rate", 9))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.report(suffix_dedup.cut_texts(table(spark, sf_dir, "documents")))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_packing": op4_packing,
     "op6_decontamination": op6_decontamination,
     "op8_warc": op8_warc,
     "op9_quality_rules": op9_quality_rules,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 __all__ = ["ORACLES", "REGISTRY"]
