@@ -8,6 +8,8 @@ sequence is padded.
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 
 import numpy as np
@@ -24,48 +26,101 @@ END_ID = 2
 DIMENSIONS = 4
 BITS = 12
 BUCKETS = 1024
-#: Words whose ids a worker remembers.
-REMEMBERED = 400_000
+#: Words of a generation whose ids a worker remembers.
+REMEMBERED = 120_000
+#: The rules of the tokenizers for which chunks may be encoded one by one: fixed values.
+NORMALIZER = {
+    "type": "Sequence",
+    "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"},
+    ],
+}
+SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": SPLIT}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+#: Characters that neither NFC nor a neighbour changes; the pieces are SPLIT's for them in lower case.
+LATIN = [chr(x) for x in (*range(0x21, 0x7F), *range(0xC0, 0xD7), *range(0xD8, 0xF7), *range(0xF8, 0x100))]
+PLAIN_CHUNK = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+PLAIN_PIECES = re.compile(
+    "'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+"
+)
 
 PIECES = (
     "start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint, ids binary"
 )
 
 
-class WordIds(dict):
-    """Ids of white-space separated chunks as little-endian bytes; no token of such a tokenizer crosses white space."""
+class Remembered(dict):
+    """Values of a function by argument; of two generations the older one is forgotten when the newer is full."""
 
-    def __init__(self, tokenizer, kind: str):
-        super().__init__({"": b""})
-        self.tokenizer, self.kind = tokenizer, kind
+    def __init__(self, function):
+        super().__init__()
+        self.function, self.old = function, {}
 
-    def __missing__(self, chunk: str) -> bytes:
-        ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
-        found = np.array(ids, dtype=self.kind).tobytes()
+    def __missing__(self, key: str) -> bytes:
+        found = self.old.get(key)
+        if found is None:
+            found = self.function(key)
         if len(self) >= REMEMBERED:
+            self.old = dict(self)
             self.clear()
-            self[""] = b""
-        self[chunk] = found
+        self[key] = found
         return found
 
+
+class WordIds:
+    """Ids of texts as little-endian bytes, the same as of each whole text.
+
+    No token of a tokenizer with the rules below crosses white space, so chunks between white space are encoded once and
+    remembered; those of plain Latin letters and signs are cut by the tokenizer's own rule, and the pieces remembered.
+    Texts with special tokens, and tokenizers with other rules, are encoded whole.
+    """
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.kind = "<u2" if self.tokenizer.get_vocab_size() < 1 << 16 else "<u4"
+        rules = json.loads(self.tokenizer.to_str())
+        self.known = rules["normalizer"] == NORMALIZER and rules["pre_tokenizer"] == PRE_TOKENIZER
+        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.letters = {ord(x): level.pre_tokenize_str(x)[0][0] for x in LATIN}
+        ids = np.arange(self.tokenizer.get_vocab_size(), dtype=self.kind).tobytes()
+        width = int(self.kind[-1])
+        self.id_bytes = [ids[i : i + width] for i in range(0, len(ids), width)]
+        self.pieces, self.chunks = Remembered(self.piece), Remembered(self.chunk)
+
+    def encode(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.kind).tobytes()
+
+    def piece(self, piece: str) -> bytes:
+        tokens = self.tokenizer.model.tokenize(piece if piece.isascii() else piece.translate(self.letters))
+        return b"".join([self.id_bytes[x.id] for x in tokens])
+
+    def chunk(self, chunk: str) -> bytes:
+        if not PLAIN_CHUNK.fullmatch(chunk):
+            return self.encode(chunk)
+        return b"".join(map(self.pieces.__getitem__, PLAIN_PIECES.findall(chunk.lower())))
+
     def text(self, text: str) -> bytes:
-        """The same ids as of the whole text."""
-        if "<|" in text:
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.kind).tobytes()
+        if not self.known or "<|" in text:
+            return self.encode(text)
         if text.isascii():
             text = text.lower()
         chunks = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        return b"".join(map(self.__getitem__, chunks))
+        return b"".join(map(self.chunks.__getitem__, filter(None, chunks)))
 
 
 def word_ids(path: str) -> WordIds:
     """The tokenizer of a file, once for each worker."""
     loaded = worker_cache("word_ids")
     if path not in loaded:
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(path)
-        loaded[path] = WordIds(tokenizer, "<u2" if tokenizer.get_vocab_size() < 1 << 16 else "<u4")
+        loaded[path] = WordIds(path)
     return loaded[path]
 
 
@@ -101,11 +156,19 @@ def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
     return key
 
 
+def id_buckets() -> np.ndarray:
+    """The bucket of each id below 2 ** 18."""
+    known = worker_cache("buckets")
+    if "ids" not in known:
+        known["ids"] = (mixed(np.arange(1 << 18, dtype=U64)) % U64(BUCKETS)).astype(np.int64)
+    return known["ids"]
+
+
 def curve_keys(ids: list[np.ndarray], dimensions: int = DIMENSIONS, bits: int = BITS) -> np.ndarray:
     """The Hilbert key of each list of ids: hashed counts, dampened and normalised, projected, spread over the cells."""
     lengths = np.array([len(x) for x in ids])
     doc = np.repeat(np.arange(len(ids)), lengths)
-    bucket = (mixed(np.concatenate(ids).astype(U64)) % U64(BUCKETS)).astype(np.int64)
+    bucket = id_buckets()[np.concatenate(ids)]
     counts = np.log1p(np.bincount(doc * BUCKETS + bucket, minlength=len(ids) * BUCKETS).reshape(len(ids), BUCKETS))
     counts /= np.maximum(np.linalg.norm(counts, axis=1, keepdims=True), 1e-9)
     points = counts.astype(np.float32) @ projection(dimensions)
