@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barledger.llm import decontamination, packing, quality_rules, secret_scan, suffix_dedup, warc
+from barledger.llm import decontamination, near_dedup, packing, quality_rules, secret_scan, suffix_dedup, warc
 from barledger.llm.oracle import ORACLES
 from barledger.llm.shared import table
 
@@ -18,6 +18,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.group(table(spark, sf_dir, "documents"), width=3, percent=85)
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.report(secret_scan.scan(table(spark, sf_dir, "documents")))
 
@@ -45,6 +49,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_near_dedup": op2_near_dedup,
     "op3_secret_scan": op3_secret_scan,
     "op4_packing": op4_packing,
     "op6_decontamination": op6_decontamination,
