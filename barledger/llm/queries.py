@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barledger.llm import decontamination, near_dedup, packing, quality_rules, secret_scan, suffix_dedup, warc
+from barledger.llm import decontamination, near_dedup, packing, quality_model, quality_rules, secret_scan, suffix_dedup, warc
 from barledger.llm.oracle import ORACLES
 from barledger.llm.shared import table
 
@@ -30,6 +30,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path()).drop("ids")
 
 
+def op5_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontamination.report(decontamination.contamination(docs, benchmark))
@@ -52,6 +56,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_near_dedup": op2_near_dedup,
     "op3_secret_scan": op3_secret_scan,
     "op4_packing": op4_packing,
+    "op5_quality_model": op5_quality_model,
     "op6_decontamination": op6_decontamination,
     "op8_warc": op8_warc,
     "op9_quality_rules": op9_quality_rules,
