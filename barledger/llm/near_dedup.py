@@ -4,8 +4,9 @@ A register is the exponentially spaced, truncated minimum of exponential hash va
 of a union are maxima of registers, and equal registers get likelier with the Jaccard similarity. Documents with equal
 sets are one node. Nodes that agree in a band of registers are candidates; a likelihood over all registers, with both
 set sizes known, estimates their similarity, and what may reach the threshold is verified on the sets. Within a band's
-bucket nodes are first compared with one leader, so that a group of thousands needs thousands of comparisons; only nodes
-that are in different components after that are compared with each other, in buckets that further bands keep small.
+bucket nodes are first compared with one leader, so that a group of thousands needs thousands of comparisons. What other
+components such a bucket still holds is settled without pairs of all its nodes: sets that reach the similarity share one
+of their rarest shingles, and a node with too many shingles of its own has no link at all.
 """
 
 from __future__ import annotations
@@ -26,9 +27,7 @@ SPACING, RATE = 1.02, 20.0
 #: Standard errors by which an estimate may miss the threshold before a pair is dropped unverified.
 MARGIN = 6.0
 #: Rounds of comparisons with leaders.
-STAR_ROUNDS = 3
-#: Nodes of a bucket beyond which a further band splits it, and how many further bands there may be.
-BUCKET, SPLITS = 64, 3
+STAR_ROUNDS = 2
 #: Ids of documents whose sets are needed that may be broadcast; beyond, texts are shuffled.
 IDS = 500_000
 
@@ -165,10 +164,9 @@ def likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return joined.where(fits).mapInArrow(keep, "a bigint, b bigint")
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets reach the similarity."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = stored(nodes.select("node", "rep").join(wanted, "node"), "wanted")
+def sets_of(wanted: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """node and set (ascending 64-bit integers in bytes) of the wanted (node, rep)."""
+    wanted = stored(wanted, "wanted")
     few = wanted.limit(IDS + 1).count() <= IDS
     kept = docs.join(F.broadcast(wanted) if few else wanted, docs["doc_id"].eqNullSafe(wanted["rep"]))
 
@@ -180,7 +178,11 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, pe
                 [batch.column(0), pa.array([x.tobytes() for x in pieces], pa.binary())], ["node", "set"]
             )
 
-    sets = stored(kept.select("node", "text").mapInArrow(build, "node bigint, set binary"), "sets")
+    return stored(kept.select("node", "text").mapInArrow(build, "node bigint, set binary"), "sets")
+
+
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets reach the similarity."""
     side = lambda x: sets.select(F.col("node").alias(x), F.col("set").alias(f"set_{x}"))
 
     def link(batches):
@@ -243,39 +245,61 @@ def star_pairs(entries: DataFrame, turn: int, percent: int) -> DataFrame:
     return best.select(F.col("leader").alias("a"), F.col("node").alias("b"))
 
 
-def split_buckets(entries: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Entries whose large buckets are split by the values of further bands, as often as needed and allowed."""
-    done, bands = None, nodes.select("node", band_keys().alias("keys"))
-    for turn in range(SPLITS + 1):
-        entries = stored(open_buckets(entries), "open")
-        sizes = entries.groupBy("band").agg(F.count(F.lit(1)).alias("size"))
-        large = sizes.where(F.col("size") > BUCKET).select("band")
-        if turn == SPLITS or not large.take(1):
-            part, rest = entries, None
-        else:
-            part, rest = entries.join(large, "band", "left_anti"), entries.join(large, "band", "left_semi")
-        done = part if done is None else done.unionByName(part)
-        if rest is None:
-            return done
-        # every pair above the threshold shares several bands, so it meets again under a further one
-        rest = rest.join(bands, "node").select("band", "node", "n", "root", F.explode("keys").alias("more"))
-        entries = rest.where("band <> more").withColumn("band", F.xxhash64("band", "more")).drop("more")
-    return done
+def prefixes(held: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """band (a shingle), node, n, root: the rarest shingles of each node of held (node, n, root).
+
+    A set of n that reaches the similarity with another one has at least percent of n shingles in common with it, so of
+    its n - that + 1 rarest ones both have one. Nodes with more shingles that no other node has are left out.
+    """
+
+    def explode(batches):
+        for batch in batches:
+            pieces = [np.frombuffer(x, dtype=np.int64) for x in batch.column(1).to_pylist()]
+            of = np.repeat(np.arange(len(pieces)), [len(x) for x in pieces])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(of)), pa.array(np.concatenate([*pieces, np.zeros(0, np.int64)]))],
+                ["node", "band"],
+            )
+
+    nodes = held.groupBy("node").agg(F.first("n").alias("n"), F.first("root").alias("root"))
+    rows = sets.join(nodes.select("node"), "node", "left_semi").mapInArrow(explode, "node bigint, band bigint")
+    rows = stored(rows, "shingles")
+    # rare is relative to the nodes that are compared; a shingle of one node needs no row in the join
+    times = stored(rows.groupBy("band").agg(F.count(F.lit(1)).alias("times")).where("times > 1"), "times")
+    shared = rows.join(times, "band").groupBy("node").agg(
+        F.sort_array(F.collect_list(F.struct("times", "band"))).alias("shared")
+    )
+    need = F.ceil(F.col("n") * percent / 100)
+    length = (F.col("n") - need + 1) - (F.col("n") - F.size("shared"))
+    fit = shared.join(nodes, "node").where(F.size("shared") >= need)
+    return fit.select(F.explode(F.slice("shared", 1, length.cast("int"))).alias("one"), "node", "n", "root").select(
+        F.col("one.band").alias("band"), "node", "n", "root"
+    )
 
 
 def cross_pairs(entries: DataFrame, percent: int) -> DataFrame:
-    """Pairs of nodes of different components in one bucket whose sizes allow the similarity."""
-    other = entries.select("band", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("root_a"))
-    joined = entries.withColumnRenamed("node", "b").join(other, "band")
-    fits = (F.col("a") < F.col("b")) & (F.col("root") != F.col("root_a")) & alike("n", "n_a", percent)
-    return joined.where(fits).select("a", "b").distinct()
+    """Pairs of nodes of different components under one band whose sizes allow the similarity.
+
+    Only nodes outside the component that has most of a band's nodes are joined with the others.
+    """
+    by_root = entries.groupBy("band", "root").agg(F.count(F.lit(1)).alias("c"))
+    main = by_root.groupBy("band").agg(F.max_by("root", F.struct("c", "root")).alias("main"))
+    outside = entries.join(stored(main, "main"), "band").where("root <> main")
+    outside = outside.select("band", F.col("node").alias("x"), F.col("n").alias("n_x"), F.col("root").alias("root_x"))
+    fits = (F.col("root") != F.col("root_x")) & alike("n", "n_x", percent)
+    pairs = stored(outside, "outside").join(entries, "band").where(fits)
+    return pairs.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
 
 
 def link_nodes(nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame | None:
     """Roots of all nodes with a link, None without any."""
     exploded = nodes.select(F.explode(band_keys()).alias("band"), "node", "n")
     shared = exploded.groupBy("band").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x <> y")
-    entries = stored(exploded.join(shared.select("band"), "band", "left_semi"), "entries")
+    entries = stored(exploded.join(stored(shared.select("band"), "bands"), "band", "left_semi"), "entries")
+    if not entries.take(1):
+        return None
+    nodes = stored(nodes.join(entries.select("node").distinct(), "node", "left_semi"), "candidates")
+    sets = sets_of(nodes.select("node", "rep"), docs, width)
     edges, roots = None, None
     for turn in range(STAR_ROUNDS + 1):
         held = stored(open_buckets(rooted(entries, roots)), "held")
@@ -284,9 +308,10 @@ def link_nodes(nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> D
         if turn < STAR_ROUNDS:
             pairs = star_pairs(held, turn, percent)
         else:
-            pairs = cross_pairs(split_buckets(held, nodes), percent)
-        pairs = stored(likely(pairs, nodes, percent), "pairs")
-        found = stored(verified(pairs, nodes, docs, width, percent), "links")
+            rare = stored(prefixes(held, sets, percent), "rare")
+            pairs = cross_pairs(stored(open_buckets(rare), "open"), percent)
+        pairs = stored(likely(stored(pairs, "met"), nodes, percent), "pairs")
+        found = stored(verified(pairs, sets, percent), "links")
         if found.take(1):
             edges = found if edges is None else edges.unionByName(found)
             roots = components(edges)

@@ -27,7 +27,7 @@ DIMENSIONS = 4
 BITS = 12
 BUCKETS = 1024
 #: Words of a generation whose ids a worker remembers.
-REMEMBERED = 120_000
+REMEMBERED = 160_000
 #: The rules of the tokenizers for which chunks may be encoded one by one: fixed values.
 NORMALIZER = {
     "type": "Sequence",

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barledger.llm import decontamination, near_dedup, packing, quality_model, quality_rules, secret_scan, suffix_dedup, warc
+from barledger.llm import decontamination, near_dedup, packing, quality_model, quality_rules, secret_scan, suffix_dedup, toxicity, warc
 from barledger.llm.oracle import ORACLES
 from barledger.llm.shared import table
 
@@ -18,6 +18,11 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.withColumn("evidence", F.transform("evidence", lambda e: e["doc_id"]))
+
+
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.group(table(spark, sf_dir, "documents"), width=3, percent=85)
 
@@ -53,6 +58,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_near_dedup": op2_near_dedup,
     "op3_secret_scan": op3_secret_scan,
     "op4_packing": op4_packing,

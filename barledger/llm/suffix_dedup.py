@@ -23,8 +23,6 @@ GRAM = 32
 SHARD_BYTES = 1 << 20
 #: Different contexts of one anchor beyond which its windows are dealt one by one.
 HOT_CONTEXTS = 20_000
-#: Rows of contexts to fetch that may be broadcast to the texts; beyond, both sides are shuffled.
-FETCH_ROWS = 1_000_000
 #: Symbols up to which a bucket is induced at a time, in vectorised rounds.
 SMALL_ALPHABET = 1024
 
@@ -186,22 +184,21 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
 
 
 def permuted_prefixes(text: np.ndarray, order: np.ndarray, most: int) -> np.ndarray:
-    """For each position, the symbols (at most `most`) its suffix shares with the one before it in order."""
+    """For each position in order, the symbols (at most `most`) its suffix shares with that before it in order."""
     with np.errstate(over="ignore"):
-        codes = mixed(text.astype(U64) + U64(1)) * powers(BASE, len(text))
+        codes = mixed(np.arange(int(text.max()) + 1, dtype=U64) + U64(1))[text] * powers(BASE, len(text))
         sums = np.concatenate([[U64(0)], np.cumsum(codes)])
         scale = powers(pow(BASE, -1, 1 << 64), len(text) + 1)
-        shared = np.zeros(len(order) - 1, dtype=np.int64)
         here, there = order[1:], order[:-1]
+        shared = np.zeros(len(here), dtype=np.int64)
         step = 1 << (most.bit_length() - 1)
         while step:
             a, b = here + shared, there + shared
-            fits = (np.maximum(a, b) + step <= len(text)) & (shared + step <= most)
-            a, b = np.where(fits, a, 0), np.where(fits, b, 0)
-            same = (sums[a + step * fits] - sums[a]) * scale[a] == (sums[b + step * fits] - sums[b]) * scale[b]
-            shared += step * (same & fits)
+            width = np.where((np.maximum(a, b) + step <= len(text)) & (shared + step <= most), step, 0)
+            same = (sums[a + width] - sums[a]) * scale[a] == (sums[b + width] - sums[b]) * scale[b]
+            shared += width * same
             step >>= 1
-    out = np.zeros(len(text), dtype=np.int64)
+    out = np.zeros(len(text), dtype=np.uint8 if most < 256 else np.int64)
     out[here] = shared
     return out
 
@@ -216,13 +213,10 @@ def repeats_in(contexts: list[bytes], length: int) -> list[tuple[np.ndarray, np.
     text[starts[1:] - 1] = 1
     owner = np.repeat(np.arange(len(contexts)), sizes + 1)
     order = suffix_array(text)
-    shared = permuted_prefixes(text, order, length)
-    whole = np.zeros(len(text), dtype=bool)  # suffixes that are windows
+    whole = np.zeros(len(text), dtype=bool)  # suffixes that are windows; only windows share `length` symbols with one
     whole[:-1] = np.arange(len(text) - 1) + length <= starts[owner + 1] - 1
-    rank = np.flatnonzero(whole[order])
-    linked = shared[order] >= length
-    group = np.cumsum(~linked)[rank]  # between two windows that share `length` symbols, all suffixes share them
-    position = order[rank]
+    position = order[whole[order]]
+    group = np.cumsum(permuted_prefixes(text, position, length)[position] < length)
     by_group = np.lexsort((position, group))
     group, position = group[by_group], position[by_group]
     later = position[np.concatenate([[False], group[1:] == group[:-1]])]
@@ -235,142 +229,138 @@ def repeats_in(contexts: list[bytes], length: int) -> list[tuple[np.ndarray, np.
     return [(begin[a:b], end[a:b]) for a, b in zip(cut[:-1], cut[1:], strict=True)]
 
 
-def with_identity(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc, same (tells apart different texts of one id) and text, a row for each different pair of id and text."""
+def with_identity(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, list[str]]:
+    """doc and text, with a hash `same` of the text if ids are repeated, and the columns that tell documents apart."""
     picked = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
-    ids = picked.groupBy("doc").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    repeated = bool(ids.take(1))
-    same = F.xxhash64("text") if repeated else F.lit(0).cast("bigint")
-    return picked.withColumn("same", same)
+    if picked.groupBy("doc").agg(F.count(F.lit(1)).alias("n")).where("n > 1").take(1):
+        return picked.withColumn("same", F.xxhash64("text")), ["doc", "same"]
+    return picked, ["doc"]
 
 
-def context_rows(texts: DataFrame, length: int) -> DataFrame:
-    """anchor, content, doc, same, at (first window start * 256 + windows - 1) of every context."""
-    kind = texts.schema["doc"].dataType.simpleString()
+def types(df: DataFrame, names: list[str]) -> str:
+    return ", ".join(f"{name} {df.schema[name].dataType.simpleString()}" for name in names)
+
+
+def context_rows(texts: DataFrame, ids: list[str], length: int) -> DataFrame:
+    """anchor, content, ids, at (first window start * 256 + windows - 1) of every context."""
 
     def find(batches):
         for batch in batches:
-            found = contexts_of(Texts(batch.column(2)), length)
+            found = contexts_of(Texts(batch.column(0)), length)
             of = pa.array(found["doc"])
             at = found["first"] * 256 + found["last"] - found["first"]
+            named = [batch.column(name).take(of) for name in ids]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(found["anchor"]), pa.array(found["content"]), batch.column(0).take(of), batch.column(1).take(of),
-                 pa.array(at)],
-                ["anchor", "content", "doc", "same", "at"],
+                [pa.array(found["anchor"]), pa.array(found["content"]), *named, pa.array(at)],
+                ["anchor", "content", *ids, "at"],
             )
 
-    return texts.select("doc", "same", "text").mapInArrow(
-        find, f"anchor bigint, content bigint, doc {kind}, same bigint, at bigint"
-    )
+    return texts.select("text", *ids).mapInArrow(find, f"anchor bigint, content bigint, {types(texts, ids)}, at bigint")
 
 
-def fetched(texts: DataFrame, needed: DataFrame, length: int) -> DataFrame:
-    """anchor, hot, doc, same, first and bytes of each needed context (anchor, hot, doc, same, at)."""
-    kind = texts.schema["doc"].dataType.simpleString()
-    lists = needed.groupBy("doc", "same").agg(F.collect_list(F.struct("anchor", "hot", "at")).alias("found"))
-    lists = stored(lists, "fetch")
-    small = needed.limit(FETCH_ROWS + 1).count() <= FETCH_ROWS
-    joined = texts.join(F.broadcast(lists) if small else lists, ["doc", "same"])
+def fetched(texts: DataFrame, ids: list[str], needed: DataFrame, length: int) -> DataFrame:
+    """anchor, hot, ids, first and bytes of each needed context (anchor, hot, ids, at)."""
+    lists = needed.groupBy(*ids).agg(F.collect_list(F.struct("anchor", "hot", "at")).alias("found"))
+    single = texts if len(ids) == 1 else texts.dropDuplicates(ids)
+    names = ["anchor", "hot", *ids, "first", "bytes"]
 
     def cut(batches):
         for batch in batches:
-            rows: dict[str, list] = {k: [] for k in ("anchor", "hot", "doc", "same", "first", "bytes")}
-            for doc, same, text, found in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                raw = (text or "").encode()
+            rows: dict[str, list] = {k: [] for k in ("of", "anchor", "hot", "first", "bytes")}
+            for i, (text, found) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
+                raw = text.encode()
                 for one in found:
                     first, more = one["at"] >> 8, one["at"] & 255
-                    values = (one["anchor"], one["hot"], doc, same, first, raw[first : first + more + length])
+                    values = (i, one["anchor"], one["hot"], first, raw[first : first + more + length])
                     for key, value in zip(rows, values, strict=True):
                         rows[key].append(value)
+            of = pa.array(rows["of"], pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(rows["anchor"], pa.int64()), pa.array(rows["hot"], pa.bool_()),
-                    pa.array(rows["doc"], batch.schema.field(0).type), pa.array(rows["same"], pa.int64()),
-                    pa.array(rows["first"], pa.int64()), pa.array(rows["bytes"], pa.binary()),
+                    *(batch.column(name).take(of) for name in ids), pa.array(rows["first"], pa.int64()),
+                    pa.array(rows["bytes"], pa.binary()),
                 ],
-                list(rows),
+                names,
             )
 
-    return joined.select("doc", "same", "text", "found").mapInArrow(
-        cut, f"anchor bigint, hot boolean, doc {kind}, same bigint, first bigint, bytes binary"
-    ).dropDuplicates(["anchor", "doc", "same", "first"])
+    return single.join(lists, ids).select("text", "found", *ids).mapInArrow(
+        cut, f"anchor bigint, hot boolean, {types(texts, ids)}, first bigint, bytes binary"
+    )
 
 
-def sorted_spans(contexts: DataFrame, length: int) -> DataFrame:
-    """doc, same, start, end of what the shards' suffix arrays find in the contexts' windows."""
-    kind = contexts.schema["doc"].dataType.simpleString()
+def sorted_spans(contexts: DataFrame, ids: list[str], length: int) -> DataFrame:
+    """ids, start, end of what the shards' suffix arrays find in the contexts' windows."""
     size = contexts.agg(F.sum(F.octet_length("bytes"))).first()[0] or 0
     shards = max(1, -(-size // SHARD_BYTES))
 
     def find(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("doc", "ascending"), ("same", "ascending"), ("first", "ascending")])
+        table = table.sort_by([(name, "ascending") for name in (*ids, "first")])
         found = repeats_in(table.column("bytes").to_pylist(), length)
         first = table.column("first").to_numpy()
         of = pa.array(np.repeat(np.arange(len(found)), [len(s) for s, _ in found]))
         starts = [s + f for (s, _), f in zip(found, first, strict=True)]
         ends = [e + f for (_, e), f in zip(found, first, strict=True)]
         return pa.table({
-            "doc": table.column("doc").take(of), "same": table.column("same").take(of),
+            **{name: table.column(name).take(of) for name in ids},
             "start": pa.array(np.concatenate(starts)), "end": pa.array(np.concatenate(ends)),
         })
 
     shard = F.pmod(F.xxhash64("anchor"), F.lit(shards)).alias("shard")
-    return contexts.select(shard, "doc", "same", "first", "bytes").groupBy("shard").applyInArrow(
-        find, f"doc {kind}, same bigint, start bigint, end bigint"
+    return contexts.select(shard, *ids, "first", "bytes").groupBy("shard").applyInArrow(
+        find, f"{types(contexts, ids)}, start bigint, end bigint"
     )
 
 
-def single_windows(contexts: DataFrame, length: int) -> DataFrame:
-    """content, doc, same, at of each window of contexts of hot anchors."""
-    kind = contexts.schema["doc"].dataType.simpleString()
+def single_windows(contexts: DataFrame, ids: list[str], length: int) -> DataFrame:
+    """content, ids, at of each window of contexts of hot anchors."""
 
     def find(batches):
         for batch in batches:
-            texts = Texts(batch.column(3))
+            texts = Texts(batch.column(0))
             windows = np.maximum(texts.lengths - length + 1, 0)
             of = np.repeat(np.arange(texts.n), windows)
             inside = np.arange(len(of)) - np.repeat(np.cumsum(windows) - windows, windows)
             starts = texts.starts[of] + inside
-            first = batch.column(2).to_numpy()[of] + inside
+            first = batch.column(1).to_numpy()[of] + inside
             yield pa.RecordBatch.from_arrays(
-                [pa.array(texts.hashes(starts, starts + length).view(np.int64)), batch.column(0).take(pa.array(of)),
-                 batch.column(1).take(pa.array(of)), pa.array(first * 256)],
-                ["content", "doc", "same", "at"],
+                [
+                    pa.array(texts.hashes(starts, starts + length).view(np.int64)),
+                    *(batch.column(name).take(pa.array(of)) for name in ids), pa.array(first * 256),
+                ],
+                ["content", *ids, "at"],
             )
 
-    return contexts.select("doc", "same", "first", "bytes").mapInArrow(
-        find, f"content bigint, doc {kind}, same bigint, at bigint"
+    return contexts.select("bytes", "first", *ids).mapInArrow(
+        find, f"content bigint, {types(contexts, ids)}, at bigint"
     )
 
 
-def later_copies(rows: DataFrame, firsts: DataFrame, on: list[str], length: int) -> DataFrame:
-    """doc, same, start, end of rows (with `at`) that are not the first of their content."""
-    joined = rows.join(firsts, on).where(F.struct("doc", "same", "at") != F.col("one"))
+def later_copies(rows: DataFrame, ids: list[str], firsts: DataFrame, length: int) -> DataFrame:
+    """ids, start, end of rows (content, ids, at) that are not the first of their content; firsts has `one`."""
+    joined = rows.select("content", *ids, "at").join(firsts, "content").where(F.struct(*ids, "at") != F.col("one"))
     start = F.shiftright("at", 8)
-    return joined.select("doc", "same", start.alias("start"), (start + F.col("at").bitwiseAND(255) + length).alias("end"))
+    return joined.select(*ids, start.alias("start"), (start + F.col("at").bitwiseAND(255) + length).alias("end"))
 
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
-    """doc, same, starts, ends: lists of byte spans, possibly overlapping, that occur earlier; only of rows with any."""
-    bound_batches(docs.sparkSession)
-    texts = with_identity(docs, id_col, text_col)
-    rows = context_rows(texts, length)
-    shared = rows.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
+def repeated_spans(texts: DataFrame, ids: list[str], length: int = LENGTH) -> DataFrame:
+    """ids and spans (start, end; possibly overlapping) that occur earlier, for documents with any."""
+    count = F.count(F.lit(1)).alias("n")
+    one = F.min(F.struct(*ids, "at")).alias("one")
+    rows = context_rows(texts, ids, length)
+    shared = stored(rows.groupBy("anchor").agg(count).where("n > 1").select("anchor"), "shared")
     rows = stored(rows.join(shared, "anchor", "left_semi"), "contexts")
-    firsts = rows.groupBy("anchor", "content").agg(F.min(F.struct("doc", "same", "at")).alias("one"))
-    firsts = stored(firsts, "firsts")
-    several = firsts.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    several = several.select("anchor", (F.col("n") > HOT_CONTEXTS).alias("hot"))
-    needed = stored(firsts.join(several, "anchor").select("anchor", "hot", "one.*"), "needed")
-    contexts = stored(fetched(texts, needed, length), "bytes")
-    single = stored(single_windows(contexts.where("hot"), length), "windows")
-    single_first = single.groupBy("content").agg(F.min(F.struct("doc", "same", "at")).alias("one"))
+    firsts = stored(rows.groupBy("content").agg(F.first("anchor").alias("anchor"), count, one), "firsts")
+    several = firsts.groupBy("anchor").agg(count).where("n > 1").select("anchor", (F.col("n") > HOT_CONTEXTS).alias("hot"))
+    needed = firsts.select("anchor", "one").join(stored(several, "several"), "anchor").select("anchor", "hot", "one.*")
+    contexts = stored(fetched(texts, ids, needed, length), "bytes")
+    single = stored(single_windows(contexts.where("hot"), ids, length), "windows")
     spans = (
-        later_copies(rows, firsts, ["anchor", "content"], length)
-        .unionByName(sorted_spans(contexts.where(~F.col("hot")), length))
-        .unionByName(later_copies(single, single_first, ["content"], length))
+        later_copies(rows, ids, firsts.where("n > 1").select("content", "one"), length)
+        .unionByName(sorted_spans(contexts.where(~F.col("hot")), ids, length))
+        .unionByName(later_copies(single, ids, stored(single.groupBy("content").agg(one), "singles"), length))
     )
-    return spans.groupBy("doc", "same").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    return spans.groupBy(*ids).agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
 
 def cut_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
@@ -381,11 +371,13 @@ def cut_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     an id and its text are one document and all get its result; different texts of one id are ordered by a hash. Null
     ids come first. Other columns are not read. An empty table gives no rows.
     """
-    spans = stored(repeated_spans(docs, id_col, text_col, length), "spans")
-    texts = with_identity(docs, id_col, text_col)
+    bound_batches(docs.sparkSession)
+    texts, ids = with_identity(docs, id_col, text_col)
+    # a null id that no other row has needs a name that joins
+    known = texts.withColumn("doc", F.struct("doc")) if texts.where("doc IS NULL").take(1) else texts
+    spans = stored(repeated_spans(known, ids, length), "spans")
     kind = texts.schema["doc"].dataType.simpleString()
-    same_doc = texts["doc"].eqNullSafe(spans["doc"]) & (texts["same"] == spans["same"])
-    joined = texts.join(spans, same_doc, "left").select(texts["doc"], texts["text"], "spans")
+    joined = known.join(spans, ids, "left").select("doc" if known is texts else F.col("doc.doc").alias("doc"), "text", "spans")
 
     def cut(batches):
         for batch in batches:
