@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barledger.llm import decontamination, near_dedup, packing, quality_model, quality_rules, secret_scan, suffix_dedup, toxicity, warc
+from barledger.llm import decontamination, license_scan, near_dedup, packing, quality_model, quality_rules, secret_scan, suffix_dedup, toxicity, warc
 from barledger.llm.oracle import ORACLES
 from barledger.llm.shared import table
 
@@ -44,6 +44,13 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.report(decontamination.contamination(docs, benchmark))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents has no path; a document lies in a directory of its source by hundreds and ten thousands of its id."""
+    parts = [F.col("source"), *((F.col("doc_id") / n).cast("long").cast("string") for n in (10_000, 100)), F.col("doc_id")]
+    found = license_scan.scan(table(spark, sf_dir, "documents"), F.concat_ws("/", *(p.cast("string") for p in parts)))
+    return found.withColumn("cosine", F.round("cosine", 6))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages")).drop("url", "archive", "position")
 
@@ -64,6 +71,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_packing": op4_packing,
     "op5_quality_model": op5_quality_model,
     "op6_decontamination": op6_decontamination,
+    "op7_license_scan": op7_license_scan,
     "op8_warc": op8_warc,
     "op9_quality_rules": op9_quality_rules,
     "op10_suffix_dedup": op10_suffix_dedup,
