@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barledger.llm.bytework import PLAIN_WORDS, Texts, U64, Words, covered, runs
-from barledger.llm.shared import bound_batches, stored
+from barledger.llm.shared import bound_batches, join_small, stored
 
 WINDOW = 10
 SHARD_WORDS = 400_000
@@ -351,6 +351,31 @@ def report(found: DataFrame) -> DataFrame:
     )
 
 
+def cleaned(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
+    """docs, all columns, with the hit spans cut out of the text."""
+    key = F.sha2(F.coalesce(text_col, F.lit("")), 256)
+    keyed = docs.select(key.alias("key"), F.col(text_col).alias("text"))
+    found = contamination(keyed, benchmark, "key", "text", **options).where(F.size("starts") > 0)
+    cuts = stored(found.select(F.col("doc_id").alias("key"), "starts", "ends").dropDuplicates(["key"]), "cuts")
+    columns = docs.columns
+    joined = join_small(docs.select(F.struct(*columns).alias("row"), key.alias("key")), cuts, ["key"], "left")
+    rest = [f"row.`{c}`" for c in columns]
+    names = ["text", "starts", "ends", "row"]
+
+    def cut(batches):
+        for batch in batches:
+            values = zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True)
+            texts = [without_spans(text, starts, ends) for text, starts, ends in values]
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), batch.column(3)], ["cut", "row"])
+
+    changed = joined.where("starts IS NOT NULL").select(F.col(f"row.`{text_col}`").alias("text"), "starts", "ends", "row")
+    kind = changed.schema["row"].dataType.simpleString()
+    changed = changed.select(*names).mapInArrow(cut, f"cut string, row {kind}")
+    changed = changed.select(*(F.col("cut").alias(c) if c == text_col else F.col(r).alias(c) for c, r in zip(columns, rest)))
+    same = joined.where("starts IS NULL").select(*(F.col(r).alias(c) for c, r in zip(columns, rest)))
+    return same.unionByName(changed)
+
+
 def without_spans(text: str | None, starts: list[int] | None, ends: list[int] | None) -> str | None:
     """text without the bytes from a span's first to its last word."""
     if not text or not starts:

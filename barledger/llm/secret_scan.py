@@ -165,8 +165,11 @@ def quick(rule: Rule) -> str:
     return rule.pattern[:-1] + f"{{{rule.least},}}" if rule.pattern == r"[0-9a-f]+" else rule.pattern
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """doc_id, text, spans array<struct<start, kind, stop>>: a row for each row of docs.
+def scan(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: tuple[Rule, ...] = RULES,
+    others: Column | None = None,
+) -> DataFrame:
+    """doc_id, text, spans array<struct<start, kind, stop>>, and `others` if given: a row for each row of docs.
 
     Places are code points, ends exclusive, kinds indices of rules; spans are in order of start and kind. Null texts are
     scanned as empty and come back null; repeated rows are scanned one by one; other columns are not read. An empty
@@ -174,24 +177,24 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules:
     """
     queries = {rule.kind: trigram_query(rule.pattern) for rule in rules}
     indexed = {kind: factors for kind, factors in queries.items() if factors}
-    picked = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
+    others = F.lit(None).cast("int") if others is None else others
+    # ids as text, null told apart, so that a join finds null ids too
+    doc = F.struct(F.col(id_col).isNull(), F.coalesce(F.col(id_col).cast("string"), F.lit("")))
+    picked = docs.select(
+        doc.cast("struct<none:boolean,id:string>").alias("doc"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
+        others.alias("others"),
+    )
+    joined = picked
     if indexed:
-        found = candidates(picked, indexed).withColumn("known", F.col("doc").isNull()).withColumn(
-            "doc", F.coalesce(F.col("doc").cast("string"), F.lit(""))
-        )
-        keyed = picked.withColumn("known", F.col("doc").isNull()).withColumn("id", F.col("doc")).withColumn(
-            "doc", F.coalesce(F.col("doc").cast("string"), F.lit(""))
-        )
-        joined = join_small(keyed, stored(found, "candidates"), ["doc", "known"], "left")
-    else:
-        joined = picked.withColumn("id", F.col("doc"))
+        found = stored(candidates(picked.select("doc", "text"), indexed), "candidates")
+        joined = join_small(picked, found, ["doc"], "left")
     text = F.coalesce(F.col("text"), F.lit(""))
     none = F.array().cast("array<struct<start:int,kind:int,stop:int>>")
     by_rule = []
     for number, rule in enumerate(rules):
         spans = spans_of(rule, number, text)
         by_rule.append(F.when(F.col(rule.kind), spans).otherwise(none) if rule.kind in indexed else spans)
-    return joined.select(F.col("id").alias("doc_id"), "text", F.array_sort(F.concat(*by_rule)).alias("spans"))
+    return joined.select("doc_id", "text", F.array_sort(F.concat(*by_rule)).alias("spans"), "others")
 
 
 def report(scanned: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
