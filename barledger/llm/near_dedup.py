@@ -4,9 +4,10 @@ A register is the exponentially spaced, truncated minimum of exponential hash va
 of a union are maxima of registers, and equal registers get likelier with the Jaccard similarity. Documents with equal
 sets are one node. Nodes that agree in a band of registers are candidates; a likelihood over all registers, with both
 set sizes known, estimates their similarity, and what may reach the threshold is verified on the sets. Within a band's
-bucket nodes are first compared with one leader, so that a group of thousands needs thousands of comparisons. What other
-components such a bucket still holds is settled without pairs of all its nodes: sets that reach the similarity share one
-of their rarest shingles, and a node with too many shingles of its own has no link at all.
+bucket nodes are compared with one leader, so that a group of thousands needs thousands of comparisons, and again with
+the one that has fewest shingles of its own. What other components such a bucket still holds is settled without pairs of
+all its nodes: sets that reach the similarity share one of their rarest shingles, and too many shingles that a node has
+alone, or that only come after it, rule a pair out.
 """
 
 from __future__ import annotations
@@ -26,8 +27,6 @@ REGISTERS = BANDS * ROWS
 SPACING, RATE = 1.02, 20.0
 #: Standard errors by which an estimate may miss the threshold before a pair is dropped unverified.
 MARGIN = 6.0
-#: Rounds of comparisons with leaders.
-STAR_ROUNDS = 2
 #: Ids of documents whose sets are needed that may be broadcast; beyond, texts are shuffled.
 IDS = 500_000
 
@@ -230,26 +229,27 @@ def rooted(rows: DataFrame, roots: DataFrame | None) -> DataFrame:
 
 
 def open_buckets(entries: DataFrame) -> DataFrame:
-    """entries (band, node, n, root) of bands that hold more than one component."""
-    mixed_bands = entries.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y")
-    return entries.join(mixed_bands.select("band"), "band", "left_semi")
+    """entries (band, node, root, …) of bands that hold more than one component."""
+    several = entries.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y")
+    return entries.join(stored(several.select("band"), "several"), "band", "left_semi")
 
 
-def star_pairs(entries: DataFrame, turn: int, percent: int) -> DataFrame:
-    """For each node the leader of other components that it meets in most bands; leaders differ from turn to turn."""
-    order = F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "n", "root")
-    leaders = entries.groupBy("band").agg(F.min(order).alias("lead"))
+def star_pairs(entries: DataFrame, order: Column, percent: int) -> DataFrame:
+    """For each node the leader of other components, first in order in its bands, that it meets in most bands."""
+    lead = F.struct(order.alias("order"), "node", "n", "root")
+    leaders = stored(entries.groupBy("band").agg(F.min(lead).alias("lead")), "leaders")
     met = entries.join(leaders, "band").where((F.col("root") != F.col("lead.root")) & alike("n", "lead.n", percent))
     counted = met.groupBy("node", F.col("lead.node").alias("leader")).agg(F.count(F.lit(1)).alias("bands"))
     best = counted.groupBy("node").agg(F.max_by("leader", F.struct("bands", "leader")).alias("leader"))
     return best.select(F.col("leader").alias("a"), F.col("node").alias("b"))
 
 
-def prefixes(held: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """band (a shingle), node, n, root: the rarest shingles of each node of held (node, n, root).
+def rarest(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """node, n, own, first of the nodes (node, n) that may have a link among them.
 
-    A set of n that reaches the similarity with another one has at least percent of n shingles in common with it, so of
-    its n - that + 1 rarest ones both have one. Nodes with more shingles that no other node has are left out.
+    `own` counts the shingles that no other node has. A set of n that reaches the similarity with another one has at
+    least percent of n shingles in common with it, so of its n - that + 1 rarest ones both have one; `first` are those
+    of them that are not its own, rarest first.
     """
 
     def explode(batches):
@@ -261,19 +261,27 @@ def prefixes(held: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 ["node", "band"],
             )
 
-    nodes = held.groupBy("node").agg(F.first("n").alias("n"), F.first("root").alias("root"))
     rows = sets.join(nodes.select("node"), "node", "left_semi").mapInArrow(explode, "node bigint, band bigint")
     rows = stored(rows, "shingles")
-    # rare is relative to the nodes that are compared; a shingle of one node needs no row in the join
+    # rare is relative to the nodes that are compared
     times = stored(rows.groupBy("band").agg(F.count(F.lit(1)).alias("times")).where("times > 1"), "times")
     shared = rows.join(times, "band").groupBy("node").agg(
         F.sort_array(F.collect_list(F.struct("times", "band"))).alias("shared")
     )
     need = F.ceil(F.col("n") * percent / 100)
-    length = (F.col("n") - need + 1) - (F.col("n") - F.size("shared"))
-    fit = shared.join(nodes, "node").where(F.size("shared") >= need)
-    return fit.select(F.explode(F.slice("shared", 1, length.cast("int"))).alias("one"), "node", "n", "root").select(
-        F.col("one.band").alias("band"), "node", "n", "root"
+    size = F.size("shared")
+    return shared.join(nodes, "node").where(size >= need).select(
+        "node", "n", (F.col("n") - size).alias("own"), F.slice("shared", 1, (size - need + 1).cast("int")).alias("first")
+    )
+
+
+def prefixes(rare: DataFrame) -> DataFrame:
+    """band (a shingle), node, n, root, rest for the rows of rare, with roots.
+
+    No more than the `rest` shingles from the row's one on are in common with a node that shares none before it.
+    """
+    return rare.select("node", "n", "root", "own", F.posexplode("first").alias("at", "one")).select(
+        F.col("one.band").alias("band"), "node", "n", "root", (F.col("n") - F.col("own") - F.col("at")).alias("rest")
     )
 
 
@@ -285,10 +293,11 @@ def cross_pairs(entries: DataFrame, percent: int) -> DataFrame:
     by_root = entries.groupBy("band", "root").agg(F.count(F.lit(1)).alias("c"))
     main = by_root.groupBy("band").agg(F.max_by("root", F.struct("c", "root")).alias("main"))
     outside = entries.join(stored(main, "main"), "band").where("root <> main")
-    outside = outside.select("band", F.col("node").alias("x"), F.col("n").alias("n_x"), F.col("root").alias("root_x"))
-    fits = (F.col("root") != F.col("root_x")) & alike("n", "n_x", percent)
+    outside = outside.select("band", *(F.col(c).alias(f"{c}_x") for c in ("node", "n", "root", "rest")))
+    most = F.least("rest", "rest_x")
+    fits = (F.col("root") != F.col("root_x")) & (most * 100 >= (F.col("n") + F.col("n_x") - most) * percent)
     pairs = stored(outside, "outside").join(entries, "band").where(fits)
-    return pairs.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
+    return pairs.select(F.least("node_x", "node").alias("a"), F.greatest("node_x", "node").alias("b")).distinct()
 
 
 def link_nodes(nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame | None:
@@ -300,16 +309,21 @@ def link_nodes(nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> D
         return None
     nodes = stored(nodes.join(entries.select("node").distinct(), "node", "left_semi"), "candidates")
     sets = sets_of(nodes.select("node", "rep"), docs, width)
-    edges, roots = None, None
-    for turn in range(STAR_ROUNDS + 1):
-        held = stored(open_buckets(rooted(entries, roots)), "held")
-        if not held.take(1):
-            break
-        if turn < STAR_ROUNDS:
-            pairs = star_pairs(held, turn, percent)
+    edges, roots, rare = None, None, None
+    for turn in ("any leader", "central leader", "rare shingles"):
+        if turn == "any leader":
+            pairs = star_pairs(rooted(entries, None), F.xxhash64("node"), percent)
         else:
-            rare = stored(prefixes(held, sets, percent), "rare")
-            pairs = cross_pairs(stored(open_buckets(rare), "open"), percent)
+            held = stored(open_buckets(rooted(entries, roots)), "held")
+            if not held.take(1):
+                break
+            if turn == "central leader":
+                rare = stored(rarest(held.select("node", "n").distinct(), sets, percent), "rare")
+                central = stored(held.join(rare.select("node", "own"), "node"), "central")
+                pairs = star_pairs(central, F.col("own") / F.col("n"), percent)
+            else:
+                kept = rare.join(held.select("node").distinct(), "node", "left_semi")
+                pairs = cross_pairs(stored(open_buckets(stored(prefixes(rooted(kept, roots)), "first")), "open"), percent)
         pairs = stored(likely(stored(pairs, "met"), nodes, percent), "pairs")
         found = stored(verified(pairs, sets, percent), "links")
         if found.take(1):
