@@ -150,9 +150,12 @@ class Shard:
 
     def search(self, phrases: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Phrases (a row of word hashes each) that occur: their index and range of rows."""
+        none = np.zeros(0, dtype=np.int64)
+        if not len(self.symbols):
+            return none, none, none
         at = np.searchsorted(self.symbols, phrases)
         known = (at < len(self.symbols)) & (self.symbols[np.minimum(at, len(self.symbols) - 1)] == phrases)
-        alive = np.flatnonzero(known.all(axis=1)) if len(self.symbols) else np.zeros(0, dtype=np.int64)
+        alive = np.flatnonzero(known.all(axis=1))
         symbols = at[alive] + FIRST
         low, high = np.zeros(len(alive), dtype=np.int64), np.full(len(alive), self.size, dtype=np.int64)
         for j in range(phrases.shape[1] - 1, -1, -1):
