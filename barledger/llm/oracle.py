@@ -59,11 +59,15 @@ judged AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base
 hosts AS (
   SELECT source, count(*) AS n, count(*) FILTER (base_failed) AS failed FROM judged WHERE source IS NOT NULL GROUP BY source
 ),
+totals AS (
+  SELECT least(greatest(sum(failed) / sum(n), 1e-4), 1 - 1e-4) AS mean, sum(n) AS docs, count(*) AS h FROM hosts
+),
 moments AS (
-  SELECT least(greatest(avg(failed / n), 1e-4), 1 - 1e-4) AS mean, var_pop(failed / n) AS var, avg(1 / n) AS inverse FROM hosts
+  SELECT any_value(mean) AS mean, any_value(h / docs) AS per, sum(n * (failed / n - mean) * (failed / n - mean)) / any_value(docs) AS var
+  FROM hosts, totals
 ),
 spread AS (SELECT *, mean * (1 - mean) AS s FROM moments),
-prior AS (SELECT mean, greatest(s / greatest(var - s * inverse, s / 1001) - 1, 1.0) AS weight FROM spread),
+prior AS (SELECT mean, greatest(s / greatest(var - s * per, s / 1001) - 1, 4.0) AS weight FROM spread),
 rates AS (SELECT source, (failed + mean * weight) / (n + weight) AS host_rate FROM hosts, prior)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   round(host_rate, 9) AS host_rate, NOT base_failed AND NOT coalesce(host_rate > 0.6, false) AS kept

@@ -20,6 +20,7 @@ REPEAT_WINDOW = 8
 REPEAT_PERCENT = 30
 #: A host is rejected if its shrunken failure rate is above this.
 HOST_LIMIT = 0.6
+PRIOR_LEAST = 4.0
 SYMBOLS = b"#*$%&|<>"
 SIGNALS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -76,20 +77,20 @@ def base_failure() -> Column:
 
 
 def beta_prior(hosts: DataFrame) -> tuple[float, float]:
-    """alpha and beta by moments over the hosts' rates; rates that hardly differ give the weight of 1000 documents.
+    """alpha and beta by moments over the hosts' rates, each host weighted by its documents.
 
-    One row comes to the driver. Without hosts the prior is uniform.
+    The prior has the weight of at least PRIOR_LEAST documents, so that a host of a few is not rejected for itself, and
+    of at most 1000. One row comes to the driver. Without hosts the prior is uniform.
     """
-    rate = F.col("failed") / F.col("n")
-    row = hosts.agg(
-        F.avg(rate).alias("mean"), F.var_pop(rate).alias("var"), F.avg(1 / F.col("n")).alias("inverse")
-    ).first()
-    if row is None or row["mean"] is None:
+    sums = hosts.agg(F.sum("n").alias("n"), F.sum("failed").alias("failed"), F.count(F.lit(1)).alias("hosts")).first()
+    if not sums["n"]:
         return 1.0, 1.0
-    mean = min(max(row["mean"], 1e-4), 1 - 1e-4)
+    mean = min(max(sums["failed"] / sums["n"], 1e-4), 1 - 1e-4)
+    gap = F.col("failed") / F.col("n") - F.lit(mean)
+    variance = hosts.agg(F.sum(F.col("n") * gap * gap).alias("v")).first()["v"] / sums["n"]
     spread = mean * (1 - mean)
-    between = max(row["var"] - spread * row["inverse"], spread / 1001)
-    weight = max(spread / between - 1, 1.0)
+    between = max(variance - spread * sums["hosts"] / sums["n"], spread / 1001)
+    weight = max(spread / between - 1, PRIOR_LEAST)
     return mean * weight, (1 - mean) * weight
 
 
