@@ -19,6 +19,10 @@ from barledger.functions.values import once, typed_cell
 from barledger.operators.skew import HOT_ROWS, attach_by_key, row_counts
 
 FRAME_KEYS = ("run_id", "symbol")
+# Cells of a landed row as its file had them: array of (column, type, repr).
+RAW_CELLS = "raw"
+# The window a row was asked for belongs to the request, not to the row.
+REQUEST_COLUMNS = ("request_start", "request_end")
 
 
 def frame_schema_errors(schema: T.StructType, time: str, labels: Mapping[str, str]) -> list[str]:
@@ -100,18 +104,39 @@ def rejected_rows(
     audited: DataFrame, *, keys: Sequence[str] = FRAME_KEYS, time: str = "ts",
     cells: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Rejected rows as evidence: position, date, reasons and every cell with its type and text."""
+    """Rejected rows as evidence: position, date, reasons and every cell with its type and text.
+
+    Cells that a file landed with (``raw``) are given as they were. Otherwise they are the columns
+    of the table: the labelled ones first, then every other one under its own name, a repeated
+    name as often as it occurs. A time column that holds no times gives no date.
+    """
+    own = {*keys, "row_position", "reasons", "accepted", "session_date", "frame_errors", RAW_CELLS}
+    fields = audited.schema.fields
+    unique = [f"__cell_{i}" if audited.columns.count(f.name) > 1 else f.name for i, f in enumerate(fields)]
+    rows = audited.toDF(*unique) if unique != audited.columns else audited
     labels = dict(cells or {**fv.PRICE_COLUMNS, fv.ADJUSTED_LABEL: "adj_close"})
-    present = {label: name for label, name in labels.items() if name in audited.columns}
-    typed = [typed_cell(label, F.col(name), audited.schema[name].dataType) for label, name in present.items()]
-    index = typed_cell("", F.col(time), audited.schema[time].dataType)
-    return audited.where(~F.col("accepted")).select(
+    of = {name: label for label, name in labels.items()}
+    places = sorted(
+        (i for i, f in enumerate(fields) if f.name in of or (f.name not in own and f.name != time and cells is None
+                                                             and f.name not in REQUEST_COLUMNS)),
+        key=lambda i: (list(of).index(fields[i].name) if fields[i].name in of else len(of), i),
+    )
+    typed = [typed_cell(of.get(fields[i].name, fields[i].name), F.col(f"`{unique[i]}`"), fields[i].dataType) for i in places]
+    given = F.array(*typed) if typed else F.array().cast("array<struct<column:string,type:string,repr:string>>")
+    if RAW_CELLS in audited.columns:
+        given = F.coalesce(RAW_CELLS, given)
+    at = next((i for i, f in enumerate(fields) if f.name == time), None)
+    dtype = T.StringType() if at is None else fields[at].dataType
+    stamp = F.lit(None).cast("string") if at is None else F.col(f"`{unique[at]}`")
+    dated = isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType))
+    index = typed_cell("", stamp, dtype)
+    return rows.where(~F.col("accepted")).select(
         *keys,
         "row_position",
-        F.date_format(time, "yyyy-MM-dd'T'HH:mm:ss").alias("date"),
+        (F.date_format(stamp, "yyyy-MM-dd'T'HH:mm:ss") if dated else F.lit(None).cast("string")).alias("date"),
         F.struct(index.getField("type").alias("type"), index.getField("repr").alias("repr")).alias("index"),
         "reasons",
-        F.array(*typed).alias("cells"),
+        given.alias("cells"),
     )
 
 
@@ -228,12 +253,13 @@ def usable_positions(
 ) -> DataFrame:
     """Accepted row positions of each frame as ordered lists, one list per block of positions.
 
-    Positions are unique in a frame, so a list never holds more than ``block`` of them, however
-    large the frame; the lists in block order are the frame's whole list.
+    Where positions are unique in a frame a list holds at most ``block`` of them, however large the
+    frame; a repeated position is listed as often as it occurs. The lists in block order are the
+    frame's whole list, so their sizes sum to its usable rows.
     """
     return (
         audited.where(F.col("accepted"))
         .withColumn("block", F.floor(F.col("row_position") / block))
         .groupBy(*keys, "block")
-        .agg(F.sort_array(F.collect_set("row_position")).alias("positions"))
+        .agg(F.sort_array(F.collect_list("row_position")).alias("positions"))
     )

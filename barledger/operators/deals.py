@@ -42,9 +42,8 @@ def deals_ledger(windows: DataFrame, fetches: DataFrame, *, hot_rows: int = HOT_
     """One row per (run_id, kind, day) obligation, in the order bulk days then block days.
 
     ``windows`` is (run_id, start, end); ``fetches`` is (run_id, kind, day, status, header_ok,
-    rows). A 404, or a day nothing was landed for, stays unverified and the run goes on; any
-    other failed status, a missing response or an unusable payload blocks the source for all
-    that follows.
+    rows). A 404, or a day that nothing was recorded for, stays unverified and the run goes on; any
+    other failed status and an unusable or empty payload block the source for all that follows.
     """
     kinds = F.explode(F.array(*[F.struct(F.lit(i).alias("rank"), F.lit(k).alias("kind"))
                                 for i, k in enumerate(fv.DEAL_KINDS)]))

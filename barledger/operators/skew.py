@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, functions as F
 # A key is hot above this many rows. There can be at most (all rows / HOT_ROWS) such keys, which
 # bounds what is broadcast: 10^12 rows have at most 200,000 hot keys, some tens of megabytes.
 HOT_ROWS = 5_000_000
-SALTS = 512
 
 
 def attach_by_key(
@@ -17,10 +16,10 @@ def attach_by_key(
 ) -> DataFrame:
     """Left join ``rows`` to ``per_key``, which has one row per key and its row count ``size``.
 
-    Hot keys are few by counting, so they are broadcast and their rows are found without moving.
-    Every other key has at most ``hot_rows`` rows and is joined on the key; rows of hot keys and
-    rows with a null in their key take part in that join only under a salted key, which spreads
-    them over the tasks and matches nothing.
+    Hot keys are few by counting, so they are broadcast and their facts are found without moving a
+    row. Every other key has at most ``hot_rows`` rows and is joined on the key; rows of hot keys
+    and rows with a null in their key pass through that join under a key of their own, a hash of
+    the whole row, which spreads any number of them over the tasks and matches nothing.
     ``size`` itself is not part of the result.
     """
     payload = [name for name in per_key.columns if name not in (*keys, size)]
@@ -34,13 +33,14 @@ def attach_by_key(
         F.broadcast(hot), [F.col(name) == F.col(alias) for name, alias in zip(keys, on_hot)], "left"
     ).drop(*on_hot)
 
-    spread = F.pmod(F.hash(F.spark_partition_id(), *[F.col(name) for name in _hashable(rows)]), F.lit(SALTS))
+    # odd, so never the zero of the other side
+    spread = F.xxhash64(F.spark_partition_id(), *[F.col(name) for name in _hashable(rows)]).bitwiseOR(F.lit(1))
     unmatched = F.col("__hot").isNotNull()
     for name in keys:
         unmatched = unmatched | F.col(name).isNull()
-    salted = matched.withColumn("__salt", F.when(unmatched, 1 + spread).otherwise(F.lit(0)))
+    salted = matched.withColumn("__salt", F.when(unmatched, spread).otherwise(F.lit(0)))
     cold = per_key.where(F.col(size) <= hot_rows).select(
-        *keys, F.lit(0).alias("__salt"), F.struct(*[F.col(name) for name in payload]).alias("__cold")
+        *keys, F.lit(0).cast("bigint").alias("__salt"), F.struct(*[F.col(name) for name in payload]).alias("__cold")
     )
     found = F.coalesce(F.col("__hot"), F.col("__cold"))
     return salted.join(cold, [*keys, "__salt"], "left").select(

@@ -318,7 +318,7 @@ SELECT v.run_id, v.symbol, frame_rows, usable_rows, rejected_rows, rejection_cou
 FROM verdicts v JOIN texts t ON v.run_id = t.run_id AND v.symbol = t.symbol""")
 
 oracle("usable_positions", f"""WITH {AUDITED}, accepted AS (
-  SELECT DISTINCT run_id, symbol, row_position FROM audited WHERE reasons = '')
+  SELECT run_id, symbol, row_position FROM audited WHERE reasons = '')
 SELECT run_id, symbol, CAST(floor(row_position / 4096.0) AS BIGINT) AS block,
   string_agg(CAST(row_position AS VARCHAR), ',' ORDER BY row_position) AS positions
 FROM accepted GROUP BY ALL""")

@@ -19,6 +19,19 @@ def split_fields(line: Column) -> Column:
     return F.transform(plain, lambda text: F.regexp_replace(F.regexp_replace(text, r'^\s*"|"\s*$', ""), '""', '"'))
 
 
+def open_quote(line: Column) -> Column:
+    """Whether a line ends inside a quoted field: its record goes on in the next line."""
+    return F.length(F.regexp_replace(line, '[^"]', "")) % 2 == 1
+
+
+def read_files(spark: SparkSession, directory: str, pattern: str) -> DataFrame:
+    """``file`` and ``name`` of every matching file, from the listing: no scan yields a row for an empty one."""
+    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
+    paths = reader.text(directory).inputFiles()
+    listed = spark.createDataFrame([(path,) for path in paths], "file string")
+    return listed.withColumn("name", F.url_decode(F.substring_index("file", "/", -1)))
+
+
 def read_lines(spark: SparkSession, directory: str, pattern: str) -> DataFrame:
     """Non-blank lines of the matching files: ``file``, ``name``, ``block``, ``number``, ``line``.
 

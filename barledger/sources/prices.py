@@ -7,7 +7,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from barledger import fixed_values as fv
 from barledger.functions.values import missing_text_to_null, number_of_text
 from barledger.operators.skew import HOT_ROWS, attach_by_key
-from barledger.sources.lines import file_headers, number_lines, read_lines, split_fields
+from barledger.operators.audit import RAW_CELLS
+from barledger.sources.lines import file_headers, number_lines, open_quote, read_lines, split_fields
 
 DATE_LABEL = "Date"
 LABELS = {**fv.PRICE_COLUMNS, fv.ADJUSTED_LABEL: "adj_close"}
@@ -30,8 +31,10 @@ def scan_price_files(
     """Raw frames of all files, ready for the audit, with the faults of each file in ``frame_errors``.
 
     ``symbol`` is matched against a file's name and its first group is the provider symbol; the
-    run is the file's directory. A repeated header makes the columns ambiguous; otherwise a
-    missing price column, or text in one, is the fault. Rows keep their position in their file.
+    run is the file's directory below the scanned one (the scanned one's own name for files in it).
+    A repeated header, a row of more cells than the header or a line that ends inside quotes makes
+    the columns ambiguous; otherwise a missing price column, or text in one, is the fault. Rows keep
+    their position in their file and, in ``raw``, every cell with its column, type and text.
     """
     numbered = number_lines(read_lines(spark, directory, pattern), hot_rows=hot_rows)
     headers = file_headers(numbered)
@@ -40,7 +43,8 @@ def scan_price_files(
     split = named.withColumn("values", split_fields(F.col("line")))
     text = {label: _cell(label) for label in LABELS}
     read = split.select(
-        "file", "name", "row_position", "raw_names", _cell(DATE_LABEL).alias("__date"),
+        "file", "name", "row_position", "raw_names", _cell(DATE_LABEL).alias("__date"), _raw_cells().alias(RAW_CELLS),
+        ((F.size("values") > F.size("raw_names")) | open_quote(F.col("line"))).alias("__unfit"),
         *[text[label].alias(f"__{column}") for label, column in LABELS.items()],
     )
 
@@ -48,13 +52,14 @@ def scan_price_files(
     by_file = read.groupBy("file").agg(
         F.count(F.lit(1)).alias("__rows"),
         F.count_if(F.col("__date").isNotNull() & _time(F.col("__date")).isNull()).alias("__undated"),
+        F.count_if("__unfit").alias("__unfit"),
         *[
             F.count_if(F.col(f"__{column}").isNotNull() & number_of_text(F.col(f"__{column}")).isNull()
                        & ~F.lower(f"__{column}").isin("inf", "-inf", "infinity", "-infinity")).alias(f"__text_{column}")
             for column in fv.PRICE_COLUMNS.values()
         ],
     )
-    repeated = F.size(F.array_distinct("raw_names")) != F.size("raw_names")
+    repeated = (F.size(F.array_distinct("raw_names")) != F.size("raw_names")) | (F.col("__unfit") > 0)
     required = F.array(*[F.lit(label) for label in fv.PRICE_COLUMNS])
     incomplete = F.size(F.array_except(required, "raw_names")) > 0
     clear = ~repeated & ~incomplete
@@ -69,18 +74,36 @@ def scan_price_files(
         )).alias("frame_errors"),
     )
     frames = attach_by_key(read, judged, ["file"], "__rows", hot_rows)
-    parts = F.split("file", "/")
     return frames.select(
-        F.element_at(parts, -2).alias("run_id"),
+        _run(directory).alias("run_id"),
         F.regexp_extract("name", symbol, 1).alias("symbol"),
         "row_position",
         _time(F.col("__date")).alias("ts"),
         *[_number(F.col(f"__{column}")).alias(column) for column in fv.PRICE_COLUMNS.values()],
         F.col("__adj_close").alias("adj_close"),
+        RAW_CELLS,
         "frame_errors",
     )
 
 
+def _run(directory: str) -> Column:
+    """Directories of a file below the scanned one; the last one where that is a pattern or holds the file itself."""
+    above = F.regexp_replace("file", "/[^/]*$", "")
+    below = F.substring_index(above, f"{directory.rstrip('/').split(':', 1)[-1].lstrip('/')}/", -1)
+    return F.when(below != above, below).otherwise(F.element_at(F.split(above, "/"), -1))
+
+
+def _raw_cells() -> Column:
+    """Every cell of a line as the file has it, those beyond the header under an empty label."""
+    return F.transform("values", lambda text, i: F.struct(
+        F.coalesce(F.get("raw_names", i), F.lit("")).alias("column"),
+        F.when(missing_text_to_null(F.trim(text)).isNull(), "null")
+        .when(_number(F.trim(text)).isNotNull(), "double").otherwise("string").alias("type"),
+        F.when(F.trim(text) == "", "NULL").when(_number(F.trim(text)).isNotNull(), F.trim(text))
+        .otherwise(F.concat(F.lit("'"), text, F.lit("'"))).alias("repr"),
+    ))
+
+
 def _number(text: Column) -> Column:
     infinite = F.regexp_extract(F.lower(text), r"^(-?)inf(inity)?$", 1)
     return F.when(F.lower(text).rlike(r"^-?inf(inity)?$"),

@@ -9,24 +9,49 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from barledger import fixed_values as fv
 from barledger.functions.values import missing_text_to_null, number_of_text
+from barledger.sources.lines import open_quote, split_fields
 
-INTEGER_TEXT = r"^\s*[+-]?[0-9]{1,18}\s*$"
+INTEGER_TEXT = r"^\s*[+-]?[0-9]+\s*$"
+CORRUPT = "__record"
 
 
-def load_csv(spark: SparkSession, path: str, schema: str | T.StructType | None = None) -> DataFrame | None:
-    """A CSV table with its header, or None when there is nothing at ``path``.
+def load_csv(
+    spark: SparkSession, path: str, schema: str | T.StructType | None = None, *, unparsed: str | None = None,
+) -> DataFrame | None:
+    """A CSV table with its header, or None when there is nothing at ``path`` or it is no table.
 
+    A row with more cells than the header has is no row of it, so such a file is not read at all.
+    Records with line breaks in quotes are read whole, by one task for each file that has any.
     Text is read first and the tokens of a missing value become null. With a schema the columns
-    are then cast (a cell that does not parse is null); without one, each column gets the
-    narrowest of bigint, double and string that all its cells allow.
+    are then cast; a cell that does not parse is null, and ``unparsed`` names a further column with
+    the label and text of every such cell of the row. Without a schema each column gets the
+    narrowest of bigint, decimal, double and string that holds all its cells unchanged.
     """
     try:
-        text = spark.read.csv(path, header=True, inferSchema=False, multiLine=False, escape='"')
+        broken = not spark.read.text(path).where(open_quote(F.col("value"))).isEmpty()
+        plain = spark.read.csv(path, header=True, inferSchema=False, multiLine=broken, escape='"')
     except AnalysisException:
         return None
-    clean = text.select([missing_text_to_null(F.col(f"`{name}`")).alias(name) for name in text.columns])
+    names = plain.columns
+    text = spark.read.csv(
+        path, T.StructType([T.StructField(name, T.StringType()) for name in [*names, CORRUPT]]), header=True,
+        multiLine=broken, escape='"', columnNameOfCorruptRecord=CORRUPT, enforceSchema=True,
+    )
+    # with every column in the query, as the reader gives no record text alone
+    counts = text.agg(F.count_if(F.size(split_fields(F.col(CORRUPT))) > len(names)).alias("long"), *map(F.count, text.columns))
+    if counts.first()["long"]:
+        return None
+    clean = text.select([missing_text_to_null(F.col(f"`{name}`")).alias(name) for name in names])
     types = _types(clean) if schema is None else _declared(schema)
-    return clean.select([_cast(name, types.get(name, T.StringType())) for name in clean.columns])
+    cast = {name: _cast(name, types.get(name, T.StringType())) for name in names}
+    columns = list(cast.values())
+    if unparsed:
+        lost = [
+            F.when(F.col(f"`{name}`").isNotNull() & value.isNull(), F.struct(F.lit(name).alias("column"), F.col(f"`{name}`").alias("text")))
+            for name, value in cast.items()
+        ]
+        columns.append(F.array_compact(F.array(*lost)).alias(unparsed))
+    return clean.select(columns)
 
 
 def _declared(schema: str | T.StructType) -> dict[str, T.DataType]:
@@ -44,15 +69,18 @@ def _types(text: DataFrame) -> dict[str, T.DataType]:
         tests += [
             F.count(value).alias(f"present_{position}"),
             F.count_if(value.rlike(INTEGER_TEXT)).alias(f"whole_{position}"),
+            F.count_if(value.rlike(INTEGER_TEXT) & F.trim(value).try_cast("bigint").isNotNull()).alias(f"long_{position}"),
+            F.count_if(value.rlike(INTEGER_TEXT) & F.trim(value).try_cast("decimal(38,0)").isNotNull()).alias(f"wide_{position}"),
             F.count(number_of_text(value)).alias(f"number_{position}"),
         ]
     facts = text.agg(*tests).first()
     types = {}
     for position, name in enumerate(text.columns):
-        present = facts[f"present_{position}"]
-        if present and facts[f"whole_{position}"] == present:
-            types[name] = T.LongType()
-        elif present and facts[f"number_{position}"] == present:
+        present, whole, fits, wide = (facts[f"{fact}_{position}"] for fact in ("present", "whole", "long", "wide"))
+        if present and whole == present:
+            if wide == present:
+                types[name] = T.LongType() if fits == present else T.DecimalType(38, 0)
+        elif present and facts[f"number_{position}"] == present and fits == whole:
             types[name] = T.DoubleType()
     return types
 

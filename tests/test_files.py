@@ -250,3 +250,89 @@ def test_positions_of_a_file_cut_into_blocks(spark, tmp_path):
         assert len(data) == 5000 and all(int(r.line.split(",")[1]) == r.row_position for r in data)
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_whole_numbers_stay_whole(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("a,b,c,d\n9223372036854775807,123456789012345678901,1.5,1\n1,2,9223372036854775808,x\n")
+    table = tables.load_csv(spark, str(tmp_path / "t.csv"))
+    assert dict(table.dtypes) == {"a": "bigint", "b": "decimal(38,0)", "c": "string", "d": "string"}
+    assert {r.a for r in table.collect()} == {9223372036854775807, 1}
+    assert {int(r.b) for r in table.collect()} == {123456789012345678901, 2}
+
+
+def test_a_row_longer_than_its_header_is_no_table(spark, tmp_path):
+    (tmp_path / "long.csv").write_text("a,b\n1,2\n3,4,5\n")
+    (tmp_path / "short.csv").write_text("a,b\n1,2\n3\n")
+    assert tables.load_csv(spark, str(tmp_path / "long.csv")) is None
+    assert tables.load_csv(spark, str(tmp_path / "long.csv"), "a int, b int") is None
+    assert tables.load_csv(spark, str(tmp_path / "short.csv")).count() == 2
+
+
+def test_records_with_line_breaks_are_whole(spark, tmp_path):
+    (tmp_path / "t.csv").write_text('a,b\n"x\ny",2\nz,3\n')
+    assert sorted(map(tuple, tables.load_csv(spark, str(tmp_path / "t.csv")).collect())) == [("x\ny", 2), ("z", 3)]
+
+
+def test_cells_that_do_not_parse_are_told_from_missing_ones(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("a,b\n1,2020-01-01\nx,\n,soon\n")
+    rows = tables.load_csv(spark, str(tmp_path / "t.csv"), "a int, b date", unparsed="lost").collect()
+    assert [(r.a, [tuple(x) for x in r.lost]) for r in rows] == [(1, []), (None, [("a", "x")]), (None, [("b", "soon")])]
+
+
+def test_deals_are_neither_filled_nor_rounded(spark, tmp_path):
+    land(tmp_path, _17Sep2026="Date,Symbol,Price,Quantity\nnot-a-date,A,10.005,many\n2026-09-17,B,x,5\n,C,1,1\n")
+    rows = {r.symbol: r for r in scan(spark, tmp_path, end=DAY)[0].collect()}
+    assert rows["A"].deal_date is None and rows["A"].date_text == "not-a-date" and rows["A"].file_day == DAY
+    assert str(rows["A"].price.normalize()) == "10.005" and rows["A"].quantity is None and rows["A"].quantity_text == "many"
+    assert rows["B"].price is None and rows["B"].price_text == "x" and rows["B"].deal_date == DAY
+    assert rows["C"].deal_date is None and rows["C"].date_text is None
+
+
+@pytest.mark.parametrize("text", ["", "\n \n"])
+def test_empty_file_blocks(spark, tmp_path, text):
+    land(tmp_path, _17Sep2026=text, _18Sep2026=GOOD)
+    rows, family = scan(spark, tmp_path)
+    assert (family.blocked, family.not_attempted, family.success) == (1, 1, False) and rows.count() == 1
+
+
+def test_open_quote_blocks(spark, tmp_path):
+    land(tmp_path, _17Sep2026='Date,Symbol,Client\n2026-09-17,A,"x\ny"\n')
+    rows, family = scan(spark, tmp_path, end=DAY)
+    assert rows.count() == 0 and family.blocked == 1
+
+
+def test_headers_that_fold_together_or_collide(spark, tmp_path):
+    land(tmp_path, _17Sep2026="Date,Symbol,SYMBOL\n2026-09-17,A,B\n", _18Sep2026="Symbol,Date,a,a,a.1\nC,2026-09-18,1,2,3\n")
+    rows = {r.symbol: r.extras for r in scan(spark, tmp_path)[0].collect()}
+    assert rows == {"A": {"SYMBOL": "B"}, "C": {"a": "1", "a.1": "2", "a.1.1": "3"}}
+
+
+def test_rejected_rows_keep_what_the_file_had(spark, tmp_path):
+    from barledger.sources.prices import scan_price_files
+
+    for run in ("x/run", "y/run"):
+        (tmp_path / run).mkdir(parents=True)
+    (tmp_path / "x/run/A.NS.csv").write_text(HEADER.strip() + ",Dividends\n2026-09-14,abc,12,9,11,NaN,100,0.5\n")
+    (tmp_path / "x/run/B.NS.csv").write_text("Date,Open,Open,Low,Close,Volume\n2026-09-14,1,2,x,1,1\n")
+    (tmp_path / "y/run/A.NS.csv").write_text(HEADER + ROWS + "2026-09-16,10,12,9,11,5.5,100,7\n")
+    frames = scan_price_files(spark, str(tmp_path))
+    rows = audit.audit_rows(frames, date(2026, 9, 14), date(2026, 9, 19), frame_errors="frame_errors")
+    verdicts = {(r.run_id, r.symbol): r.frame_errors for r in audit.frame_verdicts(rows).collect()}
+    assert verdicts == {
+        ("x/run", "A.NS"): ["nonnumeric_column:Open"], ("x/run", "B.NS"): ["ambiguous_columns"],
+        ("y/run", "A.NS"): ["ambiguous_columns"],
+    }
+    cells = {(r.run_id, r.symbol, r.row_position): [tuple(c) for c in r.cells] for r in audit.rejected_rows(rows).collect()}
+    assert cells["x/run", "A.NS", 0] == [
+        ("Date", "string", "'2026-09-14'"), ("Open", "string", "'abc'"), ("High", "double", "12"), ("Low", "double", "9"),
+        ("Close", "double", "11"), ("Adj Close", "null", "'NaN'"), ("Volume", "double", "100"), ("Dividends", "double", "0.5"),
+    ]
+    assert [c[:1] + c[2:] for c in cells["x/run", "B.NS", 0]][1:4] == [("Open", "1"), ("Open", "2"), ("Low", "'x'")]
+    assert cells["y/run", "A.NS", 2][-1] == ("", "double", "7")
+
+
+def test_evidence_of_tables_that_fail_the_gate(spark):
+    odd = spark.createDataFrame([("r", "A.NS", 0, "soon", 1.0, 2.0, 3)], "run_id string, symbol string, row_position int, ts string, x double, y double, more int")
+    rows = audit.rejected_rows(audit.audit_rows(odd.toDF("run_id", "symbol", "row_position", "ts", "x", "x", "more"), DAY, NEXT)).first()
+    assert rows.date is None and rows["index"].repr == "'soon'" and rows.reasons == ["ambiguous_columns", "not_a_datetime_index"]
+    assert [tuple(c) for c in rows.cells] == [("x", "double", "1.0"), ("x", "double", "2.0"), ("more", "int", "3")]
