@@ -14,7 +14,7 @@ from barledger import fixed_values as fv
 from barledger.operators.deals import check_request
 from barledger.operators.quality import clean_rows
 from barledger.operators.skew import HOT_ROWS, attach_by_key
-from barledger.sources.lines import file_headers, number_lines, open_quote, read_files, read_lines, split_fields
+from barledger.sources.lines import file_headers, number_lines, open_quote, plain_path, read_files, read_lines, split_fields
 
 FILE_NAME = r"(bulk|block)deals_([0-9]{2}[A-Za-z]{3}[0-9]{4})\.csv$"
 KNOWN_COLUMNS = ("date", "symbol", "quantity", "price", "client")
@@ -35,7 +35,7 @@ def landed_files(spark: SparkSession, directory: str, kind: str, start: date, en
     check_request(kind, start, end)
     day = F.try_to_date(F.regexp_extract("name", FILE_NAME, 2), "ddMMMyyyy")
     files = read_files(spark, directory, f"{kind}deals_*.csv").where(F.regexp_extract("name", FILE_NAME, 1) == kind)
-    return files.select("file", day.alias("day")).where(F.col("day").between(F.lit(start), F.lit(end)))
+    return files.select(plain_path(F.col("file")).alias("file"), day.alias("day")).where(F.col("day").between(F.lit(start), F.lit(end)))
 
 
 def deal_headers(numbered: DataFrame) -> DataFrame:
@@ -87,8 +87,9 @@ def scan_deals(
     files = headers.join(broken.select("file", "broken"), "file", "left").withColumn(
         "header_ok", F.col("header_ok") & ~F.coalesce(F.col("broken"), F.lit(False))
     )
-    judged = files.select("file", "header_ok", "rows")
-    fetches = landed_files(spark, directory, kind, start, end).join(judged, "file", "left").select(
+    judged = files.select(plain_path(F.col("file")).alias("file"), "header_ok", "rows")
+    listed = landed_files(spark, directory, kind, start, end)
+    fetches = listed.join(judged, "file", "left").select(
         F.lit(kind).alias("kind"), "day", F.lit(200).alias("status"),
         F.coalesce("header_ok", F.lit(False)).alias("header_ok"), F.coalesce("rows", F.lit(0)).alias("rows"),
     )

@@ -24,6 +24,11 @@ def open_quote(line: Column) -> Column:
     return F.length(F.regexp_replace(line, '[^"]', "")) % 2 == 1
 
 
+def plain_path(file: Column) -> Column:
+    """A file's path with one slash after its scheme: listings and scans write it differently."""
+    return F.regexp_replace(file, "^([A-Za-z0-9]+):/+", "$1:/")
+
+
 def read_files(spark: SparkSession, directory: str, pattern: str) -> DataFrame:
     """``file`` and ``name`` of every matching file, from the listing: no scan yields a row for an empty one."""
     reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
