@@ -7,6 +7,7 @@ import types
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 
 U64 = np.uint64
 MULTIPLIER = U64(0x9E3779B97F4A7C15)
@@ -30,11 +31,19 @@ LOWER[65:91] += 32
 
 
 def worker_cache(name: str) -> dict:
-    """What a Python process keeps between its tasks: functions come to it by value, each time with new globals."""
+    """What a Python process keeps between its tasks: functions come to it by value, each time with new globals.
+
+    Functions that need no tables of their own call release() first.
+    """
     module = sys.modules.setdefault("barledger_worker_cache", types.ModuleType("barledger_worker_cache"))
     return module.__dict__.setdefault(name, {})
 
 
+def release(name: str) -> None:
+    """Drops what another operator's tasks kept in this process."""
+    worker_cache(name).clear()
+
+
 def mixed(values: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit values that spreads every bit."""
     with np.errstate(over="ignore"):
@@ -68,6 +77,20 @@ def powers(base: int, n: int) -> np.ndarray:
     return have[:n]
 
 
+def bounded(batches, text: int, most: int = 2 << 20):
+    """The record batches, cut so that column `text` of each has at most so many bytes, or one row."""
+    for batch in batches:
+        column = batch.column(text)
+        sizes = pa.compute.fill_null(pa.compute.binary_length(column), 0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(sizes)
+        at = 0
+        while at < len(ends):
+            before = ends[at - 1] if at else 0
+            to = max(int(np.searchsorted(ends, before + most, side="right")), at + 1)
+            yield batch.slice(at, to - at)
+            at = to
+
+
 class Texts:
     """Texts of a batch in one byte array, a line feed after each; nulls are empty."""
 

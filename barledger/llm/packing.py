@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barledger.llm.bytework import U64, mixed, worker_cache
+from barledger.llm.bytework import Texts, U64, Words, bounded, byte_table, mixed, worker_cache
 from barledger.llm.shared import bound_batches, partitions, stored
 
 SEQUENCE = 4096
@@ -26,8 +26,8 @@ END_ID = 2
 DIMENSIONS = 4
 BITS = 12
 BUCKETS = 1024
-#: Words of a generation whose ids a worker remembers.
-REMEMBERED = 160_000
+#: Slots for chunks and pieces of a generation whose ids a worker remembers.
+SLOTS, REMEMBERED = 1 << 21, 60_000
 #: The rules of the tokenizers for which chunks may be encoded one by one: fixed values.
 NORMALIZER = {
     "type": "Sequence",
@@ -45,6 +45,7 @@ PRE_TOKENIZER = {
 }
 #: Characters that neither NFC nor a neighbour changes; the pieces are SPLIT's for them in lower case.
 LATIN = [chr(x) for x in (*range(0x21, 0x7F), *range(0xC0, 0xD7), *range(0xD8, 0xF7), *range(0xF8, 0x100))]
+CHUNKS = byte_table([0x20, 0x09, 0x0A, 0x0D])
 PLAIN_CHUNK = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
 PLAIN_PIECES = re.compile(
     "'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+"
@@ -73,12 +74,60 @@ class Remembered(dict):
         return found
 
 
+class ChunkTable:
+    """Ids of chunks by a 64-bit hash of their bytes: a hash table in arrays, emptied when it is two thirds full."""
+
+    def __init__(self, kind: str):
+        self.kind = kind
+        self.clear()
+
+    def clear(self) -> None:
+        self.keys = np.zeros(SLOTS, dtype=U64)
+        self.starts = np.zeros(SLOTS, dtype=np.int64)
+        self.counts = np.zeros(SLOTS, dtype=np.int32)
+        self.pool = np.zeros(1 << 20, dtype=self.kind)
+        self.used = self.held = 0
+
+    def slots(self, hashes: np.ndarray) -> np.ndarray:
+        """The slot of each hash, or the complement of the free slot where it belongs."""
+        at = (hashes & U64(SLOTS - 1)).astype(np.int64)
+        out = np.full(len(hashes), -1, dtype=np.int64)
+        left = np.arange(len(hashes))
+        while len(left):
+            here = self.keys[at]
+            found, free = here == hashes[left], here == 0
+            out[left[found]] = at[found]
+            out[left[free]] = ~at[free]
+            on = ~(found | free)
+            left, at = left[on], (at[on] + 1) & (SLOTS - 1)
+        return out
+
+    def add(self, hashes: np.ndarray, ids: list[bytes]) -> None:
+        """Different hashes that are not in the table yet."""
+        width = np.dtype(self.kind).itemsize
+        counts = np.array([len(x) // width for x in ids], dtype=np.int32)
+        more = np.frombuffer(b"".join(ids), dtype=self.kind)
+        while self.used + len(more) > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros(len(self.pool), dtype=self.kind)])
+        self.pool[self.used : self.used + len(more)] = more
+        starts = self.used + np.cumsum(counts) - counts
+        self.used += len(more)
+        self.held += len(ids)
+        left = np.arange(len(hashes))
+        while len(left):  # of several that want one free slot one gets it
+            slot = ~self.slots(hashes[left])
+            self.keys[slot] = hashes[left]
+            mine = self.keys[slot] == hashes[left]
+            self.starts[slot[mine]], self.counts[slot[mine]] = starts[left[mine]], counts[left[mine]]
+            left = left[~mine]
+
+
 class WordIds:
-    """Ids of texts as little-endian bytes, the same as of each whole text.
+    """Ids of texts, the same as of each whole text.
 
     No token of a tokenizer with the rules below crosses white space, so chunks between white space are encoded once and
-    remembered; those of plain Latin letters and signs are cut by the tokenizer's own rule, and the pieces remembered.
-    Texts with special tokens, and tokenizers with other rules, are encoded whole.
+    remembered by hash; those of plain Latin letters and signs are cut by the tokenizer's own rule, and the pieces
+    remembered. Texts with special tokens, and tokenizers with other rules, are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -93,7 +142,7 @@ class WordIds:
         ids = np.arange(self.tokenizer.get_vocab_size(), dtype=self.kind).tobytes()
         width = int(self.kind[-1])
         self.id_bytes = [ids[i : i + width] for i in range(0, len(ids), width)]
-        self.pieces, self.chunks = Remembered(self.piece), Remembered(self.chunk)
+        self.pieces, self.table = Remembered(self.piece), ChunkTable(self.kind)
 
     def encode(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.kind).tobytes()
@@ -107,18 +156,43 @@ class WordIds:
             return self.encode(chunk)
         return b"".join(map(self.pieces.__getitem__, PLAIN_PIECES.findall(chunk.lower())))
 
-    def text(self, text: str) -> bytes:
-        if not self.known or "<|" in text:
-            return self.encode(text)
-        if text.isascii():
-            text = text.lower()
-        chunks = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        return b"".join(map(self.chunks.__getitem__, filter(None, chunks)))
+    def texts(self, column: list[bytes | None], end_id: int) -> list[np.ndarray]:
+        """The ids of each text, with the closing id."""
+        whole = {i: text for i, text in enumerate(column) if text and (not self.known or b"<|" in text)}
+        rest = [b"" if i in whole or not text else text.lower() if text.isascii() else text for i, text in enumerate(column)]
+        out = self.joined(rest, end_id)
+        end = np.array([end_id], dtype=self.kind)
+        for i, text in whole.items():
+            out[i] = np.concatenate([np.frombuffer(self.encode(text.decode()), dtype=self.kind), end])
+        return out
+
+    def joined(self, column: list[bytes], end_id: int) -> list[np.ndarray]:
+        texts = Texts(column)
+        chunks = Words(texts, CHUNKS)
+        hashes = chunks.hashes | U64(1)  # zero is a free slot
+        slots = self.table.slots(hashes)
+        if (slots < 0).any():
+            if self.table.held > SLOTS * 2 // 3 - len(slots):
+                self.table.clear()
+                slots = self.table.slots(hashes)
+            missing = np.flatnonzero(slots < 0)
+            new, first = np.unique(hashes[missing], return_index=True)
+            raw = texts.bytes.tobytes()
+            spans = zip(chunks.starts[missing[first]].tolist(), chunks.ends[missing[first]].tolist(), strict=True)
+            self.table.add(new, [self.chunk(raw[a:b].decode()) for a, b in spans])
+            slots = self.table.slots(hashes)
+        counts = self.table.counts[slots].astype(np.int64)
+        before = np.concatenate([[0], np.cumsum(counts)])
+        ids = self.table.pool[np.repeat(self.table.starts[slots] - before[:-1], counts) + np.arange(before[-1])]
+        cuts = before[chunks.first]
+        out = np.full(len(ids) + texts.n, end_id, dtype=self.kind)
+        out[np.arange(len(ids)) + np.repeat(np.arange(texts.n), np.diff(cuts))] = ids
+        return np.split(out, (cuts[1:] + np.arange(1, texts.n + 1))[:-1]) if texts.n else []
 
 
 def word_ids(path: str) -> WordIds:
     """The tokenizer of a file, once for each worker."""
-    loaded = worker_cache("word_ids")
+    loaded = worker_cache("packing")
     if path not in loaded:
         loaded[path] = WordIds(path)
     return loaded[path]
@@ -158,17 +232,17 @@ def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
 
 def id_buckets() -> np.ndarray:
     """The bucket of each id below 2 ** 18."""
-    known = worker_cache("buckets")
-    if "ids" not in known:
-        known["ids"] = (mixed(np.arange(1 << 18, dtype=U64)) % U64(BUCKETS)).astype(np.int64)
-    return known["ids"]
+    known = worker_cache("packing")
+    if "buckets" not in known:
+        known["buckets"] = (mixed(np.arange(1 << 18, dtype=U64)) % U64(BUCKETS)).astype(np.int16)
+    return known["buckets"]
 
 
 def curve_keys(ids: list[np.ndarray], dimensions: int = DIMENSIONS, bits: int = BITS) -> np.ndarray:
     """The Hilbert key of each list of ids: hashed counts, dampened and normalised, projected, spread over the cells."""
     lengths = np.array([len(x) for x in ids])
     doc = np.repeat(np.arange(len(ids)), lengths)
-    bucket = id_buckets()[np.concatenate(ids)]
+    bucket = id_buckets()[np.concatenate(ids)].astype(np.int64)
     counts = np.log1p(np.bincount(doc * BUCKETS + bucket, minlength=len(ids) * BUCKETS).reshape(len(ids), BUCKETS))
     counts /= np.maximum(np.linalg.norm(counts, axis=1, keepdims=True), 1e-9)
     points = counts.astype(np.float32) @ projection(dimensions)
@@ -183,14 +257,11 @@ def tokenized(docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str,
 
     def encode(batches):
         words = word_ids(tokenizer_path)
-        end = np.array([end_id], dtype=words.kind).tobytes()
         width = np.dtype(words.kind).itemsize
         key = TaskContext.get().partitionId() << 40
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            blobs = [words.text(text or "") + end for text in batch.column(1).to_pylist()]
-            ids = [np.frombuffer(blob, dtype=words.kind) for blob in blobs]
+        for batch in bounded(batches, 1):
+            ids = words.texts(batch.column(1).cast(pa.binary()).to_pylist(), end_id)
+            blobs = [x.tobytes() for x in ids]
             keys = curve_keys(ids)
             yield pa.RecordBatch.from_arrays(
                 [

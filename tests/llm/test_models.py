@@ -66,7 +66,10 @@ def test_packing_of_odd_rows(odd, tokenizer):
 def test_words_encode_as_whole_texts(tokenizer):
     words = packing.WordIds(tokenizer_path())
     for text in ["it's we'll !'s ÀÉÖ ß÷× ª º don'T", "İstanbul ΣΑΣ ς é ẖ x\x1cy\x0bz\x85q", "a<|endoftext|>b <|ENDOFTEXT|>", "1234 12a!!", ""]:
-        assert words.text(text) == brute_ids(tokenizer, text)[:-1].astype(words.kind).tobytes()
+        [ids] = words.texts([text.encode()], 2)
+        assert ids.tolist() == brute_ids(tokenizer, text).tolist()
+    words.table.held = 1 << 22  # full: emptied
+    assert [x.tolist() for x in words.texts([None, b"new words", b""], 2)] == [[2], brute_ids(tokenizer, "new words").tolist(), [2]]
 
 
 def test_hilbert_neighbours_touch():
