@@ -11,17 +11,21 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barledger.llm.bytework import PLAIN_WORDS, Texts, U64, Words
+from barledger.llm.bytework import PLAIN_WORDS, Texts, U64, Words, bounded, mixed
 from barledger.llm.calibration import calibrated, isotonic
+from barledger.llm.near_dedup import shingle_sets
 from barledger.llm.shared import bound_batches, remainder, stored
 
 #: Examples of each class at most: a bounded sample of the labelled rows, chosen by a hash of their ids.
-EXAMPLES = 6000
-#: Terms at most, and the chi-square (one degree of freedom) and number of examples that a term needs.
-TERMS, CHI_SQUARE, LEAST_EXAMPLES = 2000, 25.0, 4
+EXAMPLES = 3000
+#: Terms at most; the chi-square (one degree of freedom) and number of examples that a term needs; and how many times as
+#: often it must occur in toxic examples as in others: words that only long texts have more of tell nothing.
+TERMS, CHI_SQUARE, LEAST_EXAMPLES, LIFT = 2000, 25.0, 4, 3.0
+COPY_MARKS = 4
 NEIGHBOURS = 15
 BLOCK = 64
 EVIDENCE = 3
@@ -42,6 +46,31 @@ def text_terms(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return term[first], doc[first], np.diff(np.concatenate([first, [len(doc)]]))
 
 
+def without_copies(rows: DataFrame) -> DataFrame:
+    """rows (doc_id, label, text) without those that are likely near copies of one with a smaller id.
+
+    Copies of one toxic text would make its harmless words look toxic. Two texts are taken for copies if they agree in
+    one of COPY_MARKS smallest shingle hashes; this only thins the sample of examples.
+    """
+    kind = rows.schema["doc_id"].dataType.simpleString()
+
+    def mark(batches):
+        for batch in bounded(batches, 1):
+            sets, counts = shingle_sets(batch.column(1), 5)
+            full = np.flatnonzero(counts)
+            starts = (np.cumsum(counts) - counts)[full]
+            for j in range(COPY_MARKS if len(full) else 0):
+                low = np.minimum.reduceat(mixed(sets ^ mixed(np.full(1, j + 1, dtype=U64))), starts)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pa.array(full)), pa.array(mixed(low + U64(j)).view(np.int64))], ["doc_id", "mark"]
+                )
+
+    marks = stored(rows.select("doc_id", "text").mapInArrow(mark, f"doc_id {kind}, mark bigint"), "marks")
+    first = marks.groupBy("mark").agg(F.min("doc_id").alias("first"))
+    copies = marks.join(first, "mark").where("doc_id > first").select("doc_id").distinct()
+    return stored(rows.join(copies, "doc_id", "left_anti"), "examples")
+
+
 def example_rows(docs: DataFrame, labels: DataFrame, label_col: str, examples: int) -> tuple[DataFrame, dict[int, float]]:
     """doc_id, label and text of the sample, a text once; and how many labelled rows stand behind an example of a class."""
     known = labels.where(F.col(label_col).isNotNull()).groupBy("doc_id").agg(
@@ -52,7 +81,7 @@ def example_rows(docs: DataFrame, labels: DataFrame, label_col: str, examples: i
     parts = [known.where(F.col("label") == c).orderBy(order, "doc_id").limit(examples) for c in (0, 1)]
     chosen = stored(parts[0].unionByName(parts[1]), "chosen")
     texts = docs.join(F.broadcast(chosen), "doc_id").dropDuplicates(["text"])
-    rows = stored(texts.select("doc_id", "label", "text"), "examples")
+    rows = without_copies(stored(texts.select("doc_id", "label", "text"), "texts"))
     total = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     have = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     return rows, {c: total.get(c, 0) / max(have.get(c, 0), 1) for c in (0, 1)}
@@ -62,7 +91,7 @@ def telling_terms(examples: DataFrame) -> np.ndarray:
     """Sorted hashes of the terms that tell the classes apart best."""
 
     def count(batches):
-        for batch in batches:
+        for batch in bounded(batches, 1):
             term, doc, _ = text_terms(batch.column(1))
             label = batch.column(0).to_numpy()[doc]
             yield pa.RecordBatch.from_arrays(
@@ -79,7 +108,7 @@ def telling_terms(examples: DataFrame) -> np.ndarray:
     gap = F.col("p") * F.lit(n) - F.col("n") * F.lit(p)
     chi = gap * gap * n / (F.col("n") * (F.lit(n) - F.col("n")) * F.lit(p) * F.lit(n - p))
     kept = counts.where((F.col("n") >= LEAST_EXAMPLES) & (F.col("n") < n)).withColumn("chi", chi).where(
-        F.col("chi") >= CHI_SQUARE
+        (F.col("chi") >= CHI_SQUARE) & (F.col("p") * F.lit(n - p) >= (F.col("n") - F.col("p")) * F.lit(p * LIFT))
     )
     chosen = kept.orderBy(F.desc("chi"), "term").limit(TERMS).select("term").collect()
     return np.sort(np.array([r[0] for r in chosen], dtype=np.int64).view(U64))
@@ -89,7 +118,7 @@ def term_rows(docs: DataFrame, terms: np.ndarray, keep: list[str]) -> DataFrame:
     """The kept columns, and for each text the indices of its chosen terms and their counts."""
 
     def find(batches):
-        for batch in batches:
+        for batch in bounded(batches, 0):
             term, doc, count = text_terms(batch.column(0))
             at = np.searchsorted(terms, term)
             known = at < len(terms)
@@ -203,17 +232,23 @@ def lists(column: pa.Array) -> list[np.ndarray]:
     return [np.array(x, dtype=np.int64) for x in column.to_pylist()]
 
 
+def by_value(spark: SparkSession, voters: Voters):
+    """A broadcast that workers without this package can read; its size is bounded by EXAMPLES and TERMS."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(voters))
+
+
 def calibrate(spark: SparkSession, voters: Voters, rows: DataFrame) -> None:
     """Isotonic points from votes of the other examples for each example."""
-    shared = spark.sparkContext.broadcast(voters)
+    shared = by_value(spark, voters)
 
     def vote(batches):
+        known = cloudpickle.loads(shared.value)
         for batch in batches:
             found = []
             for number, at, times in zip(
                 batch.column(0).to_pylist(), lists(batch.column(1)), lists(batch.column(2)), strict=True
             ):
-                share, _, _ = shared.value.vote(at, times, number)
+                share, _, _ = known.vote(at, times, number)
                 found.append(-1 if share is None else min(int(share * BINS), BINS - 1))
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), batch.column(0)], ["bin", "number"])
 
@@ -261,18 +296,18 @@ def score(
         frame = chosen[["number", "at", "times"]].map(lambda x: x.tolist() if isinstance(x, np.ndarray) else x)
         again = spark.createDataFrame(frame, "number int, at array<int>, times array<int>")
         calibrate(spark, voters, again)
-    shared = spark.sparkContext.broadcast(voters)
+    shared = by_value(spark, voters)
     kind = rows.schema["doc_id"].dataType
     evidence = f"array<struct<doc_id:{kind.simpleString()},similarity:double,label:int>>"
 
     def apply(batches):
-        voters, known = shared.value, {}
+        voters, known = cloudpickle.loads(shared.value), {}
         for batch in batches:
             scores, reasons = [], []
             for at, times in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 key = (tuple(at), tuple(times))
                 if key not in known:
-                    if len(known) > 50_000:
+                    if len(known) > 5_000:
                         known.clear()
                     share, near, cosine = voters.vote(np.array(at, dtype=np.int64), np.array(times, dtype=np.int64))
                     value = voters.alone if share is None else float(calibrated(np.array([share]), voters.points)[0])
