@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barledger.llm.bytework import PLAIN_WORDS, Texts, U64, Words
+from barledger.llm.bytework import PLAIN_WORDS, Texts, U64, Words, bounded
 from barledger.llm.shared import bound_batches, join_small, stored
 
 #: Notices and opening lines of licences, by name: fixed values.
@@ -88,7 +88,7 @@ def word_frequencies(docs: DataFrame, vocabulary: np.ndarray) -> tuple[np.ndarra
 
     def count(batches):
         total, n = np.zeros(len(vocabulary) + 1, dtype=np.int64), 0
-        for batch in batches:
+        for batch in bounded(batches, 0):
             texts = Texts(batch.column(0), lower=True)
             words = Words(texts, PLAIN_WORDS)
             at = positions(vocabulary, words.hashes)
@@ -143,7 +143,7 @@ def own_licences(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     names = np.array([name for name, _ in TEMPLATES], dtype=object)
 
     def match(batches):
-        for batch in batches:
+        for batch in bounded(batches, 2):
             texts = Texts(batch.column(2), lower=True)
             words = Words(texts, PLAIN_WORDS)
             breaks = np.flatnonzero(texts.bytes == 10)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barledger.llm.bytework import SPACE_WORDS, Texts, U64, Words, mixed, windows
+from barledger.llm.bytework import SPACE_WORDS, Texts, U64, Words, bounded, mixed, release, windows
 from barledger.llm.shared import bound_batches, stored
 
 WIDTH, PERCENT = 5, 80
@@ -103,7 +103,8 @@ def sketched(docs: DataFrame, width: int) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def sketch(batches):
-        for batch in batches:
+        release("packing")
+        for batch in bounded(batches, 1):
             sets, counts = shingle_sets(batch.column(1), width)
             full = np.flatnonzero(counts)
             registers = registers_of(sets, counts)
@@ -170,7 +171,7 @@ def sets_of(wanted: DataFrame, docs: DataFrame, width: int) -> DataFrame:
     kept = docs.join(F.broadcast(wanted) if few else wanted, docs["doc_id"].eqNullSafe(wanted["rep"]))
 
     def build(batches):
-        for batch in batches:
+        for batch in bounded(batches, 1):
             sets, counts = shingle_sets(batch.column(1), width)
             pieces = np.split(sets, np.cumsum(counts)[:-1]) if len(counts) else []
             yield pa.RecordBatch.from_arrays(

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barledger.llm.bytework import SPACE_WORDS, Texts, U64, Words, mixed, repeated, sums_by
+from barledger.llm.bytework import SPACE_WORDS, Texts, U64, Words, bounded, mixed, repeated, sums_by
 from barledger.llm.calibration import calibrated, isotonic
 from barledger.llm.shared import bound_batches, remainder, stored
 
@@ -98,7 +98,7 @@ def statistics(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     picked = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
     def count(batches):
-        for batch in batches:
+        for batch in bounded(batches, 1):
             if not batch.num_rows:
                 continue
             table = text_statistics(batch.column(1))

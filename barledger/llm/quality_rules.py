@@ -12,7 +12,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barledger.llm.bytework import SPACE_WORDS, Texts, U64, Words, covered, mixed, repeated, sums_by, windows
+from barledger.llm.bytework import (
+    SPACE_WORDS, Texts, U64, Words, bounded, covered, mixed, release, repeated, sums_by, windows,
+)
 from barledger.llm.shared import bound_batches, join_small, stored
 
 MIN_WORDS = 20
@@ -59,7 +61,8 @@ def signals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hos
     picked = docs.select(F.col(id_col).alias("doc_id"), F.col(host_col).alias("host"), F.col(text_col).alias("text"))
 
     def count(batches):
-        for batch in batches:
+        release("packing")
+        for batch in bounded(batches, 2):
             found = text_signals(batch.column(2))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), *(pa.array(found[k], pa.int64()) for k in SIGNALS)],

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barledger.llm.bytework import BASE, Texts, U64, mixed, powers, runs
+from barledger.llm.bytework import BASE, Texts, U64, bounded, mixed, powers, runs
 from barledger.llm.shared import bound_batches, stored
 
 LENGTH = 100
@@ -245,7 +245,7 @@ def context_rows(texts: DataFrame, ids: list[str], length: int) -> DataFrame:
     """anchor, content, ids, at (first window start * 256 + windows - 1) of every context."""
 
     def find(batches):
-        for batch in batches:
+        for batch in bounded(batches, 0):
             found = contexts_of(Texts(batch.column(0)), length)
             of = pa.array(found["doc"])
             at = found["first"] * 256 + found["last"] - found["first"]
