@@ -612,3 +612,79 @@ SELECT symbol, start, "end", responses, decode_code,
   CASE WHEN error_code IS NULL THEN coalesce(agreeing, 0) END AS agreeing_cells,
   CASE WHEN error_code IS NULL THEN coalesce(differing, 0) END AS differing_cells,
   error_code IS NULL AND coalesce(passed, false) AS passed FROM probed""")
+
+LANDED = f"""
+base AS (
+  SELECT *, CAST(round(l_discount * 100) AS BIGINT) AS d, CAST(round(l_tax * 100) AS BIGINT) AS t, {CENTS} AS c,
+    CAST(l_quantity AS BIGINT) AS q, l_suppkey % 8 AS v, strftime(l_shipdate, '%Y-%m') AS run_id, {SYMBOL} AS symbol
+  FROM lineitem),
+cells AS (
+  SELECT run_id, symbol, v, d, t, l_orderkey, l_linenumber, l_partkey, c, q,
+    CASE WHEN v = 7 AND d = 7 THEN 'soon' ELSE CAST({DAY} AS VARCHAR) END AS date,
+    CASE WHEN v = 3 AND d = 5 THEN 'abc' ELSE CAST(c AS VARCHAR) END AS opened,
+    CAST(c + d AS VARCHAR) AS high, CAST(c - q AS VARCHAR) AS low, CAST(c - 1 AS VARCHAR) AS closed,
+    CASE WHEN l_returnflag = 'N' THEN '' ELSE CAST(q AS VARCHAR) END AS adjusted, CAST(q AS VARCHAR) AS volume,
+    CAST(d AS VARCHAR) AS paid
+  FROM base),
+files AS (
+  SELECT run_id, symbol, count(*) AS frame_rows,
+    CASE any_value(v) WHEN 1 THEN 'missing_ohlcv_columns' WHEN 2 THEN 'ambiguous_columns' WHEN 6 THEN 'not_a_datetime_index'
+      WHEN 3 THEN CASE WHEN bool_or(d = 5) THEN 'nonnumeric_column:Open' ELSE '' END
+      WHEN 5 THEN CASE WHEN bool_or(t = 8) THEN 'ambiguous_columns' ELSE '' END
+      WHEN 7 THEN CASE WHEN bool_or(d = 7) THEN 'not_a_datetime_index' ELSE '' END ELSE '' END AS frame_errors
+  FROM cells GROUP BY run_id, symbol)
+"""
+HEADS = "['Date', 'Open', 'High', 'Low', 'Close', 'Adj Close', 'Volume']"
+
+oracle("frame_gate", f"WITH {LANDED} SELECT * FROM files")
+
+oracle("landed_cells", f"""WITH {LANDED},
+rows AS (
+  SELECT run_id, symbol,
+    CASE v WHEN 1 THEN [date, opened, high, low, volume] WHEN 2 THEN [date, opened, high, low, closed, volume]
+      WHEN 4 THEN [date, opened, high, low, closed, adjusted, volume, paid]
+      WHEN 5 THEN CASE WHEN t = 8 THEN [date, opened, high, low, closed, adjusted, volume, paid]
+        ELSE [date, opened, high, low, closed, adjusted, volume] END
+      ELSE [date, opened, high, low, closed, adjusted, volume] END AS parts,
+    CASE v WHEN 1 THEN ['Date', 'Open', 'High', 'Low', 'Volume'] WHEN 2 THEN ['Date', 'Open', 'Open', 'Low', 'Close', 'Volume']
+      WHEN 4 THEN list_append({HEADS}, 'Dividends') WHEN 5 THEN list_append({HEADS}, '')
+      WHEN 6 THEN list_prepend('Day', {HEADS}[2:]) ELSE {HEADS} END AS labels,
+    l_orderkey, l_linenumber, l_partkey, c, q
+  FROM cells JOIN files USING (run_id, symbol) WHERE frame_errors <> ''),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY run_id, symbol ORDER BY l_orderkey, l_linenumber, l_partkey, c, q,
+    array_to_string(parts, ',')) - 1 AS row_position FROM rows),
+each AS (SELECT run_id, symbol, row_position, unnest(range(len(parts))) AS i, labels, parts FROM placed),
+named AS (SELECT run_id, symbol, row_position, i, labels[i + 1] AS field, parts[i + 1] AS x FROM each)
+SELECT run_id, symbol, row_position, CAST(i AS INTEGER) AS place, field,
+  CASE WHEN x = '' THEN 'null' WHEN try_cast(x AS DOUBLE) IS NOT NULL THEN 'double' ELSE 'string' END AS type,
+  CASE WHEN x = '' THEN 'NULL' WHEN try_cast(x AS DOUBLE) IS NOT NULL THEN x ELSE chr(39) || x || chr(39) END AS text
+FROM named""")
+
+DEAL_LINES = f"""
+base AS (
+  SELECT CASE WHEN l_linestatus = 'O' THEN 'bulk' ELSE 'block' END AS kind, {DAY} AS file_day, {SYMBOL} AS symbol,
+    day({DAY}) % 5 AS v, l_linenumber AS n, {CENTS} AS c, CAST(l_quantity AS BIGINT) AS q, l_returnflag AS flag
+  FROM lineitem)
+"""
+
+oracle("deal_headers", f"""WITH {DEAL_LINES}
+SELECT kind, file_day AS day, count(*) AS rows,
+  CASE any_value(v) WHEN 0 THEN 'Date,Symbol,Quantity,Price' WHEN 1 THEN 'SYMBOL,date,Price,Quantity,Client'
+    WHEN 2 THEN 'Date,Name' WHEN 3 THEN 'Date,Symbol,SYMBOL,Quantity' ELSE 'Date,Symbol,Quantity' END AS names,
+  any_value(v) <> 2 AS header_ok
+FROM base GROUP BY kind, file_day""")
+
+oracle("landed_deals", f"""WITH {DEAL_LINES},
+broken AS (SELECT kind, file_day, bool_or(v = 2 OR (v = 4 AND n = 7)) AS bad FROM base GROUP BY kind, file_day),
+texts AS (
+  SELECT base.*, CASE WHEN n = 3 THEN NULL WHEN n = 4 THEN 'not-a-date' ELSE CAST(file_day AS VARCHAR) END AS date_text,
+    CASE WHEN n = 2 THEN 'many' ELSE CAST(q AS VARCHAR) END AS quantity_text,
+    CASE WHEN v IN (0, 1) THEN CAST(c AS VARCHAR) || CASE WHEN n = 5 THEN '.005' ELSE '' END END AS price_text
+  FROM base JOIN broken USING (kind, file_day) WHERE NOT bad)
+SELECT kind, file_day, CASE WHEN n NOT IN (3, 4) THEN file_day END AS deal_date, symbol,
+  CASE WHEN n <> 2 THEN q END AS quantity,
+  CASE WHEN v IN (0, 1) THEN c * 1000 + CASE WHEN n = 5 THEN 5 ELSE 0 END END AS price_mills,
+  CASE WHEN v = 1 THEN flag END AS client, date_text, quantity_text, price_text,
+  CASE WHEN v = 3 THEN 'SYMBOL=' || flag ELSE '' END AS extras
+FROM texts""")

@@ -10,7 +10,7 @@ from barledger import fixed_values as fv
 from barledger.functions.market import fetch_outcome, is_valid_window, issuer_symbol, local_midnight_epoch
 from barledger.operators import analytics, artifacts, audit, deals, identity, ledger, quality, reconcile
 from barledger.plans import views
-from barledger.sources import actions, charts, listings, snapshots
+from barledger.sources import actions, charts, deals as deal_files, listings, prices, snapshots
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -571,3 +571,50 @@ def provenance(spark: SparkSession, sf: str) -> DataFrame:
     rows = views.bars(spark, sf).select("symbol", "open", "high", "low", "close", "volume", F.col("date").alias("session_date"))
     published = audit.published_prices(rows, provider_version=VERSION, retrieved_at_utc=RETRIEVED)
     return published.where(issuer_symbol(F.col("provider_symbol")) == F.col("symbol"))
+
+
+# --- landed files ------------------------------------------------------------------------------
+
+
+def _landed_frames(spark: SparkSession, sf: str) -> DataFrame:
+    run = F.element_at(F.split("file", "/"), -2)
+    return prices.frames_of_lines(views.landed_price_lines(spark, sf), run)
+
+
+@query
+def frame_gate(spark: SparkSession, sf: str) -> DataFrame:
+    """What is wrong with each landed price file as a whole."""
+    return _landed_frames(spark, sf).groupBy("run_id", "symbol").agg(
+        F.count(F.lit(1)).alias("frame_rows"), F.first(joined("frame_errors")).alias("frame_errors")
+    )
+
+
+@query
+def landed_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """Every cell, as its file had it, of the rows of files that failed the gate."""
+    audited = audit.audit_rows(
+        _landed_frames(spark, sf), F.lit("1900-01-01").cast("date"), F.lit("2100-01-01").cast("date"),
+        frame_errors="frame_errors",
+    )
+    rejected = audit.rejected_rows(audited.where(F.size("frame_errors") > 0))
+    return rejected.select("run_id", "symbol", "row_position", F.posexplode("cells").alias("place", "cell")).select(
+        "run_id", "symbol", "row_position", "place", F.col("cell.column").alias("field"),
+        F.col("cell.type").alias("type"), F.col("cell.repr").alias("text"),
+    )
+
+
+@query
+def deal_headers(spark: SparkSession, sf: str) -> DataFrame:
+    found = deal_files.deal_headers(views.landed_deal_lines(spark, sf))
+    return found.select("kind", "day", "rows", joined("names").alias("names"), "header_ok")
+
+
+@query
+def landed_deals(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of usable deal files: typed values beside their texts, other columns as name=value."""
+    rows, _ = deal_files.deals_of_lines(views.landed_deal_lines(spark, sf))
+    extras = F.transform(F.sort_array(F.map_entries("extras")), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    return rows.select(
+        "kind", "file_day", "deal_date", "symbol", "quantity", (F.col("price") * 1000).cast("bigint").alias("price_mills"),
+        "client", "date_text", "quantity_text", "price_text", F.concat_ws(",", extras).alias("extras"),
+    )

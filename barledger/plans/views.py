@@ -6,7 +6,7 @@ rows themselves, so each rule meets data that breaks it at every scale.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from barledger.functions.market import local_midnight_epoch
 
@@ -379,3 +379,74 @@ def run_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.min("k") == 0, F.lit("fault")).alias("error"),
         (F.sum(cents(F.col("value"))) / 100).alias("seconds"),
     )
+
+
+# --- landed files ------------------------------------------------------------------------------
+
+PRICE_HEADER = "Date,Open,High,Low,Close,Adj Close,Volume"
+
+
+def numbered_lines(rows: DataFrame, header: Column) -> DataFrame:
+    """Lines of files: each file's header at -1, its rows from 0 in the order of their keys."""
+    order = Window.partitionBy("file").orderBy("l_orderkey", "l_linenumber", "l_partkey", "c", "q", "line")
+    body = rows.select("file", "name", (F.row_number().over(order) - 1).cast("bigint").alias("row_position"), "line")
+    heads = rows.select("file", "name", F.lit(-1).cast("bigint").alias("row_position"), header.alias("line")).distinct()
+    return heads.unionByName(body)
+
+
+def landed_price_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every lineitem row as a line of its supplier's monthly price file; suppliers differ in what is wrong with theirs."""
+    text = lambda value: value.cast("string")
+    base = table(spark, sf_dir, "lineitem").withColumns({
+        "d": cents(F.col("l_discount")), "t": cents(F.col("l_tax")), "c": cents(F.col("l_extendedprice")),
+        "q": F.col("l_quantity").cast("bigint"), "v": F.col("l_suppkey") % 8,
+    })
+    d, t, c, q, v = (F.col(name) for name in "dtcqv")
+    date = F.when((v == 7) & (d == 7), F.lit("soon")).otherwise(text(day(F.col("l_shipdate"))))
+    opened = F.when((v == 3) & (d == 5), F.lit("abc")).otherwise(text(c))
+    adjusted = F.when(F.col("l_returnflag") == "N", F.lit("")).otherwise(text(q))
+    head, tail = [date, opened, text(c + d), text(c - q)], [text(c - 1), adjusted, text(q)]
+    line = (
+        F.when(v == 1, F.concat_ws(",", *head, text(q)))
+        .when(v == 2, F.concat_ws(",", *head, text(c - 1), text(q)))
+        .when((v == 4) | ((v == 5) & (t == 8)), F.concat_ws(",", *head, *tail, text(d)))
+        .otherwise(F.concat_ws(",", *head, *tail))
+    )
+    header = (
+        F.when(v == 1, F.lit("Date,Open,High,Low,Volume")).when(v == 2, F.lit("Date,Open,Open,Low,Close,Volume"))
+        .when(v == 4, F.lit(PRICE_HEADER + ",Dividends")).when(v == 6, F.lit(PRICE_HEADER.replace("Date", "Day")))
+        .otherwise(F.lit(PRICE_HEADER))
+    )
+    name = F.concat(provider_symbol(F.col("l_suppkey")), F.lit(".csv"))
+    rows = base.withColumns({
+        "name": name, "file": F.concat(F.lit("/landing/"), month(F.col("l_shipdate")), F.lit("/"), name), "line": line,
+    })
+    return numbered_lines(rows, header)
+
+
+def landed_deal_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every lineitem row as a line of its day's deal file; days differ in their headers."""
+    base = table(spark, sf_dir, "lineitem").withColumns({
+        "c": cents(F.col("l_extendedprice")), "q": F.col("l_quantity").cast("bigint"),
+        "v": F.dayofmonth("l_shipdate") % 5, "symbol": provider_symbol(F.col("l_suppkey")),
+        "date": day(F.col("l_shipdate")).cast("string"),
+    })
+    v, n = F.col("v"), F.col("l_linenumber")
+    date = F.when(n == 3, F.lit("")).when(n == 4, F.lit("not-a-date")).otherwise(F.col("date"))
+    price = F.concat(F.col("c").cast("string"), F.when(n == 5, F.lit(".005")).otherwise(F.lit("")))
+    quantity = F.when(n == 2, F.lit("many")).otherwise(F.col("q").cast("string"))
+    line = (
+        F.when(v == 0, F.concat_ws(",", date, "symbol", quantity, price))
+        .when(v == 1, F.concat_ws(",", "symbol", date, price, quantity, "l_returnflag"))
+        .when(v == 3, F.concat_ws(",", date, "symbol", "l_returnflag", quantity))
+        .when(v == 4, F.concat_ws(",", date, "symbol", quantity, F.when(n == 7, F.lit("x"))))
+        .otherwise(F.concat_ws(",", date, "symbol"))
+    )
+    header = (
+        F.when(v == 0, F.lit("Date,Symbol,Quantity,Price")).when(v == 1, F.lit("SYMBOL,date,Price,Quantity,Client"))
+        .when(v == 2, F.lit("Date,Name")).when(v == 3, F.lit("Date,Symbol,SYMBOL,Quantity"))
+        .otherwise(F.lit("Date,Symbol,Quantity"))
+    )
+    kind = F.when(F.col("l_linestatus") == "O", F.lit("bulk")).otherwise(F.lit("block"))
+    name = F.concat(kind, F.lit("deals_"), F.date_format("l_shipdate", "ddMMMyyyy"), F.lit(".csv"))
+    return numbered_lines(base.withColumns({"name": name, "file": F.concat(F.lit("/landing/"), name), "line": line}), header)

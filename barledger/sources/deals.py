@@ -77,6 +77,18 @@ def scan_deals(
     rather than rounded.
     """
     numbered = number_lines(landed_lines(spark, directory, kind, start, end), hot_rows=hot_rows)
+    rows, files = deals_of_lines(numbered, hot_rows=hot_rows)
+    judged = files.select(plain_path(F.col("file")).alias("file"), "header_ok", "rows")
+    listed = landed_files(spark, directory, kind, start, end)
+    fetches = listed.join(judged, "file", "left").select(
+        F.lit(kind).alias("kind"), "day", F.lit(200).alias("status"),
+        F.coalesce("header_ok", F.lit(False)).alias("header_ok"), F.coalesce("rows", F.lit(0)).alias("rows"),
+    )
+    return rows, fetches
+
+
+def deals_of_lines(numbered: DataFrame, *, hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
+    """Deal rows, and one judged row per file, of numbered lines (file, name, row_position, line)."""
     headers = deal_headers(numbered)
     rows = numbered.where(F.col("row_position") >= 0)
     named = attach_by_key(rows, headers.withColumn("__rows", F.col("rows")).drop("rows"), ["file"], "__rows", hot_rows)
@@ -87,14 +99,8 @@ def scan_deals(
     files = headers.join(broken.select("file", "broken"), "file", "left").withColumn(
         "header_ok", F.col("header_ok") & ~F.coalesce(F.col("broken"), F.lit(False))
     )
-    judged = files.select(plain_path(F.col("file")).alias("file"), "header_ok", "rows")
-    listed = landed_files(spark, directory, kind, start, end)
-    fetches = listed.join(judged, "file", "left").select(
-        F.lit(kind).alias("kind"), "day", F.lit(200).alias("status"),
-        F.coalesce("header_ok", F.lit(False)).alias("header_ok"), F.coalesce("rows", F.lit(0)).alias("rows"),
-    )
     usable = attach_by_key(split, broken, ["file"], "__lines", hot_rows).where(F.col("header_ok") & ~F.col("broken"))
-    return _deal_columns(usable), fetches
+    return _deal_columns(usable), files
 
 
 def _deal_columns(split: DataFrame) -> DataFrame:

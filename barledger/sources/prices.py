@@ -37,6 +37,13 @@ def scan_price_files(
     their position in their file and, in ``raw``, every cell with its column, type and text.
     """
     numbered = number_lines(read_lines(spark, directory, pattern), hot_rows=hot_rows)
+    return frames_of_lines(numbered, _run(directory), symbol, hot_rows=hot_rows)
+
+
+def frames_of_lines(
+    numbered: DataFrame, run: Column, symbol: str = r"^(.*)\.csv$", *, hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """The same from numbered lines (file, name, row_position, line); ``run`` is an expression over the file."""
     headers = file_headers(numbered)
     rows = numbered.where(F.col("row_position") >= 0)
     named = attach_by_key(rows, headers.select("file", "raw_names", F.col("rows").alias("__rows")), ["file"], "__rows", hot_rows)
@@ -75,7 +82,7 @@ def scan_price_files(
     )
     frames = attach_by_key(read, judged, ["file"], "__rows", hot_rows)
     return frames.select(
-        _run(directory).alias("run_id"),
+        run.alias("run_id"),
         F.regexp_extract("name", symbol, 1).alias("symbol"),
         "row_position",
         _time(F.col("__date")).alias("ts"),
