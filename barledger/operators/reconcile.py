@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from barledger import fixed_values as fv
 
@@ -40,11 +40,25 @@ def adapter_frame_errors(adapter: DataFrame, *, keys: Sequence[str] = SCOPE_KEYS
     )
 
 
-def reconcile_dates(source: DataFrame, adapter: DataFrame, *, keys: Sequence[str] = SCOPE_KEYS) -> DataFrame:
-    """Every date of either side with where it was seen: ``both``, or one side only."""
+def _joined_sides(left: DataFrame, right: DataFrame, keys: list[str], known_only: bool) -> DataFrame:
+    """Both sides by date; with ``known_only`` only frames that the source has, be it by a row without a date."""
+    joined = left.join(right, [*keys, "date"], "full_outer")
+    if not known_only:
+        return joined
+    known = F.max(F.col("__source").isNotNull()).over(Window.partitionBy(*keys))
+    return joined.withColumn("__known", known).where(F.col("__known") & F.col("date").isNotNull()).drop("__known")
+
+
+def reconcile_dates(
+    source: DataFrame, adapter: DataFrame, *, keys: Sequence[str] = SCOPE_KEYS, known_only: bool = False,
+) -> DataFrame:
+    """Every date of either side with where it was seen: ``both``, or one side only.
+
+    With ``known_only`` adapter frames without a source document are left out.
+    """
     left = source.select(*keys, "date", F.lit(True).alias("__source"))
     right = adapter.select(*keys, "date", F.lit(True).alias("__adapter"))
-    return left.join(right, [*keys, "date"], "full_outer").select(*keys, "date", _date_class().alias("classification"))
+    return _joined_sides(left, right, list(keys), known_only).select(*keys, "date", _date_class().alias("classification"))
 
 
 def _date_class() -> Column:
@@ -55,9 +69,13 @@ def _date_class() -> Column:
     )
 
 
-def reconcile_cells(source: DataFrame, adapter: DataFrame, *, keys: Sequence[str] = SCOPE_KEYS) -> DataFrame:
+def reconcile_cells(
+    source: DataFrame, adapter: DataFrame, *, keys: Sequence[str] = SCOPE_KEYS, known_only: bool = False,
+) -> DataFrame:
     """One row per cell of the dates both sides have, and one row per date only one side has.
 
+    With ``known_only`` adapter frames without a source document are left out.
+
     ``source`` has the six source fields per (keys, date), ``adapter`` the adapter columns. The
     sides are joined once per date and only then spread into cells.
     """
@@ -67,7 +85,7 @@ def reconcile_cells(source: DataFrame, adapter: DataFrame, *, keys: Sequence[str
         *keys, "date",
         F.struct(*[F.col(c).cast("double").alias(f) for f, c in ADAPTER_COLUMNS.items()]).alias("__adapter"),
     )
-    joined = left.join(right, [*keys, "date"], "full_outer").withColumn("__class", _date_class())
+    joined = _joined_sides(left, right, keys, known_only).withColumn("__class", _date_class())
     cells = F.array(*[_compared_cell(field) for field in fv.CHART_FIELDS])
     one_sided = F.array(_cell_record(F.lit(None).cast("string"), F.lit(None).cast("double"),
                                      F.lit(None).cast("double"), F.col("__class")))

@@ -518,29 +518,27 @@ def chart_decode(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _sides(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Source rows and adapter rows of the scopes with a valid document, and all documents."""
+    """Source rows of the valid documents, all adapter rows, and all documents; documents are decoded once."""
     decoded = _decoded(spark, sf)
-    valid = decoded.where(F.col("chart_code").isNull()).select("symbol", "start")
-    adapter = views.adapter_bars(spark, sf).join(valid, ["symbol", "start"], "left_semi")
-    return charts.chart_rows(decoded), adapter, decoded
+    return charts.chart_rows(decoded, outer=True), views.adapter_bars(spark, sf), decoded
 
 
 @query
 def reconcile_dates(spark: SparkSession, sf: str) -> DataFrame:
     source, adapter, _ = _sides(spark, sf)
-    return reconcile.reconcile_dates(source, adapter)
+    return reconcile.reconcile_dates(source, adapter, known_only=True)
 
 
 @query
 def reconcile_cells(spark: SparkSession, sf: str) -> DataFrame:
     source, adapter, _ = _sides(spark, sf)
-    return reconcile.reconcile_cells(source, adapter)
+    return reconcile.reconcile_cells(source, adapter, known_only=True)
 
 
 @query
 def reconcile_counts(spark: SparkSession, sf: str) -> DataFrame:
     source, adapter, _ = _sides(spark, sf)
-    return reconcile.comparison_counts(reconcile.reconcile_cells(source, adapter))
+    return reconcile.comparison_counts(reconcile.reconcile_cells(source, adapter, known_only=True))
 
 
 @query
@@ -561,7 +559,7 @@ def boundary_probe(spark: SparkSession, sf: str) -> DataFrame:
         decoded,
         reconcile.adapter_frame_errors(frames),
         audit.frame_verdicts(audited, keys=keys),
-        reconcile.reconcile_cells(source, adapter),
+        reconcile.reconcile_cells(source, adapter, known_only=True),
     )
 
 

@@ -51,34 +51,44 @@ def decode_charts(documents: DataFrame, *, body: str = "body") -> DataFrame:
     provider text is never part of one. Arrays are given for valid documents only.
     """
     parsed = documents.select("*", once(F.try_parse_json(body)).alias("__json"))
+    # each part of a document is walked to once, and its values are read from there
+    parts = {
+        "chart": "$.chart", "meta": "$.chart.result[0].meta", "stamps": "$.chart.result[0].timestamp",
+        "quotes": "$.chart.result[0].indicators.quote", "adjusted": "$.chart.result[0].indicators.adjclose",
+    }
+    walked = [F.try_variant_get("__json", path, "variant").alias(name) for name, path in parts.items()]
+    parsed = parsed.select("*", once(F.struct(*walked)).alias("__part"))
+    cells = {name: ("quotes", f"$[0].{name}") for name in fv.CHART_FIELDS} | {"adjclose": ("adjusted", "$[0].adjclose")}
+    values = [F.try_variant_get(f"__part.{part}", path, "variant").alias(name) for name, (part, path) in cells.items()]
+    parsed = parsed.select("*", once(F.struct(*values)).alias("__cell"))
+
+    def at(part: str, path: str = "$", kind: str = "variant") -> Column:
+        return F.try_variant_get(f"__part.{part}", path, kind)
 
-    def at(path: str, kind: str = "variant") -> Column:
-        return F.try_variant_get("__json", path, kind)
+    def size(value: Column) -> Column:
+        return F.coalesce(F.size(F.try_variant_get(value, "$", "array<variant>")), F.lit(-1))
 
-    def size(path: str) -> Column:
-        return F.coalesce(F.size(at(path, "array<variant>")), F.lit(-1))
+    def type_of(value: Column) -> Column:
+        return F.coalesce(F.schema_of_variant(value), F.lit(""))
 
-    result = "$.chart.result[0]"
-    field_path = {name: f"{result}.indicators.quote[0].{name}" for name in fv.CHART_FIELDS}
-    field_path["adjclose"] = f"{result}.indicators.adjclose[0].adjclose"
-    error = at("$.chart.error")
-    identity = at(f"{result}.meta.symbol", "string") == F.col("symbol")
+    cell = {name: F.col(f"__cell.{name}") for name in fv.CHART_FIELDS}
+    error = at("chart", "$.error")
+    identity = at("meta", "$.symbol", "string") == F.col("symbol")
     for name, value in fv.CHART_META.items():
-        identity = identity & (at(f"{result}.meta.{name}", "string") == value)
-    stamps = at(f"{result}.timestamp", "array<bigint>")
+        identity = identity & (at("meta", f"$.{name}", "string") == value)
+    stamps = at("stamps", kind="array<bigint>")
     facts = {
-        "has_chart": F.coalesce(F.schema_of_variant(at("$.chart")).startswith("OBJECT"), F.lit(False))
-        & (error.isNull() | F.is_variant_null(error)),
-        "results": size("$.chart.result"),
+        "has_chart": type_of(F.col("__part.chart")).startswith("OBJECT") & (error.isNull() | F.is_variant_null(error)),
+        "results": size(at("chart", "$.result")),
         "identified": F.coalesce(identity, F.lit(False)),
-        "stamp_type": F.coalesce(F.schema_of_variant(at(f"{result}.timestamp")), F.lit("")),
+        "stamp_type": type_of(F.col("__part.stamps")),
         "stamps": stamps,
         "days": F.transform(stamps, lambda stamp: local_day(stamp)),
-        "quotes": size(f"{result}.indicators.quote"),
-        "adjusted": size(f"{result}.indicators.adjclose"),
-        **{name: at(path, "array<double>") for name, path in field_path.items()},
-        **{f"{name}_type": F.coalesce(F.schema_of_variant(at(path)), F.lit("")) for name, path in field_path.items()},
-        **{f"{name}_size": size(path) for name, path in field_path.items()},
+        "quotes": size(F.col("__part.quotes")),
+        "adjusted": size(F.col("__part.adjusted")),
+        **{name: F.try_variant_get(value, "$", "array<double>") for name, value in cell.items()},
+        **{f"{name}_type": type_of(value) for name, value in cell.items()},
+        **{f"{name}_size": size(value) for name, value in cell.items()},
     }
     shaped = parsed.select("*", once(F.struct(*[fact.alias(name) for name, fact in facts.items()])).alias("__doc"))
     doc = {name: F.col(f"__doc.{name}") for name in facts}
@@ -121,12 +131,16 @@ def decode_charts(documents: DataFrame, *, body: str = "body") -> DataFrame:
     )
 
 
-def chart_rows(decoded: DataFrame) -> DataFrame:
-    """One row per session of every valid document, with the six fields as doubles."""
+def chart_rows(decoded: DataFrame, *, outer: bool = False) -> DataFrame:
+    """One row per session of every valid document, with the six fields as doubles.
+
+    With ``outer`` a valid document without sessions gives one row without a date.
+    """
+    spread = F.explode_outer if outer else F.explode
     keep = [name for name in decoded.columns if name not in ("sessions", "body", "chart_code", "status_code")]
     return (
         decoded.where(F.col("chart_code").isNull())
-        .select(*keep, F.explode("sessions").alias("__session"))
+        .select(*keep, spread("sessions").alias("__session"))
         .select(
             *keep,
             F.col("__session")["date"].alias("date"),
