@@ -17,7 +17,10 @@ from barledger import fixed_values as fv
 from barledger.operators.artifacts import verify_checksums
 from barledger.operators.audit import frame_verdicts, rejected_rows, usable_positions
 
-ROWS_PER_FILE = 5_000_000
+# A data file is hashed as one value of at most 2 GB, so files are far smaller: a row of evidence with
+# all its cells has some hundreds of bytes before compression.
+ROWS_PER_FILE = 200_000
+PARTS = ("frame", "rejected", "positions")
 
 
 def file_digests(spark: SparkSession, path: str) -> DataFrame:
@@ -31,6 +34,25 @@ def file_digests(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def bundle_files(spark: SparkSession, root: str) -> DataFrame:
+    """``file`` (below the root), ``sha256``, ``bytes`` and ``rows`` of every data file of a bundle's parts."""
+    found = None
+    for part in PARTS:
+        path = f"{root}/{part}"
+        reader = spark.read.option("recursiveFileLookup", True)
+        # rows are counted from what was written, without reading a value of them
+        rows = (reader.text(path) if part == "rejected" else reader.parquet(path)).groupBy(
+            F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("__name")
+        ).agg(F.count(F.lit(1)).alias("rows"))
+        digests = file_digests(spark, path).withColumn("__name", F.element_at(F.split("path", "/"), -1))
+        joined = digests.join(rows, "__name", "left").select(
+            F.substring_index("path", f"{root.rsplit('/', 1)[-1]}/", -1).alias("file"), "sha256", "bytes",
+            F.coalesce("rows", F.lit(0)).alias("rows"),
+        )
+        found = joined if found is None else found.unionByName(joined)
+    return found
+
+
 def write_bundle(audited: DataFrame, root: str, metadata: Mapping[str, str]) -> str:
     """Write one observation's bundle under a new ``root`` and commit it with its manifest.
 
@@ -43,12 +65,13 @@ def write_bundle(audited: DataFrame, root: str, metadata: Mapping[str, str]) ->
         f"{root}/frame"
     )
     stored = spark.read.schema(audited.schema).parquet(f"{root}/frame")
-    rejected_rows(stored).write.mode("errorifexists").option("maxRecordsPerFile", ROWS_PER_FILE).json(f"{root}/rejected")
-    usable_positions(stored).write.mode("errorifexists").parquet(f"{root}/positions")
-
-    digests = file_digests(spark, f"{root}/frame").unionByName(file_digests(spark, f"{root}/rejected"))
-    relative = F.substring_index("path", f"{root.rsplit('/', 1)[-1]}/", -1)
-    digests.select(relative.alias("file"), "sha256", "bytes").write.mode("errorifexists").json(f"{root}/files")
+    rejected_rows(stored).write.mode("errorifexists").option("maxRecordsPerFile", ROWS_PER_FILE).option(
+        "compression", "gzip"
+    ).json(f"{root}/rejected")
+    usable_positions(stored).write.mode("errorifexists").option("maxRecordsPerFile", ROWS_PER_FILE).parquet(
+        f"{root}/positions"
+    )
+    bundle_files(spark, root).write.mode("errorifexists").json(f"{root}/files")
 
     manifest = frame_verdicts(stored).select(
         "*",
@@ -66,8 +89,13 @@ def write_bundle(audited: DataFrame, root: str, metadata: Mapping[str, str]) ->
 
 
 def is_committed(spark: SparkSession, root: str) -> bool:
+    """Whether the manifest's writer finished: its marker is there, and a row of the manifest."""
+    manifest = f"{root.rstrip('/')}/manifest"
+    marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{manifest}/_SUCCESS")
+    if not marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker):
+        return False
     try:
-        return not spark.read.json(f"{root.rstrip('/')}/manifest").isEmpty()
+        return not spark.read.schema("schema_version int").json(manifest).isEmpty()
     except AnalysisException:
         return False
 
@@ -82,10 +110,13 @@ def read_bundle(spark: SparkSession, root: str) -> DataFrame:
 def verify_bundle(spark: SparkSession, root: str) -> DataFrame:
     """Status of every recorded or present data file of a bundle."""
     root = root.rstrip("/")
-    digests = file_digests(spark, f"{root}/frame").unionByName(file_digests(spark, f"{root}/rejected"))
-    relative = F.substring_index("path", f"{root.rsplit('/', 1)[-1]}/", -1)
     recorded = spark.read.schema("file string, sha256 string, bytes bigint").json(f"{root}/files")
-    return verify_checksums(recorded, digests.select(relative.alias("file"), "sha256", "bytes"))
+    present = None
+    for part in PARTS:
+        found = file_digests(spark, f"{root}/{part}")
+        present = found if present is None else present.unionByName(found)
+    relative = F.substring_index("path", f"{root.rsplit('/', 1)[-1]}/", -1)
+    return verify_checksums(recorded, present.select(relative.alias("file"), "sha256", "bytes"))
 
 
 def write_manifest(plan: DataFrame, path: str) -> None:

@@ -149,7 +149,11 @@ def test_bundle_is_committed_last_and_checked(spark, tmp_path):
     assert manifest["B.NS"].rejected_rows == 1 and manifest["A.NS"].usable_rows == 4
     assert spark.read.json(root + "/rejected").first().reasons == ["missing:Open"]
     assert {r.status for r in evidence.verify_bundle(spark, root).collect()} == {"verified"}
-    part = next((tmp_path / "observation" / "rejected").glob("part-*"))
+    files = {r.file: r.rows for r in spark.read.json(root + "/files").collect()}
+    for part, rows_of in {"frame": 5, "rejected": 1}.items():
+        assert sum(n for name, n in files.items() if name.startswith(part + "/")) == rows_of
+    assert any(name.startswith("positions/") for name in files)
+    part = next((tmp_path / "observation" / "positions").glob("part-*"))
     part.with_name(f".{part.name}.crc").unlink()  # the local file system's own checksum
     part.write_bytes(part.read_bytes() + b" ")
     assert {r.status for r in evidence.verify_bundle(spark, root).collect()} == {"verified", "checksum_mismatch"}
@@ -157,6 +161,16 @@ def test_bundle_is_committed_last_and_checked(spark, tmp_path):
         evidence.write_bundle(rows, root, {"run_attempt": "2"})
 
 
+def test_half_written_manifest_is_no_commit(spark, tmp_path):
+    _, rows = audited(spark)
+    root = str(tmp_path / "observation")
+    evidence.write_bundle(rows, root, {"run_attempt": "1", "retrieved_at_utc": "t"})
+    (tmp_path / "observation" / "manifest" / "_SUCCESS").unlink()
+    assert not evidence.is_committed(spark, root)
+    with pytest.raises(ValueError):
+        evidence.read_bundle(spark, root)
+
+
 def test_published_prices_are_in_order(spark, tmp_path):
     _, rows = audited(spark)
     admitted = audit.admitted_rows(rows, audit.frame_verdicts(rows))
