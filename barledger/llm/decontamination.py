@@ -14,11 +14,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barledger.llm.bytework import PLAIN_WORDS, Texts, U64, Words, covered, runs
+from barledger.llm.bytework import PLAIN_WORDS, Texts, U64, Words, bounded, covered, release, runs
 from barledger.llm.shared import bound_batches, join_small, stored
 
 WINDOW = 10
-SHARD_WORDS = 400_000
+SHARD_WORDS = 250_000
 SAMPLE = 16
 #: Bytes of item text that are searched for at once; items beyond it are searched in further blocks.
 BLOCK_BYTES = 8 << 20
@@ -182,46 +182,48 @@ class Shard:
         return out
 
 
-def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row for each shard of docs, as INDEX says."""
+def shards(batches):
+    """Name, ids and index of each shard of whole documents in batches of (doc_id, text)."""
+    release("packing")
+    task, number = TaskContext.get().partitionId(), 0
+    ids, hashes, counts, size = [], [], [], 0
+    for batch in bounded(batches, 1):
+        texts = Texts(batch.column(1), lower=True)
+        words = Words(texts, PLAIN_WORDS)
+        at = 0
+        while at < texts.n:  # as many documents as the shard still has room for, one at least
+            room = words.first[at] + max(SHARD_WORDS - size, 0)
+            to = max(int(np.searchsorted(words.first, room, side="right")) - 1, at + 1)
+            ids.append(batch.column(0).slice(at, to - at))
+            hashes.append(words.hashes[words.first[at] : words.first[to]])
+            counts.append(words.counts[at:to])
+            size += int(words.first[to] - words.first[at])
+            at = to
+            if size >= SHARD_WORDS or at < texts.n:
+                yield f"{task}-{number}", pa.concat_arrays(ids), build_shard(hashes, np.concatenate(counts))
+                number, ids, hashes, counts, size = number + 1, [], [], [], 0
+    if ids:
+        yield f"{task}-{number}", pa.concat_arrays(ids), build_shard(hashes, np.concatenate(counts))
+
+
+def id_text(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, str]:
     bound_batches(docs.sparkSession)
     picked = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    kind = picked.schema["doc_id"].dataType.simpleString()
+    return picked, picked.schema["doc_id"].dataType.simpleString()
+
+
+def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row for each shard of docs, as INDEX says."""
+    picked, kind = id_text(docs, id_col, text_col)
 
     def build(batches):
-        task, number = TaskContext.get().partitionId(), 0
-        ids, hashes, counts, size = [], [], [], 0
-
-        def done():
-            nonlocal number, ids, hashes, counts, size
-            row = build_shard(hashes, np.concatenate(counts))
-            row = {k: v.tobytes() if isinstance(v, np.ndarray) else v for k, v in row.items()}
-            columns = {"shard": [f"{task}-{number}"], "levels": [row["levels"]], "size": [row["size"]]}
-            flat = pa.concat_arrays(ids)
+        for name, ids, row in shards(batches):
             arrays = {
-                "shard": pa.array(columns["shard"]), "doc_ids": pa.ListArray.from_arrays([0, len(flat)], flat),
-                "levels": pa.array(columns["levels"], pa.int32()), "size": pa.array(columns["size"], pa.int32()),
-                **{p: pa.array([row[p]], pa.binary()) for p in PARTS},
+                "shard": pa.array([name]), "doc_ids": pa.ListArray.from_arrays([0, len(ids)], ids),
+                "levels": pa.array([row["levels"]], pa.int32()), "size": pa.array([row["size"]], pa.int32()),
+                **{p: pa.array([row[p].tobytes()], pa.binary()) for p in PARTS},
             }
-            number, ids, hashes, counts, size = number + 1, [], [], [], 0
-            return pa.RecordBatch.from_arrays(list(arrays.values()), list(arrays))
-
-        for batch in batches:
-            texts = Texts(batch.column(1), lower=True)
-            words = Words(texts, PLAIN_WORDS)
-            at = 0
-            while at < texts.n:  # as many whole documents as the shard still has room for, one at least
-                room = words.first[at] + max(SHARD_WORDS - size, 0)
-                to = max(int(np.searchsorted(words.first, room, side="right")) - 1, at + 1)
-                ids.append(batch.column(0).slice(at, to - at))
-                hashes.append(words.hashes[words.first[at] : words.first[to]])
-                counts.append(words.counts[at:to])
-                size += int(words.first[to] - words.first[at])
-                at = to
-                if size >= SHARD_WORDS or at < texts.n:
-                    yield done()
-        if ids:
-            yield done()
+            yield pa.RecordBatch.from_arrays(list(arrays.values()), list(arrays))
 
     return picked.mapInArrow(build, INDEX.format(kind=kind))
 
@@ -246,47 +248,64 @@ def phrases_of(items: list[tuple[str, str | None]], window: int) -> dict[int, tu
 FOUND = "shard string, ordinal int, doc_id {kind}, n_words bigint, starts array<int>, ends array<int>, items array<string>"
 
 
+def found_in(name: str, ids: pa.Array, row: dict, phrases: dict[int, tuple[np.ndarray, list[str]]]) -> pa.RecordBatch:
+    """FOUND of a shard's documents: merged spans of hit words (ends exclusive)."""
+    shard = Shard(row)
+    n = len(shard.starts) - 1
+    hit = np.zeros(shard.size, dtype=bool)
+    owners: dict[int, set[str]] = {}
+    for width, (rows, of) in phrases.items():
+        found, low, high = shard.search(rows)
+        times = high - low
+        which = np.repeat(found, times)
+        offset = np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times)
+        position = shard.locate(np.repeat(low, times) + offset)
+        hit |= covered(position, width, shard.size)
+        doc = np.searchsorted(shard.starts, position, side="right") - 1
+        for d, p in np.unique(np.stack([doc, which], axis=1), axis=0):
+            owners.setdefault(int(d), set()).add(of[p])
+    begin, end = runs(hit)
+    doc = np.searchsorted(shard.starts, begin, side="right") - 1
+    cut = np.searchsorted(doc, np.arange(n + 1)).astype(np.int32)
+    spans = [pa.ListArray.from_arrays(cut, pa.array((x - shard.starts[doc]).astype(np.int32))) for x in (begin, end)]
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([name] * n, pa.string()), pa.array(np.arange(n), pa.int32()), ids,
+            pa.array(np.diff(shard.starts) - 1, pa.int64()), *spans,
+            pa.array([sorted(owners.get(d, ())) for d in range(n)], pa.list_(pa.string())),
+        ],
+        ["shard", "ordinal", "doc_id", "n_words", "starts", "ends", "items"],
+    )
+
+
 def search_index(index: DataFrame, items: list[tuple[str, str | None]], window: int = WINDOW) -> DataFrame:
-    """FOUND of every indexed document for one block of items: merged spans of hit words (ends exclusive)."""
+    """FOUND of every indexed document for one block of items."""
     kind = index.schema["doc_ids"].dataType.elementType.simpleString()
     phrases = index.sparkSession.sparkContext.broadcast(phrases_of(items, window))
 
     def search(batches):
         for batch in batches:
             for i in range(batch.num_rows):
-                row = {name: batch.column(name)[i].as_py() for name in ("shard", "levels", "size", *PARTS)}
-                shard = Shard(row)
-                n = len(shard.starts) - 1
-                hit = np.zeros(shard.size, dtype=bool)
-                owners: dict[int, set[str]] = {}
-                for width, (rows, of) in phrases.value.items():
-                    found, low, high = shard.search(rows)
-                    times = high - low
-                    which = np.repeat(found, times)
-                    offset = np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times)
-                    position = shard.locate(np.repeat(low, times) + offset)
-                    hit |= covered(position, width, shard.size)
-                    doc = np.searchsorted(shard.starts, position, side="right") - 1
-                    for d, p in np.unique(np.stack([doc, which], axis=1), axis=0):
-                        owners.setdefault(int(d), set()).add(of[p])
-                begin, end = runs(hit)
-                doc = np.searchsorted(shard.starts, begin, side="right") - 1
-                cut = np.searchsorted(doc, np.arange(n + 1)).astype(np.int32)
-                spans = [
-                    pa.ListArray.from_arrays(cut, pa.array((x - shard.starts[doc]).astype(np.int32))) for x in (begin, end)
-                ]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([row["shard"]] * n, pa.string()), pa.array(np.arange(n), pa.int32()),
-                        batch.column("doc_ids")[i].values, pa.array(np.diff(shard.starts) - 1, pa.int64()), *spans,
-                        pa.array([sorted(owners.get(d, ())) for d in range(n)], pa.list_(pa.string())),
-                    ],
-                    ["shard", "ordinal", "doc_id", "n_words", "starts", "ends", "items"],
-                )
+                row = {name: batch.column(name)[i].as_py() for name in ("levels", "size", *PARTS)}
+                yield found_in(batch.column("shard")[i].as_py(), batch.column("doc_ids")[i].values, row, phrases.value)
 
     return index.mapInArrow(search, FOUND.format(kind=kind))
 
 
+def index_and_search(
+    docs: DataFrame, items: list[tuple[str, str | None]], id_col: str, text_col: str, window: int
+) -> DataFrame:
+    """The same where one block holds all items: each shard is searched where it is built and not stored."""
+    picked, kind = id_text(docs, id_col, text_col)
+    phrases = docs.sparkSession.sparkContext.broadcast(phrases_of(items, window))
+
+    def search(batches):
+        for name, ids, row in shards(batches):
+            yield found_in(name, ids, row, phrases.value)
+
+    return picked.mapInArrow(search, FOUND.format(kind=kind))
+
+
 def merged(found: DataFrame) -> DataFrame:
     """One row for each document from the rows that several blocks gave: spans united, items joined."""
     spans = F.flatten(F.collect_list(F.arrays_zip("starts", "ends")))
@@ -331,10 +350,10 @@ def contamination(
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), "text")
     size = items.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
     blocks = max(1, -(-size // block_bytes))
-    index = build_index(docs, id_col, text_col)
     if blocks == 1:
-        return search_index(index, [tuple(r) for r in items.collect()], window).drop("shard", "ordinal")
-    index = stored(index, "index")
+        rows = [tuple(r) for r in items.collect()]
+        return index_and_search(docs, rows, id_col, text_col, window).drop("shard", "ordinal")
+    index = stored(build_index(docs, id_col, text_col), "index")
     numbered = stored(items.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(blocks))), "items")
     found = None
     for block in range(blocks):
