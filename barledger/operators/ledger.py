@@ -34,18 +34,49 @@ def until_first_stop(requests: DataFrame, stops: Column, *, skip: Column, hot_ro
     )
 
 
+FRAME_COUNTS = ("frame_rows", "usable_rows", "rejected_rows")
+FAULTS = ("tls_error", "client_error", "exhausted")
+
+
+def frame_outcomes(verdicts: DataFrame, fetches: DataFrame) -> DataFrame:
+    """Outcome of each frame that was answered or asked for: (run_id, symbol, category, row counts).
+
+    ``fetches`` is (run_id, symbol, outcome), the classes of ``functions.market.fetch_outcome``. A
+    denial outranks any other fault, and a fault outranks the verdict: what came before it is no
+    response. Attempts that were received or are worth another one say nothing.
+    """
+    kind = F.when(F.col("outcome") == "denied", F.lit(fv.DENIED)).when(
+        F.col("outcome").isin(*FAULTS), F.lit(fv.PROCESSING_ERROR)
+    )
+    faults = fetches.select("run_id", "symbol", kind.alias("fault")).where(F.col("fault").isNotNull()).groupBy(
+        "run_id", "symbol"
+    ).agg(F.when(F.max(F.col("fault") == fv.DENIED), F.lit(fv.DENIED)).otherwise(F.lit(fv.PROCESSING_ERROR)).alias("fault"))
+    joined = verdicts.join(faults, ["run_id", "symbol"], "full_outer")
+    answered = F.col("fault").isNull()
+    return joined.select(
+        "run_id", "symbol", F.coalesce("fault", "category").alias("category"),
+        *[F.when(answered, F.col(name)).alias(name) for name in FRAME_COUNTS],
+    )
+
+
 def price_ledger(
     requested: DataFrame, outcomes: DataFrame, *, continue_after_row_rejection: bool = False,
-    hot_rows: int = HOT_ROWS,
+    defer_archival_prices: bool = True, carry: tuple[str, ...] = (), hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Long-form price ledger: one row per requested (run_id, ordinal, symbol).
 
-    ``requested`` has a boolean ``deferred`` column. ``outcomes`` is (run_id, symbol, category);
-    a request without an outcome counts as an unverified response.
+    ``requested`` has a boolean ``deferred`` column, which counts unless ``defer_archival_prices``
+    is off. ``outcomes`` is (run_id, symbol, category) and the columns to ``carry``, which are null
+    for requests that were not attempted; a request without an outcome is an unverified response.
     """
-    if not isinstance(continue_after_row_rejection, bool):
-        raise TypeError("continue_after_row_rejection must be a bool")
-    joined = requested.join(outcomes.select("run_id", "symbol", "category"), ["run_id", "symbol"], "left")
+    for name, flag in (
+        ("continue_after_row_rejection", continue_after_row_rejection), ("defer_archival_prices", defer_archival_prices),
+    ):
+        if not isinstance(flag, bool):
+            raise TypeError(f"{name} must be a bool")
+    if not defer_archival_prices:
+        requested = requested.withColumn("deferred", F.lit(False))
+    joined = requested.join(outcomes.select("run_id", "symbol", "category", *carry), ["run_id", "symbol"], "left")
     known = joined.withColumn("category", F.coalesce(F.col("category"), F.lit(fv.UNVERIFIED_RESPONSE)))
     passable = [fv.ADMITTED] + ([fv.ROW_QUALITY_REJECTED] if continue_after_row_rejection else [])
     ledger = until_first_stop(
@@ -60,14 +91,16 @@ def price_ledger(
         (~F.col("attempted") & ~F.col("deferred")).alias("pending_provider"),
         (F.col("attempted") & (F.col("category") == fv.ROW_QUALITY_REJECTED)).alias("row_quality_rejected"),
         "is_stop",
+        *[F.when(F.col("attempted"), F.col(name)).alias(name) for name in carry],
     )
 
 
-def run_coverage(ledger: DataFrame) -> DataFrame:
+def run_coverage(ledger: DataFrame, *, sums: tuple[str, ...] = ()) -> DataFrame:
     """One row per run over the full requested denominator.
 
     ``success`` needs every requested identity returned. A run without a stop reason only went
-    through its list; it is not thereby complete. A denial raises in the collector.
+    through its list; it is not thereby complete. A denial raises in the collector. ``sums`` are
+    further columns to add up. All of it is one aggregation: a run has one stop at most.
     """
     counted = ledger.groupBy("run_id").agg(
         F.count(F.lit(1)).alias("requested"),
@@ -79,11 +112,13 @@ def run_coverage(ledger: DataFrame) -> DataFrame:
         F.count_if(~F.col("returned")).alias("not_returned"),
         F.count_if(F.col("pending_provider")).alias("pending_provider"),
         F.count_if(F.col("row_quality_rejected")).alias("row_quality_rejected"),
+        *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in sums],
+        F.max(F.when(F.col("is_stop"), F.struct("symbol", "category"))).alias("__stop"),
     )
-    stops = ledger.where(F.col("is_stop")).select(
-        "run_id", F.col("symbol").alias("stop_symbol"), F.col("category").alias("stop_category")
-    )
-    return counted.join(stops, "run_id", "left").withColumns({
+    stopped = counted.withColumns({
+        "stop_symbol": F.col("__stop.symbol"), "stop_category": F.col("__stop.category"),
+    }).drop("__stop")
+    return stopped.withColumns({
         "raised": F.coalesce(F.col("stop_category") == fv.DENIED, F.lit(False)),
         "success": (F.col("returned") > 0) & (F.col("not_returned") == 0),
         "historical_completeness": F.lit(fv.NOT_VERIFIED),
@@ -174,21 +209,11 @@ def run_summary(statuses: DataFrame) -> DataFrame:
     })
 
 
-def history_audit(ledger: DataFrame, verdicts: DataFrame) -> DataFrame:
+def history_audit(ledger: DataFrame) -> DataFrame:
     """One row per run: its coverage with the row accounting of the frames it attempted.
 
-    Success is the collector's: the whole denominator returned.
+    ``ledger`` carries FRAME_COUNTS. Success is the collector's: the whole denominator returned.
     """
-    frames = (
-        ledger.where(F.col("attempted"))
-        .join(verdicts.select("run_id", "symbol", "frame_rows", "usable_rows", "rejected_rows"),
-              ["run_id", "symbol"], "left")
-        .groupBy("run_id")
-        .agg(*[
-            F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in ("frame_rows", "usable_rows", "rejected_rows")
-        ])
-    )
-    zero = {name: 0 for name in ("frame_rows", "usable_rows", "rejected_rows")}
-    return run_coverage(ledger).join(frames, "run_id", "left").fillna(zero).withColumn(
+    return run_coverage(ledger, sums=FRAME_COUNTS).withColumn(
         "kind", F.lit("bounded_historical_diagnostic_not_full_production")
     )

@@ -125,9 +125,18 @@ deferred AS (
 """
 
 LEDGER = DEFERRED + "," + VERDICTS + """,
+fetched AS (
+  SELECT '199' || CAST(CAST(json_extract_string(props, '$.k') AS BIGINT) % 7 + 2 AS VARCHAR) || '-'
+      || lpad(CAST(day(ts) % 12 + 1 AS VARCHAR), 2, '0') AS run_id,
+    'S' || CAST(user_id AS VARCHAR) || '.NS' AS symbol, value < 50 AS denied
+  FROM events WHERE event_type = 'error'),
+faults AS (SELECT run_id, symbol, bool_or(denied) AS denied FROM fetched GROUP BY run_id, symbol),
 known AS (
-  SELECT d.run_id, d.ordinal, d.symbol, d.deferred, coalesce(v.category, 'unverified_response') AS category
-  FROM deferred d LEFT JOIN verdicts v ON d.run_id = v.run_id AND d.symbol = v.symbol),
+  SELECT d.run_id, d.ordinal, d.symbol, d.deferred,
+    CASE WHEN f.denied THEN 'source_denied_or_rate_limited' WHEN f.run_id IS NOT NULL THEN 'source_or_processing_error'
+      ELSE coalesce(v.category, 'unverified_response') END AS category
+  FROM deferred d LEFT JOIN verdicts v ON d.run_id = v.run_id AND d.symbol = v.symbol
+    LEFT JOIN faults f ON d.run_id = f.run_id AND d.symbol = f.symbol),
 stops AS (
   SELECT run_id, min(ordinal) AS stop_ordinal FROM known
   WHERE NOT deferred AND category NOT IN ('admitted_frame', 'row_quality_rejected') GROUP BY run_id),
@@ -149,7 +158,7 @@ coverage AS (
     count(*) FILTER (NOT returned) AS not_returned, count(*) FILTER (pending_provider) AS pending_provider,
     count(*) FILTER (row_quality_rejected) AS row_quality_rejected,
     max(CASE WHEN is_stop THEN symbol END) AS stop_symbol, max(CASE WHEN is_stop THEN category END) AS stop_category,
-    false AS raised, count(*) FILTER (returned) > 0 AND count(*) FILTER (NOT returned) = 0 AS success,
+    coalesce(max(CASE WHEN is_stop THEN category END) = 'source_denied_or_rate_limited', false) AS raised, count(*) FILTER (returned) > 0 AND count(*) FILTER (NOT returned) = 0 AS success,
     'not_verified' AS historical_completeness
   FROM ledger GROUP BY run_id)
 """
@@ -400,7 +409,8 @@ FROM ledger WHERE returned GROUP BY ALL""")
 oracle("history_audit", f"""WITH {LEDGER}, frames AS (
   SELECT l.run_id, CAST(sum(frame_rows) AS BIGINT) AS frame_rows, CAST(sum(usable_rows) AS BIGINT) AS usable_rows,
     CAST(sum(rejected_rows) AS BIGINT) AS rejected_rows
-  FROM ledger l JOIN verdicts v ON l.run_id = v.run_id AND l.symbol = v.symbol WHERE l.attempted GROUP BY l.run_id)
+  FROM ledger l JOIN verdicts v ON l.run_id = v.run_id AND l.symbol = v.symbol
+  WHERE l.attempted AND l.category NOT IN ('source_denied_or_rate_limited', 'source_or_processing_error') GROUP BY l.run_id)
 SELECT c.run_id, 'bounded_historical_diagnostic_not_full_production' AS kind, requested, attempted, returned, not_returned,
   stop_symbol, stop_category, coalesce(frame_rows, 0) AS frame_rows, coalesce(usable_rows, 0) AS usable_rows,
   coalesce(rejected_rows, 0) AS rejected_rows, success

@@ -288,35 +288,36 @@ def provider_candidates(spark: SparkSession, sf: str) -> DataFrame:
     return identity.provider_candidates(requested, _worklist(spark, sf))
 
 
-def _price_ledger(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+def _price_ledger(spark: SparkSession, sf: str, carry: tuple[str, ...] = ()) -> DataFrame:
     requested = identity.defer_by_policy(views.requests(spark, sf), views.policies(spark, sf), F.col("start"))
     verdicts = audit.frame_verdicts(_audited(spark, sf))
-    rows = ledger.price_ledger(
-        requested.select("run_id", "ordinal", "symbol", "deferred"), verdicts, continue_after_row_rejection=True
+    outcome = fetch_outcome(F.col("status"), F.col("error_kind"), F.col("attempt")).alias("outcome")
+    outcomes = ledger.frame_outcomes(verdicts, views.price_fetches(spark, sf).select("run_id", "symbol", outcome))
+    return ledger.price_ledger(
+        requested.select("run_id", "ordinal", "symbol", "deferred"), outcomes, continue_after_row_rejection=True,
+        carry=carry,
     )
-    return rows, verdicts
 
 
 @query
 def price_ledger(spark: SparkSession, sf: str) -> DataFrame:
-    return _price_ledger(spark, sf)[0]
+    return _price_ledger(spark, sf)
 
 
 @query
 def price_coverage(spark: SparkSession, sf: str) -> DataFrame:
-    return ledger.run_coverage(_price_ledger(spark, sf)[0])
+    return ledger.run_coverage(_price_ledger(spark, sf))
 
 
 @query
 def returned_symbols(spark: SparkSession, sf: str) -> DataFrame:
-    rows = ledger.ordered_symbols(_price_ledger(spark, sf)[0], "returned")
+    rows = ledger.ordered_symbols(_price_ledger(spark, sf), "returned")
     return rows.select("run_id", "block", joined("symbols").alias("symbols"))
 
 
 @query
 def history_audit(spark: SparkSession, sf: str) -> DataFrame:
-    rows, verdicts = _price_ledger(spark, sf)
-    return ledger.history_audit(rows, verdicts).select(
+    return ledger.history_audit(_price_ledger(spark, sf, ledger.FRAME_COUNTS)).select(
         "run_id", "kind", "requested", "attempted", "returned", "not_returned", "stop_symbol", "stop_category",
         "frame_rows", "usable_rows", "rejected_rows", "success",
     )

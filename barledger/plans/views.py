@@ -347,6 +347,21 @@ def event_number(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").withColumn("k", F.get_json_object("props", "$.k").cast("bigint"))
 
 
+def price_fetches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event as a fetch of its user's frame in a monthly run: errors are denials or faults after the last attempt."""
+    event = event_number(spark, sf_dir)
+    failed = F.col("event_type") == "error"
+    run = F.concat(
+        F.lit("199"), (F.col("k") % 7 + 2).cast("string"), F.lit("-"),
+        F.lpad((F.dayofmonth("ts") % 12 + 1).cast("string"), 2, "0"),
+    )
+    return event.select(
+        run.alias("run_id"), provider_symbol(F.col("user_id")).alias("symbol"),
+        F.when(failed & (F.col("value") < 50), F.lit(403)).when(failed, F.lit(500)).otherwise(F.lit(200)).alias("status"),
+        F.lit(None).cast("string").alias("error_kind"), F.lit(3).alias("attempt"),
+    )
+
+
 def deal_fetches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last fetch of each user (as run), family and day."""
     event = event_number(spark, sf_dir)

@@ -154,3 +154,29 @@ def test_latest_policy_in_force_applies_once(spark):
         spark.createDataFrame([("A.NS",)], "symbol string"), spark.createDataFrame(rows, schema), date(2022, 1, 1)
     ).collect()
     assert [row.policy_id for row in found] == ["p2"]
+
+
+def test_fetch_faults_outrank_verdicts(spark):
+    verdicts = spark.createDataFrame(
+        [("r", s, ADMITTED, 2, 2, 0) for s in ("A", "B", "C")],
+        "run_id string, symbol string, category string, frame_rows bigint, usable_rows bigint, rejected_rows bigint",
+    )
+    fetches = spark.createDataFrame(
+        [("r", "A", "received"), ("r", "A", "retry"), ("r", "B", "exhausted"), ("r", "B", "denied"), ("r", "D", "tls_error")],
+        "run_id string, symbol string, outcome string",
+    )
+    found = {r.symbol: (r.category, r.frame_rows) for r in ledger.frame_outcomes(verdicts, fetches).collect()}
+    assert found == {"A": (ADMITTED, 2), "B": (fv.DENIED, None), "C": (ADMITTED, 2), "D": (fv.PROCESSING_ERROR, None)}
+    rows = ledger.price_ledger(
+        requested(spark, ["A", "B", "C"]), ledger.frame_outcomes(verdicts, fetches), carry=ledger.FRAME_COUNTS
+    )
+    run = ledger.history_audit(rows).first()
+    assert (run.attempted, run.frame_rows, run.stop_symbol, run.raised) == (2, 2, "B", True)
+
+
+def test_deferral_can_be_off_and_flags_are_boolean(spark):
+    wanted, given = requested(spark, ["A.NS"], deferred=("A.NS",)), outcomes(spark, {"A.NS": ADMITTED})
+    assert ledger.run_coverage(ledger.price_ledger(wanted, given)).first().returned == 0
+    assert ledger.run_coverage(ledger.price_ledger(wanted, given, defer_archival_prices=False)).first().success
+    with pytest.raises(TypeError):
+        ledger.price_ledger(wanted, given, defer_archival_prices="yes")
