@@ -27,20 +27,24 @@ bars AS (
 RAW = f"""
 base AS (
   SELECT *, CAST(round(l_discount * 100) AS BIGINT) AS d, CAST(round(l_tax * 100) AS BIGINT) AS t,
-    l_extendedprice AS p, l_quantity AS q, l_shipdate + to_hours(l_linenumber) AS stamp
+    l_extendedprice AS p, l_quantity AS q, l_shipdate + to_hours(l_linenumber) AS stamp,
+    CASE WHEN CAST(round(l_discount * 100) AS BIGINT) = 7 AND l_linenumber >= 6 THEN CAST(round(l_tax * 100) AS BIGINT) ELSE -1 END AS rare
   FROM lineitem),
 raw AS (
   SELECT strftime(l_shipdate, '%Y-%m') AS run_id, {SYMBOL} AS symbol, l_orderkey * 10 + l_linenumber AS row_position,
     CASE WHEN d = 9 AND t = 6 THEN NULL WHEN d = 9 AND t = 5 THEN stamp + INTERVAL 31 DAY ELSE stamp END AS ts,
-    CASE WHEN (d = 10 AND t = 8) OR (d = 8 AND t = 8) THEN CASE WHEN q > 25 THEN CAST('NaN' AS DOUBLE) END ELSE p END AS open,
+    CASE WHEN (d = 10 AND t = 8) OR (d = 8 AND t = 8) THEN CASE WHEN q > 25 THEN CAST('NaN' AS DOUBLE) END
+         WHEN rare = 3 THEN CAST('Infinity' AS DOUBLE) WHEN rare = 7 THEN 0.0 ELSE p END AS open,
     CASE WHEN (d = 10 AND t = 7) OR (d = 8 AND t = 8) THEN CAST('Infinity' AS DOUBLE)
-         WHEN d = 9 AND t = 7 THEN p - q - 100 ELSE p + d END AS high,
-    CASE WHEN d = 10 AND t = 6 THEN 0.0 WHEN d = 8 AND t = 8 THEN -1.0 ELSE p - q - t END AS low,
-    p - q AS close,
+         WHEN d = 9 AND t = 7 THEN p - q - 100 WHEN rare = 0 THEN NULL WHEN rare = 8 THEN -1.0 ELSE p + d END AS high,
+    CASE WHEN d = 10 AND t = 6 THEN 0.0 WHEN d = 8 AND t = 8 THEN -1.0 WHEN rare = 1 THEN NULL
+         WHEN rare = 4 THEN CAST('Infinity' AS DOUBLE) ELSE p - q - t END AS low,
+    CASE WHEN rare = 2 THEN CAST('NaN' AS DOUBLE) WHEN rare = 5 THEN CAST('Infinity' AS DOUBLE)
+         WHEN d = 6 AND t = 8 AND l_linenumber >= 6 THEN 0.0 ELSE p - q END AS close,
     CASE WHEN d = 9 AND t = 8 THEN 'bad' WHEN l_returnflag = 'N' THEN NULL
          ELSE CAST(CAST(q AS BIGINT) AS VARCHAR) END AS adj_close,
     CASE WHEN (d = 10 AND t = 5) OR (d = 8 AND t = 8) THEN -q WHEN d = 10 AND t = 4 THEN q + 0.5
-         WHEN d = 10 AND t = 3 THEN NULL ELSE q END AS volume,
+         WHEN d = 10 AND t = 3 THEN NULL WHEN rare = 6 THEN CAST('Infinity' AS DOUBLE) ELSE q END AS volume,
     CAST(date_trunc('month', l_shipdate) AS DATE) AS request_start,
     CAST(date_trunc('month', l_shipdate) + INTERVAL 1 MONTH AS DATE) AS request_end
   FROM base)

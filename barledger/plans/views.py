@@ -83,8 +83,10 @@ def raw_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("l_shipdate") + F.make_dt_interval(F.lit(0), F.col("l_linenumber"))).alias("stamp"),
     )
     d, t, p, q = (F.col(name) for name in "dtpq")
-    null = F.lit(None).cast("double")
+    null, infinite = F.lit(None).cast("double"), F.lit(float("inf"))
     many = (d == 8) & (t == 8)
+    # late lines with this discount break one more field each, by their tax
+    rare = lambda tax: (d == 7) & (t == tax) & (F.col("l_linenumber") >= 6)
     return base.select(
         month(F.col("l_shipdate")).alias("run_id"),
         provider_symbol(F.col("l_suppkey")).alias("symbol"),
@@ -93,16 +95,19 @@ def raw_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when((d == 9) & (t == 5), F.col("stamp") + F.expr("interval 31 days"))
         .otherwise(F.col("stamp")).alias("ts"),
         F.when(((d == 10) & (t == 8)) | many, F.when(q > 25, F.lit(float("nan"))).otherwise(null))
-        .otherwise(p).alias("open"),
-        F.when(((d == 10) & (t == 7)) | many, F.lit(float("inf")))
+        .when(rare(3), infinite).when(rare(7), F.lit(0.0)).otherwise(p).alias("open"),
+        F.when(((d == 10) & (t == 7)) | many, infinite)
         .when((d == 9) & (t == 7), p - q - 100)
+        .when(rare(0), null).when(rare(8), F.lit(-1.0))
         .otherwise(p + d).alias("high"),
-        F.when((d == 10) & (t == 6), F.lit(0.0)).when(many, F.lit(-1.0)).otherwise(p - q - t).alias("low"),
-        (p - q).alias("close"),
+        F.when((d == 10) & (t == 6), F.lit(0.0)).when(many, F.lit(-1.0)).when(rare(1), null).when(rare(4), infinite)
+        .otherwise(p - q - t).alias("low"),
+        F.when(rare(2), F.lit(float("nan"))).when(rare(5), infinite)
+        .when((d == 6) & (t == 8) & (F.col("l_linenumber") >= 6), F.lit(0.0)).otherwise(p - q).alias("close"),
         F.when((d == 9) & (t == 8), F.lit("bad")).when(F.col("l_returnflag") == "N", F.lit(None))
         .otherwise(q.cast("bigint").cast("string")).alias("adj_close"),
         F.when(((d == 10) & (t == 5)) | many, -q).when((d == 10) & (t == 4), q + 0.5)
-        .when((d == 10) & (t == 3), null).otherwise(q).alias("volume"),
+        .when((d == 10) & (t == 3), null).when(rare(6), infinite).otherwise(q).alias("volume"),
         day(F.trunc("l_shipdate", "month")).alias("request_start"),
         F.add_months(F.trunc("l_shipdate", "month"), 1).alias("request_end"),
     )
