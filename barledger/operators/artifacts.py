@@ -40,18 +40,24 @@ def price_sample_checks(
 ) -> DataFrame:
     """Per key: the exact expected date set, one row per date, and single-valued provenance."""
     keys = list(keys)
-    dates = date_set_difference(expected, prices, keys)
-    rows = prices.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(F.col("source").isNull() | (F.col("source") != fv.PRICE_SOURCE)).alias("foreign_source"),
-        F.count_if(F.col("provider_symbol").isNull() | (F.col("provider_symbol") != provider_symbol)).alias(
-            "foreign_symbol"
-        ),
+    both = [*keys, "date"]
+    wanted = expected.select(*both).distinct().withColumn("__expected", F.lit(True))
+    found = prices.groupBy(*both).agg(
+        F.count(F.lit(1)).alias("__rows"),
+        F.count_if(F.col("source").isNull() | (F.col("source") != fv.PRICE_SOURCE)).alias("__source"),
+        F.count_if(F.col("provider_symbol").isNull() | (F.col("provider_symbol") != provider_symbol)).alias("__symbol"),
+    )
+    # one join by date of what both sides have, one aggregation of it
+    facts = wanted.join(found, both, "full_outer").groupBy(*keys).agg(
+        F.count_if(F.col("__rows").isNull()).alias("missing_dates"),
+        F.count_if(F.col("__expected").isNull()).alias("unexpected_dates"),
+        F.count_if(F.col("__expected")).alias("expected_rows"),
+        F.sum("__rows").alias("rows"),
+        F.sum("__source").alias("foreign_source"),
+        F.sum("__symbol").alias("foreign_symbol"),
     )
-    wanted = expected.select(*keys, "date").distinct().groupBy(*keys).agg(F.count(F.lit(1)).alias("expected_rows"))
     return (
-        dates.join(rows, keys, "left")
-        .join(wanted, keys, "left")
+        facts
         .select(
             *keys,
             ((F.col("missing_dates") == 0) & (F.col("unexpected_dates") == 0)).alias("dates_match"),
