@@ -1,27 +1,29 @@
 """Audit landed price files as a stream.
 
-The row rules are stateless. The duplicate-day rule rejects both copies, so it needs the whole
-frame. A landed file holds the whole frame of its response and a file is never split over batches,
-so the audit of a batch is the batch audit.
-Each batch writes into its own directory and replaces it when the batch is run again, which makes
-the sink exactly-once.
+The duplicate-day rule and a frame's verdict need the whole frame, and a frame may come in several
+files and batches. So every batch first keeps what it brought, then judges each frame it touched
+over everything that has landed of it; the last verdict of a frame is the one that holds.
+Each batch writes into its own directories and replaces them when it is run again, which makes the
+sink exactly-once: a batch never reads what later ones brought.
 """
 
 from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from barledger import fixed_values as fv
-from barledger.operators.audit import audit_rows, frame_verdicts
+from barledger.operators.audit import FRAME_KEYS, audit_rows, frame_verdicts
 
 FRAME_SCHEMA = (
     "run_id string, symbol string, row_position bigint, ts timestamp_ntz, open double, high double, "
     "low double, close double, adj_close double, volume double"
 )
 
+PARTITION = T.StructField("batch", T.LongType())
+
 
 def stream_frames(spark: SparkSession, landing: str, schema: str = FRAME_SCHEMA) -> DataFrame:
     return spark.readStream.schema(schema).parquet(landing)
@@ -30,11 +32,16 @@ def stream_frames(spark: SparkSession, landing: str, schema: str = FRAME_SCHEMA)
 def start_audit(
     frames: DataFrame, output: str, checkpoint: str, start: date, end: date, *, available_now: bool = True,
 ) -> StreamingQuery:
-    """Write ``rows/batch=…`` (by acceptance) and then ``verdicts/batch=…`` for every batch."""
+    """Write ``landed/batch=…``, ``rows/batch=…`` (by acceptance) and ``verdicts/batch=…`` for every batch."""
 
     def audit_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        audited = audit_rows(batch, start, end)
+        kept = f"{output}/landed"
+        batch.write.mode("overwrite").parquet(f"{kept}/batch={batch_id}")
+        brought = spark.read.schema(batch.schema).parquet(f"{kept}/batch={batch_id}").select(*FRAME_KEYS).distinct()
+        so_far = spark.read.schema(T.StructType([*batch.schema, PARTITION])).parquet(kept).where(F.col("batch") <= batch_id)
+        frames_now = so_far.drop("batch").join(brought, list(FRAME_KEYS), "left_semi")
+        audited = audit_rows(frames_now, start, end)
         rows = f"{output}/rows/batch={batch_id}"
         audited.write.mode("overwrite").partitionBy("accepted").parquet(rows)
         stored = spark.read.schema(audited.schema).parquet(rows)
@@ -43,3 +50,11 @@ def start_audit(
 
     writer = frames.writeStream.foreachBatch(audit_batch).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
+def current(spark: SparkSession, output: str, what: str = "verdicts") -> DataFrame:
+    """``verdicts`` or ``rows`` as they hold now: of each frame those of the last batch that touched it."""
+    verdicts = spark.read.parquet(f"{output}/verdicts")
+    last = verdicts.groupBy(*FRAME_KEYS).agg(F.max("batch").alias("batch"))
+    table = verdicts if what == "verdicts" else spark.read.parquet(f"{output}/{what}")
+    return table.join(last, [*FRAME_KEYS, "batch"], "left_semi")

@@ -215,6 +215,21 @@ def test_stream_of_landed_frames_equals_batch(spark, tmp_path):
     assert verdicts == {"A.NS": (0, True), "B.NS": (1, False)}
 
 
+def test_a_frame_over_several_batches_is_judged_as_one(spark, tmp_path):
+    frame, _ = audited(spark)
+    landing, out = str(tmp_path / "landing"), str(tmp_path / "out")
+    one = frame.where("symbol = 'A.NS'")
+    again = one.where("row_position = 0").withColumn("row_position", F.lit(9).cast("bigint"))
+    for part in (one, again, frame.where("symbol = 'B.NS'")):
+        part.coalesce(1).write.mode("append").parquet(landing)
+        landed.start_audit(
+            landed.stream_frames(spark, landing), out, str(tmp_path / "checkpoint"), date(2026, 9, 14), date(2026, 9, 19)
+        ).awaitTermination(120)
+    verdicts = {r.symbol: (r.batch, r.passed, r.rejected_rows) for r in landed.current(spark, out).collect()}
+    assert verdicts == {"A.NS": (1, False, 2), "B.NS": (2, False, 1)}
+    assert landed.current(spark, out, "rows").count() == 6
+
+
 HEADER = "Date,Open,High,Low,Close,Adj Close,Volume\n"
 ROWS = "2026-09-14,10,12,9,11,5.5,100\n2026-09-15,11,13,10,12,,200\n"
 
