@@ -10,7 +10,6 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from barledger import fixed_values as fv
 from barledger.operators.deals import check_request
 from barledger.operators.quality import clean_rows
 from barledger.operators.skew import HOT_ROWS, attach_by_key
