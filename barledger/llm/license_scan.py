@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barledger.llm.bytework import PLAIN_WORDS, Texts, U64, Words, bounded
+from barledger.llm.bytework import PLAIN_WORDS, Texts, Words, bounded
 from barledger.llm.shared import bound_batches, join_small, stored
 
 #: Notices and opening lines of licences, by name: fixed values.

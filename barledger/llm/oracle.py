@@ -6,6 +6,28 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 PLAIN = rf"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 SPACED = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
+NEAR_DEDUP = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x20\x09-\x0D]+') AS w FROM documents
+),
+sets AS (
+  SELECT DISTINCT doc_id, g FROM (
+    SELECT doc_id, unnest(CASE WHEN len(w) >= 3 THEN [array_to_string(w[i : i + 2], ' ') FOR i IN range(1, len(w) - 1)]
+      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM d)
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i FROM sets a JOIN sets b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL
+),
+links AS (
+  SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * i >= 85 * (p.n + q.n - i)
+),
+sides AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT r.doc_id, y FROM reach r JOIN sides ON r.other = x)
+SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id, min(other) = doc_id AS kept
+FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+"""
+
 DECONTAMINATION = rf"""
 WITH d AS (SELECT doc_id, {PLAIN} AS w FROM documents),
 items AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {PLAIN} AS w FROM benchmark),
@@ -75,6 +97,7 @@ FROM judged LEFT JOIN rates USING (source)
 """
 
 ORACLES: dict[str, str] = {
+    "op2_near_dedup": NEAR_DEDUP,
     "op6_decontamination": DECONTAMINATION,
     "op8_warc": WARC,
     "op9_quality_rules": QUALITY_RULES,
