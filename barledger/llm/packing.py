@@ -324,7 +324,8 @@ def pack(
     last sequence is shorter than `sequence`. Other columns of docs are not read. An empty table has no pieces.
     """
     tokens = stored(tokenized(docs, tokenizer_path, id_col, text_col, end_id), "tokens")
-    placed = tokens.select("row_key", "doc_id", "ids", "width").join(places(tokens), "row_key")
+    # places has a row for each document, so it is never broadcast
+    placed = tokens.select("row_key", "doc_id", "ids", "width").join(places(tokens).hint("merge"), "row_key")
 
     def cut(batches):
         for batch in batches:
