@@ -588,6 +588,11 @@ SELECT DISTINCT symbol, start, chart_code, CAST(NULL AS DATE), CAST(NULL AS DOUB
   CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE)
 FROM coded WHERE chart_code IS NOT NULL""")
 
+oracle("kept_bodies", f"""WITH {CHARTS}, docs AS (
+  SELECT symbol, start, max(chart_code) AS code, count(*) AS n, day(start) = 11 AS failed FROM coded GROUP BY symbol, start)
+SELECT symbol, start, CASE WHEN NOT failed THEN code END AS chart_code, code IS NULL AND NOT failed AS kept,
+  CASE WHEN code IS NULL AND NOT failed THEN n END AS sessions FROM docs""")
+
 oracle("reconcile_dates", f"WITH {CHARTS} SELECT symbol, start, date, class AS classification FROM paired")
 
 oracle("reconcile_cells", f"""WITH {CHARTS}

@@ -518,6 +518,18 @@ def chart_decode(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("symbol", "start", "chart_code", *[F.col(f"s.{n}").alias(n) for n in ("date", *fv.CHART_FIELDS)])
 
 
+@query
+def kept_bodies(spark: SparkSession, sf: str) -> DataFrame:
+    """Which bodies stay, with the sessions in them; some windows' fetches failed though a body came with them."""
+    status = F.when(F.dayofmonth("start") == 11, F.lit(503)).otherwise(F.lit(200))
+    kept = charts.keep_valid_bodies(_decoded(spark, sf).withColumn("status_code", status))
+    stamps = F.from_json(F.get_json_object("body", "$.chart.result[0].timestamp"), "array<bigint>")
+    return kept.select(
+        "symbol", "start", "chart_code", F.col("body").isNotNull().alias("kept"),
+        F.when(F.col("body").isNotNull(), F.size(stamps)).cast("bigint").alias("sessions"),
+    )
+
+
 def _sides(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Source rows of the valid documents, all adapter rows, and all documents; documents are decoded once."""
     decoded = _decoded(spark, sf)
