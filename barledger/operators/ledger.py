@@ -38,6 +38,17 @@ FRAME_COUNTS = ("frame_rows", "usable_rows", "rejected_rows")
 FAULTS = ("tls_error", "client_error", "exhausted")
 
 
+def fetch_faults(fetches: DataFrame) -> DataFrame:
+    """(run_id, symbol, fault) of fetches (run_id, symbol, outcome); a denial outranks any other fault."""
+    kind = F.when(F.col("outcome") == "denied", F.lit(fv.DENIED)).when(
+        F.col("outcome").isin(*FAULTS), F.lit(fv.PROCESSING_ERROR)
+    )
+    denied = F.max(F.col("fault") == fv.DENIED)
+    return fetches.select("run_id", "symbol", kind.alias("fault")).where(F.col("fault").isNotNull()).groupBy(
+        "run_id", "symbol"
+    ).agg(F.when(denied, F.lit(fv.DENIED)).otherwise(F.lit(fv.PROCESSING_ERROR)).alias("fault"))
+
+
 def frame_outcomes(verdicts: DataFrame, fetches: DataFrame) -> DataFrame:
     """Outcome of each frame that was answered or asked for: (run_id, symbol, category, row counts).
 
@@ -45,13 +56,7 @@ def frame_outcomes(verdicts: DataFrame, fetches: DataFrame) -> DataFrame:
     denial outranks any other fault, and a fault outranks the verdict: what came before it is no
     response. Attempts that were received or are worth another one say nothing.
     """
-    kind = F.when(F.col("outcome") == "denied", F.lit(fv.DENIED)).when(
-        F.col("outcome").isin(*FAULTS), F.lit(fv.PROCESSING_ERROR)
-    )
-    faults = fetches.select("run_id", "symbol", kind.alias("fault")).where(F.col("fault").isNotNull()).groupBy(
-        "run_id", "symbol"
-    ).agg(F.when(F.max(F.col("fault") == fv.DENIED), F.lit(fv.DENIED)).otherwise(F.lit(fv.PROCESSING_ERROR)).alias("fault"))
-    joined = verdicts.join(faults, ["run_id", "symbol"], "full_outer")
+    joined = verdicts.join(fetch_faults(fetches), ["run_id", "symbol"], "full_outer")
     answered = F.col("fault").isNull()
     return joined.select(
         "run_id", "symbol", F.coalesce("fault", "category").alias("category"),
@@ -140,16 +145,29 @@ def ordered_symbols(ledger: DataFrame, flag: str, *, block: int = 1000) -> DataF
     )
 
 
-def snapshot_ledger(requested: DataFrame, outcomes: DataFrame, *, hot_rows: int = HOT_ROWS) -> DataFrame:
+def snapshot_ledger(
+    requested: DataFrame, outcomes: DataFrame, fetches: DataFrame | None = None, *, hot_rows: int = HOT_ROWS,
+) -> DataFrame:
     """Fundamentals ledger: deferred identities are skipped, the first failed one stops the run.
 
-    ``outcomes`` is (run_id, symbol, accepted); no outcome is a failure.
+    ``outcomes`` is (run_id, symbol, accepted) and, if given, the ``fault`` of a document that was
+    not; ``fetches`` is (run_id, symbol, outcome), whose faults outrank it. No outcome is a failure.
     """
-    joined = requested.join(outcomes.select("run_id", "symbol", "accepted"), ["run_id", "symbol"], "left")
-    known = joined.withColumn("accepted", F.coalesce(F.col("accepted"), F.lit(False)))
+    fault = F.col("fault") if "fault" in outcomes.columns else F.lit(None).cast("string")
+    given = outcomes.select("run_id", "symbol", "accepted", fault.alias("__fault"))
+    joined = requested.join(given, ["run_id", "symbol"], "left")
+    if fetches is None:
+        joined = joined.withColumn("fault", F.lit(None).cast("string"))
+    else:
+        joined = joined.join(fetch_faults(fetches), ["run_id", "symbol"], "left")
+    accepted = F.coalesce(F.col("accepted"), F.lit(False)) & F.col("fault").isNull()
+    known = joined.withColumn("accepted", accepted).withColumn(
+        "reason", F.when(~F.col("accepted"), F.coalesce("fault", "__fault", F.lit(fv.UNVERIFIED_RESPONSE)))
+    )
     ledger = until_first_stop(known, ~F.col("accepted"), skip=F.col("deferred"), hot_rows=hot_rows)
     return ledger.select(
-        *requested.columns, "attempted", (F.col("attempted") & F.col("accepted")).alias("returned"), "is_stop"
+        *requested.columns, "attempted", (F.col("attempted") & F.col("accepted")).alias("returned"),
+        F.when(F.col("attempted"), F.col("reason")).alias("reason"), "is_stop",
     )
 
 
@@ -160,8 +178,13 @@ def snapshot_coverage(ledger: DataFrame, retrieved_at: Column) -> DataFrame:
         F.count_if(F.col("deferred")).alias("deferred"),
         F.count_if(F.col("returned")).alias("returned"),
         F.count_if(~F.col("returned")).alias("not_returned"),
+        F.max(F.when(F.col("is_stop"), F.struct("symbol", "reason"))).alias("__stop"),
     )
-    return counted.withColumns({
+    stopped = counted.withColumns({
+        "stop_symbol": F.col("__stop.symbol"), "stop_reason": F.col("__stop.reason"),
+    }).drop("__stop")
+    return stopped.withColumns({
+        "raised": F.coalesce(F.col("stop_reason") == fv.DENIED, F.lit(False)),
         "success": (F.col("returned") > 0) & (F.col("not_returned") == 0),
         "snapshot_as_of_date_ist": day_of_instant(retrieved_at),
         "historical_completeness": F.lit(fv.NOT_VERIFIED),

@@ -420,15 +420,22 @@ SELECT c.run_id, 'bounded_historical_diagnostic_not_full_production' AS kind, re
   coalesce(rejected_rows, 0) AS rejected_rows, success
 FROM coverage c LEFT JOIN frames f ON c.run_id = f.run_id""")
 
-oracle("fundamentals_coverage", f"""WITH {SNAPSHOTS}, marked AS (
-  SELECT CAST(c_nationkey AS VARCHAR) AS run_id, c_custkey AS ordinal, c_acctbal < -900 AS deferred, fault IS NULL AS accepted
-  FROM gated),
-stops AS (SELECT run_id, min(ordinal) AS stop_ordinal FROM marked WHERE NOT deferred AND NOT accepted GROUP BY run_id),
+oracle("fundamentals_coverage", f"""WITH {SNAPSHOTS}, {EVENTS},
+failed AS (SELECT user_id, bool_or(k < 3) AS denied FROM numbered WHERE event_type = 'error' AND k < 6 GROUP BY user_id),
+marked AS (
+  SELECT CAST(c_nationkey AS VARCHAR) AS run_id, c_custkey AS ordinal, symbol, c_acctbal < -900 AS deferred,
+    CASE WHEN denied THEN 'source_denied_or_rate_limited' WHEN user_id IS NOT NULL THEN 'source_or_processing_error'
+      ELSE fault END AS reason
+  FROM gated LEFT JOIN failed ON user_id = c_custkey),
+stops AS (SELECT run_id, min(ordinal) AS stop_ordinal FROM marked WHERE NOT deferred AND reason IS NOT NULL GROUP BY run_id),
 reached AS (
-  SELECT m.*, NOT deferred AND accepted AND (stop_ordinal IS NULL OR ordinal <= stop_ordinal) AS returned
+  SELECT m.*, NOT deferred AND reason IS NULL AND (stop_ordinal IS NULL OR ordinal <= stop_ordinal) AS returned,
+    coalesce(NOT deferred AND ordinal = stop_ordinal, false) AS is_stop
   FROM marked m LEFT JOIN stops s ON m.run_id = s.run_id)
 SELECT run_id, count(*) AS requested, count(*) FILTER (deferred) AS deferred, count(*) FILTER (returned) AS returned,
-  count(*) FILTER (NOT returned) AS not_returned,
+  count(*) FILTER (NOT returned) AS not_returned, max(CASE WHEN is_stop THEN symbol END) AS stop_symbol,
+  max(CASE WHEN is_stop THEN reason END) AS stop_reason,
+  coalesce(max(CASE WHEN is_stop THEN reason END) = 'source_denied_or_rate_limited', false) AS raised,
   count(*) FILTER (returned) > 0 AND count(*) FILTER (NOT returned) = 0 AS success,
   DATE '2026-09-22' AS snapshot_as_of_date_ist, 'not_verified' AS historical_completeness
 FROM reached GROUP BY run_id""")

@@ -330,7 +330,7 @@ def _gated(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def fundamentals_coverage(spark: SparkSession, sf: str) -> DataFrame:
     gated = _gated(spark, sf)
-    outcomes = gated.select("run_id", "symbol", F.col("fault").isNull().alias("accepted"))
+    outcomes = gated.select("run_id", "symbol", F.col("fault").isNull().alias("accepted"), "fault")
     customers = views.table(spark, sf, "customer")
     requested = customers.select(
         F.col("c_nationkey").cast("string").alias("run_id"), F.col("c_custkey").alias("ordinal"),
@@ -341,7 +341,9 @@ def fundamentals_coverage(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("2023-07-01").cast("date").alias("effective_date"),
     )
     deferred = identity.defer_by_policy(requested, merged, F.lit("2023-07-01").cast("date"))
-    rows = ledger.snapshot_ledger(deferred.select("run_id", "ordinal", "symbol", "deferred"), outcomes)
+    outcome = fetch_outcome(F.col("status"), F.col("error_kind"), F.col("attempt")).alias("outcome")
+    fetches = views.snapshot_fetches(spark, sf).select("run_id", "symbol", outcome)
+    rows = ledger.snapshot_ledger(deferred.select("run_id", "ordinal", "symbol", "deferred"), outcomes, fetches)
     return ledger.snapshot_coverage(rows, F.lit("2026-09-21 20:00:00+00:00").cast("timestamp"))
 
 

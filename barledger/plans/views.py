@@ -367,6 +367,20 @@ def price_fetches(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def snapshot_fetches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of users who are customers as fetches of their documents; some errors are denials, some faults."""
+    event = event_number(spark, sf_dir)
+    customer = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("user_id"), F.col("c_nationkey").cast("string").alias("run_id")
+    )
+    failed = (F.col("event_type") == "error") & (F.col("k") < 6)
+    return event.join(customer, "user_id").select(
+        "run_id", provider_symbol(F.col("user_id"), "C").alias("symbol"),
+        F.when(failed & (F.col("k") < 3), F.lit(429)).when(failed, F.lit(500)).otherwise(F.lit(200)).alias("status"),
+        F.lit(None).cast("string").alias("error_kind"), F.lit(3).alias("attempt"),
+    )
+
+
 def deal_fetches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last fetch of each user (as run), family and day."""
     event = event_number(spark, sf_dir)

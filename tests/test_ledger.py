@@ -90,6 +90,11 @@ def test_snapshot_ledger_stops_at_first_failure(spark):
     run = ledger.snapshot_coverage(rows, F.lit("2026-09-21 20:00:00").cast("timestamp")).first()
     assert (run.returned, run.not_returned, run.success) == (1, 2, False)
     assert run.snapshot_as_of_date_ist == date(2026, 9, 22)
+    assert (run.stop_symbol, run.stop_reason, run.raised) == ("B.NS", fv.UNVERIFIED_RESPONSE, False)
+    fetches = spark.createDataFrame([("r", "A.NS", "denied")], "run_id string, symbol string, outcome string")
+    rows = ledger.snapshot_ledger(requested(spark, ["A.NS", "B.NS", "C.NS"]), given, fetches)
+    run = ledger.snapshot_coverage(rows, F.lit("2026-09-21 20:00:00").cast("timestamp")).first()
+    assert (run.returned, run.stop_symbol, run.stop_reason, run.raised) == (0, "A.NS", fv.DENIED, True)
 
 
 def test_run_summary(spark):
