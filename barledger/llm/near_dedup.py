@@ -29,6 +29,8 @@ SPACING, RATE = 1.02, 20.0
 MARGIN = 6.0
 #: Ids of documents whose sets are needed that may be broadcast; beyond, texts are shuffled.
 IDS = 500_000
+#: Rows of edges that one task writes.
+ROWS_A_TASK = 500_000
 
 
 def shingle_sets(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -199,26 +201,34 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(side("b"), "b").join(side("a"), "a").mapInArrow(link, "a bigint, b bigint").distinct()
 
 
+def is_forest_of_stars(edges: DataFrame) -> bool:
+    """Whether each u of the edges (u, v < u) has one v and none is itself a v: then v is its component's smallest."""
+    ends = edges.select(F.explode(F.array(F.struct(F.col("u").alias("node"), F.lit(1).alias("up")),
+                                          F.struct(F.col("v").alias("node"), F.lit(0).alias("up")))).alias("e"))
+    seen = ends.groupBy("e.node").agg(F.sum("e.up").alias("ups"), F.min("e.up").alias("least"))
+    return seen.where("ups > 1 OR (ups = 1 AND least = 0)").limit(1).count() == 0
+
+
 def components(edges: DataFrame) -> DataFrame:
-    """node, root (the smallest node reachable) of each node with an edge, by alternating star contraction."""
+    """node, root (the smallest node reachable) of each node with an edge, by alternating star contraction.
+
+    Contraction never adds edges, so the tables are written by as many tasks as the first has rows for.
+    """
     edges = stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v"), "edges")
-    mark = None
-    while True:
+    parts = 1 + edges.count() // ROWS_A_TASK
+    while not is_forest_of_stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = stored(large.distinct(), "large")
+        large = stored(large.distinct().coalesce(parts), "large")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(least, "u")
         small = joined.select(F.explode(F.array(F.struct("v", "m"), F.struct(F.col("u").alias("v"), "m"))).alias("e"))
         small = small.select(F.col("e.v").alias("u"), F.col("e.m").alias("v")).where("u <> v").distinct()
-        edges = stored(small, "small")
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == mark:
-            break
-        mark = now
+        edges = stored(small.coalesce(parts), "small")
     roots = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    return stored(roots.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()), "roots")
+    centres = edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
+    return stored(roots.unionByName(centres).coalesce(parts), "roots")
 
 
 def rooted(rows: DataFrame, roots: DataFrame | None) -> DataFrame:
