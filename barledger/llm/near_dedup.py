@@ -100,8 +100,13 @@ def estimates(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) ->
     return np.take_along_axis(grid, chance.argmax(axis=1)[:, None], axis=1)[:, 0]
 
 
+def text_key(text: str) -> Column:
+    """A hash that tells texts under one id apart; of null it differs from that of the empty text."""
+    return F.xxhash64(text, F.col(text).isNull())
+
+
 def sketched(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, n, node (null for empty sets), registers of each row of docs (doc_id, text)."""
+    """doc_id, key, n, node (null for empty sets), registers of each row of docs (doc_id, text)."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def sketch(batches):
@@ -120,14 +125,14 @@ def sketched(docs: DataFrame, width: int) -> DataFrame:
             blobs[full] = [row.tobytes() for row in registers]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0), pa.array(counts, pa.int64()), pa.array(node.view(np.int64), mask=counts == 0),
-                    pa.array(blobs.tolist(), pa.binary()),
+                    batch.column(0), batch.column(2), pa.array(counts, pa.int64()),
+                    pa.array(node.view(np.int64), mask=counts == 0), pa.array(blobs.tolist(), pa.binary()),
                 ],
-                ["doc_id", "n", "node", "registers"],
+                ["doc_id", "key", "n", "node", "registers"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(
-        sketch, f"doc_id {kind}, n bigint, node bigint, registers binary"
+    return docs.select("doc_id", "text", text_key("text").alias("key")).mapInArrow(
+        sketch, f"doc_id {kind}, key bigint, n bigint, node bigint, registers binary"
     )
 
 
@@ -167,20 +172,34 @@ def likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 
 
 def sets_of(wanted: DataFrame, docs: DataFrame, width: int) -> DataFrame:
-    """node and set (ascending 64-bit integers in bytes) of the wanted (node, rep)."""
+    """node and set (ascending 64-bit integers in bytes) of the wanted (node, rep, key), one row for each node.
+
+    Ids may be null or repeated, so that a node's text is found by its id and the key of the text.
+    """
     wanted = stored(wanted, "wanted")
     few = wanted.limit(IDS + 1).count() <= IDS
-    kept = docs.join(F.broadcast(wanted) if few else wanted, docs["doc_id"].eqNullSafe(wanted["rep"]))
+    keyed = docs.select("doc_id", "text", text_key("text").alias("text_key"))
+    same = keyed["doc_id"].eqNullSafe(wanted["rep"]) & (keyed["text_key"] == wanted["key"])
+    kept = keyed.join(F.broadcast(wanted) if few else wanted, same)
 
     def build(batches):
+        seen = set()
         for batch in bounded(batches, 1):
+            fresh = []
+            for node in batch.column(0).to_pylist():
+                fresh.append(node not in seen)
+                seen.add(node)
+            batch = batch.filter(pa.array(fresh, pa.bool_()))
             sets, counts = shingle_sets(batch.column(1), width)
             pieces = np.split(sets, np.cumsum(counts)[:-1]) if len(counts) else []
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([x.tobytes() for x in pieces], pa.binary())], ["node", "set"]
             )
 
-    return stored(kept.select("node", "text").mapInArrow(build, "node bigint, set binary"), "sets")
+    sets = stored(kept.select("node", "text").mapInArrow(build, "node bigint, set binary"), "sets")
+    again = sets.groupBy("node").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
+    # rows that repeat an id and text in several tasks
+    return stored(sets.dropDuplicates(["node"]), "sets") if again.take(1) else sets
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -319,7 +338,7 @@ def link_nodes(nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> D
     if not entries.take(1):
         return None
     nodes = stored(nodes.join(entries.select("node").distinct(), "node", "left_semi"), "candidates")
-    sets = sets_of(nodes.select("node", "rep"), docs, width)
+    sets = sets_of(nodes.select("node", "rep", "key"), docs, width)
     edges, roots, rare = None, None, None
     for turn in ("any leader", "central leader", "rare shingles"):
         if turn == "any leader":
@@ -359,8 +378,9 @@ def group(
     picked = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     rows = stored(sketched(picked, width), "sketches")
     nodes = rows.where("node IS NOT NULL").groupBy("node").agg(
-        F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("registers").alias("registers")
-    )
+        F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key")).alias("least"),
+        F.first("n").alias("n"), F.first("registers").alias("registers"),
+    ).select("node", F.col("least.doc_id").alias("rep"), F.col("least.key").alias("key"), "n", "registers")
     nodes = stored(nodes, "nodes")
     roots = link_nodes(nodes, picked, width, percent)
     linked = rooted(nodes.select("node", "rep"), roots)

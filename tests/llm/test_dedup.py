@@ -1,7 +1,7 @@
 """Near-duplicates and repeated passages against brute force."""
 
 import hashlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -65,6 +65,31 @@ def test_chain_of_edits_and_star_of_edits(spark):
     assert {r.doc_id: tuple(r)[1:] for r in got} == brute_groups(rows, 3, 85)
 
 
+def test_repeated_and_null_ids_get_their_own_sets(spark):
+    """Of texts under one id, or none, some reach the threshold with a text of another id and others just miss it."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for family in range(8):
+        base = [f"f{family}x{i}" for i in range(200)]
+        rows.append((family, " ".join(base)))
+        for k, edits in enumerate((2, 6, 7, 8, 8, 9, 9, 10, 11, 12)):
+            other = list(base)
+            for at in rng.choice(200, edits, replace=False):
+                other[at] = f"e{family}k{k}x{at}"
+            rows.append((70 if family % 2 else None, " ".join(other)))
+    groups = defaultdict(set)
+    for number, (_, root, _) in brute_groups([(i, t) for i, (_, t) in enumerate(rows)], 3, 85).items():
+        groups[root].add(number)
+    expected = Counter()
+    for numbers in groups.values():
+        ids = [rows[i][0] for i in numbers]
+        least = min((i for i in ids if i is not None), default=None)
+        expected.update({(i, least): 2 * n for i, n in Counter(ids).items()})
+    assert 0 < expected[70, 70] and 0 < expected[None, None] and 0 < expected[70, 1]
+    docs = spark.createDataFrame(rows * 2, "doc_id bigint, text string").repartition(5)
+    assert Counter((r.doc_id, r.component_id) for r in near_dedup.group(docs, width=3, percent=85).collect()) == expected
+
+
 def test_estimate_is_near_the_similarity():
     rng = np.random.default_rng(1)
     both = rng.integers(0, 1 << 56, 3000, dtype=np.uint64)
