@@ -374,6 +374,11 @@ def group(
     A null doc_id comes last in the order of ids, a group of them keeps all. Other columns are not read. An empty table
     gives no rows.
     """
+    return keyed_groups(docs, id_col, text_col, width, percent).drop("key")
+
+
+def keyed_groups(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
+    """The rows of group with the key of each row's text, by which rows under one id are told apart."""
     bound_batches(docs.sparkSession)
     picked = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     rows = stored(sketched(picked, width), "sketches")
@@ -386,9 +391,9 @@ def group(
     linked = rooted(nodes.select("node", "rep"), roots)
     least = linked.groupBy("root").agg(F.min("rep").alias("least"))
     labels = stored(linked.join(least, "root").select("node", "least"), "labels")
-    joined = rows.select("doc_id", "n", "node").join(labels, "node", "left")
+    joined = rows.select("doc_id", "key", "n", "node").join(labels, "node", "left")
     component = F.coalesce("least", "doc_id")
     return joined.select(
         "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
-        F.col("doc_id").eqNullSafe(component).alias("kept"),
+        F.col("doc_id").eqNullSafe(component).alias("kept"), "key",
     )

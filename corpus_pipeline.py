@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barledger.llm import decontamination, near_dedup, packing, quality_rules, secret_scan
@@ -12,22 +12,31 @@ from barledger.llm.shared import SMALL_ROWS, stored, table
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
-def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """docs without the rows whose doc_id is among ids; broadcast only if a count finds them few."""
-    ids = stored(ids.select(F.col("doc_id").alias("gone")).distinct(), "gone")
-    few = ids.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS
-    gone = F.broadcast(ids) if few else ids
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone"]), "left_anti").select(*COLUMNS)
+def row_key() -> Column:
+    """A hash of what the rules and near-dedup read of a row: rows that share it are alike and get one verdict."""
+    return F.xxhash64("doc_id", F.col("doc_id").isNull(), "text", F.col("text").isNull(), "source", F.col("source").isNull())
+
+
+def without(docs: DataFrame, rejected: DataFrame, key: Column) -> DataFrame:
+    """docs without the rows whose key is among the rejected (gone); broadcast only if a count finds them few."""
+    gone = stored(rejected.select("gone").distinct(), "gone")
+    few = gone.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS
+    keyed = docs.select(*COLUMNS, key.alias("gone"))
+    return keyed.join(F.broadcast(gone) if few else gone, "gone", "left_anti").select(*COLUMNS)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules reject, for themselves or their host, go; so do all rows of a rejected id."""
-    return without(docs, quality_rules.judge(docs).where(~F.col("kept")))
+    """Rows that the rules reject, for themselves or their host, go; others with the same id stay."""
+    judged = quality_rules.judge(docs.select(row_key().alias("row"), "text", "source"), id_col="row")
+    return without(docs, judged.where(~F.col("kept")).select(F.col("doc_id").alias("gone")), row_key())
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group (five words, similarity 0.8) the document with the smallest id stays."""
-    return without(docs, near_dedup.group(docs).where(~F.col("kept")))
+    """Of each group (five words, similarity 0.8) the rows with the smallest id stay; rows outside it keep their own verdict."""
+    grouped = near_dedup.keyed_groups(docs, "doc_id", "text", near_dedup.WIDTH, near_dedup.PERCENT)
+    id_and_text = lambda text: F.xxhash64("doc_id", F.col("doc_id").isNull(), text)
+    rejected = grouped.where(~F.col("kept")).select(id_and_text("key").alias("gone"))
+    return without(docs, rejected, id_and_text(near_dedup.text_key("text")))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

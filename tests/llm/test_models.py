@@ -176,3 +176,21 @@ def test_pipeline_stages(spark, documents, odd):
             docs = after
         packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF_DIR)
         assert packed.select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()
+
+
+def test_rows_are_dropped_by_their_own_verdict(spark):
+    """Clean rows under a null or repeated id stay when another row of that id is rejected or a near copy."""
+    clean = [" ".join(f"c{k}x{i}" for i in range(60)) for k in range(6)]
+    near = clean[0] + " end"
+    rows = [(0, clean[0]), (None, clean[1]), (None, "too short"), (None, None), (7, clean[2]), (7, ""), (7, near)]
+    rows += [(7, clean[3]), (9, near), (8, clean[4]), (8, clean[4]), (None, clean[5])]
+    docs = spark.createDataFrame(
+        [(i, t, "en", None if k % 3 else "host", len(t or "")) for k, (i, t) in enumerate(rows)],
+        "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    ).repartition(3)
+    judged = stored(corpus_pipeline.quality(spark, docs, SF_DIR), "judged")
+    order = lambda found: sorted(found, key=str)
+    wanted = [(i, t) for i, t in rows if t and len(t.split()) >= 20]
+    assert order(tuple(r) for r in judged.select("doc_id", "text").collect()) == order(wanted)
+    left = corpus_pipeline.near_duplicates(spark, judged, SF_DIR).select("doc_id", "text").collect()
+    assert order(tuple(r) for r in left) == order(x for x in wanted if x[1] != near)
