@@ -1,6 +1,7 @@
 """Licence scans: sparse TF-IDF cosine of headers and licence files to templates, then inheritance by directory.
 
-A document's candidate passages are its lines and its whole text. Each is a TF-IDF vector over the templates' words,
+A document's candidate passages are its lines, its paragraphs, from each line on the runs of adjoining lines that come
+nearest to the length of each template, and its whole text; whole texts are also compared with full licences. Each is a TF-IDF vector over the templates' words,
 with all other words in one further coordinate, so that prose around a notice lowers its cosine. Document frequencies
 come from all documents. A document that is a licence as a whole licenses its directory; documents without a notice of
 their own inherit from the nearest ancestor directory that has one, by a join on paths.
@@ -8,6 +9,9 @@ their own inherit from the nearest ancestor directory that has one, by a join on
 
 from __future__ import annotations
 
+import re
+from pathlib import Path
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -61,14 +65,32 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related rights to this work."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 )
+#: Full licences: name, file, and words that such a text has in a row, as licences differ by little more than those.
+BODIES: tuple[tuple[str, str, str], ...] = (
+    ("MIT", "MIT", "permission is hereby granted free of charge"),
+    ("ISC", "ISC", "provided that the above copyright notice"),
+    ("BSD-2-Clause", "BSD-2-Clause", "redistributions in binary form"),
+    ("BSD-3-Clause", "BSD-3-Clause", "neither the name"),
+    ("Apache-2.0", "Apache-2.0", "apache license version 2 0"),
+    ("GPL-3.0", "GPL-3.0", "gnu general public license version 3 29 june 2007"),
+    ("LGPL-3.0", "LGPL-3.0", "gnu lesser general public license version 3 29 june 2007"),
+    ("AGPL-3.0", "GPL-3.0", "gnu affero general public license version 3 19 november 2007"),
+    ("MPL-2.0", "MPL-2.0", "mozilla public license version 2 0"),
+    ("CC0-1.0", "CC0-1.0", "cc0 1 0 universal"),
+)
 THRESHOLD = 0.8
 #: Share of a document's words in notices from which it is a licence file.
 FILE_SHARE = 0.5
 
 
-def template_words() -> tuple[list[np.ndarray], np.ndarray]:
+def bodies() -> list[str]:
+    """The text of each of BODIES."""
+    return [(Path(__file__).parent / "licences" / f"{file}.txt").read_text(encoding="utf-8") for _, file, _ in BODIES]
+
+
+def template_words(templates: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
     """Word hashes of each template, and all of them, sorted."""
-    texts = Texts([text.encode() for _, text in TEMPLATES], lower=True)
+    texts = Texts([text.encode() for text in templates], lower=True)
     words = Words(texts, PLAIN_WORDS)
     each = [words.hashes[a:b] for a, b in zip(words.first[:-1], words.first[1:], strict=True)]
     return each, np.unique(words.hashes)
@@ -116,9 +138,38 @@ class Matcher:
         rows = np.stack([np.bincount(positions(vocabulary, x), minlength=len(self.idf)) for x in each]) * self.idf
         self.templates = rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
-    def passages(self, words: Words, of: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """For each of n passages (of words[i] belongs to passage of[i]) the best template and its cosine."""
+    def near(self, words: Words, first: np.ndarray, last: np.ndarray, threshold: float) -> np.ndarray:
+        """Which of the passages words[first : last] may reach the threshold, by sums over words of a bound."""
         at = positions(self.vocabulary, words.hashes)
+        known = at < len(self.vocabulary)
+        before = lambda values: np.concatenate([np.zeros((1, *values.shape[1:])), np.cumsum(values, axis=0)])
+        known_before = before(known.astype(np.float64))
+        size = last - first
+        some = np.flatnonzero(2 * (known_before[last] - known_before[first]) > size)
+        a, b = first[some], last[some]
+        # a word that occurs k times weighs k * k in the norm, here only k
+        square = before(np.where(known, self.idf[at] ** 2, 0.0))
+        low = square[b] - square[a] + ((b - a) - (known_before[b] - known_before[a])) ** 2 * self.idf[-1] ** 2
+        best = np.zeros(len(some))
+        for template in self.templates:
+            share = before((self.idf * template)[at])
+            best = np.maximum(best, share[b] - share[a])
+        return some[best >= (threshold - 1e-6) * np.sqrt(np.maximum(low, 1e-12))]
+
+    def cosines(self, words: Words, of: np.ndarray, n: int) -> np.ndarray:
+        """The cosine of each of n passages to each template, zero where few of its words are known."""
+        at = positions(self.vocabulary, words.hashes)
+        size, known = np.bincount(of, minlength=n), np.bincount(of[at < len(self.vocabulary)], minlength=n)
+        out = np.zeros((n, len(self.templates)))
+        for i in np.flatnonzero(2 * known > size):
+            a, b = np.searchsorted(of, [i, i + 1])
+            row = np.bincount(at[a:b], minlength=len(self.idf)) * self.idf
+            out[i] = self.templates @ row / np.linalg.norm(row)
+        return out
+
+    def passages(self, hashes: np.ndarray, of: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """For each of n passages (of hashes[i] belongs to passage of[i]) the best template and its cosine."""
+        at = positions(self.vocabulary, hashes)
         known = np.bincount(of[at < len(self.vocabulary)], minlength=n)
         size = np.bincount(of, minlength=n)
         best, cosine = np.zeros(n, dtype=np.int64), np.zeros(n)
@@ -136,11 +187,49 @@ class Matcher:
         return best, cosine
 
 
+def pieces(words: Words, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of each passage words[first : last], and the passage of each."""
+    size = last - first
+    of = np.repeat(np.arange(len(size)), size)
+    return words.hashes[np.arange(len(of)) - (np.cumsum(size) - size)[of] + first[of]], of
+
+
+def adjoining(ends: np.ndarray, doc: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last word (exclusive) of runs of several lines that end at words `ends` and belong to texts `doc`.
+
+    They are paragraphs (between lines without words) and, from each line on, for each length the runs next below and
+    above it: a fixed number for each line.
+    """
+    starts = np.concatenate([[0], ends[:-1]]).astype(np.int64) if len(ends) else ends
+    wordy = np.flatnonzero(ends > starts)
+    if not len(wordy):
+        return wordy, wordy
+    opens = np.concatenate([[True], (np.diff(wordy) > 1) | (np.diff(doc[wordy]) > 0)])
+    heads = np.flatnonzero(opens)
+    spans = [np.stack([starts[wordy[heads]], ends[wordy[np.append(heads[1:], len(wordy)) - 1]]])]
+    final = ends[np.searchsorted(doc, doc[wordy], side="right") - 1]
+    first, own = starts[wordy], ends[wordy]
+    for length in lengths:
+        below = np.searchsorted(own, first + length, side="right") - 1
+        for to in (below, below + 1):
+            last = np.minimum(own[np.clip(to, 0, len(own) - 1)], final)
+            several = last > own
+            spans.append(np.stack([first[several], last[several]]))
+    return tuple(np.unique(np.concatenate(spans, axis=1), axis=1))
+
+
 def own_licences(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, path, license, cosine, is_file of docs (doc_id, path, text); license is null without a notice."""
-    each, vocabulary = template_words()
-    matcher = Matcher(vocabulary, each, *word_frequencies(docs, vocabulary))
+    each, vocabulary = template_words([text for _, text in TEMPLATES])
+    full, full_vocabulary = template_words(bodies())
+    every = np.union1d(vocabulary, full_vocabulary)
+    frequency, n = word_frequencies(docs, every)
+    matcher = Matcher(vocabulary, each, frequency[np.searchsorted(every, vocabulary)], n)
+    whole_matcher = Matcher(full_vocabulary, full, frequency[np.searchsorted(every, full_vocabulary)], n)
+    lengths = np.unique([len(x) for x in each])
     names = np.array([name for name, _ in TEMPLATES], dtype=object)
+    body_names = [name for name, _, _ in BODIES]
+    phrases = [f" {phrase} " for _, _, phrase in BODIES]
 
     def match(batches):
         for batch in bounded(batches, 2):
@@ -148,17 +237,38 @@ def own_licences(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             words = Words(texts, PLAIN_WORDS)
             breaks = np.flatnonzero(texts.bytes == 10)
             line = np.searchsorted(breaks, words.starts)
-            best, cosine = matcher.passages(words, line, len(breaks))
-            whole, whole_cosine = matcher.passages(words, words.doc, texts.n)
+            best, cosine = matcher.passages(words.hashes, line, len(breaks))
+            whole, whole_cosine = matcher.passages(words.hashes, words.doc, texts.n)
             line_doc = np.searchsorted(texts.starts, breaks, side="right") - 1
-            noticed = np.bincount(words.doc, cosine[line] >= threshold, texts.n)
-            order = np.lexsort((breaks, -cosine, line_doc))  # a text's best line, the first of equals
-            top = order[np.searchsorted(line_doc[order], np.arange(texts.n))] if texts.n else order
+            ends = np.searchsorted(words.starts, breaks)
+            first, last = adjoining(ends, line_doc, lengths)
+            near = matcher.near(words, first, last, threshold)
+            first, last = first[near], last[near]
+            run_best, run_cosine = matcher.passages(*pieces(words, first, last), len(first))
+            starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)[: len(ends)]
+            run_doc = words.doc[first]
+            first, last = np.concatenate([starts, first]), np.concatenate([ends, last])
+            best, cosine = np.concatenate([best, run_best]), np.concatenate([cosine, run_cosine])
+            owner = np.concatenate([line_doc, run_doc])
+            reached = np.zeros(len(words.doc) + 1, dtype=np.int64)
+            np.add.at(reached, first[cosine >= threshold], 1)
+            np.add.at(reached, last[cosine >= threshold], -1)
+            noticed = np.bincount(words.doc, np.cumsum(reached)[:-1] > 0, texts.n)
+            order = np.lexsort((last, first, -cosine, owner))  # a text's best passage, the first of equals
+            top = order[np.searchsorted(owner[order], np.arange(texts.n))] if texts.n else order
             use_whole = whole_cosine >= cosine[top] if texts.n else np.zeros(0, bool)
             value = np.where(use_whole, whole_cosine, cosine[top])
             name = names[np.where(use_whole, whole, best[top])]
             found = value >= threshold
             is_file = found & (use_whole | (noticed >= FILE_SHARE * np.maximum(words.counts, 1)))
+            scores = whole_matcher.cosines(words, words.doc, texts.n)
+            for i in np.flatnonzero((scores >= threshold).any(axis=1)):
+                raw = texts.bytes[texts.starts[i] : texts.starts[i + 1]].tobytes()
+                spaced = f" {' '.join(re.findall('[a-z0-9]+', raw.decode()))} "
+                fits = [(scores[i, k], k) for k, x in enumerate(phrases) if scores[i, k] >= threshold and x in spaced]
+                if fits:
+                    value[i], k = max(fits)
+                    name[i], found[i], is_file[i] = body_names[k], True, True
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0), batch.column(1), pa.array(name, pa.string(), mask=~found),

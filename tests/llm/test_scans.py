@@ -3,6 +3,7 @@
 import hashlib
 import os
 import re
+import textwrap
 from collections import Counter
 
 import numpy as np
@@ -166,3 +167,23 @@ def test_licences_and_inheritance(spark, odd):
     path = F.concat_ws("/", "source", "doc_id")
     assert len(license_scan.scan(odd, path).collect()) == len(ODD)
     assert license_scan.scan(odd.limit(0), path).collect() == []
+
+
+def test_wrapped_headers_and_full_licences(spark):
+    prose = " ".join(f"w{i}" for i in range(300))
+    rows, expected = [(0, "z/none.py", prose + "\nimport os\n")], {0: (None, False, None)}
+    for k, name in enumerate(("GPL-3.0", "ISC", "MIT", "BSD-3-Clause")):
+        for j, (width, sign) in enumerate(((30, "# "), (60, " * "), (76, "// "))):
+            header = "\n".join(sign + x for x in textwrap.wrap(max((t for n, t in license_scan.TEMPLATES if n == name), key=len), width))
+            number = 100 + 10 * k + j
+            # without a blank line before or after
+            rows.append((number, f"src/{number}.c", f"# Copyright someone\n{header}\n{prose}"))
+            expected[number] = (name, False, None)
+    for k, ((name, _, _), body) in enumerate(zip(license_scan.BODIES, license_scan.bodies())):
+        if name != "AGPL-3.0":
+            body = body.replace("Copyright (c)", "Copyright (c) 2019-2024 Some Person and Others")
+            rows += [(200 + k, f"lib{k}/LICENSE", body), (300 + k, f"lib{k}/a/code.py", prose)]
+            expected |= {200 + k: (name, True, None), 300 + k: (None, False, name)}
+    frame = spark.createDataFrame(rows, "doc_id long, path string, text string")
+    got = {r.doc_id: (r.license, r.is_file, r.inherited) for r in license_scan.scan(frame, F.col("path")).collect()}
+    assert got == expected
