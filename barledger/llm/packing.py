@@ -166,10 +166,10 @@ class WordIds:
             out[i] = np.concatenate([np.frombuffer(self.encode(text.decode()), dtype=self.kind), end])
         return out
 
-    def joined(self, column: list[bytes], end_id: int) -> list[np.ndarray]:
-        texts = Texts(column)
-        chunks = Words(texts, CHUNKS)
-        hashes = chunks.hashes | U64(1)  # zero is a free slot
+    def chunk_ids(
+        self, raw: bytes, hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each chunk raw[start : end] has, and the ids; no more chunks than half the table's slots."""
         slots = self.table.slots(hashes)
         if (slots < 0).any():
             if self.table.held > SLOTS * 2 // 3 - len(slots):
@@ -177,13 +177,27 @@ class WordIds:
                 slots = self.table.slots(hashes)
             missing = np.flatnonzero(slots < 0)
             new, first = np.unique(hashes[missing], return_index=True)
-            raw = texts.bytes.tobytes()
-            spans = zip(chunks.starts[missing[first]].tolist(), chunks.ends[missing[first]].tolist(), strict=True)
+            spans = zip(starts[missing[first]].tolist(), ends[missing[first]].tolist(), strict=True)
             self.table.add(new, [self.chunk(raw[a:b].decode()) for a, b in spans])
             slots = self.table.slots(hashes)
         counts = self.table.counts[slots].astype(np.int64)
         before = np.concatenate([[0], np.cumsum(counts)])
-        ids = self.table.pool[np.repeat(self.table.starts[slots] - before[:-1], counts) + np.arange(before[-1])]
+        at = np.repeat(self.table.starts[slots] - before[:-1], counts) + np.arange(before[-1])
+        return counts, self.table.pool[at]
+
+    def joined(self, column: list[bytes], end_id: int) -> list[np.ndarray]:
+        texts = Texts(column)
+        chunks = Words(texts, CHUNKS)
+        hashes = chunks.hashes | U64(1)  # zero is a free slot
+        raw = texts.bytes.tobytes()
+        counts, ids = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=self.kind)]
+        for low in range(0, len(hashes), SLOTS // 2):  # an emptied table has room for so many
+            part = slice(low, low + SLOTS // 2)
+            found = self.chunk_ids(raw, hashes[part], chunks.starts[part], chunks.ends[part])
+            counts.append(found[0])
+            ids.append(found[1])
+        ids = np.concatenate(ids)
+        before = np.concatenate([[0], np.cumsum(np.concatenate(counts))])
         cuts = before[chunks.first]
         out = np.full(len(ids) + texts.n, end_id, dtype=self.kind)
         out[np.arange(len(ids)) + np.repeat(np.arange(texts.n), np.diff(cuts))] = ids

@@ -1,6 +1,7 @@
 """Packing, archives, both classifiers and the pipeline."""
 
 import hashlib
+import signal
 import zlib
 from collections import defaultdict
 
@@ -72,6 +73,23 @@ def test_words_encode_as_whole_texts(tokenizer):
     assert [x.tolist() for x in words.texts([None, b"new words", b""], 2)] == [[2], brute_ids(tokenizer, "new words").tolist(), [2]]
 
 
+def test_text_with_more_chunks_than_the_table_has_slots(tokenizer, monkeypatch):
+    monkeypatch.setattr(packing, "SLOTS", 64)
+
+    def stop(*_):
+        raise TimeoutError("the table is full")
+
+    before = signal.signal(signal.SIGALRM, stop)
+    signal.alarm(20)
+    try:
+        column = ["a few words", " ".join(f"w{i}" for i in range(500)), "", "w1 w499 é other", " ".join(f"v{i % 90}" for i in range(300))]
+        got = packing.WordIds(tokenizer_path()).texts([x.encode() for x in column], 2)
+    finally:
+        signal.alarm(0)
+        signal.signal(signal.SIGALRM, before)
+    assert [x.tolist() for x in got] == [brute_ids(tokenizer, x).tolist() for x in column]
+
+
 def test_hilbert_neighbours_touch():
     grid = np.stack(np.meshgrid(*[np.arange(8)] * 3, indexing="ij"), axis=-1).reshape(-1, 3)
     keys = packing.hilbert_keys(grid, 3)
