@@ -96,9 +96,27 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged LEFT JOIN rates USING (source)
 """
 
+URL_FILTER = f"""
+WITH rules(host, path, verdict) AS (
+  VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')
+),
+u AS (
+  SELECT page_id, url, row_number() OVER () AS i,
+    translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), '{UPPER}', '{LOWER}') AS host,
+    regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+  FROM pages
+),
+fits AS (
+  SELECT i, arg_max(r.host || r.path, length(r.host || r.path)) AS rule, arg_max(verdict, length(r.host || r.path)) AS verdict
+  FROM u JOIN rules r ON (u.host = r.host OR ends_with(u.host, '.' || r.host)) AND starts_with(u.path, r.path) GROUP BY i
+)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM u LEFT JOIN fits USING (i)
+"""
+
 ORACLES: dict[str, str] = {
     "op2_near_dedup": NEAR_DEDUP,
     "op6_decontamination": DECONTAMINATION,
     "op8_warc": WARC,
     "op9_quality_rules": QUALITY_RULES,
+    "op11_url_filter": URL_FILTER,
 }

@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barledger.llm import decontamination, license_scan, near_dedup, packing, quality_model, quality_rules, secret_scan, suffix_dedup, toxicity, warc
+from barledger.llm import (
+    decontamination, license_scan, near_dedup, packing, quality_model, quality_rules, secret_scan, suffix_dedup, toxicity,
+    url_filter, warc,
+)
 from barledger.llm.oracle import ORACLES
 from barledger.llm.shared import table
 
@@ -64,6 +67,15 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.report(suffix_dedup.cut_texts(table(spark, sf_dir, "documents")))
 
 
+#: The rules of op11_url_filter.
+URL_RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
+
+
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "rule string, verdict string")
+    return url_filter.judge(table(spark, sf_dir, "pages"), rules)
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_near_dedup": op2_near_dedup,
@@ -75,6 +87,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_quality_rules": op9_quality_rules,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_url_filter": op11_url_filter,
 }
 
 __all__ = ["ORACLES", "REGISTRY"]
