@@ -113,10 +113,62 @@ fits AS (
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM u LEFT JOIN fits USING (i)
 """
 
+
+
+def crc32(bits: str) -> str:
+    """crc32 of a list of bits, the lowest of each byte first."""
+    step = "xor(c >> 1, CASE WHEN xor(c & 1, b) = 1 THEN 3988292384 ELSE 0 END)"
+    return f"xor(list_reduce(list_concat([4294967295::UBIGINT], {bits}), lambda c, b: {step}), 4294967295::UBIGINT)::BIGINT"
+
+
+DECIMAL_BITS = crc32("flatten([[((ord(c) >> k) & 1)::UBIGINT FOR k IN range(8)] FOR c IN string_split(CAST(conv_id AS VARCHAR), '')])")
+
+PREFIX_TRIE = f"""
+WITH RECURSIVE turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+sizes AS (SELECT conv_id, count(*) AS n FROM turns GROUP BY conv_id),
+facts AS (
+  SELECT c.conv_id, h, c.conv_id - c.conv_id % 5 AS lender, least(h, coalesce(l.n, 0)) AS taken
+  FROM (SELECT conv_id, {DECIMAL_BITS} % 9 AS h FROM sizes) c LEFT JOIN sizes l ON l.conv_id = c.conv_id - c.conv_id % 5
+),
+rebuilt AS (
+  SELECT f.conv_id, pos, role, text FROM facts f JOIN turns t ON t.conv_id = lender WHERE pos < taken
+  UNION ALL
+  SELECT f.conv_id, pos - h + taken, role, text FROM facts f JOIN turns t ON t.conv_id = f.conv_id WHERE pos >= h
+),
+path(conv_id, depth, key, above, bytes) AS (
+  SELECT conv_id, 0::BIGINT, '', NULL::VARCHAR, 0::BIGINT FROM sizes
+  UNION ALL
+  SELECT conv_id, depth + 1, sha256(key || '/' || strlen(role) || '/' || role || text), key, strlen(text)
+  FROM path JOIN rebuilt USING (conv_id) WHERE pos = depth
+),
+nodes AS (
+  SELECT depth, key, any_value(above) AS above, any_value(bytes) AS bytes, min(conv_id) AS conv_id, count(*) AS n_convs
+  FROM path GROUP BY depth, key
+),
+kids AS (SELECT above AS key, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY above),
+counted AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN kids USING (key)),
+trees AS (
+  SELECT p.key, sum((n_convs - 1) * u.bytes) AS saved, count(*) FILTER (n_children = 0) AS leaves
+  FROM counted u JOIN path p ON p.conv_id = u.conv_id AND p.depth <= u.depth GROUP BY p.key
+),
+ends AS (
+  SELECT key, sha256(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)) AS ends
+  FROM (SELECT conv_id, arg_max(key, depth) AS key FROM path GROUP BY conv_id) GROUP BY key
+)
+SELECT c.conv_id, c.depth, up.conv_id AS parent_conv_id, c.n_convs, c.n_children, leaves AS n_leaves,
+  CAST(saved AS BIGINT) AS saved_tokens, coalesce(ends, sha256('')) AS ends_sha256
+FROM counted c JOIN trees USING (key) LEFT JOIN ends USING (key) LEFT JOIN nodes up ON up.key = c.above
+"""
+
 ORACLES: dict[str, str] = {
     "op2_near_dedup": NEAR_DEDUP,
     "op6_decontamination": DECONTAMINATION,
     "op8_warc": WARC,
     "op9_quality_rules": QUALITY_RULES,
     "op11_url_filter": URL_FILTER,
+    "op12_prefix_trie": PREFIX_TRIE,
 }
