@@ -164,6 +164,47 @@ SELECT c.conv_id, c.depth, up.conv_id AS parent_conv_id, c.n_convs, c.n_children
 FROM counted c JOIN trees USING (key) LEFT JOIN ends USING (key) LEFT JOIN nodes up ON up.key = c.above
 """
 
+
+#: UTF-8 of the letters up to U+00FF, as bits.
+LATIN_BITS = crc32(
+    "flatten([[((b >> k) & 1)::UBIGINT FOR k IN range(8)] "
+    "FOR b IN flatten([CASE WHEN ord(c) < 128 THEN [ord(c)] ELSE [195, ord(c) - 64] END FOR c IN string_split(s, '')])])"
+)
+
+SPELLING = f"""
+WITH RECURSIVE runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+    unnest(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[A-Za-z\u00C0-\u00FF]+')) AS run
+  FROM documents
+),
+met AS (SELECT id || ':' || run AS s, run, count(*) AS n FROM runs WHERE length(run) >= 6 GROUP BY ALL),
+hashed AS (SELECT run, n, {LATIN_BITS} AS h FROM met),
+cut AS (
+  SELECT CASE WHEN h % 199 = 0 THEN run[1 : h % length(run)] || run[h % length(run) + 2 :] ELSE run END AS word, n FROM hashed
+),
+v AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM cut WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+dels AS (
+  SELECT word, i, word[1 : i - 1] || word[i + 1 :] AS rest FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM v)
+),
+pairs AS (
+  SELECT a.word AS x, b.word AS y FROM dels a JOIN dels b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT d.word, v.word FROM dels d JOIN v ON d.rest = v.word
+  UNION SELECT v.word, d.word FROM dels d JOIN v ON d.rest = v.word
+),
+ranked AS (
+  SELECT x, y, v.n, count(*) OVER (PARTITION BY x) AS n_near, row_number() OVER (PARTITION BY x ORDER BY v.n DESC, y) AS r
+  FROM pairs JOIN v ON v.word = y
+),
+found AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN r.n >= 5 * v.n THEN y END AS form,
+    CASE WHEN r.n >= 5 * v.n THEN r.n END AS form_n
+  FROM v LEFT JOIN ranked r ON r.x = v.word AND r.r = 1
+),
+ways AS (SELECT word, word AS last FROM found UNION ALL SELECT w.word, f.form FROM ways w JOIN found f ON f.word = w.last AND f.form IS NOT NULL),
+ends AS (SELECT w.word, last AS root FROM ways w JOIN found f ON f.word = w.last AND f.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM found JOIN ends USING (word)
+"""
+
 ORACLES: dict[str, str] = {
     "op2_near_dedup": NEAR_DEDUP,
     "op6_decontamination": DECONTAMINATION,
@@ -171,4 +212,5 @@ ORACLES: dict[str, str] = {
     "op9_quality_rules": QUALITY_RULES,
     "op11_url_filter": URL_FILTER,
     "op12_prefix_trie": PREFIX_TRIE,
+    "op13_spelling": SPELLING,
 }

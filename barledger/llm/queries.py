@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barledger.llm import (
-    decontamination, license_scan, near_dedup, packing, prefix_trie, quality_model, quality_rules, secret_scan, suffix_dedup,
-    toxicity, url_filter, warc,
+    decontamination, license_scan, near_dedup, packing, prefix_trie, quality_model, quality_rules, secret_scan, spelling,
+    suffix_dedup, toxicity, url_filter, warc,
 )
 from barledger.llm.oracle import ORACLES
 from barledger.llm.shared import table
@@ -80,6 +80,10 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"), borrow=True)
 
 
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(table(spark, sf_dir, "documents"), noise=199)
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_near_dedup": op2_near_dedup,
@@ -93,6 +97,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_suffix_dedup": op10_suffix_dedup,
     "op11_url_filter": op11_url_filter,
     "op12_prefix_trie": op12_prefix_trie,
+    "op13_spelling": op13_spelling,
 }
 
 __all__ = ["ORACLES", "REGISTRY"]
