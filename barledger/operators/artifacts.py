@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -92,6 +92,62 @@ def snapshot_sample_checks(
     )
 
 
+def identity_checks(manifests: DataFrame, expected: Mapping[str, Column], keys: Sequence[str]) -> DataFrame:
+    """Per key: one manifest there is, and it names the producer, source and scope that were expected."""
+    same = F.lit(True)
+    for name, value in expected.items():
+        same = same & F.coalesce(F.col(name) == value, F.lit(False))
+    return manifests.groupBy(*keys).agg(F.count(F.lit(1)).alias("__manifests"), F.count_if(~same).alias("__foreign")).select(
+        *keys, (F.col("__manifests") == 1).alias("one_manifest"), (F.col("__foreign") == 0).alias("producer_matches")
+    )
+
+
+def inventory_checks(
+    wanted: DataFrame, recorded: DataFrame, actual: DataFrame, keys: Sequence[str], *, file: str = "file",
+) -> DataFrame:
+    """Per key: the sets of files that should be there, that the manifest lists and that lie there are one set.
+
+    ``wanted`` has the keys and ``file``; ``recorded`` and ``actual`` have ``sha256`` and ``bytes`` besides. The three are
+    dealt once by key and file and counted there, then the files of a key are counted in every task before they meet. A
+    file that one side has twice with different contents fails its checksum. A key without files is not in the result.
+    """
+    keys = list(keys)
+    missing = F.lit(None).cast("string")
+    tagged = None
+    for side, rows in (("wanted", wanted), ("recorded", recorded), ("actual", actual)):
+        content = missing if side == "wanted" else F.concat_ws(":", F.col("bytes").cast("string"), "sha256")
+        one = rows.select(*keys, F.col(file).alias("__file"), F.lit(side).alias("__side"), content.alias("__content"))
+        tagged = one if tagged is None else tagged.unionByName(one)
+    has = {side: F.count_if(F.col("__side") == side) > 0 for side in ("wanted", "recorded", "actual")}
+    # of the contents recorded and found there is one, or something differs
+    files = tagged.groupBy(*keys, "__file").agg(
+        *(found.alias(side) for side, found in has.items()),
+        F.coalesce(F.min("__content") == F.max("__content"), F.lit(False)).alias("same"),
+    )
+    return files.groupBy(*keys).agg(
+        F.bool_and(F.col("recorded") == F.col("wanted")).alias("manifest_files_exact"),
+        F.bool_and(F.col("actual") | ~F.col("wanted")).alias("no_file_missing"),
+        F.bool_and(F.col("wanted") | ~F.col("actual")).alias("no_file_extra"),
+        F.bool_and(F.col("same") & F.col("actual") | ~F.col("recorded")).alias("checksums_match"),
+    )
+
+
+def coverage_checks(coverage: DataFrame, keys: Sequence[str], families: Sequence[str]) -> DataFrame:
+    """Per key: every family has requests, and all of them were returned.
+
+    ``coverage`` has the keys, ``family``, and ``requested`` and ``returned`` as numbers; a key's rows of a family add up.
+    """
+    checks = []
+    for family in families:
+        mine = F.col("family") == family
+        asked, back = (F.sum(F.when(mine, F.col(name))) for name in ("requested", "returned"))
+        checks.append(F.coalesce((asked > 0) & (asked == back), F.lit(False)))
+    complete = checks[0]
+    for check in checks[1:]:
+        complete = complete & check
+    return coverage.groupBy(*keys).agg(complete.alias("coverage_complete"))
+
+
 def accept(checks: DataFrame, *others: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Join check tables over all keys of the first; a missing check is a failed one.
 

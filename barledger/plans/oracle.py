@@ -560,16 +560,47 @@ dates AS (
 wanted AS (SELECT run_id, symbol, count(*) AS n FROM expected GROUP BY ALL),
 counts AS (
   SELECT run_id, symbol, count(*) AS n, count(*) FILTER (adj_close = '50') = 0 AS provenance_matches FROM prices GROUP BY ALL),
+lines AS (
+  SELECT strftime(l_shipdate, '%Y-%m') AS run_id, {SYMBOL} AS symbol, l_suppkey, l_linenumber AS n, CAST(l_quantity AS BIGINT) AS q,
+    CAST(round(l_discount * 100) AS BIGINT) AS d, CAST(round(l_tax * 100) AS BIGINT) AS t FROM lineitem),
+parts AS (
+  SELECT run_id, symbol, n, min(d) AS d, max(t) AS t, 'part-' || CAST(n AS VARCHAR) || '.csv' AS file,
+    run_id || ',' || symbol || ',' || CAST(n AS VARCHAR) || ',' || CAST(sum(q) AS VARCHAR) AS text
+  FROM lines GROUP BY run_id, symbol, n),
+sides AS (
+  SELECT run_id, symbol, file, true AS wanted, NOT (n = 4 AND t = 8) AS recorded, NOT (n = 7 AND d = 1) AS present,
+    NOT (n = 6 AND t = 3) AS same FROM parts
+  UNION ALL SELECT run_id, symbol, 'notes.txt', false, false, true, true FROM parts WHERE n = 5 AND d = 2),
+inventory AS (
+  SELECT run_id, symbol, bool_and(recorded = wanted) AS manifest_files_exact, bool_and(present OR NOT wanted) AS no_file_missing,
+    bool_and(wanted OR NOT present) AS no_file_extra, bool_and((present AND same) OR NOT recorded) AS checksums_match
+  FROM sides GROUP BY run_id, symbol),
+producers AS (
+  SELECT run_id, symbol, sum(q) % 13 <> 5 AS one_manifest,
+    sum(q) % 11 <> 3 AND sum(q) % 17 <> 2 AND sum(q) % 19 <> 1 AS producer_matches
+  FROM lines GROUP BY run_id, symbol),
+complete AS (
+  SELECT run_id, symbol, count(*) FILTER (d = 10 AND t = 2) = 0
+    AND coalesce(any_value(s_nationkey <> 7 AND s_acctbal <= 9000), false) AS coverage_complete
+  FROM lines LEFT JOIN supplier ON s_suppkey = l_suppkey GROUP BY run_id, symbol),
 checks AS (
   SELECT d.run_id, d.symbol, d.dates_match, coalesce(c.n = w.n, false) AS count_matches,
     coalesce(c.provenance_matches, false) AS provenance_matches, s.s_suppkey IS NOT NULL AS one_snapshot,
     coalesce(s.s_acctbal > 0, false) AS cap_positive, coalesce(s.s_nationkey <> 3, false) AS currency_verified,
-    coalesce(contains(lower(s.s_name), 'supplier#00000000'), false) AS name_matches
+    coalesce(contains(lower(s.s_name), 'supplier#00000000'), false) AS name_matches,
+    coalesce(one_manifest, false) AS one_manifest, coalesce(producer_matches, false) AS producer_matches,
+    coalesce(manifest_files_exact, false) AS manifest_files_exact, coalesce(no_file_missing, false) AS no_file_missing,
+    coalesce(no_file_extra, false) AS no_file_extra, coalesce(checksums_match, false) AS checksums_match,
+    coalesce(coverage_complete, false) AS coverage_complete
   FROM dates d LEFT JOIN counts c ON d.run_id = c.run_id AND d.symbol = c.symbol
     LEFT JOIN wanted w ON d.run_id = w.run_id AND d.symbol = w.symbol
-    LEFT JOIN supplier s ON d.symbol = 'S' || CAST(s.s_suppkey AS VARCHAR) || '.NS')
+    LEFT JOIN supplier s ON d.symbol = 'S' || CAST(s.s_suppkey AS VARCHAR) || '.NS'
+    LEFT JOIN producers p ON d.run_id = p.run_id AND d.symbol = p.symbol
+    LEFT JOIN inventory i ON d.run_id = i.run_id AND d.symbol = i.symbol
+    LEFT JOIN complete f ON d.run_id = f.run_id AND d.symbol = f.symbol)
 SELECT *, dates_match AND count_matches AND provenance_matches AND one_snapshot AND cap_positive AND currency_verified
-  AND name_matches AS accepted FROM checks""")
+  AND name_matches AND one_manifest AND producer_matches AND manifest_files_exact AND no_file_missing AND no_file_extra
+  AND checksums_match AND coverage_complete AS accepted FROM checks""")
 
 # --- charts and reconciliation ---
 

@@ -464,7 +464,7 @@ def checksum_verification(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def artifact_gate(spark: SparkSession, sf: str) -> DataFrame:
-    """Per run and symbol: the returned sample must be exactly what the run expected."""
+    """Per run and symbol: the returned sample, its files, its producer and its coverage must be what the run expected."""
     requested = views.table(spark, sf, "lineitem").select(
         views.month(F.col("l_shipdate")).alias("run_id"),
         views.provider_symbol(F.col("l_suppkey")).alias("symbol"), views.day(F.col("l_shipdate")).alias("date"),
@@ -481,9 +481,13 @@ def artifact_gate(spark: SparkSession, sf: str) -> DataFrame:
         F.col("s_name").alias("name"),
     )
     keys = ["run_id", "symbol"]
+    expected = {"commit_sha": F.lit("c0ffee"), "producer_run": F.col("run_id"), "synthetic": F.lit(False)}
     return artifacts.accept(
         artifacts.price_sample_checks(requested, prices, keys, F.col("symbol")),
         artifacts.snapshot_sample_checks(caps, ["symbol"], "SUPPLIER#00000000"),
+        artifacts.identity_checks(views.sample_manifests(spark, sf), expected, keys),
+        artifacts.inventory_checks(*views.sample_files(spark, sf), keys),
+        artifacts.coverage_checks(views.sample_coverage(spark, sf), keys, ("prices", "fundamentals")),
         keys=keys,
     )
 

@@ -415,6 +415,69 @@ def run_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --- artifacts -----------------------------------------------------------------------------------
+
+
+def sample_files(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Files of each run and symbol: wanted, as its manifest records them, as they lie there.
+
+    There is a file for each line number a supplier has in a month, whose content its quantities decide. Some are recorded
+    and not there, or there and not recorded, some were changed after they were recorded.
+    """
+    parts = table(spark, sf_dir, "lineitem").groupBy(
+        month(F.col("l_shipdate")).alias("run_id"), provider_symbol(F.col("l_suppkey")).alias("symbol"), "l_linenumber"
+    ).agg(
+        F.sum(F.col("l_quantity").cast("bigint")).alias("q"), F.min(cents(F.col("l_discount"))).alias("d"),
+        F.max(cents(F.col("l_tax"))).alias("t"),
+    ).withColumn("file", F.concat(F.lit("part-"), F.col("l_linenumber").cast("string"), F.lit(".csv")))
+    n, q, d, t = (F.col(name) for name in ("l_linenumber", "q", "d", "t"))
+    text = F.concat_ws(",", "run_id", "symbol", n.cast("string"), q.cast("string"))
+    changed = F.when((n == 6) & (t == 3), F.concat(text, F.lit("!"))).otherwise(text)
+
+    def digested(rows: DataFrame, content: Column) -> DataFrame:
+        return rows.select(
+            "run_id", "symbol", "file", F.sha2(content, 256).alias("sha256"), F.octet_length(content).alias("bytes")
+        )
+
+    extra = parts.where((n == 5) & (d == 2)).withColumn("file", F.lit("notes.txt"))
+    return (
+        parts.select("run_id", "symbol", "file"),
+        digested(parts.where(~((n == 4) & (t == 8))), text),
+        digested(parts.where(~((n == 7) & (d == 1))), changed).unionByName(digested(extra, text)),
+    )
+
+
+def sample_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of each run and symbol: who produced it, of what; some runs were made by another commit or twice."""
+    grouped = table(spark, sf_dir, "lineitem").groupBy(
+        month(F.col("l_shipdate")).alias("run_id"), provider_symbol(F.col("l_suppkey")).alias("symbol")
+    ).agg(F.sum(F.col("l_quantity").cast("bigint")).alias("q"), F.count(F.lit(1)).alias("n"))
+    q = F.col("q")
+    copies = F.explode(F.sequence(F.lit(1), F.when(q % 13 == 5, 2).otherwise(1)))
+    return grouped.select(
+        "run_id", "symbol", F.when(q % 11 == 3, F.lit("0ld")).otherwise(F.lit("c0ffee")).alias("commit_sha"),
+        F.when(q % 17 == 2, F.lit("1")).otherwise(F.col("run_id")).alias("producer_run"),
+        (q % 19 == 1).alias("synthetic"), copies.alias("copy"),
+    )
+
+
+def sample_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests and returns of each run and symbol: prices by line, fundamentals of suppliers outside one nation."""
+    key = [month(F.col("l_shipdate")).alias("run_id"), F.col("l_suppkey")]
+    back = ~((cents(F.col("l_discount")) == 10) & (cents(F.col("l_tax")) == 2))
+    lines = table(spark, sf_dir, "lineitem").groupBy(*key).agg(
+        F.count(F.lit(1)).alias("requested"), F.count_if(back).alias("returned")
+    )
+    known = table(spark, sf_dir, "supplier").where("s_nationkey <> 7").select(
+        F.col("s_suppkey").alias("l_suppkey"), F.lit(1).cast("bigint").alias("requested"),
+        F.when(F.col("s_acctbal") > 9000, 0).otherwise(1).cast("bigint").alias("returned"),
+    )
+    both = lines.select("run_id", "l_suppkey", F.lit("prices").alias("family"), "requested", "returned").unionByName(
+        lines.select("run_id", "l_suppkey").join(known, "l_suppkey").withColumn("family", F.lit("fundamentals"))
+    )
+    return both.withColumn("symbol", provider_symbol(F.col("l_suppkey"))).drop("l_suppkey")
+
+
 # --- landed files ------------------------------------------------------------------------------
 
 PRICE_HEADER = "Date,Open,High,Low,Close,Adj Close,Volume"

@@ -198,6 +198,42 @@ def test_artifact_gate(spark):
     assert not check(good[0], (*good[1][:2], "other", "A.NS")).provenance_matches
 
 
+def test_inventory_is_one_set(spark):
+    def check(wanted, recorded, actual):
+        one = lambda files: spark.createDataFrame([("A", f, d, len(d)) for f, d in files], "symbol string, file string, sha256 string, bytes int")
+        want = spark.createDataFrame([("A", f) for f in wanted], "symbol string, file string")
+        row = artifacts.inventory_checks(want, one(recorded), one(actual), ["symbol"]).first()
+        return row.manifest_files_exact, row.no_file_missing, row.no_file_extra, row.checksums_match
+
+    files = [("prices.csv", "aa"), ("caps.csv", "bb")]
+    names = [f for f, _ in files]
+    assert check(names, files, files) == (True, True, True, True)
+    assert check(names, files[:1], files) == (False, True, True, True)
+    assert check(names, [*files, ("more.csv", "c")], files) == (False, True, True, False)
+    assert check(names, files, files[:1]) == (True, False, True, False)
+    assert check(names, files, [*files, ("more.csv", "c")]) == (True, True, False, True)
+    assert check(names, files, [files[0], ("caps.csv", "bx")]) == (True, True, True, False)
+    assert check(names, [*files, ("caps.csv", "bx")], files) == (True, True, True, False)
+
+
+def test_identity_and_coverage_of_a_sample(spark):
+    schema = "symbol string, commit string, synthetic boolean"
+    for rows, one, same in (
+        ([("A", "c", False)], True, True), ([("A", "c", False)] * 2, False, True), ([("A", "d", False)], True, False),
+        ([("A", None, False)], True, False), ([("A", "c", True)], True, False),
+    ):
+        row = artifacts.identity_checks(
+            spark.createDataFrame(rows, schema), {"commit": F.lit("c"), "synthetic": F.lit(False)}, ["symbol"]
+        ).first()
+        assert (row.one_manifest, row.producer_matches) == (one, same)
+    for rows, complete in (
+        ([("A", "p", 2, 2), ("A", "f", 1, 1)], True), ([("A", "p", 2, 1), ("A", "f", 1, 1)], False),
+        ([("A", "p", 2, 2)], False), ([("A", "p", 0, 0), ("A", "f", 1, 1)], False), ([("A", "p", 1, 1), ("A", "p", 1, 0), ("A", "f", 1, 1)], False),
+    ):
+        coverage = spark.createDataFrame(rows, "symbol string, family string, requested int, returned int")
+        assert artifacts.coverage_checks(coverage, ["symbol"], ("p", "f")).first().coverage_complete is complete
+
+
 def test_stream_of_landed_frames_equals_batch(spark, tmp_path):
     frame, rows = audited(spark)
     landing, out = str(tmp_path / "landing"), str(tmp_path / "out")
