@@ -80,6 +80,7 @@ ROW_QUALITY_REJECTED = "row_quality_rejected"
 UNVERIFIED_RESPONSE = "unverified_response"
 DENIED = "source_denied_or_rate_limited"
 PROCESSING_ERROR = "source_or_processing_error"
+PLAN_NOT_PERSISTED = "archival_plan_persistence_failed"
 DENIED_STATUSES = (401, 403, 429)
 MAX_ATTEMPTS = 3
 

@@ -7,6 +7,8 @@ and every request is compared with it. There is no window over a whole run.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from barledger import fixed_values as fv
@@ -208,14 +210,68 @@ def archival_plan(requested: DataFrame, worklist: DataFrame) -> DataFrame:
     )
 
 
-def task_statuses(tasks: DataFrame) -> DataFrame:
-    """Status of each task of (run_id, task, succeeded, error, seconds): an error outranks the flag."""
-    return tasks.withColumn(
+def unplanned_coverage(requested: DataFrame, worklist: DataFrame) -> DataFrame:
+    """Coverage of runs whose plan was not persisted: they stop before any lookup and defer nothing.
+
+    Runs without archival work need no plan, go on and are not in the result.
+    """
+    plan = archival_plan(requested, worklist).where("archival_requests > 0")
+    zero = F.lit(0).cast("bigint")
+    return plan.select(
+        "run_id", F.col("original_requested").alias("requested"), zero.alias("deferred"), "provider_candidates",
+        zero.alias("attempted"), F.col("original_requested").alias("not_attempted"), zero.alias("returned"),
+        F.col("original_requested").alias("not_returned"), F.col("provider_candidates").alias("pending_provider"),
+        zero.alias("row_quality_rejected"), F.lit(None).cast("string").alias("stop_symbol"),
+        F.lit(fv.PLAN_NOT_PERSISTED).alias("stop_category"), F.lit(True).alias("raised"), F.lit(False).alias("success"),
+        F.lit(fv.NOT_VERIFIED).alias("historical_completeness"),
+    )
+
+
+def coverage_documents(coverages: Mapping[str, DataFrame], *, part: str = "kind") -> DataFrame:
+    """(run_id, task, coverage, complete): coverage of different kinds, each row of a task's frame as one document.
+
+    ``coverages`` maps a task to its coverage by run. The frames share ``run_id`` and ``success`` only, so the rest of a row
+    becomes a VARIANT. A frame with a ``part`` column has several rows for a run, one for each part; their documents are
+    fields of one, in which every part must have succeeded. The parts of a run are a fixed few.
+    """
+    found = None
+    for task, coverage in coverages.items():
+        content = F.struct(*[name for name in coverage.columns if name not in ("run_id", part)])
+        if part in coverage.columns:
+            # a map of parsed documents is a document too
+            entries = F.sort_array(F.collect_list(F.struct(F.col(part), F.to_json(content, {"ignoreNullFields": "false"}).alias("text"))))
+            merged = F.concat(
+                F.lit("{"),
+                F.array_join(F.transform(entries, lambda e: F.concat(F.lit('"'), e[part], F.lit('":'), e["text"])), ","),
+                F.lit("}"),
+            )
+            one = coverage.groupBy("run_id").agg(
+                F.parse_json(merged).alias("coverage"), F.bool_and("success").alias("complete")
+            )
+        else:
+            one = coverage.select("run_id", F.to_variant_object(content).alias("coverage"), F.col("success").alias("complete"))
+        one = one.withColumn("task", F.lit(task)).select("run_id", "task", "coverage", "complete")
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
+def task_statuses(tasks: DataFrame, documents: DataFrame | None = None) -> DataFrame:
+    """Status of each task of (run_id, task, succeeded, error, seconds): an error outranks the flag.
+
+    With ``documents``, as coverage_documents makes them, a task carries its coverage, and the coverage says whether it
+    succeeded: a task with one has returned all that was requested, or it failed. One without keeps its flag.
+    """
+    succeeded = F.coalesce(F.col("succeeded"), F.lit(False))
+    if documents is not None:
+        tasks = tasks.join(documents, ["run_id", "task"], "left")
+        succeeded = F.coalesce("complete", succeeded)
+    judged = tasks.withColumn(
         "status",
         F.when(F.col("error").isNotNull(), F.lit("ERROR"))
-        .when(F.coalesce(F.col("succeeded"), F.lit(False)), F.lit("SUCCESS"))
+        .when(succeeded, F.lit("SUCCESS"))
         .otherwise(F.lit("FAILED")),
     ).withColumn("seconds", F.when(F.col("status") == "ERROR", F.lit(0)).otherwise(F.col("seconds")))
+    return judged.drop("complete")
 
 
 def run_summary(statuses: DataFrame) -> DataFrame:

@@ -400,6 +400,24 @@ SELECT run_id, count(*) AS original_requested, count(*) FILTER (deferred) AS arc
   count(*) FILTER (NOT deferred) AS provider_candidates, 'outstanding_price_archival_work_not_market_data' AS kind,
   'not_verified' AS historical_completeness, CAST(0 AS BIGINT) AS downloaded_rows FROM deferred GROUP BY run_id""")
 
+oracle("persisted_plan", f"""WITH {DEFERRED}
+SELECT run_id, ordinal, symbol AS provider_symbol, policy_id, strftime(start, '%Y-%m-%d') AS requested_start,
+  strftime("end", '%Y-%m-%d') AS requested_end_exclusive, archival_requests, original_requested,
+  original_requested - archival_requests AS provider_candidates, 'outstanding_price_archival_work_not_market_data' AS kind,
+  '2026-09-22T04:30:00+00:00' AS planned_at_utc
+FROM (SELECT *, count(*) OVER (PARTITION BY run_id) AS original_requested,
+  count(*) FILTER (deferred) OVER (PARTITION BY run_id) AS archival_requests FROM deferred) WHERE deferred""")
+
+oracle("planned_ledger", f"WITH {LEDGER} SELECT * FROM ledger")
+
+oracle("unplanned_coverage", f"""WITH {DEFERRED}
+SELECT run_id, count(*) AS requested, CAST(0 AS BIGINT) AS deferred, count(*) FILTER (NOT deferred) AS provider_candidates,
+  CAST(0 AS BIGINT) AS attempted, count(*) AS not_attempted, CAST(0 AS BIGINT) AS returned, count(*) AS not_returned,
+  count(*) FILTER (NOT deferred) AS pending_provider, CAST(0 AS BIGINT) AS row_quality_rejected,
+  CAST(NULL AS VARCHAR) AS stop_symbol, 'archival_plan_persistence_failed' AS stop_category, true AS raised,
+  false AS success, 'not_verified' AS historical_completeness
+FROM deferred GROUP BY run_id HAVING count(*) FILTER (deferred) > 0""")
+
 oracle("provider_candidates", f"WITH {DEFERRED} SELECT run_id, ordinal, symbol FROM deferred WHERE NOT deferred")
 
 oracle("price_ledger", f"WITH {LEDGER} SELECT * FROM ledger")
@@ -446,14 +464,6 @@ _TASKS = EVENTS + """, tasks AS (
     CASE WHEN min(k) = 0 THEN 0 ELSE CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) END AS cents
   FROM numbered GROUP BY user_id, event_type)"""
 
-oracle("task_statuses", f"WITH {_TASKS} SELECT run_id, task, status, cents / 100.0 AS seconds FROM tasks")
-
-oracle("run_summary", f"""WITH {_TASKS}
-SELECT run_id, count(*) AS tasks, count(*) FILTER (status = 'SUCCESS') AS successful,
-  count(*) FILTER (status <> 'SUCCESS') AS failed, CAST(sum(cents) AS BIGINT) / 100.0 AS total_seconds,
-  count(*) FILTER (status <> 'SUCCESS') = 0 AS all_tasks_success, 'not_verified' AS historical_completeness
-FROM tasks GROUP BY run_id""")
-
 # --- deals ---
 
 oracle("deal_day_gaps", f"""WITH {DEALS}, windows AS (
@@ -496,6 +506,40 @@ SELECT run_id, kind, count(*) AS days, count(*) FILTER (outcome = 'observed') AS
   count(*) FILTER (outcome = 'source_blocked') AS blocked, CAST(sum(rows) AS BIGINT) AS rows,
   count(*) FILTER (outcome = 'observed') = count(*) AND sum(rows) > 0 AS success FROM ledger GROUP BY run_id, kind""")
 
+# coverage rows as documents, their fields in alphabetical order
+_DOCUMENTS = f"""prices AS ({ORACLES["price_coverage"]}), fundamentals AS ({ORACLES["fundamentals_coverage"]}),
+sold AS ({ORACLES["deals_coverage"]}), {_TASKS},
+documents AS (
+  SELECT run_id, 'prices' AS task, success AS complete, raised, requested AS size, to_json({{
+    'attempted': attempted, 'deferred': deferred, 'historical_completeness': historical_completeness,
+    'not_attempted': not_attempted, 'not_returned': not_returned, 'pending_provider': pending_provider,
+    'provider_candidates': provider_candidates, 'raised': raised, 'requested': requested, 'returned': returned,
+    'row_quality_rejected': row_quality_rejected, 'stop_category': stop_category, 'stop_symbol': stop_symbol,
+    'success': success}})::VARCHAR AS coverage FROM prices
+  UNION ALL
+  SELECT run_id, 'fundamentals', success, raised, requested, to_json({{
+    'deferred': deferred, 'historical_completeness': historical_completeness, 'not_returned': not_returned,
+    'raised': raised, 'requested': requested, 'returned': returned,
+    'snapshot_as_of_date_ist': snapshot_as_of_date_ist, 'stop_reason': stop_reason, 'stop_symbol': stop_symbol,
+    'success': success}})::VARCHAR FROM fundamentals
+  UNION ALL
+  SELECT run_id, 'deals', bool_and(success), false, sum(days), '{{' || string_agg('"' || kind || '":' || to_json({{
+    'blocked': blocked, 'days': days, 'not_attempted': not_attempted, 'observed': observed, 'rows': rows,
+    'success': success, 'unverified': unverified}})::VARCHAR, ',' ORDER BY kind) || '}}' FROM sold GROUP BY run_id),
+statuses AS (
+  SELECT run_id, task, status, cents, CAST(NULL AS VARCHAR) AS coverage FROM tasks
+  UNION ALL
+  SELECT run_id, task, CASE WHEN raised THEN 'ERROR' WHEN complete THEN 'SUCCESS' ELSE 'FAILED' END,
+    CASE WHEN raised THEN 0 ELSE CAST(size AS BIGINT) END, coverage FROM documents)"""
+
+oracle("task_statuses", f"WITH {_DOCUMENTS} SELECT run_id, task, status, cents / 100.0 AS seconds, coverage FROM statuses")
+
+oracle("run_summary", f"""WITH {_DOCUMENTS}
+SELECT run_id, count(*) AS tasks, count(*) FILTER (status = 'SUCCESS') AS successful,
+  count(*) FILTER (status <> 'SUCCESS') AS failed, CAST(sum(cents) AS BIGINT) / 100.0 AS total_seconds,
+  count(*) FILTER (status <> 'SUCCESS') = 0 AS all_tasks_success, 'not_verified' AS historical_completeness
+FROM statuses GROUP BY run_id""")
+
 oracle("fetch_outcomes", f"""WITH {EVENTS}, fetched AS (
   SELECT event_id, CASE WHEN event_type = 'signup' AND k < 30 THEN 'tls' WHEN event_type = 'signup' AND k < 60 THEN 'timeout' END AS error,
     CASE WHEN event_type = 'error' THEN 400 + k WHEN event_type = 'click' AND k < 20 THEN 503 ELSE 200 END AS status,

@@ -10,7 +10,8 @@ from barledger import fixed_values as fv
 from barledger.functions.market import fetch_outcome, is_valid_window, issuer_symbol, local_midnight_epoch
 from barledger.operators import analytics, artifacts, audit, deals, identity, ledger, quality, reconcile
 from barledger.plans import views
-from barledger.sources import actions, charts, deals as deal_files, listings, prices, snapshots
+from barledger.sources import actions, charts, deals as deal_files, listings, prices, snapshots, worklists
+from barledger.sources.scratch import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -288,14 +289,50 @@ def provider_candidates(spark: SparkSession, sf: str) -> DataFrame:
     return identity.provider_candidates(requested, _worklist(spark, sf))
 
 
-def _price_ledger(spark: SparkSession, sf: str, carry: tuple[str, ...] = ()) -> DataFrame:
-    requested = identity.defer_by_policy(views.requests(spark, sf), views.policies(spark, sf), F.col("start"))
+PLAN = {"run_attempt": "1", "commit_sha": "c0ffee", "planned_at_utc": RETRIEVED}
+
+
+def _written_plan(spark: SparkSession, sf: str) -> str:
+    root = shared_folder(spark, "plan")
+    return worklists.plan_or_stop(views.requests(spark, sf).select("run_id", "ordinal", "symbol"), _worklist(spark, sf), root, PLAN)
+
+
+@query
+def persisted_plan(spark: SparkSession, sf: str) -> DataFrame:
+    """The rows of a plan that was written and committed, with what its manifest says of their run."""
+    rows, manifest = worklists.read_plan(spark, _written_plan(spark, sf))
+    return rows.join(manifest, "run_id").select(
+        "run_id", "ordinal", "provider_symbol", "policy_id", "requested_start", "requested_end_exclusive",
+        "archival_requests", "original_requested", manifest["provider_candidates"], manifest["kind"], "planned_at_utc",
+    )
+
+
+@query
+def planned_ledger(spark: SparkSession, sf: str) -> DataFrame:
+    """The price ledger of runs that defer what their committed plan holds, and nothing else."""
+    requested = views.requests(spark, sf).select("run_id", "ordinal", "symbol")
+    return worklists.planned_ledger(
+        requested, _price_outcomes(spark, sf), _written_plan(spark, sf), continue_after_row_rejection=True
+    )
+
+
+@query
+def unplanned_coverage(spark: SparkSession, sf: str) -> DataFrame:
+    """Coverage of the runs if their plan could not be written."""
+    return ledger.unplanned_coverage(views.requests(spark, sf), _worklist(spark, sf))
+
+
+def _price_outcomes(spark: SparkSession, sf: str) -> DataFrame:
     verdicts = audit.frame_verdicts(_audited(spark, sf))
     outcome = fetch_outcome(F.col("status"), F.col("error_kind"), F.col("attempt")).alias("outcome")
-    outcomes = ledger.frame_outcomes(verdicts, views.price_fetches(spark, sf).select("run_id", "symbol", outcome))
+    return ledger.frame_outcomes(verdicts, views.price_fetches(spark, sf).select("run_id", "symbol", outcome))
+
+
+def _price_ledger(spark: SparkSession, sf: str, carry: tuple[str, ...] = ()) -> DataFrame:
+    requested = identity.defer_by_policy(views.requests(spark, sf), views.policies(spark, sf), F.col("start"))
     return ledger.price_ledger(
-        requested.select("run_id", "ordinal", "symbol", "deferred"), outcomes, continue_after_row_rejection=True,
-        carry=carry,
+        requested.select("run_id", "ordinal", "symbol", "deferred"), _price_outcomes(spark, sf),
+        continue_after_row_rejection=True, carry=carry,
     )
 
 
@@ -347,6 +384,26 @@ def fundamentals_coverage(spark: SparkSession, sf: str) -> DataFrame:
     return ledger.snapshot_coverage(rows, F.lit("2026-09-21 20:00:00+00:00").cast("timestamp"))
 
 
+def _task_statuses(spark: SparkSession, sf: str) -> DataFrame:
+    """Tasks of users' runs by their flags; price, fundamentals and deal tasks by the coverage attached to them."""
+    coverages = {
+        "prices": price_coverage(spark, sf), "fundamentals": fundamentals_coverage(spark, sf),
+        "deals": deals_coverage(spark, sf),
+    }
+    seconds = F.col("seconds").cast("decimal(18,2)").alias("seconds")
+    tasks = views.run_tasks(spark, sf).select("run_id", "task", "succeeded", "error", seconds)
+    for task, coverage in coverages.items():
+        raised = F.when(F.col("raised"), F.lit("denied")) if "raised" in coverage.columns else F.lit(None).cast("string")
+        size = F.col("requested" if "requested" in coverage.columns else "days")
+        one = coverage.select("run_id", raised.alias("error"), size.alias("size")).groupBy("run_id").agg(
+            F.max("error").alias("error"), (F.sum("size") / 100).alias("seconds")
+        )
+        tasks = tasks.unionByName(one.select(
+            "run_id", F.lit(task).alias("task"), F.lit(None).cast("boolean").alias("succeeded"), "error", seconds
+        ))
+    return ledger.task_statuses(tasks, ledger.coverage_documents(coverages))
+
+
 @query
 def run_summary(spark: SparkSession, sf: str) -> DataFrame:
     return ledger.run_summary(_task_statuses(spark, sf)).withColumn(
@@ -354,14 +411,12 @@ def run_summary(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _task_statuses(spark: SparkSession, sf: str) -> DataFrame:
-    tasks = views.run_tasks(spark, sf).withColumn("seconds", F.col("seconds").cast("decimal(18,2)"))
-    return ledger.task_statuses(tasks)
-
-
 @query
 def task_statuses(spark: SparkSession, sf: str) -> DataFrame:
-    return _task_statuses(spark, sf).select("run_id", "task", "status", F.col("seconds").cast("double").alias("seconds"))
+    """Each task with its coverage as a document."""
+    return _task_statuses(spark, sf).select(
+        "run_id", "task", "status", F.col("seconds").cast("double").alias("seconds"), F.to_json("coverage").alias("coverage")
+    )
 
 
 # --- deals -------------------------------------------------------------------------------------------
