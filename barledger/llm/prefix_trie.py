@@ -190,8 +190,9 @@ def chains_of(nodes: DataFrame) -> DataFrame:
     asked = row_counts(deeper, ABOVE, "asked")
     owners = nodes.select(*(F.col(n).alias(a) for n, a in zip(NODE, ABOVE)), F.col("conv_id").alias("parent"))
     placed = attach_by_key(deeper, owners.join(asked, list(ABOVE)), ABOVE, "asked")
-    root = nodes.where("depth = 0").select(F.col("conv_id").alias("root"))
-    top = chains.where("top <= 1").join(F.broadcast(root), F.col("top") == 1, "left").withColumnRenamed("root", "parent")
+    root = nodes.where("depth = 0").select("conv_id").first()  # one number
+    owner = F.when(F.col("top") == 1, F.lit(root["conv_id"] if root else None)).cast("bigint")
+    top = chains.where("top <= 1").withColumn("parent", owner)
     columns = ["conv_id", "top", "parent", "saved"]
     return stored(placed.select(columns).unionByName(top.select(columns)), "chains")
 
