@@ -162,20 +162,6 @@ def test_classifiers_on_odd_rows(spark, odd, module, name):
     assert module.score(odd.limit(0), labels).collect() == []
 
 
-def test_nearest_is_exact():
-    rng = np.random.default_rng(2)
-    at = [np.sort(rng.choice(40, int(rng.integers(1, 8)), replace=False)) for _ in range(1000)]
-    weights = toxicity.unit_vectors(at, [rng.integers(1, 5, len(a)) for a in at], rng.uniform(1, 5, 40))
-    index = toxicity.BlockMaxIndex(at, weights, 40)
-    dense = np.zeros((1000, 40))
-    for i, (a, w) in enumerate(zip(at, weights)):
-        dense[i, a] = w
-    for i in range(0, 1000, 50):
-        _, cosine = index.nearest(at[i], weights[i], 15)
-        exact = np.sort(dense @ dense[i])[::-1][:15]
-        assert np.allclose(cosine, exact[exact > 0])
-
-
 def test_statistics_of_empty_and_repeated_texts():
     rows = quality_model.text_statistics(pa.array(["", None, "a a a a", "A b\nA b\n"]))
     assert rows.shape == (4, len(quality_model.STATISTICS)) and not rows[:2].any() and np.isfinite(rows).all()
