@@ -23,6 +23,8 @@ FRAME_KEYS = ("run_id", "symbol")
 RAW_CELLS = "raw"
 # The window a row was asked for belongs to the request, not to the row.
 REQUEST_COLUMNS = ("request_start", "request_end")
+# Names of the counters of rows by reason.
+REASON_COUNTS = {reason: f"rows_{position}" for position, reason in enumerate(fv.ALL_REASONS)}
 
 
 def frame_schema_errors(schema: T.StructType, time: str, labels: Mapping[str, str]) -> list[str]:
@@ -157,18 +159,26 @@ def frame_verdicts(audited: DataFrame, *, keys: Sequence[str] = FRAME_KEYS) -> D
     partial results are combined in every task before the shuffle.
     """
     reasons = F.col("reasons")
-    numeric_only = F.size(F.array_except(reasons, F.array(*[F.lit(r) for r in fv.NUMERIC_REASONS]))) == 0
-    counters = [
-        F.count_if(F.array_contains(reasons, reason)).alias(f"__count_{position}")
-        for position, reason in enumerate(fv.ALL_REASONS)
-    ]
     counted = audited.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("frame_rows"),
         F.count_if(F.col("accepted")).alias("usable_rows"),
-        F.count_if(~F.col("accepted") & ~numeric_only).alias("__other_rows"),
-        *counters,
+        F.count_if(~F.col("accepted") & ~numeric_only(reasons)).alias("other_rows"),
+        *[F.count_if(F.array_contains(reasons, reason)).alias(name) for reason, name in REASON_COUNTS.items()],
     )
-    counter_of = {reason: F.col(f"__count_{position}") for position, reason in enumerate(fv.ALL_REASONS)}
+    return verdicts_of_counts(counted, keys=keys)
+
+
+def numeric_only(reasons: Column) -> Column:
+    """Whether all reasons are about a row's numbers."""
+    return F.size(F.array_except(reasons, F.array(*[F.lit(r) for r in fv.NUMERIC_REASONS]))) == 0
+
+
+def verdicts_of_counts(counted: DataFrame, *, keys: Sequence[str] = FRAME_KEYS) -> DataFrame:
+    """The same from counts that were kept: frame_rows, usable_rows, other_rows and REASON_COUNTS of each frame.
+
+    ``other_rows`` are rejected rows with a reason that is not about their numbers.
+    """
+    counter_of = {reason: F.col(name) for reason, name in REASON_COUNTS.items()}
     frame_errors = F.array_compact(
         F.array(*[F.when(counter_of[reason] > 0, F.lit(reason)) for reason in fv.FRAME_REASONS])
     )
@@ -181,7 +191,7 @@ def frame_verdicts(audited: DataFrame, *, keys: Sequence[str] = FRAME_KEYS) -> D
         )
     )
     rejected = F.col("frame_rows") - F.col("usable_rows")
-    row_quality = (F.size("frame_errors") == 0) & (F.col("usable_rows") > 0) & (F.col("__other_rows") == 0)
+    row_quality = (F.size("frame_errors") == 0) & (F.col("usable_rows") > 0) & (F.col("other_rows") == 0)
     return (
         counted.withColumn("rejected_rows", rejected)
         .withColumn("frame_errors", frame_errors)

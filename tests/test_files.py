@@ -266,6 +266,60 @@ def test_a_frame_over_several_batches_is_judged_as_one(spark, tmp_path):
     assert landed.current(spark, out, "rows").count() == 6
 
 
+def land(spark, landing, out, checkpoint, symbol=r"^(.*?)(?:\.[0-9]+)?\.csv$"):
+    query = landed.start_audit(
+        landed.stream_lines(spark, landing), out, checkpoint, date(2026, 9, 14), date(2026, 9, 19),
+        frames_of=lambda batch: landed.frames_of_batch(batch, symbol),
+    )
+    query.awaitTermination(180)
+
+
+def test_stream_of_lines_judges_a_frame_over_three_batches(spark, tmp_path):
+    landing, out, checkpoint = tmp_path / "landing", str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    (landing / "r1").mkdir(parents=True)
+    (landing / "r2").mkdir()
+    row = lambda day, opened="10": f"2026-09-{day},{opened},12,9,11,5.5,100\n"
+    batches = [
+        {"r1/A.NS.1.csv": HEADER + row(14) + row(15), "r1/B.NS.csv": HEADER + row(14), "r2/A.NS.csv": HEADER + row(14) + row(14)},
+        {"r1/A.NS.2.csv": HEADER + row(16), "r1/C.NS.csv": "Date,Open,Open,Low,Close,Volume\n2026-09-14,1,1,1,1,1\n"},
+        {"r1/A.NS.3.csv": HEADER + row(15) + row(17, "nan"), "r1/D.NS.csv": HEADER + row(14)},
+        {"r1/D.NS.2.csv": HEADER + row(15, "x")},
+    ]
+    for n, files in enumerate(batches):
+        for name, text in files.items():
+            (landing / name).write_text(text)
+        land(spark, str(landing), out, checkpoint)
+        assert spark.read.parquet(f"{out}/rows/batch={n}").count() == sum(t.count("\n") - 1 for t in files.values())
+    verdicts = {(r.run_id, r.symbol): r for r in landed.current(spark, out).collect()}
+    facts = {k: (r.batch, r.frame_rows, r.usable_rows, r.passed, r.category) for k, r in verdicts.items()}
+    assert facts == {
+        ("r1", "A.NS"): (2, 5, 2, False, "unverified_response"), ("r1", "B.NS"): (0, 1, 1, True, "admitted_frame"),
+        ("r2", "A.NS"): (0, 2, 0, False, "unverified_response"), ("r1", "C.NS"): (1, 1, 0, False, "unverified_response"),
+        ("r1", "D.NS"): (3, 2, 1, False, "unverified_response"),
+    }
+    assert verdicts["r1", "A.NS"].rejection_counts == {"duplicate_date": 2, "missing:Open": 1}
+    assert verdicts["r1", "C.NS"].frame_errors == ["ambiguous_columns"]
+    assert verdicts["r1", "D.NS"].frame_errors == ["nonnumeric_column:Open"]
+    rows = {(r.symbol, str(r.session_date), r.row_position): (r.reasons, r.accepted)
+            for r in landed.current(spark, out, "rows").where("run_id = 'r1'").collect()}
+    assert rows["A.NS", "2026-09-15", 1] == rows["A.NS", "2026-09-15", 0] == (["duplicate_date"], False)
+    assert rows["A.NS", "2026-09-14", 0] == ([], True) and rows["A.NS", "2026-09-17", 1] == (["missing:Open"], False)
+
+
+def test_a_batch_reads_no_more_when_more_has_landed(spark, tmp_path):
+    landing, out, checkpoint = tmp_path / "landing", str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    read = []
+    for n in range(5):
+        run = landing / f"r{n}"
+        run.mkdir(parents=True)
+        (run / f"S{n}.NS.csv").write_text(HEADER + ROWS)
+        land(spark, str(landing), out, checkpoint)
+        slots = [p for p in (tmp_path / "out" / "counts" / "days").iterdir() if p.name.startswith("slot=")]
+        of_batch = [p for p in slots if any(b.name == f"batch={n}" for b in p.iterdir())]
+        read.append(sum(f.stat().st_size for p in of_batch for f in p.rglob("part-*")))
+    assert len(slots) == 5 and max(read) < 1.2 * min(read)
+
+
 HEADER = "Date,Open,High,Low,Close,Adj Close,Volume\n"
 ROWS = "2026-09-14,10,12,9,11,5.5,100\n2026-09-15,11,13,10,12,,200\n"
 
