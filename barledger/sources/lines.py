@@ -9,7 +9,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from barledger.operators.skew import HOT_ROWS, attach_by_key
+from barledger.sources.scratch import written
 
+# Lines of a record at most; what is longer is taken for a quote that was not meant.
+RECORD_LINES = 10_000
 OUTSIDE_QUOTES = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 
 
@@ -30,43 +33,86 @@ def plain_path(file: Column) -> Column:
 
 
 def read_files(spark: SparkSession, directory: str, pattern: str) -> DataFrame:
-    """``file`` and ``name`` of every matching file, from the listing: no scan yields a row for an empty one."""
-    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
-    paths = reader.text(directory).inputFiles()
-    listed = spark.createDataFrame([(path,) for path in paths], "file string")
-    return listed.withColumn("name", F.url_decode(F.substring_index("file", "/", -1)))
+    """``file``, ``name`` and ``bytes`` of every matching file, empty ones too: an inventory, no content is read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(directory)
+    return files.select(
+        F.col("path").alias("file"), F.url_decode(F.substring_index("path", "/", -1)).alias("name"),
+        F.col("length").alias("bytes"),
+    )
 
 
 def read_lines(spark: SparkSession, directory: str, pattern: str) -> DataFrame:
-    """Non-blank lines of the matching files: ``file``, ``name``, ``block``, ``number``, ``line``.
+    """Lines of the matching files, blank ones too: ``file``, ``name``, ``block``, ``line``.
 
-    ``block`` is where the line's part of the file starts and ``number`` grows along it.
+    ``block`` is where the line's part of the file starts.
     """
-    text = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern).text(directory)
-    located = text.select(
+    return located(spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern).text(directory))
+
+
+def located(text: DataFrame) -> DataFrame:
+    """A text source's lines with their file and block."""
+    return text.select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_name").alias("name"),
         F.col("_metadata.file_block_start").alias("block"),
         F.col("value").alias("line"),
-    ).where(F.trim("line") != "")
-    return located.withColumn("number", F.monotonically_increasing_id())
+    )
 
 
 def number_lines(lines: DataFrame, *, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Lines with ``row_position`` in their file: the header is -1, the first data line is 0.
+    """Records with ``row_position`` in their file: the header is -1, the first one after it is 0.
 
-    The positions of a large file's blocks are offset by the sizes of the blocks before them, so
-    no file is numbered by one task.
+    A record is a line that is not blank, or several if they are joined by quotes around their breaks, at most
+    RECORD_LINES of them. A file with a longer one, or with a quote that never ends, keeps single lines, some of which then
+    end inside quotes. Positions and quotes in a block of a file are offset by the sums of the blocks before it, so no file
+    is numbered or parsed by one task.
     """
-    sizes = lines.groupBy("file", "block").agg(
-        F.count(F.lit(1)).alias("__size"), F.min("number").alias("__first")
-    )
+    numbered = lines.where(F.trim("line") != "").withColumn("number", F.monotonically_increasing_id())
+    sizes = written(numbered.groupBy("file", "block").agg(
+        F.count(F.lit(1)).alias("__size"), F.min("number").alias("__first"), F.count_if(open_quote(F.col("line"))).alias("__odd"),
+    ), "blocks")
+    # one line that ends inside quotes makes its file's records span lines, or is a fault
+    quoted = sizes.groupBy("file").agg(F.sum("__odd").alias("__odd")).where("__odd > 0 AND __odd % 2 = 0").select("file")
+    records = None
+    if not quoted.isEmpty():
+        records, spanning = _records(lines, quoted, hot_rows)
+        numbered = numbered.join(spanning, "file", "left_anti")
     earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
         "file", "block", "__size", (F.coalesce(F.sum("__size").over(earlier), F.lit(0)) - F.col("__first") - 1).alias("__shift")
     )
-    placed = attach_by_key(lines, offsets, ["file", "block"], "__size", hot_rows)
-    return placed.withColumn("row_position", F.col("number") + F.col("__shift")).drop("__shift", "block", "number")
+    placed = attach_by_key(numbered, offsets, ["file", "block"], "__size", hot_rows)
+    placed = placed.withColumn("row_position", F.col("number") + F.col("__shift")).select("file", "name", "line", "row_position")
+    return placed if records is None else placed.unionByName(records)
+
+
+def _records(lines: DataFrame, quoted: DataFrame, hot_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Records of the ``quoted`` files whose quotes all end, and these files."""
+    mine = lines.join(quoted, "file", "left_semi").withColumn("number", F.monotonically_increasing_id())
+    mine = written(mine.withColumn("__odd", open_quote(F.col("line")).cast("int")), "quoted")
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("file", "block").orderBy("number")
+    upto, until = inside.rowsBetween(Window.unboundedPreceding, -1), inside.rowsBetween(Window.unboundedPreceding, 0)
+
+    def offset(rows: DataFrame, name: str) -> DataFrame:
+        """rows with the sum of ``name`` over the blocks before theirs, as ``__earlier``."""
+        sums = rows.groupBy("file", "block").agg(F.sum(name).alias("__sum"), F.count(F.lit(1)).alias("__size"))
+        sums = sums.withColumn("__earlier", F.coalesce(F.sum("__sum").over(before), F.lit(0))).drop("__sum")
+        return attach_by_key(rows, sums, ["file", "block"], "__size", hot_rows)
+
+    marked = offset(mine, "__odd").withColumn("__in", (F.col("__earlier") + F.coalesce(F.sum("__odd").over(upto), F.lit(0))) % 2 == 1)
+    marked = written(marked.where(F.col("__in") | (F.trim("line") != "")).drop("__earlier").withColumn(
+        "__begins", (~F.col("__in")).cast("int")
+    ), "marked")
+    counted = offset(marked, "__begins").withColumn("record", F.col("__earlier") + F.sum("__begins").over(until))
+    counted = written(counted.select("file", "name", "block", "number", "line", "record"), "records")
+    long = counted.groupBy("file", "record").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > RECORD_LINES)
+    spanning = quoted.join(long.select("file").distinct(), "file", "left_anti")
+    parts = F.sort_array(F.collect_list(F.struct("block", "number", "line")))
+    joined = counted.join(spanning, "file", "left_semi").groupBy("file", "name", "record").agg(
+        F.array_join(F.transform(parts, lambda p: p["line"]), "\n").alias("line")
+    )
+    return joined.select("file", "name", "line", (F.col("record") - 2).alias("row_position")), spanning
 
 
 def file_headers(numbered: DataFrame) -> DataFrame:

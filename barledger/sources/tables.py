@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F, types as T
 
 from barledger import fixed_values as fv
-from barledger.functions.values import missing_text_to_null, number_of_text
-from barledger.sources.lines import open_quote, split_fields
+from barledger.functions.values import DECIMAL_TEXT, missing_text_to_null, number_of_text
+from barledger.sources.lines import located, number_lines, open_quote, split_fields
 
 INTEGER_TEXT = r"^\s*[+-]?[0-9]+\s*$"
 CORRUPT = "__record"
+# Decimal digits that every double holds, and that the widest decimal has.
+DOUBLE_DIGITS, DECIMAL_DIGITS = 15, 38
 
 
 def load_csv(
@@ -20,29 +22,50 @@ def load_csv(
 ) -> DataFrame | None:
     """A CSV table with its header, or None when there is nothing at ``path`` or it is no table.
 
-    A row with more cells than the header has is no row of it, so such a file is not read at all.
-    Records with line breaks in quotes are read whole, by one task for each file that has any.
-    Text is read first and the tokens of a missing value become null. With a schema the columns
-    are then cast; a cell that does not parse is null, and ``unparsed`` names a further column with
-    the label and text of every such cell of the row. Without a schema each column gets the
-    narrowest of bigint, decimal, double and string that holds all its cells unchanged.
+    A row with more cells than the header has is no row of it, so such a file is not read at all. Records with line breaks
+    in quotes are joined from their lines by many tasks. Text is read first and the tokens of a missing value become null.
+    With a schema the columns are then cast; a cell that does not parse is null, and ``unparsed`` names a further column
+    with the label and text of every such cell of the row. Without a schema each column gets the narrowest of bigint,
+    double, decimal and string that holds all its cells unchanged. What that takes is found in one pass over the lines.
     """
     try:
-        broken = not spark.read.text(path).where(open_quote(F.col("value"))).isEmpty()
-        plain = spark.read.csv(path, header=True, inferSchema=False, multiLine=broken, escape='"')
+        names = spark.read.csv(path, header=True, inferSchema=False, escape='"').columns
+        lines = spark.read.text(path)
     except AnalysisException:
         return None
-    names = plain.columns
-    text = spark.read.csv(
-        path, T.StructType([T.StructField(name, T.StringType()) for name in [*names, CORRUPT]]), header=True,
-        multiLine=broken, escape='"', columnNameOfCorruptRecord=CORRUPT, enforceSchema=True,
+    if not names:
+        return None
+    fields = T.StructType([T.StructField(name, T.StringType()) for name in [*names, CORRUPT]])
+    cells = lambda line: F.from_csv(line, fields.toDDL(), {"escape": '"', "columnNameOfCorruptRecord": CORRUPT})
+    head = lines.first()[0]
+    read = lines.where(F.trim("value") != "").select(
+        "value", F.col("_metadata.file_path").alias("__file"), (F.col("value") == head).alias("__head"), cells(F.col("value")).alias("__cells"),
     )
-    # with every column in the query, as the reader gives no record text alone
-    counts = text.agg(F.count_if(F.size(split_fields(F.col(CORRUPT))) > len(names)).alias("long"), *map(F.count, text.columns))
-    if counts.first()["long"]:
+    facts = read.agg(
+        F.count_if(open_quote(F.col("value"))).alias("open"), F.count_if("__head").alias("heads"),
+        F.count_distinct("__file").alias("files"),
+        F.count_if(F.size(split_fields(F.col(f"__cells.{CORRUPT}"))) > len(names)).alias("long"),
+        *(_tests(names, lambda name: F.when(~F.col("__head"), missing_text_to_null(F.col(f"__cells.`{name}`")))) if schema is None else []),
+    ).first()
+    if facts["open"]:
+        lines = number_lines(located(lines)).where("row_position >= 0")
+        if not lines.where(open_quote(F.col("line"))).isEmpty():
+            return None
+        text = lines.select(cells(F.col("line")).alias("__cells")).select("__cells.*")
+        facts = text.agg(
+            F.count_if(F.size(split_fields(F.col(CORRUPT))) > len(names)).alias("long"),
+            *(_tests(names, lambda name: missing_text_to_null(F.col(f"`{name}`"))) if schema is None else []),
+        ).first()
+    else:
+        text = spark.read.csv(
+            path, fields, header=True, escape='"', columnNameOfCorruptRecord=CORRUPT, enforceSchema=True,
+        )
+    if facts["long"]:
         return None
     clean = text.select([missing_text_to_null(F.col(f"`{name}`")).alias(name) for name in names])
-    types = _types(clean) if schema is None else _declared(schema)
+    # a row that reads like the header has text in every column
+    like_header = "heads" in facts and facts["heads"] > facts["files"]
+    types = _declared(schema) if schema is not None else {} if like_header else _types(names, facts)
     cast = {name: _cast(name, types.get(name, T.StringType())) for name in names}
     columns = list(cast.values())
     if unparsed:
@@ -59,29 +82,44 @@ def _declared(schema: str | T.StructType) -> dict[str, T.DataType]:
     return {field.name: field.dataType for field in parsed}
 
 
-def _types(text: DataFrame) -> dict[str, T.DataType]:
-    """Inferred column types, by one aggregation over the table."""
-    if not text.columns:
-        return {}
+def _tests(names: list[str], cell: Callable[[str], Column]) -> list[Column]:
+    """Counts and digits of the cells of each column, for one aggregation."""
     tests = []
-    for position, name in enumerate(text.columns):
-        value = F.col(f"`{name}`")
+    for position, name in enumerate(names):
+        value = cell(name)
+        number = F.trim(value)
+        plain = value.rlike(DECIMAL_TEXT) & ~value.rlike("[eE]")
+        mantissa = F.regexp_replace(F.regexp_replace(number, "[eE].*$", ""), "[^0-9]", "")
+        digits = F.length(F.regexp_replace(mantissa, "^0+", ""))
+        text = number_of_text(value).cast("string")
+        wide = f"decimal({DECIMAL_DIGITS},{DECIMAL_DIGITS // 2})"
+        held = (digits <= DOUBLE_DIGITS) | F.coalesce((text == number) | (text.try_cast(wide) == number.try_cast(wide)), F.lit(False))
         tests += [
             F.count(value).alias(f"present_{position}"),
-            F.count_if(value.rlike(INTEGER_TEXT)).alias(f"whole_{position}"),
-            F.count_if(value.rlike(INTEGER_TEXT) & F.trim(value).try_cast("bigint").isNotNull()).alias(f"long_{position}"),
-            F.count_if(value.rlike(INTEGER_TEXT) & F.trim(value).try_cast("decimal(38,0)").isNotNull()).alias(f"wide_{position}"),
-            F.count(number_of_text(value)).alias(f"number_{position}"),
+            F.count_if(value.rlike(INTEGER_TEXT) & number.try_cast("bigint").isNotNull()).alias(f"long_{position}"),
+            F.count_if(value.rlike(DECIMAL_TEXT) & held).alias(f"double_{position}"),
+            F.count_if(plain).alias(f"plain_{position}"),
+            F.max(F.when(plain, F.length(F.regexp_extract(number, r"^[+-]?0*([0-9]*)", 1)))).alias(f"before_{position}"),
+            F.max(F.when(plain, F.length(F.regexp_extract(number, r"\.([0-9]*)", 1)))).alias(f"after_{position}"),
         ]
-    facts = text.agg(*tests).first()
+    return tests
+
+
+def _types(names: list[str], facts: Row) -> dict[str, T.DataType]:
+    """Column types of what _tests found."""
     types = {}
-    for position, name in enumerate(text.columns):
-        present, whole, fits, wide = (facts[f"{fact}_{position}"] for fact in ("present", "whole", "long", "wide"))
-        if present and whole == present:
-            if wide == present:
-                types[name] = T.LongType() if fits == present else T.DecimalType(38, 0)
-        elif present and facts[f"number_{position}"] == present and fits == whole:
+    for position, name in enumerate(names):
+        present, fits, double, plain, before, after = (
+            facts[f"{fact}_{position}"] for fact in ("present", "long", "double", "plain", "before", "after")
+        )
+        if not present:
+            continue
+        if fits == present:
+            types[name] = T.LongType()
+        elif double == present and (after or plain < present):
             types[name] = T.DoubleType()
+        elif plain == present and before + after <= DECIMAL_DIGITS:
+            types[name] = T.DecimalType(max(before + after, after + 1), after)
     return types
 
 

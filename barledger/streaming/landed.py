@@ -45,12 +45,12 @@ def stream_lines(spark: SparkSession, landing: str, pattern: str = "*.csv", file
     return text.select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_name").alias("name"),
         F.col("_metadata.file_block_start").alias("block"), F.col("value").alias("line"),
-    ).where(F.trim("line") != "")
+    )
 
 
 def frames_of_batch(lines: DataFrame, symbol: str = r"^(.*)\.csv$") -> DataFrame:
     """Frames of one batch of stream_lines(), with the faults of each file; a file's directory is its run."""
-    numbered = number_lines(lines.withColumn("number", F.monotonically_increasing_id()))
+    numbered = number_lines(lines)
     return frames_of_lines(numbered, F.element_at(F.split("file", "/"), -2), symbol)
 
 

@@ -266,7 +266,7 @@ def test_a_frame_over_several_batches_is_judged_as_one(spark, tmp_path):
     assert landed.current(spark, out, "rows").count() == 6
 
 
-def land(spark, landing, out, checkpoint, symbol=r"^(.*?)(?:\.[0-9]+)?\.csv$"):
+def land_stream(spark, landing, out, checkpoint, symbol=r"^(.*?)(?:\.[0-9]+)?\.csv$"):
     query = landed.start_audit(
         landed.stream_lines(spark, landing), out, checkpoint, date(2026, 9, 14), date(2026, 9, 19),
         frames_of=lambda batch: landed.frames_of_batch(batch, symbol),
@@ -288,7 +288,7 @@ def test_stream_of_lines_judges_a_frame_over_three_batches(spark, tmp_path):
     for n, files in enumerate(batches):
         for name, text in files.items():
             (landing / name).write_text(text)
-        land(spark, str(landing), out, checkpoint)
+        land_stream(spark, str(landing), out, checkpoint)
         assert spark.read.parquet(f"{out}/rows/batch={n}").count() == sum(t.count("\n") - 1 for t in files.values())
     verdicts = {(r.run_id, r.symbol): r for r in landed.current(spark, out).collect()}
     facts = {k: (r.batch, r.frame_rows, r.usable_rows, r.passed, r.category) for k, r in verdicts.items()}
@@ -313,7 +313,7 @@ def test_a_batch_reads_no_more_when_more_has_landed(spark, tmp_path):
         run = landing / f"r{n}"
         run.mkdir(parents=True)
         (run / f"S{n}.NS.csv").write_text(HEADER + ROWS)
-        land(spark, str(landing), out, checkpoint)
+        land_stream(spark, str(landing), out, checkpoint)
         slots = [p for p in (tmp_path / "out" / "counts" / "days").iterdir() if p.name.startswith("slot=")]
         of_batch = [p for p in slots if any(b.name == f"batch={n}" for b in p.iterdir())]
         read.append(sum(f.stat().st_size for p in of_batch for f in p.rglob("part-*")))
@@ -415,11 +415,60 @@ def test_empty_file_blocks(spark, tmp_path, text):
 
 
 def test_open_quote_blocks(spark, tmp_path):
-    land(tmp_path, _17Sep2026='Date,Symbol,Client\n2026-09-17,A,"x\ny"\n')
+    land(tmp_path, _17Sep2026='Date,Symbol,Client\n2026-09-17,A,"x\ny\n')
     rows, family = scan(spark, tmp_path, end=DAY)
     assert rows.count() == 0 and family.blocked == 1
 
 
+def test_records_over_lines_are_rows(spark, tmp_path):
+    land(tmp_path, _17Sep2026='Date,Symbol,Client\n2026-09-17,A,"x\n\ny, ""z"""\n\n2026-09-17,B,c\n')
+    rows, family = scan(spark, tmp_path, end=DAY)
+    assert {r.symbol: r.client for r in rows.collect()} == {"A": 'x\n\ny, "z"', "B": "c"} and family.success
+
+
+@pytest.mark.parametrize("split", ["64", "1000000"])
+def test_records_are_the_same_in_many_splits(spark, tmp_path, split):
+    from barledger.sources.lines import number_lines, read_lines
+
+    rows = [f'{i},"line one {i}\n\nline ""two""\n",{i}' if i % 3 == 0 else f"{i},plain,{i}" for i in range(200)]
+    (tmp_path / "a.csv").write_text("n,text,m\n" + "\n".join(rows) + "\n")
+    (tmp_path / "b.csv").write_text("n,text,m\n" + "\n".join(r for r in rows if "\n" not in r) + "\n\n")
+    (tmp_path / "c.csv").write_text('n,text,m\n1,"x\ny",2\n3,"open,4\n5,z,6\n')
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        got = {}
+        for r in number_lines(read_lines(spark, str(tmp_path), "*.csv")).collect():
+            got.setdefault(r.name, {})[r.row_position] = r.line
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    for name, lines in (("a.csv", rows), ("b.csv", [r for r in rows if "\n" not in r])):
+        assert got[name] == {-1: "n,text,m", **dict(enumerate(lines))}
+    # a quote that never ends: its file keeps its lines, and they show it
+    assert got["c.csv"] == {-1: "n,text,m", 0: '1,"x', 1: 'y",2', 2: '3,"open,4', 3: "5,z,6"}
+
+
+def test_csv_numbers_are_exact(spark, tmp_path):
+    (tmp_path / "t.csv").write_text(
+        "a,b,c,d,e,f\n0.1234567890123456789,9007199254740993.0,1.5,1e300,0.30000000000000004,1e5\n-2,1,2.25,2,1,1.2345678901234567891e3\n"
+    )
+    table = tables.load_csv(spark, str(tmp_path / "t.csv"))
+    assert dict(table.dtypes) == {
+        "a": "decimal(20,19)", "b": "decimal(17,1)", "c": "double", "d": "double", "e": "double", "f": "string",
+    }
+    rows = [tuple(map(str, r)) for r in table.collect()]
+    assert rows[0] == ("0.1234567890123456789", "9007199254740993.0", "1.5", "1e+300", "0.30000000000000004", "1e5")
+    assert rows[1][:2] == ("-2.0000000000000000000", "1.0")
+
+
+def test_csv_row_like_its_header(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("a,b\n1,2\na,b\n")
+    table = tables.load_csv(spark, str(tmp_path / "t.csv"))
+    assert dict(table.dtypes) == {"a": "string", "b": "string"} and table.count() == 2
+
+
 def test_headers_that_fold_together_or_collide(spark, tmp_path):
     land(tmp_path, _17Sep2026="Date,Symbol,SYMBOL\n2026-09-17,A,B\n", _18Sep2026="Symbol,Date,a,a,a.1\nC,2026-09-18,1,2,3\n")
     rows = {r.symbol: r.extras for r in scan(spark, tmp_path)[0].collect()}
