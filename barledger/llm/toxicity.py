@@ -5,7 +5,8 @@ becomes the sparse TF-IDF vector of its words in it (document frequencies over a
 examples by exact cosine. Words that the examples' classes use more differently than chance explains among so many words
 weigh more; no word is left out. An inverted index holds for each term its postings and the largest weight in each block
 of examples. A document's blocks with the largest bounds are scored first; others are scored only if their bound reaches
-the nearest examples found. Votes weighted by similarity are calibrated on the examples themselves, each without its own.
+the nearest examples found. Votes weighted by similarity are calibrated on the examples themselves, each without its own;
+there an example counts for all labelled rows of its class.
 """
 
 from __future__ import annotations
@@ -23,9 +24,9 @@ from barledger.llm.near_dedup import shingle_sets
 from barledger.llm.shared import bound_batches, remainder, stored
 
 #: Examples of each class at most: a bounded sample of the labelled rows, chosen by a hash of their ids.
-EXAMPLES = 1000
+EXAMPLES = 2000
 #: Words in more than one of so many examples have a column of a dense table; the others have postings.
-DENSE = 12
+DENSE = 24
 COPY_MARKS = 4
 NEIGHBOURS = 15
 #: Words of the documents that are compared at a time.
@@ -327,7 +328,7 @@ class Voters:
             cosine = np.where(near == without[:, None], 0, cosine)
             last = (cosine > 0).sum(axis=1) > NEIGHBOURS  # its own example was not among them
             cosine[last, -1] = 0
-        weight = np.where(cosine > 0, self.stand[near] * cosine / (1.05 - np.minimum(cosine, 1)), 0)
+        weight = np.where(cosine > 0, cosine / (1.05 - np.minimum(cosine, 1)), 0)
         total = weight.sum(axis=1)
         share = np.full(vectors.n, np.nan)
         np.divide((weight * self.label[near]).sum(axis=1), total, out=share, where=total > 0)
