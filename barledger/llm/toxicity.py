@@ -11,6 +11,8 @@ there an example counts for all labelled rows of its class.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
@@ -18,7 +20,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barledger.llm.bytework import PLAIN_WORDS, Texts, U64, Words, bounded, mixed
+from barledger.llm.bytework import PLAIN_WORDS, Texts, U64, Words, bounded, mixed, worker_cache
 from barledger.llm.calibration import calibrated, isotonic
 from barledger.llm.near_dedup import shingle_sets
 from barledger.llm.shared import bound_batches, remainder, stored
@@ -156,7 +158,7 @@ def term_rows(docs: DataFrame, terms: np.ndarray, keep: list[str]) -> DataFrame:
     shared = by_value(docs.sparkSession, terms)
 
     def find(batches):
-        terms = cloudpickle.loads(shared.value)
+        terms = received(shared)
         for batch in bounded(batches, 0):
             term, doc, count = text_terms(batch.column(0))
             at = np.searchsorted(terms, term)
@@ -305,11 +307,22 @@ class BlockMaxIndex:
         return near, cosine
 
 
+def remade(kind: type, given: tuple, points: tuple) -> Voters:
+    voters = kind(*given)
+    voters.points = points
+    return voters
+
+
 class Voters:
     """The index, the examples' labels and weights, and the calibration."""
 
-    def __init__(self, ids: list, label: np.ndarray, behind: dict[int, float], vectors: Vectors, weights: np.ndarray):
+    def __init__(
+        self, ids: list, label: np.ndarray, behind: dict[int, float], counts: np.ndarray, at: np.ndarray, times: np.ndarray,
+        weights: np.ndarray,
+    ):
+        self.given = ids, label, behind, counts, at.astype(np.int32), times.astype(np.int32), weights
         self.ids, self.label, self.weights = ids, label, weights
+        vectors = Vectors(counts, at, times, weights)
         self.stand = np.array([behind[int(c)] for c in label]) if len(label) else np.zeros(0)
         self.index = BlockMaxIndex(vectors, len(weights)) if len(vectors.term) else None
         self.points = (np.array([0.0, 1.0]), np.array([0.0, 1.0]))
@@ -319,6 +332,10 @@ class Voters:
         #: Of texts without any word of the examples: the share among examples without words.
         self.alone = float((toxic + PRIOR_ROWS * share) / (weight + PRIOR_ROWS))
 
+    def __reduce__(self):
+        """Examples travel as counts of words; the index is made again from them."""
+        return remade, (type(self), self.given, self.points)
+
     def votes(self, vectors: Vectors, without: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The weighted share of toxic neighbours (nan without any), and the nearest examples and cosines of each vector."""
         if self.index is None:
@@ -337,7 +354,17 @@ class Voters:
 
 def by_value(spark: SparkSession, value):
     """A broadcast that workers without this package can read; the examples bound its size."""
-    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return spark.sparkContext.broadcast(zlib.compress(cloudpickle.dumps(value), 1))
+
+
+def received(shared):
+    """What by_value() sent, made once in each worker."""
+    kept = worker_cache("toxicity")
+    key = zlib.crc32(shared.value)
+    if key not in kept:
+        kept.clear()
+        kept[key] = cloudpickle.loads(zlib.decompress(shared.value))
+    return kept[key]
 
 
 def calibrate(spark: SparkSession, voters: Voters, rows: DataFrame) -> None:
@@ -345,7 +372,7 @@ def calibrate(spark: SparkSession, voters: Voters, rows: DataFrame) -> None:
     shared = by_value(spark, voters)
 
     def vote(batches):
-        known = cloudpickle.loads(shared.value)
+        known = received(shared)
         for batch in by_entries(batches, 1):
             vectors = Vectors.of_lists(batch.column(1), batch.column(2), known.weights)
             share, _, _ = known.votes(vectors, batch.column(0).to_numpy())
@@ -353,6 +380,7 @@ def calibrate(spark: SparkSession, voters: Voters, rows: DataFrame) -> None:
             yield pa.RecordBatch.from_arrays([pa.array(found), batch.column(0)], ["bin", "number"])
 
     votes = rows.select("number", "at", "times").mapInArrow(vote, "bin int, number int").toPandas()
+    shared.destroy()
     votes = votes[votes["bin"] >= 0]
     number, at = votes["number"].to_numpy(), votes["bin"].to_numpy()
     stand, toxic = voters.stand[number], (voters.stand * voters.label)[number]
@@ -388,8 +416,7 @@ def score(
     idf = np.log((1 + total) / (1 + document_frequencies(rows, len(terms)))) + 1
     weights = idf * class_gain(at, label, len(terms))
     flat = [np.concatenate([*x, np.zeros(0, dtype=np.int64)]) for x in (at, times)]
-    vectors = Vectors(np.array([len(a) for a in at], dtype=np.int64), *flat, weights)
-    voters = Voters(ids, label, behind, vectors, weights)
+    voters = Voters(ids, label, behind, np.array([len(a) for a in at], dtype=np.int64), *flat, weights)
     if len(ids):
         again = spark.createDataFrame(
             [(i, a.tolist(), t.tolist()) for i, (a, t) in enumerate(zip(at, times, strict=True))],
@@ -401,7 +428,7 @@ def score(
     evidence = f"array<struct<doc_id:{kind.simpleString()},similarity:double,label:int>>"
 
     def apply(batches):
-        voters = cloudpickle.loads(shared.value)
+        voters = received(shared)
         for batch in by_entries(batches, 1):
             share, near, cosine = voters.votes(Vectors.of_lists(batch.column(1), batch.column(2), voters.weights))
             found = np.where(np.isnan(share), voters.alone, calibrated(np.nan_to_num(share), voters.points))
