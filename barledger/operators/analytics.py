@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from barledger.functions.values import nan_to_null
+from barledger.operators.scans import ranked
 
 BILLION = 10**9
 
@@ -89,31 +90,18 @@ def _span_mean(value: Column, dtype: T.DataType, by_key: Window, rows: int) -> C
 
 
 def moving_average_split(
-    prices: DataFrame, rows: int, *, chunk: Column, price: str = "close", keys: Sequence[str] = ("symbol",),
+    prices: DataFrame, rows: int, *, price: str = "close", keys: Sequence[str] = ("symbol",),
     order: Sequence[str] = ("date",), name: str | None = None, block: int = 100_000,
 ) -> DataFrame:
     """:func:`moving_average` for keys of any size: a key's rows are split over many tasks.
 
-    ``chunk`` is an expression that never decreases along ``order`` (a day, a month), fine enough
-    that one chunk of one key fits a task. Rows are numbered through the key by adding the sizes
-    of earlier chunks to their number in their own chunk, then cut into blocks of ``block`` rows.
-    The last ``rows - 1`` rows of a block are also sent to the next one, so every block sees the
+    Rows are ranked through the whole table by ranges, so even one key and one day may hold all of them, then cut into
+    blocks of ``block`` rows. The last ``rows - 1`` rows of a block are also sent to the next one, so every block sees the
     full span of each of its own rows and the result is exact.
     """
     if rows - 1 > block:
         raise ValueError("block must hold the span")
-    keys, order = list(keys), list(order)
-    placed = prices.withColumn("__chunk", chunk)
-    sizes = placed.groupBy(*keys, "__chunk").agg(F.count(F.lit(1)).alias("__size"))
-    earlier = Window.partitionBy(*keys).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*keys, "__chunk", F.coalesce(F.sum("__size").over(earlier), F.lit(0)).alias("__offset"))
-    in_chunk = F.row_number().over(Window.partitionBy(*keys, "__chunk").orderBy(*order))
-    numbered = (
-        placed.withColumn("__number", in_chunk)
-        .join(offsets, [*keys, "__chunk"])
-        .withColumn("__number", F.col("__number") + F.col("__offset") - 1)
-        .withColumn("__block", F.floor(F.col("__number") / block))
-    )
+    numbered = ranked(prices, list(keys), list(order), "__number").withColumn("__block", F.floor(F.col("__number") / block))
     is_tail = (F.col("__number") % block) > block - rows
     homes = F.when(is_tail, F.array(F.col("__block"), F.col("__block") + 1)).otherwise(F.array(F.col("__block")))
     spread = numbered.withColumn("__home", F.explode(homes))

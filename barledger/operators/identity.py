@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from barledger import fixed_values as fv
 from barledger.functions.market import is_valid_symbol
+from barledger.operators.skew import HOT_ROWS, attach_by_key, row_counts
 
 POLICY_SCHEMA = (
     "symbol string, effective_date date, policy_id string, reason string, evidence_urls array<string>"
@@ -64,34 +65,32 @@ def assert_universe(requested: DataFrame, typos: DataFrame, *, run: Sequence[str
         raise ValueError(f"{totals['faulty']} requested identities are repeated, malformed or known typos")
 
 
-def in_force(policies: DataFrame) -> DataFrame:
-    """Give each policy the half-open period in which it is its symbol's latest one."""
-    by_date = Window.partitionBy("symbol").orderBy("effective_date")
-    return policies.withColumn("superseded_on", F.lead("effective_date").over(by_date))
+def timelines(policies: DataFrame) -> DataFrame:
+    """One row per symbol: its policies as an array in order of their dates. A symbol has few, however often it is asked for."""
+    facts = [name for name in policies.columns if name not in ("symbol", "effective_date")]
+    return policies.where(F.col("effective_date").isNotNull()).groupBy("symbol").agg(
+        F.sort_array(F.collect_list(F.struct("effective_date", *facts))).alias("__periods")
+    )
 
 
-def defer_by_policy(requested: DataFrame, policies: DataFrame, as_of: date | Column) -> DataFrame:
-    """Left join requests to the policy of the exact symbol in force on ``as_of``.
+def defer_by_policy(
+    requested: DataFrame, policies: DataFrame, as_of: date | Column, *, hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Requests with the policy of the exact symbol in force on ``as_of``: the last one effective by then.
 
-    An identity without a policy stays undeferred and is not certified by that. No successor
-    symbol is ever substituted. The adaptive planner broadcasts the policies when their measured
-    size allows it and joins on the symbol otherwise.
+    An identity without a policy stays undeferred and is not certified by that. No successor symbol is ever substituted.
+    A symbol repeats over all runs, so its timeline comes to its requests through ``attach_by_key``.
     """
     day = as_of if isinstance(as_of, Column) else F.lit(as_of)
     asked = requested.withColumn("__as_of", day)
-    rules = in_force(policies).select(
-        F.col("symbol").alias("__symbol"), "effective_date", "superseded_on",
-        *[name for name in policies.columns if name not in ("symbol", "effective_date")],
-    )
-    applies = (
-        (F.col("symbol") == F.col("__symbol"))
-        & (F.col("__as_of") >= F.col("effective_date"))
-        & (F.col("superseded_on").isNull() | (F.col("__as_of") < F.col("superseded_on")))
-    )
-    return (
-        asked.join(rules, applies, "left")
-        .withColumn("deferred", F.col("effective_date").isNotNull())
-        .drop("__as_of", "__symbol", "superseded_on")
+    known = timelines(policies).join(row_counts(asked, ["symbol"], "__asked"), "symbol")
+    found = attach_by_key(asked, known, ["symbol"], "__asked", hot_rows)
+    by_then = F.filter("__periods", lambda period: period["effective_date"] <= F.col("__as_of"))
+    period = F.try_element_at(by_then, F.lit(-1))
+    names = ["effective_date", *[name for name in policies.columns if name not in ("symbol", "effective_date")]]
+    return found.withColumn("__period", period).select(
+        *requested.columns, *[F.col(f"__period.{name}").alias(name) for name in names],
+        F.col("__period").isNotNull().alias("deferred"),
     )
 
 

@@ -270,6 +270,9 @@ oracle("moving_average_200_trades", f"""SELECT {SYMBOL} AS symbol, {DAY} AS day,
 FROM lineitem WINDOW span AS (PARTITION BY l_suppkey
   ORDER BY {DAY}, l_orderkey, l_linenumber, l_partkey, {CENTS}, l_quantity ROWS BETWEEN 199 PRECEDING AND CURRENT ROW)""")
 
+oracle("sorted_prices", f"""WITH {BARS}
+SELECT symbol, date, close, row_number() OVER (ORDER BY symbol, date) - 1 AS place FROM bars""")
+
 oracle("top_market_cap", """SELECT 'C' || CAST(c_custkey AS VARCHAR) AS symbol, c_acctbal AS market_cap,
   c_acctbal / 1000000000 AS market_cap_billions FROM customer ORDER BY 2 DESC NULLS LAST, 1 LIMIT 5""")
 
@@ -693,16 +696,19 @@ FROM days GROUP BY ALL""")
 oracle("boundary_probe", f"""WITH {CHARTS}, scopes AS (SELECT DISTINCT symbol, start FROM windowed),
 documents AS (SELECT symbol, start, max(chart_code) AS code FROM coded GROUP BY ALL),
 shape AS (
-  SELECT symbol, start, count(*) AS adapter_rows, bool_and(close IS NOT NULL AND {_FOUR_USABLE}
+  SELECT symbol, start, count(*) AS adapter_rows, bool_or(volume = 17) AS infinite,
+    bool_and(volume <> 17 AND close IS NOT NULL AND {_FOUR_USABLE}
     AND NOT (high < greatest(open, close, low) OR low > least(open, close, high))) AS passed
   FROM frames GROUP BY ALL),
 compared AS (
   SELECT symbol, start, count(*) FILTER (classification = 'agree') AS agreeing,
     count(*) FILTER (classification <> 'agree') AS differing FROM cells GROUP BY ALL),
 probed AS (
-  SELECT s.symbol, s.start, CAST(s.start + 10 AS DATE) AS "end", CASE WHEN d.symbol IS NULL THEN 0 ELSE 1 END AS responses,
-    d.code AS decode_code, CASE WHEN d.symbol IS NULL OR d.code IS NOT NULL THEN 'expected_one_valid_matching_response'
-      WHEN f.symbol IS NULL THEN 'expected_one_adapter_frame' END AS error_code,
+  SELECT s.symbol, s.start, CAST(s.start + 10 AS DATE) AS "end", CASE WHEN d.symbol IS NULL THEN 0 WHEN day(s.start) = 21 THEN 2 ELSE 1 END AS responses,
+    d.code AS decode_code, CASE WHEN d.symbol IS NULL OR d.code IS NOT NULL OR day(s.start) IN (11, 21)
+        THEN 'expected_one_valid_matching_response'
+      WHEN f.symbol IS NULL THEN 'expected_one_adapter_frame'
+      WHEN f.infinite THEN 'nonfinite_adapter_cell' END AS error_code,
     f.adapter_rows, c.agreeing, c.differing, f.passed
   FROM scopes s LEFT JOIN documents d ON s.symbol = d.symbol AND s.start = d.start
     LEFT JOIN shape f ON s.symbol = f.symbol AND s.start = f.start
@@ -789,3 +795,16 @@ SELECT kind, file_day, CASE WHEN n NOT IN (3, 4) THEN file_day END AS deal_date,
   CASE WHEN v = 1 THEN flag END AS client, date_text, quantity_text, price_text,
   CASE WHEN v = 3 THEN 'SYMBOL=' || flag ELSE '' END AS extras
 FROM texts""")
+
+oracle("bundle_manifest", f"""WITH {VERDICTS}
+SELECT run_id, symbol, frame_rows, usable_rows, rejected_rows, passed, '1' AS run_attempt,
+  'not_verified' AS historical_completeness, CAST(sum(frame_rows) OVER () AS BIGINT) AS frame_part_rows,
+  CAST(sum(rejected_rows) OVER () AS BIGINT) AS rejected_part_rows, true AS files_verified FROM verdicts""")
+
+oracle("rejected_lines", f"""WITH {AUDITED}
+SELECT run_id, symbol, row_position, reasons, CAST(6 AS INTEGER) AS cells FROM audited WHERE reasons <> ''""")
+
+oracle("loaded_table", """SELECT l_orderkey * 10 + l_linenumber AS id,
+  CAST(l_linenumber AS VARCHAR) || '.' || lpad(CAST(l_orderkey AS VARCHAR), 19, '0') AS exact, CAST(l_quantity AS DOUBLE) AS quantity,
+  CASE l_linenumber WHEN 3 THEN 'first' || chr(10) || chr(10) || '"' || l_returnflag || '", last' WHEN 4 THEN 'a, b'
+    WHEN 5 THEN NULL ELSE l_linestatus END AS note FROM lineitem""")

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from barledger import fixed_values as fv
 from barledger.functions.market import is_chart_request, local_day, local_midnight_epoch
 from barledger.functions.values import once
+from barledger.operators.skew import HOT_ROWS, attach_by_key, row_counts
 
 NONSTANDARD_NUMBER = r"[\[:,]\s*(NaN|-?Infinity)\s*[,\]}]"
 NUMBER_ARRAY = r"^ARRAY<(VOID|BIGINT|DOUBLE|DECIMAL\([0-9]+,[0-9]+\))>$"
@@ -21,12 +22,12 @@ def request_scopes(requests: DataFrame) -> DataFrame:
     })
 
 
-def match_requests(fetch_log: DataFrame, scopes: DataFrame) -> DataFrame:
+def match_requests(fetch_log: DataFrame, scopes: DataFrame, *, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Fetches that are exactly the chart request of a scope, with the scope's columns.
 
     ``fetch_log`` has ``url`` and a string map ``params``. The symbol and the window are taken
-    from the fetch as join keys, so a log of many scopes is matched by one equi join; the full
-    predicate then decides.
+    from the fetch as join keys, so a log of many scopes is matched by one equi join, in which a
+    request that was repeated many times is split; the full predicate then decides.
     """
     path = F.try_parse_url("url", F.lit("PATH"))
     keyed = fetch_log.withColumns({
@@ -34,12 +35,13 @@ def match_requests(fetch_log: DataFrame, scopes: DataFrame) -> DataFrame:
         "__period1": F.try_element_at("params", F.lit("period1")).try_cast("bigint"),
         "__period2": F.try_element_at("params", F.lit("period2")).try_cast("bigint"),
     })
-    joined = keyed.join(
-        scopes,
-        (F.col("__symbol") == F.col("symbol"))
-        & (F.col("__period1") == F.col("period1"))
-        & (F.col("__period2") == F.col("period2")),
+    keys = ["__symbol", "__period1", "__period2"]
+    asked = row_counts(keyed.where(F.col("__symbol").isNotNull()), keys, "__fetches")
+    wanted = scopes.groupBy(*(F.col(name[2:]).alias(name) for name in keys)).agg(
+        F.collect_list(F.struct(*scopes.columns)).alias("__scopes")
     )
+    found = attach_by_key(keyed, wanted.join(asked, keys), keys, "__fetches", hot_rows)
+    joined = found.withColumn("__scope", F.explode("__scopes")).select(*keyed.columns, "__scope.*")
     exact = is_chart_request(F.col("url"), F.col("params"), F.col("symbol"), F.col("period1"), F.col("period2"))
     return joined.where(exact).drop("__symbol", "__period1", "__period2")
 

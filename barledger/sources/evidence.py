@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from barledger import fixed_values as fv
 from barledger.operators.artifacts import verify_checksums
@@ -37,18 +37,20 @@ def file_digests(spark: SparkSession, path: str) -> DataFrame:
 def bundle_files(spark: SparkSession, root: str) -> DataFrame:
     """``file`` (below the root), ``sha256``, ``bytes`` and ``rows`` of every data file of a bundle's parts."""
     found = None
+
+    def below(path: Column) -> Column:
+        """The part of a path below the root: a task's files of several partitions share a name, not a directory."""
+        return F.substring_index(F.url_decode(path), f"{root.rsplit('/', 1)[-1]}/", -1)
+
     for part in PARTS:
         path = f"{root}/{part}"
         reader = spark.read.option("recursiveFileLookup", True)
         # rows are counted from what was written, without reading a value of them
         rows = (reader.text(path) if part == "rejected" else reader.parquet(path)).groupBy(
-            F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("__name")
+            below(F.col("_metadata.file_path")).alias("file")
         ).agg(F.count(F.lit(1)).alias("rows"))
-        digests = file_digests(spark, path).withColumn("__name", F.element_at(F.split("path", "/"), -1))
-        joined = digests.join(rows, "__name", "left").select(
-            F.substring_index("path", f"{root.rsplit('/', 1)[-1]}/", -1).alias("file"), "sha256", "bytes",
-            F.coalesce("rows", F.lit(0)).alias("rows"),
-        )
+        digests = file_digests(spark, path).select(below(F.col("path")).alias("file"), "sha256", "bytes")
+        joined = digests.join(rows, "file", "left").select("file", "sha256", "bytes", F.coalesce("rows", F.lit(0)).alias("rows"))
         found = joined if found is None else found.unionByName(joined)
     return found
 
@@ -115,7 +117,7 @@ def verify_bundle(spark: SparkSession, root: str) -> DataFrame:
     for part in PARTS:
         found = file_digests(spark, f"{root}/{part}")
         present = found if present is None else present.unionByName(found)
-    relative = F.substring_index("path", f"{root.rsplit('/', 1)[-1]}/", -1)
+    relative = F.substring_index(F.url_decode("path"), f"{root.rsplit('/', 1)[-1]}/", -1)
     return verify_checksums(recorded, present.select(relative.alias("file"), "sha256", "bytes"))
 
 

@@ -134,7 +134,7 @@ def _cast(name: str, dtype: T.DataType) -> Column:
 
 def save_csv(table: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """A header and no row index; the directory's ``_SUCCESS`` marks a finished write."""
-    table.write.mode(mode).option("header", True).csv(path)
+    table.write.mode(mode).option("header", True).option("escape", '"').csv(path)
 
 
 def save_prices(published: DataFrame, path: str, mode: str = "errorifexists", fmt: str = "parquet") -> None:

@@ -34,8 +34,8 @@ def test_moving_average_against_brute_force(spark, kind):
     rows, table = prices(spark, kind)
     want = brute_mean(rows, 7)
     plain = analytics.moving_average(table, 7)
-    split = analytics.moving_average_split(table, 7, chunk=F.floor(F.col("date") / 5), block=16)
-    tight = analytics.moving_average_split(table, 7, chunk=F.col("date"), block=6)
+    split = analytics.moving_average_split(table, 7, block=16)
+    tight = analytics.moving_average_split(table, 7, block=6)
     for result in (plain, split, tight):
         have = {(r.symbol, r.date): r.ma_7 for r in result.collect()}
         assert have.keys() == want.keys()
@@ -74,3 +74,17 @@ def test_rankings_put_missing_last(spark):
 def test_first_symbols_follow_appearance(spark):
     table = spark.createDataFrame([("Z", 1), ("A", 2), ("Z", 3), ("B", 4)], "symbol string, n bigint")
     assert [r.symbol for r in analytics.first_symbols(table, "n", 2).collect()] == ["Z", "A"]
+
+
+@pytest.mark.parametrize("partitions", ["1", "8"])
+def test_one_key_and_day_may_hold_all_rows(spark, partitions):
+    rows = [("A", 1, i, (i * 37) % 101) for i in range(3000)]
+    table = spark.createDataFrame(rows, "symbol string, date int, trade int, close bigint").repartition(5)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        split = analytics.moving_average_split(table, 50, order=("date", "trade"), block=200)
+        have = {r.trade: r.ma_50 for r in split.collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert have == {i: None if i < 49 else sum(r[3] for r in rows[i - 49 : i + 1]) / 50 for i in range(3000)}

@@ -152,6 +152,8 @@ def test_bundle_is_committed_last_and_checked(spark, tmp_path):
     files = {r.file: r.rows for r in spark.read.json(root + "/files").collect()}
     for part, rows_of in {"frame": 5, "rejected": 1}.items():
         assert sum(n for name, n in files.items() if name.startswith(part + "/")) == rows_of
+    by_partition = {flag: sum(n for name, n in files.items() if f"accepted={flag}/" in name) for flag in ("true", "false")}
+    assert by_partition == {"true": 4, "false": 1}
     assert any(name.startswith("positions/") for name in files)
     part = next((tmp_path / "observation" / "positions").glob("part-*"))
     part.with_name(f".{part.name}.crc").unlink()  # the local file system's own checksum

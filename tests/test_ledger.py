@@ -185,3 +185,21 @@ def test_deferral_can_be_off_and_flags_are_boolean(spark):
     assert ledger.run_coverage(ledger.price_ledger(wanted, given, defer_archival_prices=False)).first().success
     with pytest.raises(TypeError):
         ledger.price_ledger(wanted, given, defer_archival_prices="yes")
+
+
+@pytest.mark.parametrize("hot_rows", [1, 1000])
+def test_one_symbol_may_hold_all_requests(spark, hot_rows):
+    asked = spark.createDataFrame(
+        [(f"r{i}", i, "A.NS", date(2020, 1, 1 + i % 28)) for i in range(200)] + [("r", 0, "B.NS", date(2020, 1, 1)), ("r", 1, None, None)],
+        "run_id string, ordinal int, symbol string, day date",
+    )
+    rules = spark.createDataFrame(
+        [("A.NS", date(2020, 1, 10), "p1", "first"), ("A.NS", date(2020, 1, 20), "p2", "second"), ("C.NS", date(2020, 1, 1), "p3", "x"),
+         ("A.NS", None, "p4", "undated")],
+        "symbol string, effective_date date, policy_id string, reason string",
+    )
+    got = identity.defer_by_policy(asked, rules, F.col("day"), hot_rows=hot_rows).collect()
+    assert len(got) == 202
+    for r in got:
+        want = (None if r.symbol != "A.NS" or r.day < date(2020, 1, 10) else "p1" if r.day < date(2020, 1, 20) else "p2")
+        assert (r.policy_id, r.deferred) == (want, want is not None)
