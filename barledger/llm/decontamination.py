@@ -10,11 +10,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barledger.llm.bytework import PLAIN_WORDS, Texts, U64, Words, bounded, covered, release, runs
+from barledger.llm.bytework import PLAIN_WORDS, Texts, U64, Words, bounded, covered, mixed, release, runs, windows
 from barledger.llm.shared import bound_batches, join_small, stored
 
 WINDOW = 10
@@ -22,6 +22,8 @@ SHARD_WORDS = 250_000
 SAMPLE = 16
 #: Bytes of item text that are searched for at once; items beyond it are searched in further blocks.
 BLOCK_BYTES = 8 << 20
+#: Phrases that are searched at a time.
+CHUNK = 50_000
 END, BREAK, FIRST = 0, 1, 2
 PARTS = ("symbols", "bits", "zeros", "smaller", "marks", "samples", "starts")
 INDEX = ", ".join(["shard string", "doc_ids array<{kind}>", "levels int", "size int", *(f"{p} binary" for p in PARTS)])
@@ -185,7 +187,8 @@ class Shard:
 def shards(batches):
     """Name, ids and index of each shard of whole documents in batches of (doc_id, text)."""
     release("packing")
-    task, number = TaskContext.get().partitionId(), 0
+    context = TaskContext.get()
+    task, number = context.partitionId() if context else 0, 0
     ids, hashes, counts, size = [], [], [], 0
     for batch in bounded(batches, 1):
         texts = Texts(batch.column(1), lower=True)
@@ -228,51 +231,77 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return picked.mapInArrow(build, INDEX.format(kind=kind))
 
 
-def phrases_of(items: list[tuple[str, str | None]], window: int) -> dict[int, tuple[np.ndarray, list[str]]]:
-    """For each width: the phrases (rows of word hashes) and the item of each."""
-    texts = Texts([None if t is None else t.encode() for _, t in items], lower=True)
-    words = Words(texts, PLAIN_WORDS)
-    found: dict[int, tuple[list, list]] = {}
-    for i, (item, _) in enumerate(items):
-        mine = words.hashes[words.first[i] : words.first[i + 1]]
-        if not len(mine):
-            continue
-        width = min(window, len(mine))
-        rows, owners = found.setdefault(width, ([], []))
-        for j in range(len(mine) - width + 1):
-            rows.append(mine[j : j + width])
-            owners.append(item)
-    return {width: (np.array(rows, dtype=U64), owners) for width, (rows, owners) in found.items()}
+class Phrases:
+    """The different phrases of a block of items: places in one stream of word hashes, and the items that each belongs to.
+
+    `widths` has for each width the places, and the owners (numbers of `names`, which ascend) in one array with their ends.
+    """
+
+    def __init__(self, items: list[tuple[str, str | None]], window: int):
+        words = Words(Texts([None if t is None else t.encode() for _, t in items], lower=True), PLAIN_WORDS)
+        self.stream = words.hashes
+        self.names = sorted({item for item, _ in items})
+        number = {name: i for i, name in enumerate(self.names)}
+        owner = np.array([number[item] for item, _ in items], dtype=np.int64)
+        size = np.minimum(words.counts, window)
+        self.widths: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        for width in np.unique(size[size > 0]).tolist():
+            mine = np.flatnonzero(size == width)
+            times = words.counts[mine] - width + 1
+            place = np.repeat(words.first[mine] - (np.cumsum(times) - times), times) + np.arange(int(times.sum()))
+            of = np.repeat(owner[mine], times)
+            keys = [windows(x, width)[place] for x in (self.stream, mixed(self.stream ^ U64(width)))]
+            by = np.lexsort((of, *keys))
+            place, of, keys = place[by], of[by], [k[by] for k in keys]
+            new = np.ones(len(by), dtype=bool)
+            new[1:] = (keys[0][1:] != keys[0][:-1]) | (keys[1][1:] != keys[1][:-1])
+            again = np.zeros(len(by), dtype=bool)
+            again[1:] = ~new[1:] & (of[1:] == of[:-1])  # an item that has the phrase twice
+            ends = np.append(np.flatnonzero(new[~again]), (~again).sum())
+            self.widths[width] = place[new], ends, of[~again]
+
+    def rows(self, width: int, least: int, most: int) -> np.ndarray:
+        """Word hashes of the phrases from the one number to the other."""
+        return self.stream[self.widths[width][0][least:most, None] + np.arange(width)]
 
 
 FOUND = "shard string, ordinal int, doc_id {kind}, n_words bigint, starts array<int>, ends array<int>, items array<string>"
 
 
-def found_in(name: str, ids: pa.Array, row: dict, phrases: dict[int, tuple[np.ndarray, list[str]]]) -> pa.RecordBatch:
-    """FOUND of a shard's documents: merged spans of hit words (ends exclusive)."""
+def found_in(name: str, ids: pa.Array, row: dict, phrases: Phrases) -> pa.RecordBatch:
+    """FOUND of a shard's documents: merged spans of hit words (ends exclusive).
+
+    A phrase is searched and located once, whatever number of items has it: a position starts one phrase of a width at most.
+    """
     shard = Shard(row)
     n = len(shard.starts) - 1
     hit = np.zeros(shard.size, dtype=bool)
-    owners: dict[int, set[str]] = {}
-    for width, (rows, of) in phrases.items():
-        found, low, high = shard.search(rows)
-        times = high - low
-        which = np.repeat(found, times)
-        offset = np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times)
-        position = shard.locate(np.repeat(low, times) + offset)
-        hit |= covered(position, width, shard.size)
-        doc = np.searchsorted(shard.starts, position, side="right") - 1
-        for d, p in np.unique(np.stack([doc, which], axis=1), axis=0):
-            owners.setdefault(int(d), set()).add(of[p])
+    owned = [np.zeros(0, dtype=np.int64)]
+    for width, (places, ends, owners) in phrases.widths.items():
+        for least in range(0, len(places), CHUNK):
+            found, low, high = shard.search(phrases.rows(width, least, least + CHUNK))
+            times = high - low
+            which = np.repeat(found + least, times)
+            offset = np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times)
+            position = shard.locate(np.repeat(low, times) + offset)
+            hit |= covered(position, width, shard.size)
+            doc = np.searchsorted(shard.starts, position, side="right") - 1
+            pair = np.unique(doc * len(places) + which)
+            doc, which = pair // len(places), pair % len(places)
+            times = ends[which + 1] - ends[which]
+            of = owners[np.repeat(ends[which] - (np.cumsum(times) - times), times) + np.arange(int(times.sum()))]
+            owned.append(np.unique(np.repeat(doc, times) * len(phrases.names) + of))
     begin, end = runs(hit)
     doc = np.searchsorted(shard.starts, begin, side="right") - 1
     cut = np.searchsorted(doc, np.arange(n + 1)).astype(np.int32)
     spans = [pa.ListArray.from_arrays(cut, pa.array((x - shard.starts[doc]).astype(np.int32))) for x in (begin, end)]
+    pair = np.unique(np.concatenate(owned))
+    cut = np.searchsorted(pair, np.arange(n + 1) * max(len(phrases.names), 1)).astype(np.int32)
+    items = pa.array(phrases.names, pa.string()).take(pa.array(pair % max(len(phrases.names), 1)))
     return pa.RecordBatch.from_arrays(
         [
             pa.array([name] * n, pa.string()), pa.array(np.arange(n), pa.int32()), ids,
-            pa.array(np.diff(shard.starts) - 1, pa.int64()), *spans,
-            pa.array([sorted(owners.get(d, ())) for d in range(n)], pa.list_(pa.string())),
+            pa.array(np.diff(shard.starts) - 1, pa.int64()), *spans, pa.ListArray.from_arrays(cut, items),
         ],
         ["shard", "ordinal", "doc_id", "n_words", "starts", "ends", "items"],
     )
@@ -281,13 +310,14 @@ def found_in(name: str, ids: pa.Array, row: dict, phrases: dict[int, tuple[np.nd
 def search_index(index: DataFrame, items: list[tuple[str, str | None]], window: int = WINDOW) -> DataFrame:
     """FOUND of every indexed document for one block of items."""
     kind = index.schema["doc_ids"].dataType.elementType.simpleString()
-    phrases = index.sparkSession.sparkContext.broadcast(phrases_of(items, window))
+    phrases = index.sparkSession.sparkContext.broadcast(cloudpickle.dumps(Phrases(items, window)))
 
     def search(batches):
+        known = cloudpickle.loads(phrases.value)
         for batch in batches:
             for i in range(batch.num_rows):
                 row = {name: batch.column(name)[i].as_py() for name in ("levels", "size", *PARTS)}
-                yield found_in(batch.column("shard")[i].as_py(), batch.column("doc_ids")[i].values, row, phrases.value)
+                yield found_in(batch.column("shard")[i].as_py(), batch.column("doc_ids")[i].values, row, known)
 
     return index.mapInArrow(search, FOUND.format(kind=kind))
 
@@ -297,11 +327,12 @@ def index_and_search(
 ) -> DataFrame:
     """The same where one block holds all items: each shard is searched where it is built and not stored."""
     picked, kind = id_text(docs, id_col, text_col)
-    phrases = docs.sparkSession.sparkContext.broadcast(phrases_of(items, window))
+    phrases = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(Phrases(items, window)))
 
     def search(batches):
+        known = cloudpickle.loads(phrases.value)
         for name, ids, row in shards(batches):
-            yield found_in(name, ids, row, phrases.value)
+            yield found_in(name, ids, row, known)
 
     return picked.mapInArrow(search, FOUND.format(kind=kind))
 

@@ -7,6 +7,7 @@ import textwrap
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from compare import connect, difference
 from pyspark.sql import functions as F
@@ -187,3 +188,23 @@ def test_wrapped_headers_and_full_licences(spark):
     frame = spark.createDataFrame(rows, "doc_id long, path string, text string")
     got = {r.doc_id: (r.license, r.is_file, r.inherited) for r in license_scan.scan(frame, F.col("path")).collect()}
     assert got == expected
+
+
+def test_phrases_that_many_items_share_are_located_once(spark):
+    """500 items with one stem, each with an end of its own, and 2,000 documents with the stem."""
+    import time
+
+    stem = " ".join(f"stem{i}" for i in range(12))
+    items = [(f"i{k:03d}", f"{stem} end{k}a end{k}b") for k in range(500)] + [("i000", stem), ("short", "stem3 stem4"), ("i001", None)]
+    texts = [(d, f"before {stem} after{d}") for d in range(2000)] + [(9000, f"{stem} end7a end7b"), (9001, "stem3 stem4"), (9002, "none")]
+    phrases = decontamination.Phrases(items, 10)
+    assert len(phrases.widths[10][0]) == 3 + 500 * 2 and len(phrases.widths[2][0]) == 1
+    begun = time.perf_counter()
+    [shard] = list(decontamination.shards([pa.RecordBatch.from_pylist([{"doc_id": d, "text": t.encode()} for d, t in texts])]))
+    found = decontamination.found_in(*shard, phrases)
+    assert time.perf_counter() - begun < 3
+    for row in found.to_pylist():
+        if row["doc_id"] < 9000:
+            assert (row["starts"], row["ends"]) == ([1], [13]) and row["items"] == [*(f"i{k:03d}" for k in range(500)), "short"]
+    last = {r["doc_id"]: r for r in found.to_pylist()[2000:]}
+    assert (last[9000]["ends"], len(last[9000]["items"])) == ([14], 501) and last[9001]["items"] == ["short"] and not last[9002]["items"]
