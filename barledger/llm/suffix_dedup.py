@@ -19,7 +19,10 @@ from barledger.llm.bytework import BASE, Texts, U64, bounded, mixed, powers, run
 from barledger.llm.shared import bound_batches, stored
 
 LENGTH = 100
+#: Bytes of an anchor; half a window where windows are shorter than two anchors.
 GRAM = 32
+#: A context's first window start and its number of windows share a number; so many bits are for the windows.
+WINDOW_BITS = 20
 SHARD_BYTES = 1 << 20
 #: Different contexts of one anchor beyond which its windows are dealt one by one.
 HOT_CONTEXTS = 20_000
@@ -38,8 +41,16 @@ def sliding_first_min(values: np.ndarray, width: int) -> np.ndarray:
     return (low & U64(0xFFFFFFFF)).astype(np.int64)
 
 
-def contexts_of(texts: Texts, length: int = LENGTH, gram: int = GRAM) -> dict[str, np.ndarray]:
+def gram_of(length: int) -> int:
+    """Bytes of an anchor for windows of `length` bytes, which may be 2 to 2 ** WINDOW_BITS."""
+    if not 2 <= length <= 1 << WINDOW_BITS:
+        raise ValueError(f"length must be between 2 and {1 << WINDOW_BITS}")
+    return min(GRAM, length // 2)
+
+
+def contexts_of(texts: Texts, length: int = LENGTH) -> dict[str, np.ndarray]:
     """Anchor, content hash, text and range of window starts (within the batch) of each context."""
+    gram = gram_of(length)
     empty = {k: np.zeros(0, dtype=np.int64) for k in ("anchor", "content", "doc", "first", "last")}
     if len(texts.bytes) < length:
         return empty
@@ -242,13 +253,13 @@ def types(df: DataFrame, names: list[str]) -> str:
 
 
 def context_rows(texts: DataFrame, ids: list[str], length: int) -> DataFrame:
-    """anchor, content, ids, at (first window start * 256 + windows - 1) of every context."""
+    """anchor, content, ids, at (first window start above WINDOW_BITS bits of the other windows' number) of every context."""
 
     def find(batches):
         for batch in bounded(batches, 0):
             found = contexts_of(Texts(batch.column(0)), length)
             of = pa.array(found["doc"])
-            at = found["first"] * 256 + found["last"] - found["first"]
+            at = (found["first"] << WINDOW_BITS) + found["last"] - found["first"]
             named = [batch.column(name).take(of) for name in ids]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(found["anchor"]), pa.array(found["content"]), *named, pa.array(at)],
@@ -270,7 +281,7 @@ def fetched(texts: DataFrame, ids: list[str], needed: DataFrame, length: int) ->
             for i, (text, found) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
                 raw = text.encode()
                 for one in found:
-                    first, more = one["at"] >> 8, one["at"] & 255
+                    first, more = one["at"] >> WINDOW_BITS, one["at"] & ((1 << WINDOW_BITS) - 1)
                     values = (i, one["anchor"], one["hot"], first, raw[first : first + more + length])
                     for key, value in zip(rows, values, strict=True):
                         rows[key].append(value)
@@ -312,8 +323,12 @@ def sorted_spans(contexts: DataFrame, ids: list[str], length: int) -> DataFrame:
     )
 
 
+#: Two independent hashes, of an anchor and of all that surrounds it: contexts that agree in both are taken for equal.
+SAME = ["anchor", "content"]
+
+
 def single_windows(contexts: DataFrame, ids: list[str], length: int) -> DataFrame:
-    """content, ids, at of each window of contexts of hot anchors."""
+    """anchor, content, ids, at of each window of contexts of hot anchors."""
 
     def find(batches):
         for batch in batches:
@@ -325,22 +340,23 @@ def single_windows(contexts: DataFrame, ids: list[str], length: int) -> DataFram
             first = batch.column(1).to_numpy()[of] + inside
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(texts.hashes(starts, starts + length).view(np.int64)),
-                    *(batch.column(name).take(pa.array(of)) for name in ids), pa.array(first * 256),
+                    batch.column(2).take(pa.array(of)), pa.array(texts.hashes(starts, starts + length).view(np.int64)),
+                    *(batch.column(name).take(pa.array(of)) for name in ids), pa.array(first << WINDOW_BITS),
                 ],
-                ["content", *ids, "at"],
+                ["anchor", "content", *ids, "at"],
             )
 
-    return contexts.select("bytes", "first", *ids).mapInArrow(
-        find, f"content bigint, {types(contexts, ids)}, at bigint"
+    return contexts.select("bytes", "first", "anchor", *ids).mapInArrow(
+        find, f"anchor bigint, content bigint, {types(contexts, ids)}, at bigint"
     )
 
 
 def later_copies(rows: DataFrame, ids: list[str], firsts: DataFrame, length: int) -> DataFrame:
-    """ids, start, end of rows (content, ids, at) that are not the first of their content; firsts has `one`."""
-    joined = rows.select("content", *ids, "at").join(firsts, "content").where(F.struct(*ids, "at") != F.col("one"))
-    start = F.shiftright("at", 8)
-    return joined.select(*ids, start.alias("start"), (start + F.col("at").bitwiseAND(255) + length).alias("end"))
+    """ids, start, end of rows (SAME, ids, at) that are not the first of their content; firsts has `one`."""
+    joined = rows.select(*SAME, *ids, "at").join(firsts, SAME).where(F.struct(*ids, "at") != F.col("one"))
+    start = F.shiftright("at", WINDOW_BITS)
+    more = F.col("at").bitwiseAND((1 << WINDOW_BITS) - 1)
+    return joined.select(*ids, start.alias("start"), (start + more + length).alias("end"))
 
 
 def repeated_spans(texts: DataFrame, ids: list[str], length: int = LENGTH) -> DataFrame:
@@ -350,15 +366,15 @@ def repeated_spans(texts: DataFrame, ids: list[str], length: int = LENGTH) -> Da
     rows = context_rows(texts, ids, length)
     shared = stored(rows.groupBy("anchor").agg(count).where("n > 1").select("anchor"), "shared")
     rows = stored(rows.join(shared, "anchor", "left_semi"), "contexts")
-    firsts = stored(rows.groupBy("content").agg(F.first("anchor").alias("anchor"), count, one), "firsts")
+    firsts = stored(rows.groupBy(*SAME).agg(count, one), "firsts")
     several = firsts.groupBy("anchor").agg(count).where("n > 1").select("anchor", (F.col("n") > HOT_CONTEXTS).alias("hot"))
     needed = firsts.select("anchor", "one").join(stored(several, "several"), "anchor").select("anchor", "hot", "one.*")
     contexts = stored(fetched(texts, ids, needed, length), "bytes")
     single = stored(single_windows(contexts.where("hot"), ids, length), "windows")
     spans = (
-        later_copies(rows, ids, firsts.where("n > 1").select("content", "one"), length)
+        later_copies(rows, ids, firsts.where("n > 1").select(*SAME, "one"), length)
         .unionByName(sorted_spans(contexts.where(~F.col("hot")), ids, length))
-        .unionByName(later_copies(single, ids, stored(single.groupBy("content").agg(one), "singles"), length))
+        .unionByName(later_copies(single, ids, stored(single.groupBy(*SAME).agg(one), "singles"), length))
     )
     return spans.groupBy(*ids).agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
@@ -372,6 +388,7 @@ def cut_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     ids come first. Other columns are not read. An empty table gives no rows.
     """
     bound_batches(docs.sparkSession)
+    gram_of(length)
     texts, ids = with_identity(docs, id_col, text_col)
     # a null id that no other row has needs a name that joins
     known = texts.withColumn("doc", F.struct("doc")) if texts.where("doc IS NULL").take(1) else texts
