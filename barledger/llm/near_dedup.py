@@ -21,6 +21,8 @@ from barledger.llm.bytework import SPACE_WORDS, Texts, U64, Words, bounded, mixe
 from barledger.llm.shared import bound_batches, stored
 
 WIDTH, PERCENT = 5, 80
+#: Sizes of one class differ by this factor at most.
+CLASS_RATIO = 1.02
 BANDS, ROWS = 32, 4
 REGISTERS = BANDS * ROWS
 #: Base and rate of the registers' exponential spacing; registers are 16 bits wide.
@@ -315,18 +317,41 @@ def prefixes(rare: DataFrame) -> DataFrame:
     )
 
 
+def usable(entries: DataFrame, percent: int) -> DataFrame:
+    """entries (band, node, n, root, rest) with `own_class` and `other`, once for each class of sizes they may meet.
+
+    A class holds sizes within CLASS_RATIO. What a node may reach with the smallest size and the largest `rest` of a
+    class under its band decides before any pair is made: nodes of one size that share a template, but less of it than
+    the similarity needs, meet nobody.
+    """
+    sized = entries.withColumn("own_class", F.floor(F.log("n") / F.log(F.lit(CLASS_RATIO))))
+    classes = sized.groupBy("band", F.col("own_class").alias("other")).agg(
+        F.min("n").alias("least"), F.max("rest").alias("most"), F.min("root").alias("x"), F.max("root").alias("y")
+    )
+    reach = F.least("rest", "most")
+    fits = reach * 100 >= (F.col("n") + F.greatest("least", reach) - reach) * percent
+    # a class of one component alone has no pair within it
+    another = (F.col("other") != F.col("own_class")) | (F.col("x") != F.col("y"))
+    met = sized.join(stored(classes, "classes"), "band").where(fits & another)
+    return met.select("band", "node", "n", "root", "rest", "own_class", "other")
+
+
 def cross_pairs(entries: DataFrame, percent: int) -> DataFrame:
     """Pairs of nodes of different components under one band whose sizes allow the similarity.
 
     Only nodes outside the component that has most of a band's nodes are joined with the others.
     """
+    entries = stored(usable(entries, percent), "usable")
     by_root = entries.groupBy("band", "root").agg(F.count(F.lit(1)).alias("c"))
     main = by_root.groupBy("band").agg(F.max_by("root", F.struct("c", "root")).alias("main"))
     outside = entries.join(stored(main, "main"), "band").where("root <> main")
-    outside = outside.select("band", *(F.col(c).alias(f"{c}_x") for c in ("node", "n", "root", "rest")))
+    outside = outside.select(
+        "band", *(F.col(c).alias(f"{c}_x") for c in ("node", "n", "root", "rest")), F.col("own_class").alias("other"),
+        F.col("other").alias("own_class"),
+    )
     most = F.least("rest", "rest_x")
     fits = (F.col("root") != F.col("root_x")) & (most * 100 >= (F.col("n") + F.col("n_x") - most) * percent)
-    pairs = stored(outside, "outside").join(entries, "band").where(fits)
+    pairs = stored(outside, "outside").join(entries, ["band", "own_class", "other"]).where(fits)
     return pairs.select(F.least("node_x", "node").alias("a"), F.greatest("node_x", "node").alias("b")).distinct()
 
 

@@ -5,8 +5,10 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from barledger.llm import near_dedup, suffix_dedup
+from barledger.llm.shared import stored
 
 from .conftest import LOWER, ODD, SPACED
 
@@ -173,3 +175,25 @@ def test_different_texts_of_one_id_are_cut_as_two(spark):
     got = [tuple(r)[:3] for r in suffix_dedup.report(suffix_dedup.cut_texts(spark.createDataFrame(rows, "doc_id long, text string"))).collect()]
     # which of the two texts of id 1 comes first is decided by a hash; the other loses the passage, and so does id 2
     assert sorted(got) in ([(1, 154, 0), (1, 154, 150), (1, 154, 150), (2, 150, 150)], [(1, 154, 0), (1, 154, 0), (1, 154, 150), (2, 150, 150)])
+
+
+@pytest.mark.parametrize("texts", [100, 400])
+def test_a_template_below_the_threshold_makes_no_pairs(spark, texts):
+    """Texts of 250 common and 25 own words are compared with nobody; those that share enough still meet."""
+    common = " ".join(f"c{i}" for i in range(250))
+    rows = [(d, common + " " + " ".join(f"o{d}x{i}" for i in range(25))) for d in range(texts)]
+    other = " ".join(f"d{i}" for i in range(250))
+    rows += [(9000 + k, other + " " + " ".join(f"p{k}x{i}" for i in range(4))) for k in range(3)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    picked = stored(near_dedup.sketched(frame, 3), "sketches")
+    nodes = stored(picked.select("node", F.col("doc_id").alias("rep"), "key", "n", "registers"), "nodes")
+    sets = near_dedup.sets_of(nodes.select("node", "rep", "key"), frame, 3)
+    rare = stored(near_dedup.rarest(nodes.select("node", "n"), sets, 85), "rare")
+    entries = stored(near_dedup.prefixes(near_dedup.rooted(rare, None)), "entries")
+    left = near_dedup.usable(entries, 85)
+    assert entries.count() > 10 * texts and left.count() <= 200  # of the few that share enough, whatever the number of texts
+    got = {(r.a, r.b) for r in near_dedup.cross_pairs(entries, 85).collect()}
+    rep = {r.node: r.rep for r in nodes.collect()}
+    assert {frozenset((rep[a], rep[b])) for a, b in got} >= {frozenset((9000 + a, 9000 + b)) for a in range(3) for b in range(a)}
+    groups = {r.doc_id: r.component_id for r in near_dedup.group(frame, width=3, percent=85).collect()}
+    assert groups == brute_groups(rows, 3, 85)
