@@ -205,8 +205,45 @@ ends AS (SELECT w.word, last AS root FROM ways w JOIN found f ON f.word = w.last
 SELECT word, form, root, n, n_near, form_n FROM found JOIN ends USING (word)
 """
 
+ASSIGN = (
+    r"([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])"
+    r"""["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+)
+
+
+def matches(order: int, kind: str, pattern: str, group: int, least: int) -> str:
+    """Leftmost matches of a pattern with what lies before each; the lengths up to one are its place."""
+    return (
+        f"SELECT doc_id, {order} AS ord, '{kind}' AS kind, {least} AS least, unnest(range(len(m))) AS i, unnest(m) AS hit, unnest(v) AS val, "
+        f"unnest(g[1 : len(m)]) AS gap FROM (SELECT doc_id, regexp_extract_all(t, '{pattern}', 0) AS m, "
+        f"regexp_extract_all(t, '{pattern}', {group}) AS v, string_split_regex(t, '{pattern}') AS g FROM d)"
+    )
+
+
+SECRET_SCAN = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+hits AS (
+  {matches(0, 'assign', ASSIGN, 2, 12)}
+  UNION ALL {matches(1, 'access', 'AKIA[A-Z0-9]+', 0, 18)}
+  UNION ALL {matches(2, 'hex', '[0-9a-f]{16,}', 0, 16)}
+),
+placed AS (
+  SELECT doc_id, ord, kind, length(val) >= least AS kept, length(hit) AS size,
+    sum(length(gap) + length(hit)) OVER (PARTITION BY doc_id, ord ORDER BY i) AS stop FROM hits
+),
+spans AS (
+  SELECT doc_id, count(*) FILTER (ord = 0) AS a, count(*) FILTER (ord = 1) AS k, count(*) FILTER (ord = 2) AS x,
+    string_agg(kind || ':' || CAST(stop - size AS VARCHAR) || ':' || CAST(stop AS VARCHAR), ',' ORDER BY stop - size, ord) AS joined
+  FROM placed WHERE kept GROUP BY doc_id
+)
+SELECT doc_id, coalesce(a, 0) AS n_assign, coalesce(k, 0) AS n_access, coalesce(x, 0) AS n_hex,
+  sha256(coalesce(joined, '')) AS base_sha256, coalesce(joined, '') AS spans
+FROM d LEFT JOIN spans USING (doc_id)
+"""
+
 ORACLES: dict[str, str] = {
     "op2_near_dedup": NEAR_DEDUP,
+    "op3_secret_scan": SECRET_SCAN,
     "op6_decontamination": DECONTAMINATION,
     "op8_warc": WARC,
     "op9_quality_rules": QUALITY_RULES,

@@ -1,9 +1,9 @@
 """Secret scans by a trigram inverted index, with DataFrame functions only.
 
 Each rule's regular expression is read for strings of which a match must contain one; their trigrams make a Boolean
-query. The postings of the trigrams that some rule asks for are a table of (trigram, document); a rule's candidates are
-the documents that intersecting postings leave, and only they are searched with its expression. A rule without a
-mandatory trigram searches every document.
+query. The index is a table by trigram: for each trigram that some rule asks for, ordered lists of the documents that have
+it, one list for each block of documents. A rule's candidates are what intersecting and uniting these lists leaves, and
+only they are searched with its expression. A rule without a mandatory trigram searches every document.
 """
 
 from __future__ import annotations
@@ -42,6 +42,8 @@ RULES = (
 )
 #: Strings that a part of an expression may be expanded to; beyond, the part is taken for a gap.
 EXPANSIONS = 64
+#: Documents of a block of the index, about.
+BLOCK_DOCS = 4096
 REPLACEMENT = "[redacted]"
 
 Factors = list[list[frozenset[str]]]
@@ -112,31 +114,48 @@ def trigram_query(pattern: str) -> Factors:
     return [[a for a in factor if not any(b < a for b in factor)] for factor in factors]
 
 
-def postings(docs: DataFrame, wanted: list[str]) -> DataFrame:
-    """trigram, doc: a row for each wanted trigram (of lower-cased texts) and document that contains it."""
+def postings(docs: DataFrame, wanted: list[str], blocks: int) -> DataFrame:
+    """trigram, block, docs: for each wanted trigram (of lower-cased texts) the ordered documents of a block that contain it.
+
+    A block holds about BLOCK_DOCS documents by a hash of their names, so a list is bounded however common its trigram is.
+    """
     low = docs.select("doc", F.lower("text").alias("low"))
     found = F.array_compact(F.array(*(F.when(F.contains("low", F.lit(t)), F.lit(t)) for t in wanted)))
-    return low.select("doc", F.explode(found).alias("trigram"))
+    single = low.select("doc", F.explode(found).alias("trigram")).distinct()
+    return single.groupBy("trigram", F.pmod(F.xxhash64("doc"), F.lit(blocks)).alias("block")).agg(
+        F.array_sort(F.collect_list("doc")).alias("docs")
+    )
 
 
-def candidates(docs: DataFrame, queries: dict[str, Factors]) -> DataFrame:
-    """doc and, for each rule, whether intersecting the postings leaves the document."""
-    wanted = sorted({t for factors in queries.values() for factor in factors for alt in factor for t in alt})
-    index = stored(postings(docs, wanted).repartition("doc").sortWithinPartitions("trigram"), "postings")
-    held = index.groupBy("doc").agg(F.collect_set("trigram").alias("held"))
+def candidates(index: DataFrame, queries: dict[str, Factors]) -> DataFrame:
+    """doc and, for each rule, whether its Boolean query over the postings holds for the document.
 
-    def holds(alternative: frozenset[str]) -> Column:
-        listed = F.array(*(F.lit(t) for t in sorted(alternative)))
-        return F.size(F.array_intersect("held", listed)) == len(alternative)
+    The lists of a block meet in one row. Lists of an alternative's trigrams are intersected, those of the alternatives
+    of a factor united, and those of the factors intersected.
+    """
+    lists = F.map_from_entries(F.collect_list(F.struct("trigram", "docs"))).alias("lists")
+    block = index.groupBy("block").agg(lists)
+    none = F.array().cast("array<string>")
+
+    def folded(parts: list[Column], join) -> Column:
+        out = parts[0]
+        for part in parts[1:]:
+            out = join(out, part)
+        return out
+
+    def documents(factors: Factors) -> Column:
+        listed = lambda t: F.coalesce(F.try_element_at("lists", F.lit(t)), none)
+        return folded(
+            [folded([folded([listed(t) for t in sorted(alt)], F.array_intersect) for alt in f], F.array_union) for f in factors],
+            F.array_intersect,
+        )
 
-    def any_of(factor: list[frozenset[str]]) -> Column:
-        return F.exists(F.array(*(holds(a) for a in factor)), lambda x: x)
+    def named(kind: str) -> Column:
+        return F.transform(kind, lambda d: F.struct(d.alias("doc"), F.lit(kind).alias("kind")))
 
-    flags = [
-        F.forall(F.array(*(any_of(f) for f in factors)), lambda x: x).alias(kind) for kind, factors in queries.items()
-    ]
-    rows = held.select("doc", *flags)
-    return rows.where(F.greatest(*(F.col(kind).cast("int") for kind in queries)) == 1)
+    found = block.select(*(documents(factors).alias(kind) for kind, factors in queries.items()))
+    rows = found.select(F.explode(F.flatten(F.array(*map(named, queries)))).alias("one")).select("one.*")
+    return rows.groupBy("doc").agg(*(F.max(F.col("kind") == kind).alias(kind) for kind in queries))
 
 
 def spans_of(rule: Rule, number: int, text: Column) -> Column:
@@ -179,14 +198,14 @@ def scan(
     indexed = {kind: factors for kind, factors in queries.items() if factors}
     others = F.lit(None).cast("int") if others is None else others
     # ids as text, null told apart, so that a join finds null ids too
-    doc = F.struct(F.col(id_col).isNull(), F.coalesce(F.col(id_col).cast("string"), F.lit("")))
-    picked = docs.select(
-        doc.cast("struct<none:boolean,id:string>").alias("doc"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
-        others.alias("others"),
-    )
+    doc = F.when(F.col(id_col).isNull(), F.lit("none")).otherwise(F.concat(F.lit("id "), F.col(id_col).cast("string")))
+    picked = docs.select(doc.alias("doc"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), others.alias("others"))
     joined = picked
     if indexed:
-        found = stored(candidates(picked.select("doc", "text"), indexed), "candidates")
+        wanted = sorted({t for factors in indexed.values() for factor in factors for alt in factor for t in alt})
+        blocks = 1 + docs.count() // BLOCK_DOCS
+        index = postings(picked.select("doc", "text"), wanted, blocks).repartitionByRange("trigram", "block")
+        found = stored(candidates(stored(index.sortWithinPartitions("trigram", "block"), "postings"), indexed), "candidates")
         joined = join_small(picked, found, ["doc"], "left")
     text = F.coalesce(F.col("text"), F.lit(""))
     none = F.array().cast("array<struct<start:int,kind:int,stop:int>>")

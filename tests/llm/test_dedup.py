@@ -195,5 +195,5 @@ def test_a_template_below_the_threshold_makes_no_pairs(spark, texts):
     got = {(r.a, r.b) for r in near_dedup.cross_pairs(entries, 85).collect()}
     rep = {r.node: r.rep for r in nodes.collect()}
     assert {frozenset((rep[a], rep[b])) for a, b in got} >= {frozenset((9000 + a, 9000 + b)) for a in range(3) for b in range(a)}
-    groups = {r.doc_id: r.component_id for r in near_dedup.group(frame, width=3, percent=85).collect()}
+    groups = {r.doc_id: tuple(r)[1:] for r in near_dedup.group(frame, width=3, percent=85).collect()}
     assert groups == brute_groups(rows, 3, 85)

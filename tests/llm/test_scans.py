@@ -208,3 +208,22 @@ def test_phrases_that_many_items_share_are_located_once(spark):
             assert (row["starts"], row["ends"]) == ([1], [13]) and row["items"] == [*(f"i{k:03d}" for k in range(500)), "short"]
     last = {r["doc_id"]: r for r in found.to_pylist()[2000:]}
     assert (last[9000]["ends"], len(last[9000]["items"])) == ([14], 501) and last[9001]["items"] == ["short"] and not last[9002]["items"]
+
+
+@pytest.mark.parametrize("block", [3, 4096])
+def test_candidates_are_what_the_postings_leave(spark, monkeypatch, block):
+    monkeypatch.setattr(secret_scan, "BLOCK_DOCS", block)
+    words = ["secret", "SECRE", "pass", "PassWord", "wd", "token", "tok en", "apikey", "api_key", "api key", "AKIA", "akia", "x"]
+    texts = {i: f"{words[i % 13]} {words[i * 7 % 13]} = {i}" for i in range(60)}
+    docs = spark.createDataFrame([(f"id {i}", t) for i, t in texts.items()], "doc string, text string")
+    queries = {r.kind: secret_scan.trigram_query(r.pattern) for r in secret_scan.RULES[:2]}
+    wanted = sorted({t for fs in queries.values() for f in fs for a in f for t in a})
+    index = secret_scan.postings(docs, wanted, 1 + 60 // block)
+    assert index.where(F.size("docs") > 60).count() == 0 and index.select("block").distinct().count() == (1 if block > 60 else min(21, 1 + 60 // block))
+    got = {int(r.doc[3:]): (r.assign, r.access) for r in secret_scan.candidates(index, queries).collect()}
+
+    def holds(text, factors):
+        return all(any(all(t in text.lower() for t in alt) for alt in factor) for factor in factors)
+
+    want = {i: tuple(holds(t, q) for q in queries.values()) for i, t in texts.items()}
+    assert got == {i: flags for i, flags in want.items() if any(flags)} and len(got) > 10
