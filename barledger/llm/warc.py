@@ -9,6 +9,7 @@ that the executors share, named by task attempt; a manifest table lists those of
 from __future__ import annotations
 
 import hashlib
+import re
 import struct
 from urllib.parse import quote
 
@@ -42,18 +43,29 @@ RECORD_FIELDS = (
 )
 
 
-def record_id(page_id: str) -> str:
-    return f"<urn:page:{quote(page_id, safe='')}>"
+#: What a header line can't hold, or readers may fold: control characters and spaces.
+UNFIT = re.compile("[\\x00-\\x20\\x7f-\\xa0\\u2028\\u2029]")
 
 
-def record(page_id: str, url: str, date: str, payload: bytes, size: int, digest: str, original: str | None) -> bytes:
+def record_id(page_id: str | None) -> str:
+    return "<urn:no-page>" if page_id is None else f"<urn:page:{quote(page_id, safe='')}>"
+
+
+def address_lines(url: str) -> list[str]:
+    """The address as it is; one with characters that don't fit is quoted, percent signs too, and says so."""
+    if not UNFIT.search(url):
+        return [f"WARC-Target-URI: {url}"]
+    return [f"WARC-Target-URI: {quote(url, safe=':/?#[]@!$&()*+,;=~')}", "Target-URI-Quoted: yes"]
+
+
+def record(page_id: str | None, url: str, date: str, payload: bytes, size: int, digest: str, original: str | None) -> bytes:
     """One record with its HTTP head; a revisit (of `original`) has the head alone."""
     head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode()
     block = head if original is not None else head + payload
     lines = [
         "WARC/1.1", f"WARC-Type: {'response' if original is None else 'revisit'}",
         f"WARC-Record-ID: {record_id(page_id)}", f"WARC-Date: {date}",
-        f"WARC-Target-URI: {quote(url, safe=':/?#[]@!$&()*+,;=%~')}", f"WARC-Payload-Digest: sha256:{digest}",
+        *address_lines(url), f"WARC-Payload-Digest: sha256:{digest}",
     ]
     if original is not None:
         lines += [f"WARC-Refers-To: {record_id(original)}", f"WARC-Profile: {PROFILE}"]
@@ -69,19 +81,20 @@ def parsed(raw: bytes) -> dict:
     first, *lines = head.decode().split("\r\n")
     if first != "WARC/1.1":
         raise ValueError(f"not a record: {first[:40]}")
-    fields = dict(line.split(": ", 1) for line in lines)
+    fields = {k: v for k, _, v in (line.partition(": ") for line in lines)}
     block = rest[: int(fields["Content-Length"])]
     if rest[len(block):] != b"\r\n\r\n":
         raise ValueError("a record's length is wrong")
     http, _, payload = block.partition(b"\r\n\r\n")
     size = int(dict(x.split(": ", 1) for x in http.decode().split("\r\n")[1:])["Content-Length"])
-    name = lambda key: unquote(fields[key][len("<urn:page:"):-1]) if key in fields else None
+    name = lambda key: unquote(x[len("<urn:page:"):-1]) if (x := fields.get(key, "")).startswith("<urn:page:") else None
+    url = fields["WARC-Target-URI"]
     kind = fields["WARC-Type"]
     digest = hashlib.sha256(payload).hexdigest() if kind == "response" else fields["WARC-Payload-Digest"][7:]
     if kind == "response" and (size != len(payload) or fields["WARC-Payload-Digest"] != f"sha256:{digest}"):
         raise ValueError("a payload differs from its digest or length")
     return {
-        "page_id": name("WARC-Record-ID"), "url": unquote(fields["WARC-Target-URI"]), "payload_bytes": size,
+        "page_id": name("WARC-Record-ID"), "url": unquote(url) if "Target-URI-Quoted" in fields else url, "payload_bytes": size,
         "payload_digest": digest, "record_type": kind, "refers_to": name("WARC-Refers-To"),
         "payload": payload if kind == "response" else None,
     }
@@ -164,7 +177,7 @@ def write_archives(
     picked = with_originals(pages.select("page_id", "url", "html"), min_revisit)
     is_first = F.col("original").isNull() | F.col("page_id").isNull() | (F.col("page_id") == F.col("original"))
     ready = picked.select(
-        F.coalesce(F.col("page_id").cast("string"), F.lit("")).alias("page_id"),
+        F.col("page_id").cast("string").alias("page_id"),
         F.coalesce("url", F.lit("")).alias("url"), F.when(is_first, F.col("payload")).alias("payload"), "digest",
         "size", F.when(~is_first, F.col("original").cast("string")).alias("original"),
     )
@@ -240,7 +253,7 @@ def round_trip(pages: DataFrame, folder: str | None = None) -> DataFrame:
     write_archives(pages, folder)
     kind = pages.schema["page_id"].dataType
     back = read_archives(spark, folder)
-    identity = lambda name: F.when(F.col(name) != "", F.col(name)).cast(kind).alias(name)
+    identity = lambda name: F.col(name).cast(kind).alias(name)
     return back.select(
         identity("page_id"), "payload_bytes", "payload_digest", "record_type", identity("refers_to"), "url", "archive",
         "position",

@@ -100,7 +100,7 @@ def test_hilbert_neighbours_touch():
 def test_archives_round_trip(spark, tmp_path):
     same = "<p>" + "same page " * 20 + "</p>"
     rows = [(7, "http://a/ü?q=1 2", same), (3, "http://b/\r\nX: y", same), (9, None, same), (4, "u", "tiny"), (5, "u", "tiny")]
-    rows += [(20, "u", None), (21, "u", ""), (None, "u", same), (30, "u", "é" * 200_000)]
+    rows += [(20, "http://a/x%2Fy?q=100%25", None), (21, "http://a/%20 %", ""), (22, "", "nothing at the address"), (None, "u", same), (30, "u", "é" * 200_000)]
     rows += [(100 + i, f"http://c/{i}", f"<html>{i} " + "word " * (i % 50)) for i in range(200)]
     pages = spark.createDataFrame([(*r, 1) for r in rows], "page_id long, url string, html string, size int").repartition(3)
     folder = f"file://{tmp_path}/archives"
@@ -198,3 +198,14 @@ def test_rows_are_dropped_by_their_own_verdict(spark):
     assert order(tuple(r) for r in judged.select("doc_id", "text").collect()) == order(wanted)
     left = corpus_pipeline.near_duplicates(spark, judged, SF_DIR).select("doc_id", "text").collect()
     assert order(tuple(r) for r in left) == order(x for x in wanted if x[1] != near)
+
+
+def test_archives_of_repeated_and_empty_ids(spark, tmp_path):
+    same = "<p>" + "same page " * 20 + "</p>"
+    rows = [("", "u", same), ("", "u", same), ("b", "v", same), (None, "w", same), ("a", None, "x")]
+    pages = spark.createDataFrame(rows, "page_id string, url string, html string")
+    got = sorted((r.page_id or "", r.page_id is None, r.url, r.record_type, r.refers_to) for r in warc.round_trip(pages, f"file://{tmp_path}/odd").collect())
+    assert got == [
+        ("", False, "u", "response", None), ("", False, "u", "response", None), ("", True, "w", "response", None),
+        ("a", False, "", "response", None), ("b", False, "v", "revisit", ""),
+    ]
