@@ -79,6 +79,8 @@ BODIES: tuple[tuple[str, str, str], ...] = (
     ("CC0-1.0", "CC0-1.0", "cc0 1 0 universal"),
 )
 THRESHOLD = 0.8
+#: Lines whose runs are made at a time, and passages that are compared at a time.
+LINES, PASSAGES = 20_000, 4096
 #: Share of a document's words in notices from which it is a licence file.
 FILE_SHARE = 0.5
 
@@ -138,9 +140,8 @@ class Matcher:
         rows = np.stack([np.bincount(positions(vocabulary, x), minlength=len(self.idf)) for x in each]) * self.idf
         self.templates = rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
-    def near(self, words: Words, first: np.ndarray, last: np.ndarray, threshold: float) -> np.ndarray:
-        """Which of the passages words[first : last] may reach the threshold, by sums over words of a bound."""
-        at = positions(self.vocabulary, words.hashes)
+    def near(self, at: np.ndarray, first: np.ndarray, last: np.ndarray, threshold: float) -> np.ndarray:
+        """Which of the passages [first : last] of words (positions in the vocabulary) may reach the threshold, by a bound."""
         known = at < len(self.vocabulary)
         before = lambda values: np.concatenate([np.zeros((1, *values.shape[1:])), np.cumsum(values, axis=0)])
         known_before = before(known.astype(np.float64))
@@ -167,55 +168,83 @@ class Matcher:
             out[i] = self.templates @ row / np.linalg.norm(row)
         return out
 
-    def passages(self, hashes: np.ndarray, of: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """For each of n passages (of hashes[i] belongs to passage of[i]) the best template and its cosine."""
-        at = positions(self.vocabulary, hashes)
+    def runs(
+        self, at: np.ndarray, ends: np.ndarray, doc: np.ndarray, lengths: np.ndarray, threshold: float
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """First and last words of the runs of adjoining() that near() leaves, found in ranges of LINES lines."""
+        first, last = paragraphs(ends, doc)
+        kept = self.near(at, first, last, threshold)
+        found = [first[kept] * (len(at) + 1) + last[kept]]
+        known = np.concatenate([[0], np.cumsum(at < len(self.vocabulary))])
+        for first, last in adjoining(ends, doc, lengths, known):
+            low, high = int(first.min()), int(last.max())
+            kept = self.near(at[low:high], first - low, last - low, threshold)
+            found.append(first[kept] * (len(at) + 1) + last[kept])
+        spans = np.unique(np.concatenate(found))
+        return spans // (len(at) + 1), spans % (len(at) + 1)
+
+    def passages(self, at: np.ndarray, of: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """For each of n passages (word at[i] of the vocabulary belongs to passage of[i], ascending) the best template and
+        its cosine."""
         known = np.bincount(of[at < len(self.vocabulary)], minlength=n)
         size = np.bincount(of, minlength=n)
         best, cosine = np.zeros(n, dtype=np.int64), np.zeros(n)
         few = np.flatnonzero(2 * known > size)  # below that no passage comes near the threshold
         place = np.full(n, -1)
-        place[few] = np.arange(len(few))
-        mine = place[of] >= 0
-        cells = np.bincount(place[of[mine]] * len(self.idf) + at[mine], minlength=len(few) * len(self.idf))
-        rows = cells.reshape(len(few), len(self.idf)) * self.idf
-        for low in range(0, len(few), 4096):
-            part = rows[low : low + 4096]
+        for low in range(0, len(few), PASSAGES):
+            some = few[low : low + PASSAGES]
+            place[some] = np.arange(len(some))
+            a, b = np.searchsorted(of, [some[0], some[-1] + 1])
+            mine = place[of[a:b]] >= 0
+            cells = place[of[a:b][mine]] * len(self.idf) + at[a:b][mine]
+            part = np.bincount(cells, minlength=len(some) * len(self.idf)).reshape(len(some), len(self.idf)) * self.idf
             scores = part @ self.templates.T / np.maximum(np.linalg.norm(part, axis=1, keepdims=True), 1e-12)
-            best[few[low : low + 4096]] = scores.argmax(axis=1)
-            cosine[few[low : low + 4096]] = scores.max(axis=1)
+            best[some], cosine[some] = scores.argmax(axis=1), scores.max(axis=1)
         return best, cosine
 
 
-def pieces(words: Words, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words of each passage words[first : last], and the passage of each."""
+def pieces(at: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The words of each passage at[first : last], and the passage of each."""
     size = last - first
     of = np.repeat(np.arange(len(size)), size)
-    return words.hashes[np.arange(len(of)) - (np.cumsum(size) - size)[of] + first[of]], of
-
+    return at[np.arange(len(of)) - (np.cumsum(size) - size)[of] + first[of]], of
 
-def adjoining(ends: np.ndarray, doc: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First and last word (exclusive) of runs of several lines that end at words `ends` and belong to texts `doc`.
 
-    They are paragraphs (between lines without words) and, from each line on, for each length the runs next below and
-    above it: a fixed number for each line.
-    """
+def wordy_lines(ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Lines (that end at words `ends`) with words, and the first word of every line."""
     starts = np.concatenate([[0], ends[:-1]]).astype(np.int64) if len(ends) else ends
-    wordy = np.flatnonzero(ends > starts)
+    return np.flatnonzero(ends > starts), starts
+
+
+def paragraphs(ends: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last word (exclusive) of each run of lines of a text between lines without words."""
+    wordy, starts = wordy_lines(ends)
     if not len(wordy):
         return wordy, wordy
-    opens = np.concatenate([[True], (np.diff(wordy) > 1) | (np.diff(doc[wordy]) > 0)])
-    heads = np.flatnonzero(opens)
-    spans = [np.stack([starts[wordy[heads]], ends[wordy[np.append(heads[1:], len(wordy)) - 1]]])]
-    final = ends[np.searchsorted(doc, doc[wordy], side="right") - 1]
+    heads = np.flatnonzero(np.concatenate([[True], (np.diff(wordy) > 1) | (np.diff(doc[wordy]) > 0)]))
+    return starts[wordy[heads]], ends[wordy[np.append(heads[1:], len(wordy)) - 1]]
+
+
+def adjoining(ends: np.ndarray, doc: np.ndarray, lengths: np.ndarray, known: np.ndarray):
+    """Runs of several lines that end at words `ends` and belong to texts `doc`: first and last word (exclusive).
+
+    From each line on, for each length, they are the runs next below and above it: a fixed number for each line. They come
+    in parts, each of runs that begin in LINES lines, without those of which half the words or fewer are among the
+    `known`, whose numbers before each word are given: they come near no template.
+    """
+    wordy, starts = wordy_lines(ends)
     first, own = starts[wordy], ends[wordy]
-    for length in lengths:
-        below = np.searchsorted(own, first + length, side="right") - 1
-        for to in (below, below + 1):
-            last = np.minimum(own[np.clip(to, 0, len(own) - 1)], final)
-            several = last > own
-            spans.append(np.stack([first[several], last[several]]))
-    return tuple(np.unique(np.concatenate(spans, axis=1), axis=1))
+    final = ends[np.searchsorted(doc, doc[wordy], side="right") - 1] if len(wordy) else wordy
+    for low in range(0, len(wordy), LINES):
+        part = slice(low, low + LINES)
+        below = np.searchsorted(own, first[part, None] + lengths, side="right") - 1
+        to = np.clip(np.concatenate([below, below + 1], axis=1), 0, len(own) - 1)
+        last = np.minimum(own[to], final[part, None])
+        begin = np.broadcast_to(first[part, None], last.shape)
+        several = (last > own[part, None]) & (2 * (known[last] - known[begin]) > last - begin)
+        if several.any():
+            span = np.unique(begin[several] * (own[-1] + 1) + last[several])
+            yield span // (own[-1] + 1), span % (own[-1] + 1)
 
 
 def own_licences(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -237,14 +266,17 @@ def own_licences(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             words = Words(texts, PLAIN_WORDS)
             breaks = np.flatnonzero(texts.bytes == 10)
             line = np.searchsorted(breaks, words.starts)
-            best, cosine = matcher.passages(words.hashes, line, len(breaks))
-            whole, whole_cosine = matcher.passages(words.hashes, words.doc, texts.n)
+            at = positions(vocabulary, words.hashes)
+            best, cosine = matcher.passages(at, line, len(breaks))
+            whole, whole_cosine = matcher.passages(at, words.doc, texts.n)
             line_doc = np.searchsorted(texts.starts, breaks, side="right") - 1
             ends = np.searchsorted(words.starts, breaks)
-            first, last = adjoining(ends, line_doc, lengths)
-            near = matcher.near(words, first, last, threshold)
-            first, last = first[near], last[near]
-            run_best, run_cosine = matcher.passages(*pieces(words, first, last), len(first))
+            first, last = matcher.runs(at, ends, line_doc, lengths, threshold)
+            run_best, run_cosine = np.zeros(len(first), dtype=np.int64), np.zeros(len(first))
+            for low in range(0, len(first), PASSAGES):  # runs overlap, so their words are many more than the text's
+                some = slice(low, low + PASSAGES)
+                part = first[some], last[some]
+                run_best[some], run_cosine[some] = matcher.passages(*pieces(at, *part), len(part[0]))
             starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)[: len(ends)]
             run_doc = words.doc[first]
             first, last = np.concatenate([starts, first]), np.concatenate([ends, last])

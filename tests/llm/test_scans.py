@@ -227,3 +227,78 @@ def test_candidates_are_what_the_postings_leave(spark, monkeypatch, block):
 
     want = {i: tuple(holds(t, q) for q in queries.values()) for i, t in texts.items()}
     assert got == {i: flags for i, flags in want.items() if any(flags)} and len(got) > 10
+
+
+def brute_licence(text, templates, idf, lengths, vocabulary):
+    """The best cosine of a line, a paragraph, a run of lines or the whole to a template."""
+    lines = [PLAIN.findall(x) for x in (text or "").translate(LOWER).split("\n")]
+    flat = [w for line in lines for w in line]
+    ends = np.cumsum([len(x) for x in lines]).tolist()
+    starts = [e - len(x) for e, x in zip(ends, lines)]
+    spans = {(s, e) for s, e in zip(starts, ends)} | {(0, len(flat))}
+    wordy = [i for i, x in enumerate(lines) if x]
+    head = None
+    for i in [*range(len(lines)), None]:
+        if i is not None and lines[i]:
+            head = i if head is None else head
+        elif head is not None:
+            spans.add((starts[head], ends[(len(lines) if i is None else i) - 1]))
+            head = None
+    for i in wordy:
+        for length in lengths:
+            below = [ends[j] for j in wordy if ends[j] <= starts[i] + length]
+            above = [ends[j] for j in wordy if ends[j] > starts[i] + length]
+            spans |= {(starts[i], e) for e in (below[-1:] + (above[:1] or [len(flat)])) if e > ends[i]}
+    best = 0.0
+    for s, e in spans:
+        found = Counter(flat[s:e])
+        if 2 * sum(n for w, n in found.items() if w in vocabulary) <= e - s:
+            continue
+        # all words outside the vocabulary share one coordinate
+        row = Counter()
+        for w, n in found.items():
+            row[w if w in vocabulary else None] += n
+        vector = {w: n * idf[w] for w, n in row.items()}
+        norm = sum(v * v for v in vector.values()) ** 0.5
+        best = max([best, *(sum(v * t.get(w, 0) for w, v in vector.items()) / norm for t in templates)])
+    return best
+
+
+def test_licence_cosines_against_brute_force(spark, documents, texts):
+    some = dict(list(texts.items())[::4])
+    lines = [t for _, t in license_scan.TEMPLATES][:12]
+    some |= {5000 + i: "some words\n" + "\n".join(textwrap.wrap(t, 25)) + "\nmore of it" for i, t in enumerate(lines)}
+    some |= {6000 + i: f"prose before it\n\n{t} by {i}\n\n" for i, t in enumerate(lines)}
+    frame = spark.createDataFrame(list(some.items()), "doc_id bigint, text string")
+    got = {r.doc_id: r for r in license_scan.scan(frame, F.lit("x")).collect()}
+    words = [PLAIN.findall(t.translate(LOWER)) for _, t in license_scan.TEMPLATES]
+    vocabulary = set().union(*words)
+    n = len(some)
+    df = Counter(w for t in some.values() for w in set(PLAIN.findall((t or "").translate(LOWER))) if w in vocabulary)
+    idf = {w: np.log((1 + n) / (1 + df[w])) + 1 for w in vocabulary} | {None: np.log(1 + n) + 1}
+    templates = []
+    for one in words:
+        row = {w: k * idf[w] for w, k in Counter(one).items()}
+        norm = sum(v * v for v in row.values()) ** 0.5
+        templates.append({w: v / norm for w, v in row.items()})
+    lengths = sorted({len(x) for x in words})
+    for doc, text in some.items():
+        best = brute_licence(text, templates, idf, lengths, vocabulary)
+        assert abs(got[doc].cosine - (best if best >= license_scan.THRESHOLD else 0)) < 1e-6
+    assert sum(got[5000 + i].license is not None for i in range(12)) >= 6
+
+
+@pytest.mark.parametrize("known", [False, True])
+def test_many_lines_of_one_word_take_bounded_memory(known):
+    import tracemalloc
+
+    each, vocabulary = license_scan.template_words([t for _, t in license_scan.TEMPLATES])
+    matcher = license_scan.Matcher(vocabulary, each, np.ones(len(vocabulary)), 1000)
+    lines = 300_000
+    at = np.random.default_rng(1).integers(0, len(vocabulary), lines) if known else np.full(lines, len(vocabulary))
+    ends, doc, lengths = np.arange(1, lines + 1), np.zeros(lines, dtype=np.int64), np.unique([len(x) for x in each])
+    tracemalloc.start()
+    first, last = matcher.runs(at, ends, doc, lengths, 0.8)
+    matcher.passages(at, np.arange(lines), lines)
+    assert tracemalloc.get_traced_memory()[1] < 300e6 and (known or not len(first))
+    tracemalloc.stop()
