@@ -568,9 +568,12 @@ UNION ALL SELECT page_id, CAST(page_id AS VARCHAR), 'Split', 'n/a', '2:1 & more'
 oracle("payload_shape", f"""WITH {SNAPSHOTS}
 SELECT symbol AS requested_symbol,
   CASE odd WHEN 7 THEN 'array' WHEN 8 THEN 'missing' ELSE 'object' END AS payload_type,
-  CASE WHEN odd IN (7, 8) THEN NULL WHEN odd = 4 THEN 6 ELSE 7 END AS field_count,
-  CASE WHEN odd IN (7, 8) THEN '' WHEN odd = 4 THEN 'currency,financialCurrency,longName,sector,symbol,trailingPE'
-    ELSE 'currency,financialCurrency,longName,marketCap,sector,symbol,trailingPE' END AS fields,
+  CASE WHEN odd IN (7, 8) THEN NULL WHEN odd = 4 THEN 16 ELSE 17 END AS field_count,
+  CASE WHEN odd IN (7, 8) THEN '' WHEN odd = 4 THEN
+    'bookValue,currency,currentPrice,debtToEquity,dividendYield,fiftyTwoWeekHigh,fiftyTwoWeekLow,financialCurrency,longName,' ||
+    'netIncomeToCommon,priceToBook,returnOnEquity,sector,symbol,totalRevenue,trailingPE'
+    ELSE 'bookValue,currency,currentPrice,debtToEquity,dividendYield,fiftyTwoWeekHigh,fiftyTwoWeekLow,financialCurrency,longName,' ||
+    'marketCap,netIncomeToCommon,priceToBook,returnOnEquity,sector,symbol,totalRevenue,trailingPE' END AS fields,
   CASE WHEN odd IN (4, 7, 8) THEN NULL WHEN odd = 1 THEN 'string' WHEN odd = 2 THEN 'boolean' WHEN odd = 3 THEN 'void'
     ELSE 'decimal' END AS market_cap_type,
   odd NOT IN (4, 7, 8) AS market_cap_present,
@@ -585,7 +588,11 @@ SELECT replace(symbol, '.NS', '') AS symbol, gated.symbol AS provider_symbol, 'y
   '1' AS provider_version, '2026-09-22T04:30:00+00:00' AS retrieved_at_utc, true AS snapshot_only,
   'INR' AS market_cap_currency, 'INR' AS financial_currency, c_name AS name, c_mktsegment AS sector,
   CAST(NULL AS VARCHAR) AS industry, c_acctbal AS market_cap, CAST(c_nationkey AS DOUBLE) AS pe_ratio, """ + ", ".join(
-    f'CAST(NULL AS DOUBLE) AS "{name}"' for name in list(fv.SNAPSHOT_NUMBERS)[2:]
+    f'CASE WHEN (c_custkey + {i}) % 7 <> 0 THEN CAST(c_custkey * 3 + {i} AS DOUBLE) END AS "{name}"'
+    for i, name in enumerate((
+        "dividend_yield", "book_value", "pb_ratio", "revenue", "net_income", "roe", "debt_to_equity", "current_price",
+        "52_week_high", "52_week_low",
+    ))
 ) + " FROM gated WHERE fault IS NULL")
 
 oracle("content_hash", "SELECT doc_id, sha256(text) AS sha256, CAST(strlen(text) AS BIGINT) AS bytes FROM documents")

@@ -250,6 +250,12 @@ def fetch_log(spark: SparkSession, sf_dir: str, scopes: DataFrame) -> DataFrame:
 
 # --- fundamentals, listings, actions -------------------------------------------------------------
 
+# Number fields of a fundamentals response besides the market cap and the price-earnings ratio, as documents name them.
+DOCUMENT_NUMBERS = (
+    "dividendYield", "bookValue", "priceToBook", "totalRevenue", "netIncomeToCommon", "returnOnEquity", "debtToEquity",
+    "currentPrice", "fiftyTwoWeekHigh", "fiftyTwoWeekLow",
+)
+
 
 def snapshot_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every customer as a fundamentals response; some are not what was asked for."""
@@ -266,10 +272,14 @@ def snapshot_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     currency = F.when(odd(5), F.lit("USD")).otherwise(F.lit("INR"))
     named = F.when(odd(6), F.lit("OTHER.NS")).otherwise(symbol)
+    numbers = [
+        F.concat(F.lit(f',"{key}":'), F.when((F.col("c_custkey") + i) % 7 == 0, F.lit("null")).otherwise((F.col("c_custkey") * 3 + i).cast("string")))
+        for i, key in enumerate(DOCUMENT_NUMBERS)
+    ]
     body = F.concat(
         F.lit('{"symbol":"'), named, F.lit('","longName":"'), F.col("c_name"), F.lit('","sector":"'),
         F.col("c_mktsegment"), F.lit('"'), cap, F.lit(',"currency":"'), currency,
-        F.lit('","financialCurrency":"INR","trailingPE":'), F.col("c_nationkey").cast("string"), F.lit("}"),
+        F.lit('","financialCurrency":"INR","trailingPE":'), F.col("c_nationkey").cast("string"), *numbers, F.lit("}"),
     )
     whole = F.when(odd(7), F.concat(F.lit("["), body, F.lit("]"))).when(odd(8), F.lit("<html>busy</html>")).otherwise(body)
     return table(spark, sf_dir, "customer").select(
