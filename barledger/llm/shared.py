@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barledger.sources import scratch
+
 #: Rows of text in an Arrow batch that goes to Python; with texts of 100 KB a batch stays below 30 MB.
 TEXT_ROWS = 256
 #: Rows of a table of keys with a few numbers each that may be broadcast, and at which another join is taken.
@@ -15,18 +14,8 @@ SMALL_ROWS = 50_000
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder below the one that the cluster names in spark.checkpoint.dir.
-
-    Where the setting is absent (a session on one machine, as in tests) a temporary folder is chosen once per session.
-    """
-    key = "spark.checkpoint.dir"
-    root = spark.conf.get(key, None) or spark.sparkContext.getConf().get(key, None)
-    if not root:
-        root = spark.conf.get("barledger.llm.folder", None)
-    if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="barledger-llm-")
-        spark.conf.set("barledger.llm.folder", root)
-    return f"{root.rstrip('/')}/llm-{uuid.uuid4().hex}"
+    """A new folder below the one that the cluster names in spark.checkpoint.dir; a cluster without one is an error."""
+    return scratch.shared_folder(spark, "llm")
 
 
 def stored(df: DataFrame, name: str = "table") -> DataFrame:
