@@ -10,6 +10,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from barledger import fixed_values as fv
 from barledger.operators.deals import check_request
 from barledger.operators.quality import clean_rows
 from barledger.operators.skew import HOT_ROWS, attach_by_key
@@ -60,7 +61,7 @@ def deal_headers(numbered: DataFrame) -> DataFrame:
         "rows",
         folded.alias("folded"),
         distinct.alias("names"),
-        (F.array_contains(folded, "date") & F.array_contains(folded, "symbol")).alias("header_ok"),
+        (F.size(F.array_except(F.array(*map(F.lit, fv.DEAL_REQUIRED)), folded)) == 0).alias("header_ok"),
     )
 
 
