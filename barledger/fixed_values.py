@@ -63,6 +63,8 @@ FRAME_REASONS = (
     "nonnumeric_column:Close", "nonnumeric_column:Volume",
     "not_a_datetime_index",
 )
+# Of a whole frame without rows: no table came, or an empty one.
+NO_TABLE, EMPTY_FRAME = "not_a_dataframe", "empty_frame"
 DATE_REASONS = ("missing_date", "date_outside_request", "duplicate_date")
 NUMERIC_REASONS = (
     "missing:Open", "nonfinite:Open", "nonpositive:Open",

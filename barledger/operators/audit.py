@@ -212,19 +212,32 @@ def verdicts_of_counts(counted: DataFrame, *, keys: Sequence[str] = FRAME_KEYS)
     )
 
 
-def requested_verdicts(requested: DataFrame, verdicts: DataFrame, *, keys: Sequence[str] = FRAME_KEYS) -> DataFrame:
-    """Verdicts over the whole request: a frame without rows is an ``empty_frame``, not absent."""
+def requested_verdicts(
+    requested: DataFrame, verdicts: DataFrame, *, keys: Sequence[str] = FRAME_KEYS, no_table: DataFrame | None = None,
+) -> DataFrame:
+    """Verdicts over the whole request: a frame without rows is an ``empty_frame``, not absent.
+
+    ``no_table`` has the keys of requests whose answer was no table at all, such as a failed fetch; without rows they are
+    ``not_a_dataframe``. A key may be there several times.
+    """
+    if no_table is not None:
+        marked = no_table.select(*keys).distinct().withColumn("__no_table", F.lit(True))
+        requested = requested.join(marked, list(keys), "left")
+    bare = F.coalesce(F.col("__no_table"), F.lit(False)) if no_table is not None else F.lit(False)
     rows = F.coalesce(F.col("frame_rows"), F.lit(0))
     joined = requested.join(verdicts, list(keys), "left")
     empty = F.col("frame_rows").isNull()
-    return joined.withColumns({
-        "frame_errors": F.when(empty, F.array(F.lit("empty_frame"))).otherwise(F.col("frame_errors")),
+    judged = joined.withColumns({
+        "frame_errors": F.when(empty & bare, F.array(F.lit(fv.NO_TABLE))).when(empty, F.array(F.lit(fv.EMPTY_FRAME))).otherwise(
+            F.col("frame_errors")
+        ),
         "passed": F.coalesce(F.col("passed"), F.lit(False)),
         "category": F.coalesce(F.col("category"), F.lit(fv.UNVERIFIED_RESPONSE)),
         "frame_rows": rows,
         "usable_rows": F.coalesce(F.col("usable_rows"), F.lit(0)),
         "rejected_rows": F.coalesce(F.col("rejected_rows"), F.lit(0)),
     })
+    return judged.drop("__no_table")
 
 
 def admitted_rows(

@@ -319,10 +319,15 @@ SELECT run_id, symbol, row_position, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS date,
 oracle("frame_admission", f"""WITH {VERDICTS}
 SELECT run_id, symbol, frame_rows, usable_rows, rejected_rows, passed FROM verdicts""")
 
-oracle("failure_kind", f"""WITH {REQUESTS}, {VERDICTS}
+oracle("failure_kind", f"""WITH {REQUESTS}, {VERDICTS}, failed AS (
+  SELECT DISTINCT '199' || CAST(CAST(json_extract_string(props, '$.k') AS BIGINT) % 7 + 2 AS VARCHAR) || '-'
+      || lpad(CAST(day(ts) % 12 + 1 AS VARCHAR), 2, '0') AS run_id, 'S' || CAST(user_id AS VARCHAR) || '.NS' AS symbol
+  FROM events WHERE event_type = 'error'
+  UNION SELECT run_id, symbol FROM requests JOIN supplier ON s_suppkey = ordinal WHERE s_nationkey < 10)
 SELECT r.run_id, r.symbol, coalesce(v.category, 'unverified_response') AS category,
-  CASE WHEN v.symbol IS NULL THEN 'empty_frame' ELSE '' END AS frame_errors
-FROM requests r LEFT JOIN verdicts v ON r.run_id = v.run_id AND r.symbol = v.symbol""")
+  CASE WHEN v.symbol IS NOT NULL THEN '' WHEN f.symbol IS NOT NULL THEN 'not_a_dataframe' ELSE 'empty_frame' END AS frame_errors
+FROM requests r LEFT JOIN verdicts v ON r.run_id = v.run_id AND r.symbol = v.symbol
+  LEFT JOIN failed f ON r.run_id = f.run_id AND r.symbol = f.symbol""")
 
 oracle("evidence_manifest", f"""WITH {VERDICTS},
 reasons AS (SELECT run_id, symbol, unnest(string_split(reasons, ',')) AS reason FROM judged WHERE NOT accepted),

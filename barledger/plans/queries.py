@@ -178,7 +178,8 @@ def frame_admission(spark: SparkSession, sf: str) -> DataFrame:
 def failure_kind(spark: SparkSession, sf: str) -> DataFrame:
     """Over the whole request: frames nothing came back for are judged too."""
     verdicts = audit.requested_verdicts(
-        views.requests(spark, sf).select("run_id", "symbol"), audit.frame_verdicts(_audited(spark, sf))
+        views.requests(spark, sf).select("run_id", "symbol"), audit.frame_verdicts(_audited(spark, sf)),
+        no_table=views.tableless(spark, sf),
     )
     return verdicts.select("run_id", "symbol", "category", joined("frame_errors").alias("frame_errors"))
 

@@ -128,6 +128,13 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tableless(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests that no table came for, if nothing was traded: their fetch failed, or the supplier is of one of ten nations."""
+    silent = table(spark, sf_dir, "supplier").where("s_nationkey < 10").select(F.col("s_suppkey").alias("ordinal"))
+    asked = requests(spark, sf_dir).join(silent, "ordinal", "left_semi").select("run_id", "symbol")
+    return asked.unionByName(price_fetches(spark, sf_dir).where("status <> 200").select("run_id", "symbol"))
+
+
 def policies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers in debt are deferred from a day that depends on their nation."""
     return table(spark, sf_dir, "supplier").where(F.col("s_acctbal") < 0).select(

@@ -140,6 +140,10 @@ def test_empty_frames_stay_in_the_request(spark):
     rows = {row.symbol: row for row in audit.requested_verdicts(requested, verdicts).collect()}
     assert rows["TCS.NS"].frame_errors == ["empty_frame"] and not rows["TCS.NS"].passed
     assert rows["RELIANCE.NS"].passed and rows["TCS.NS"].frame_rows == 0
+    # a request that was answered without a table, several times; one with rows is judged by them
+    rows = audit.requested_verdicts(requested, verdicts, no_table=requested.unionByName(requested)).collect()
+    errors = {row.symbol: row.frame_errors for row in rows}
+    assert len(rows) == 2 and errors == {"TCS.NS": ["not_a_dataframe"], "RELIANCE.NS": []}
 
 
 def test_only_admitted_frames_are_published(spark):
